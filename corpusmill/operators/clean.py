@@ -51,6 +51,19 @@ def length_filter(df: DataFrame, min_chars: int = 200, max_chars: int = 100_000,
 
 # --- B4 / B5 ----------------------------------------------------------------
 
+def _stat_columns(text_col: str):
+    t = F.col(text_col)
+    lines = F.filter(F.split(t, "\n"), lambda l: F.length(F.regexp_replace(l, tx.WS_CLASS, "")) > 0)
+    n_words = tx.word_count(t)
+    return {
+        "n_words": n_words,
+        "mean_word_len": tx.safe_ratio(F.length(F.regexp_replace(t, tx.WS_CLASS, "")), n_words),
+        "alpha_ratio": tx.safe_ratio(F.length(F.regexp_replace(t, "[^\\p{L}]", "")), F.length(t)),
+        "symbol_ratio": tx.safe_ratio(F.regexp_count(t, F.lit(tx.SYMBOL_RE)), n_words),
+        "dup_line_ratio": tx.safe_ratio(F.size(lines) - F.size(F.array_distinct(lines)), F.size(lines)),
+    }
+
+
 def quality_stats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Per-document statistics; ratios rounded to 6 places.
 
@@ -58,38 +71,35 @@ def quality_stats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     symbol_ratio = ('#', '...', '…') occurrences / words;
     dup_line_ratio = 1 - distinct / non-blank lines.
     """
-    t = F.col(text_col)
-    lines = F.filter(F.split(t, "\n"), lambda l: F.length(F.regexp_replace(l, tx.WS_CLASS, "")) > 0)
-    return (df.select(
-        F.col(id_col),
-        tx.word_count(t).alias("n_words"),
-        F.length(t).cast("bigint").alias("n_chars_"),
-        F.length(F.regexp_replace(t, tx.WS_CLASS, "")).cast("bigint").alias("nonspace_"),
-        F.length(F.regexp_replace(t, "[^\\p{L}]", "")).cast("bigint").alias("letters_"),
-        F.regexp_count(t, F.lit(tx.SYMBOL_RE)).cast("bigint").alias("symbols_"),
-        F.size(lines).cast("bigint").alias("lines_"),
-        F.size(F.array_distinct(lines)).cast("bigint").alias("distinct_lines_"))
-        .select(
-            id_col, "n_words",
-            tx.safe_ratio("nonspace_", "n_words").alias("mean_word_len"),
-            tx.safe_ratio("letters_", "n_chars_").alias("alpha_ratio"),
-            tx.safe_ratio("symbols_", "n_words").alias("symbol_ratio"),
-            tx.safe_ratio(F.col("lines_") - F.col("distinct_lines_"), "lines_").alias("dup_line_ratio")))
+    return df.select(F.col(id_col), *[c.alias(k) for k, c in _stat_columns(text_col).items()])
+
+
+def annotate_quality(df: DataFrame, text_col: str = "text", **thresholds) -> DataFrame:
+    """B4 + B5 as extra columns on the documents themselves (no join back)."""
+    out = df
+    for k, c in _stat_columns(text_col).items():
+        out = out.withColumn(k, c)
+    return out.withColumn("reason", _reason(**thresholds)).withColumn("keep", F.col("reason") == "ok")
 
 
 QUALITY_REASONS = ("word_len", "alpha", "symbol", "dup_lines")
 
 
+def _reason(min_alpha: float = 0.6, max_symbol: float = 0.1, max_dup_lines: float = 0.3,
+            word_len: tuple = (2, 12)):
+    lo, hi = word_len
+    return (F.when((F.col("mean_word_len") < lo) | (F.col("mean_word_len") > hi), "word_len")
+             .when(F.col("alpha_ratio") < min_alpha, "alpha")
+             .when(F.col("symbol_ratio") > max_symbol, "symbol")
+             .when(F.col("dup_line_ratio") > max_dup_lines, "dup_lines")
+             .otherwise("ok"))
+
+
 def quality_filter(stats: DataFrame, min_alpha: float = 0.6, max_symbol: float = 0.1,
                    max_dup_lines: float = 0.3, word_len: tuple = (2, 12),
                    id_col: str = "doc_id") -> DataFrame:
     """(doc_id, keep, reason) - reason is the first failing rule, in fixed order."""
-    lo, hi = word_len
-    reason = (F.when((F.col("mean_word_len") < lo) | (F.col("mean_word_len") > hi), "word_len")
-              .when(F.col("alpha_ratio") < min_alpha, "alpha")
-              .when(F.col("symbol_ratio") > max_symbol, "symbol")
-              .when(F.col("dup_line_ratio") > max_dup_lines, "dup_lines")
-              .otherwise("ok"))
+    reason = _reason(min_alpha, max_symbol, max_dup_lines, word_len)
     return stats.select(F.col(id_col), (reason == "ok").alias("keep"), reason.alias("reason"))
 
 

@@ -49,11 +49,12 @@ def shingle_hashes(df: DataFrame, n: int = 5, id_col: str = "doc_id", text_col:
 
     Documents with fewer than n words get an empty array (they never match).
     """
-    w = tx.words(F.lower(F.col(text_col)))
+    w = F.col("_w_")   # tokenised once per row; lambdas below only slice it
     k = F.size(w) - n + 1
     grams = F.when(k > 0, F.transform(F.sequence(F.lit(1), k),
                                       lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " "))))
-    return df.select(F.col(id_col), F.array_distinct(F.coalesce(grams, F.array().cast("array<bigint>"))).alias("sh"))
+    return (df.select(F.col(id_col), tx.words(F.lower(F.col(text_col))).alias("_w_"))
+              .select(F.col(id_col), F.array_distinct(F.coalesce(grams, F.array().cast("array<bigint>"))).alias("sh")))
 
 
 def minhash(sh: DataFrame, num_perm: int = 128, seed: int = 42) -> DataFrame:

@@ -118,10 +118,15 @@ def collate(batched: DataFrame, max_seq_length: int = MAX_SEQ_LENGTH, pad_id: in
 
 
 def lm_labels(collated: DataFrame, ignore_id: int = tx.IGNORE_ID, ids_col: str = "input_ids") -> DataFrame:
-    """labels = ids where the mask is 1, ignore_id on padding (decided by position, not value)."""
-    mask = F.col("attention_mask")
-    return collated.withColumn("labels", F.transform(F.col(ids_col),
-                                                     lambda x, i: F.when(mask[i] == 1, x).otherwise(F.lit(ignore_id))))
+    """labels = ids where the mask is 1, ignore_id on padding (decided by position, not value).
+
+    The mask is 1s then 0s, so the real length is the first 0's position;
+    labels are two array slices, no per-element lambda.
+    """
+    first_pad = F.array_position(F.col("attention_mask"), 0)
+    m = F.when(first_pad == 0, F.size("attention_mask")).otherwise(first_pad - 1).cast("int")
+    return collated.withColumn("labels", F.concat(F.slice(F.col(ids_col), 1, m),
+                                                  F.array_repeat(F.lit(ignore_id), F.size(ids_col) - m)))
 
 
 def epochs(batch_index: DataFrame, num_epochs: int = NUM_EPOCHS) -> DataFrame:

@@ -134,3 +134,47 @@ SELECT w.*, CAST(s.start + w.window_ix AS BIGINT) AS sample_id
 FROM ({windows_sql(encoded, L, O, id_col)}) w JOIN (
   SELECT {id_col}, CAST(coalesce(sum(nw) OVER (ORDER BY {id_col} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM (SELECT {id_col}, {window_count('n_tokens', L, O)} AS nw FROM ({encoded}))) s USING ({id_col})"""
+
+
+def ngrams_sql(src: str, id_col: str, n: int, text_col: str = "text", distinct: bool = True) -> str:
+    """(id, g) word n-grams of lower(text) (1-based list_slice, inclusive end)."""
+    d = "DISTINCT " if distinct else ""
+    return f"""
+SELECT {d}{id_col}, array_to_string(list_slice(w, i, i + {n - 1}), ' ') AS g
+FROM (SELECT {id_col}, w, unnest(range(1, len(w) - {n - 2})) AS i
+      FROM (SELECT {id_col}, regexp_extract_all(lower({text_col}), {q(tx.WORD_RE)}) AS w FROM {src}))"""
+
+
+def near_pairs_sql(src: str = "documents", n: int = 5, threshold: float = 0.8) -> str:
+    """Exact Jaccard >= threshold over distinct word n-shingles (brute force self-join)."""
+    return f"""
+SELECT a, b, j AS jaccard FROM (
+  SELECT i.a, i.b, round(CAST(i.k AS DOUBLE) / (sa.n + sb.n - i.k), 6) AS j
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+        FROM ({ngrams_sql(src, 'doc_id', n)}) x JOIN ({ngrams_sql(src, 'doc_id', n)}) y
+          ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2) i
+  JOIN (SELECT doc_id, count(*) AS n FROM ({ngrams_sql(src, 'doc_id', n)}) GROUP BY doc_id) sa ON sa.doc_id = i.a
+  JOIN (SELECT doc_id, count(*) AS n FROM ({ngrams_sql(src, 'doc_id', n)}) GROUP BY doc_id) sb ON sb.doc_id = i.b)
+WHERE j >= {threshold}"""
+
+
+def components_sql(src: str = "documents", near: bool = True) -> str:
+    """(doc_id, component) over exact-key copies and (optionally) near pairs, via a recursive walk."""
+    exact = f"""SELECT m.k AS a, d.doc_id AS b FROM
+  (SELECT doc_id, {dedup_key('text')} AS key FROM {src}) d
+  JOIN (SELECT {dedup_key('text')} AS key, min(doc_id) AS k FROM {src} GROUP BY 1) m USING (key)
+  WHERE d.doc_id <> m.k"""
+    pairs = exact + (f" UNION SELECT a, b FROM ({near_pairs_sql(src)})" if near else "")
+    return f"""
+WITH RECURSIVE p AS ({pairs}),
+e AS (SELECT a AS s, b AS d FROM p UNION SELECT b AS s, a AS d FROM p),
+walk(id, c) AS (SELECT doc_id, doc_id FROM {src} UNION SELECT e.d, walk.c FROM walk JOIN e ON walk.id = e.s)
+SELECT id AS doc_id, min(c) AS component FROM walk GROUP BY id"""
+
+
+def near_only_components_sql(src: str = "documents") -> str:
+    return f"""
+WITH RECURSIVE p AS (SELECT a, b FROM ({near_pairs_sql(src)})),
+e AS (SELECT a AS s, b AS d FROM p UNION SELECT b AS s, a AS d FROM p),
+walk(id, c) AS (SELECT doc_id, doc_id FROM {src} UNION SELECT e.d, walk.c FROM walk JOIN e ON walk.id = e.s)
+SELECT id AS doc_id, min(c) AS component FROM walk GROUP BY id"""

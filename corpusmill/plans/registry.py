@@ -166,3 +166,293 @@ def sample_count_slice(d: DataFrame) -> DataFrame:
 @register("sample_count", _SLICE_SQL)
 def q_sample_count(spark, sf_dir):
     return sample_count_slice(docs(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# B: line-level rules, redaction, decontamination, funnel, calibration
+# ---------------------------------------------------------------------------
+
+_LINES_SQL = "SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos " \
+             "FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)"
+
+
+@register("line_dedup", f"""
+WITH l AS ({_LINES_SQL}),
+bad AS (SELECT line FROM l WHERE {O.word_count('line')} >= 3 GROUP BY line HAVING count(DISTINCT doc_id) >= 10)
+SELECT d.doc_id, coalesce(k.text, '') AS text FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM l
+  WHERE line NOT IN (SELECT line FROM bad) GROUP BY doc_id) k USING (doc_id)""")
+def q_line_dedup(spark, sf_dir):
+    return clean.line_dedup(docs(spark, sf_dir).select("doc_id", "text"), min_words=3, min_docs=10)
+
+
+@register("license_strip", f"""
+SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)),
+       lambda l: NOT regexp_matches(l, {O.q(tx.LICENSE_RE)})), chr(10)) AS text FROM documents""")
+def q_license_strip(spark, sf_dir):
+    return clean.license_strip(docs(spark, sf_dir).select("doc_id", "text"))
+
+
+def _pii_sql() -> str:
+    cols, t = [], "text"
+    for kind in tx.PII_KINDS:
+        pat = tx.PII_PATTERNS[kind]
+        cols.append(f"{O.rx_count(t, pat)} AS n_{kind}")
+        t = f"regexp_replace({t}, {O.q(pat)}, {O.q(tx.PII_TOKENS[kind])}, 'g')"
+    # counts are taken on the progressively redacted text, as in Spark
+    return f"SELECT doc_id, {t} AS text, {', '.join(cols)} FROM documents"
+
+
+@register("pii_redact", _pii_sql())
+def q_pii_redact(spark, sf_dir):
+    return clean.pii_redact(docs(spark, sf_dir).select("doc_id", "text"))
+
+
+@register("secret_redact", f"""
+SELECT doc_id, regexp_replace(text, {O.q(tx.SECRET_RE)}, {O.q(tx.SECRET_TOKEN)}, 'g') AS text,
+       {O.rx_count('text', tx.SECRET_RE)} AS n_secret FROM documents""")
+def q_secret_redact(spark, sf_dir):
+    return clean.secret_redact(docs(spark, sf_dir).select("doc_id", "text"))
+
+
+@register("decontaminate", f"""
+WITH m AS (SELECT dg.doc_id, count(DISTINCT bg.item_id) AS n
+           FROM ({O.ngrams_sql('documents', 'doc_id', 13)}) dg
+           JOIN ({O.ngrams_sql('benchmark', 'item_id', 13)}) bg USING (g) GROUP BY dg.doc_id)
+SELECT d.doc_id, coalesce(m.n, 0) > 0 AS contaminated, CAST(coalesce(m.n, 0) AS BIGINT) AS n_items
+FROM documents d LEFT JOIN m USING (doc_id)""")
+def q_decontaminate(spark, sf_dir):
+    from corpusmill.operators.decontam import decontaminate
+    return decontaminate(docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+_FUNNEL_SQL = f"""
+WITH raw AS (SELECT doc_id, lang, source, text FROM documents),
+s1 AS (SELECT * FROM raw WHERE length(text) BETWEEN 200 AND 100000 AND {O.word_count('text')} >= 50),
+s2 AS (SELECT * FROM s1 WHERE doc_id IN (SELECT doc_id FROM ({O.quality_filter_sql('s1')}) WHERE keep)),
+s3 AS (SELECT * FROM s2 WHERE doc_id IN (SELECT min(doc_id) FROM s2 GROUP BY {O.dedup_key('text')})),
+u AS (SELECT 0 AS stage_ix, 'raw' AS stage, lang, source, strlen(text) AS b FROM raw
+      UNION ALL SELECT 1, 'length', lang, source, strlen(text) FROM s1
+      UNION ALL SELECT 2, 'quality', lang, source, strlen(text) FROM s2
+      UNION ALL SELECT 3, 'exact_dedup', lang, source, strlen(text) FROM s3),
+a AS (SELECT stage_ix, stage, lang, source, CAST(count(*) AS BIGINT) AS rows, CAST(sum(b) AS BIGINT) AS bytes,
+             GROUPING(stage_ix, stage, lang, source) AS gid
+      FROM u GROUP BY ROLLUP (stage_ix, stage, lang, source))
+SELECT stage, lang, source, rows, bytes,
+       CAST(coalesce(lag(rows) OVER (PARTITION BY lang, source, gid ORDER BY stage_ix) - rows, 0) AS BIGINT) AS dropped
+FROM a WHERE stage IS NOT NULL AND gid IN (0, 1, 3)"""
+
+
+def funnel_stages(d: DataFrame):
+    raw = d.select("doc_id", "lang", "source", "text")
+    s1 = clean.length_filter(raw)
+    s2 = clean.annotate_quality(s1).where("keep").select(*raw.columns)
+    s3 = dedup.exact_dedup(s2)
+    return [("raw", raw), ("length", s1), ("quality", s2), ("exact_dedup", s3)]
+
+
+@register("clean_funnel", _FUNNEL_SQL)
+def q_clean_funnel(spark, sf_dir):
+    return clean.clean_funnel(funnel_stages(docs(spark, sf_dir)))
+
+
+@register("rule_calibration", f"""
+WITH j AS (SELECT q.keep, l.quality, d.lang FROM ({O.quality_filter_sql()}) q
+           JOIN labels l USING (doc_id) JOIN documents d USING (doc_id)),
+a AS (SELECT lang, CAST(sum(CASE WHEN keep AND quality = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+             CAST(sum(CASE WHEN keep AND quality <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+             CAST(sum(CASE WHEN NOT keep AND quality = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+             CAST(sum(CASE WHEN NOT keep AND quality <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn
+      FROM j GROUP BY lang)
+SELECT lang, tp, fp, fn, tn, {O.ratio('tp', 'tp + fp')} AS precision, {O.ratio('tp', 'tp + fn')} AS recall FROM a""")
+def q_rule_calibration(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    decisions = clean.quality_filter(clean.quality_stats(d))
+    return clean.rule_calibration(decisions, table(spark, sf_dir, "labels"), d)
+
+
+# ---------------------------------------------------------------------------
+# Near duplicates and duplicate-aware splits
+# ---------------------------------------------------------------------------
+
+@register("near_dup_pairs")
+def q_near_dup_pairs(spark, sf_dir):
+    """Verified LSH edges (linear size); checked against brute force in tests/."""
+    return dedup.near_dup_pairs(docs(spark, sf_dir))
+
+
+@register("near_dedup", f"SELECT doc_id FROM ({O.near_only_components_sql()}) WHERE doc_id = component")
+def q_near_dedup(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    return dedup.near_dedup(d, dedup.near_dup_pairs(d)).select("doc_id")
+
+
+@register("dup_components", O.components_sql())
+def q_dup_components(spark, sf_dir):
+    return dedup.dup_components(docs(spark, sf_dir))
+
+
+_CLUSTER_SPLIT_SQL = f"""
+SELECT doc_id, component, CASE WHEN {O.bucket('component', 43)} % 10000 < 100 THEN 'validation' ELSE 'train' END AS split
+FROM ({O.components_sql()})"""
+
+
+@register("cluster_split", _CLUSTER_SPLIT_SQL)
+def q_cluster_split(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    return sample.cluster_split(d, dedup.dup_components(d)).select("doc_id", "component", "split")
+
+
+@register("split_report", f"""
+WITH s AS (SELECT doc_id, {SPLIT_SQL} AS split, strlen(text) AS b, {O.dedup_key('text')} AS k FROM documents),
+c AS (SELECT * FROM s JOIN ({O.components_sql()}) USING (doc_id)),
+ks AS (SELECT k, count(DISTINCT split) AS ns FROM s GROUP BY k),
+cs AS (SELECT component, count(DISTINCT split) AS nc FROM c GROUP BY component)
+SELECT split, CAST(count(*) AS BIGINT) AS rows, CAST(sum(b) AS BIGINT) AS bytes,
+       CAST(sum(CASE WHEN ns > 1 THEN 1 ELSE 0 END) AS BIGINT) AS cross_exact,
+       CAST(sum(CASE WHEN nc > 1 THEN 1 ELSE 0 END) AS BIGINT) AS cross_near
+FROM c JOIN ks USING (k) JOIN cs USING (component) GROUP BY split""")
+def q_split_report(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    return sample.split_report(sample.split(d, 0.01, 43), dedup.dup_components(d))
+
+
+# ---------------------------------------------------------------------------
+# Budget and stratified samples
+# ---------------------------------------------------------------------------
+
+BUDGET_BYTES = 2_000_000
+
+
+@register("budget_sample", f"""
+SELECT doc_id FROM (SELECT doc_id, sum(strlen(text)) OVER (ORDER BY {O.bucket('doc_id', 42)}, doc_id
+                                                          ROWS UNBOUNDED PRECEDING) AS cum FROM documents)
+WHERE cum <= {BUDGET_BYTES}""")
+def q_budget_sample(spark, sf_dir):
+    return sample.budget_sample(docs(spark, sf_dir), BUDGET_BYTES, 42).select("doc_id")
+
+
+@register("stratified_sample", f"""
+SELECT doc_id, lang, source FROM (
+  SELECT doc_id, lang, source,
+         row_number() OVER (PARTITION BY lang, source ORDER BY {O.bucket('doc_id', 42)}, doc_id) AS rn,
+         count(*) OVER (PARTITION BY lang, source) AS n
+  FROM documents)
+WHERE rn <= ceil(CAST(n AS DOUBLE) * 0.1 - 1e-9)""")
+def q_stratified_sample(spark, sf_dir):
+    return sample.stratified_sample(docs(spark, sf_dir), ("lang", "source"), 0.10, 42).select("doc_id", "lang", "source")
+
+
+# ---------------------------------------------------------------------------
+# Index, batches, collation, training schedule
+# ---------------------------------------------------------------------------
+
+INDEXED_SQL = O.indexed_windows_sql(ENCODED_SQL)
+
+
+def _indexed(spark, sf_dir):
+    return W.indexed_windows(_encoded(spark, sf_dir))
+
+
+@register("sample_index", f"SELECT doc_id, window_ix, n_tokens, sample_id FROM ({INDEXED_SQL})")
+def q_sample_index(spark, sf_dir):
+    return _indexed(spark, sf_dir).select("doc_id", "window_ix", "n_tokens", "sample_id")
+
+
+_BATCH_COLS = "sample_id, CAST(sample_id // 64 AS BIGINT) AS batch_id, CAST(sample_id % 64 AS INTEGER) AS pos"
+
+
+@register("batches", f"SELECT doc_id, window_ix, {_BATCH_COLS} FROM ({INDEXED_SQL})")
+def q_batches(spark, sf_dir):
+    return W.batches(_indexed(spark, sf_dir)).select("doc_id", "window_ix", "sample_id", "batch_id", "pos")
+
+
+@register("worker_shards", f"""
+SELECT batch_id, CAST(batch_id % 4 AS INTEGER) AS shard, CAST(count(*) AS BIGINT) AS samples
+FROM (SELECT {_BATCH_COLS} FROM ({INDEXED_SQL})) GROUP BY batch_id""")
+def q_worker_shards(spark, sf_dir):
+    b = W.worker_shards(W.batches(_indexed(spark, sf_dir)))
+    return b.groupBy("batch_id", "shard").agg(F.count(F.lit(1)).cast("bigint").alias("samples"))
+
+
+_COLLATED_SQL = f"""
+SELECT {_BATCH_COLS}, n_tokens,
+       list_transform(range(512), lambda i: CASE WHEN i < n_tokens THEN wids[i + 1] ELSE 0 END) AS ids,
+       list_transform(range(512), lambda i: CASE WHEN i < n_tokens THEN 1 ELSE 0 END) AS mask,
+       list_transform(range(512), lambda i: CASE WHEN i < n_tokens THEN wids[i + 1] ELSE -100 END) AS labels
+FROM ({INDEXED_SQL})"""
+
+
+def _collated(spark, sf_dir):
+    return W.lm_labels(W.collate(W.batches(_indexed(spark, sf_dir))))
+
+
+@register("collate", f"SELECT batch_id, pos, {O.ids_text('ids')} AS input_ids, {O.ids_text('mask')} AS attention_mask "
+                     f"FROM ({_COLLATED_SQL})")
+def q_collate(spark, sf_dir):
+    c = _collated(spark, sf_dir)
+    return c.select("batch_id", "pos", tx.ids_text("input_ids").alias("input_ids"),
+                    tx.ids_text("attention_mask").alias("attention_mask"))
+
+
+@register("lm_labels", f"SELECT batch_id, pos, {O.ids_text('labels')} AS labels FROM ({_COLLATED_SQL})")
+def q_lm_labels(spark, sf_dir):
+    return _collated(spark, sf_dir).select("batch_id", "pos", tx.ids_text("labels").alias("labels"))
+
+
+_BATCH_INDEX_SQL = f"SELECT DISTINCT CAST(sample_id // 64 AS BIGINT) AS batch_id FROM ({INDEXED_SQL})"
+
+
+def _batch_index(spark, sf_dir):
+    return W.batches(_indexed(spark, sf_dir)).select("batch_id").distinct()
+
+
+@register("epochs", f"SELECT CAST(e AS INTEGER) AS epoch, batch_id FROM ({_BATCH_INDEX_SQL}), range(6) t(e)")
+def q_epochs(spark, sf_dir):
+    return W.epochs(_batch_index(spark, sf_dir)).select(F.col("epoch").cast("int"), "batch_id")
+
+
+@register("accum_groups", f"SELECT batch_id, CAST(batch_id // 8 AS BIGINT) AS step FROM ({_BATCH_INDEX_SQL})")
+def q_accum_groups(spark, sf_dir):
+    return W.accum_groups(_batch_index(spark, sf_dir))
+
+
+@register("val_subset", f"""
+SELECT doc_id, window_ix, {_BATCH_COLS} FROM ({O.indexed_windows_sql(O.word_encode_sql(
+    src=f"(SELECT * FROM documents WHERE {SPLIT_SQL} = 'validation')", vocab_src='documents'))})
+WHERE sample_id // 64 < 5000""")
+def q_val_subset(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    val = sample.split(d, 0.01, 43).where(F.col("split") == "validation")
+    enc = encode.word_encode(val, encode.word_vocab(d), vocab_rows=encode.VOCAB_SIZE)
+    b = W.batches(W.indexed_windows(enc))
+    from corpusmill.operators.sample import val_subset
+    return val_subset(b, 5000).select("doc_id", "window_ix", "sample_id", "batch_id", "pos")
+
+
+@register("training_budget", f"""
+WITH s AS (SELECT {SPLIT_SQL} AS split, {O.word_count('text')} AS n FROM documents),
+c AS (SELECT split, CAST(count(*) AS BIGINT) AS documents, CAST(sum(n) AS BIGINT) AS tokens,
+             CAST(sum({O.window_count('n')}) AS BIGINT) AS samples FROM s GROUP BY split),
+b AS (SELECT *, CAST((samples + 63) // 64 AS BIGINT) AS batches FROM c),
+p AS (SELECT *, CAST((batches + 7) // 8 AS BIGINT) AS steps_per_epoch FROM b)
+SELECT split, documents, tokens, samples, batches, steps_per_epoch,
+       CAST(steps_per_epoch * 6 AS BIGINT) AS total_steps,
+       CAST((steps_per_epoch * 6) // 6 AS BIGINT) AS log_events,
+       CAST((steps_per_epoch * 6) // 1250 AS BIGINT) AS save_events,
+       CAST(CASE WHEN split = 'validation' THEN least(batches, 5000) ELSE 0 END AS BIGINT) AS eval_batches
+FROM p""")
+def q_training_budget(spark, sf_dir):
+    d = sample.split(docs(spark, sf_dir), 0.01, 43)
+    return W.training_budget(d.select("split", tx.word_count("text").alias("n_tokens")))
+
+
+@register("padding_report", f"""
+SELECT CAST(count(*) AS BIGINT) AS windows, CAST(sum(n_tokens) AS BIGINT) AS real_tokens,
+       CAST(sum(512 - n_tokens) AS BIGINT) AS pad_tokens,
+       CAST(sum(CASE WHEN window_ix > 0 THEN least(n_tokens, 128) ELSE 0 END) AS BIGINT) AS overlap_tokens,
+       CAST(sum(CASE WHEN n_tokens = 512 THEN 1 ELSE 0 END) AS BIGINT) AS full_windows,
+       CAST(sum(CASE WHEN n_tokens < 512 THEN 1 ELSE 0 END) AS BIGINT) AS short_windows
+FROM ({O.windows_sql(ENCODED_SQL)})""")
+def q_padding_report(spark, sf_dir):
+    return W.padding_report(W.windows(_encoded(spark, sf_dir)))
