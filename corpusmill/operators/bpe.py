@@ -1,11 +1,38 @@
-"""Byte-level BPE: pre-token counting, batched exact merge training, encode/decode."""
+"""Byte-level BPE on Spark: pre-token counting, batched exact merge training, encode/decode.
+
+Training works on the table of *distinct* pre-tokens (word, n, syms), never
+on documents: the corpus is read once (D1).  Each round is one Spark
+aggregation of adjacent-symbol pair counts; only the top-K pairs (K is a
+parameter, default 512) come back to the driver, where the prefix rule
+picks the merges of the round.  Merges are then applied to every word
+inside the JVM (``aggregate`` over the symbol array with a literal map of
+the <= K merges of the round), so no Python runs in the training loop.
+
+Prefix rule (exact): order pairs by (count desc, left asc, right asc) and
+take the longest prefix whose pairs share no symbol; a self-pair (x, x)
+is taken and ends the batch.  Merging a pair leaves the counts of
+symbol-disjoint pairs unchanged, and every pair it creates counts no more
+than an old pair sharing one of its symbols - which, ranking above the
+next candidate, would already have ended the prefix.  So the merge list
+equals one-merge-at-a-time BPE (checked against a sequential reference in
+tests/test_bpe.py).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
+from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize, sized
+
+BYTE_OFFSET = len(tx.SPECIAL_TOKENS)          # byte b has id BYTE_OFFSET + b
+FIRST_MERGE_ID = BYTE_OFFSET + 256
+VOCAB_SIZE = 25000
+TOP_K = 512
 
 
 def pretokens(text) -> "F.Column":
@@ -16,3 +43,342 @@ def pretoken_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) for every distinct pre-token (map-side partial counts, then one shuffle)."""
     return (df.select(F.explode(pretokens(text_col)).alias("word"))
               .groupBy("word").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
+def byte_ids(word) -> "F.Column":
+    """UTF-8 bytes of a string as base-alphabet ids (JVM only: hex digits -> ints)."""
+    h = F.hex(F.encode(tx.col_(word), "UTF-8"))
+    nb = (F.length(h) / 2).cast("int")
+    return F.when(nb > 0, F.transform(F.sequence(F.lit(0), nb - 1),
+                                      lambda i: (F.conv(F.substring(h, i * 2 + 1, 2), 16, 10).cast("int")
+                                                 + F.lit(BYTE_OFFSET)))).otherwise(F.array().cast("array<int>"))
+
+
+# Symbols are carried as one BMP character per token id while training, so that a
+# merge is a plain left-to-right, non-overlapping String.replace and pair counting
+# is one regex scan - JVM string kernels instead of interpreted array lambdas.
+# Code points start at SYM_BASE and skip the surrogate block; the UTF-8 byte order
+# of such strings equals the order of the ids they carry.
+SYM_BASE = 0x800
+MAX_VOCAB = 0xFFFF - 0x800 - SYM_BASE + 1
+
+
+def sym_char(i: int) -> str:
+    cp = SYM_BASE + i
+    return chr(cp if cp < 0xD800 else cp + 0x800)
+
+
+def char_sym(c: str) -> int:
+    cp = ord(c)
+    return (cp if cp < 0xD800 else cp - 0x800) - SYM_BASE
+
+
+def _sym_id_col(c) -> "F.Column":
+    cp = F.ascii(c)
+    return (F.when(cp < 0xD800, cp).otherwise(cp - 0x800) - SYM_BASE).cast("int")
+
+
+_LATIN1 = "".join(chr(b) for b in range(256))
+_BYTE_SYMS = "".join(sym_char(BYTE_OFFSET + b) for b in range(256))
+_PAIRS_RE = "(?s)(?=(..))"
+
+
+def sym_string(word) -> "F.Column":
+    """A pre-token as its base-alphabet symbol string (bytes via Latin-1, then one translate)."""
+    return F.translate(F.decode(F.encode(tx.col_(word), "UTF-8"), "ISO-8859-1"), _LATIN1, _BYTE_SYMS)
+
+
+def special_tokens(spark: SparkSession) -> DataFrame:
+    """<pad>=0, <unk>=1, <eos>=2."""
+    rows = [(i, t.encode("utf-8"), "special") for t, i in tx.SPECIAL_TOKENS]
+    return spark.createDataFrame(rows, "token_id int, token binary, kind string")
+
+
+def base_alphabet(spark: SparkSession) -> DataFrame:
+    """One id per byte value, after the special tokens."""
+    return spark.range(256).select((F.col("id") + BYTE_OFFSET).cast("int").alias("token_id"),
+                                   F.unhex(F.lpad(F.hex("id"), 2, "0")).alias("token"),
+                                   F.lit("byte").alias("kind"))
+
+
+def word_symbols(counts: DataFrame) -> DataFrame:
+    """(word, n, syms): distinct pre-tokens as base-alphabet symbol strings."""
+    return counts.select("word", "n", sym_string("word").alias("syms"))
+
+
+def symbol_ids(syms) -> "F.Column":
+    """A symbol string as an id array (for inspection and tests)."""
+    s = tx.col_(syms)
+    return F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: _sym_id_col(F.substring(s, i, 1)))
+
+
+def _pair_strings(words: DataFrame, syms_col: str = "syms") -> DataFrame:
+    return (words.where(F.length(syms_col) >= 2)
+                 .select("n", F.explode(F.regexp_extract_all(F.col(syms_col), F.lit(_PAIRS_RE), 1)).alias("p"))
+                 .groupBy("p").agg(F.sum("n").cast("bigint").alias("n")))
+
+
+def pair_counts(words: DataFrame, syms_col: str = "syms") -> DataFrame:
+    """D3: (left_id, right_id, n) = sum of word frequency over adjacent symbol pairs."""
+    return _pair_strings(words, syms_col).select(_sym_id_col(F.substring("p", 1, 1)).alias("left_id"),
+                                                 _sym_id_col(F.substring("p", 2, 1)).alias("right_id"), "n")
+
+
+def select_merges(ranked, next_id: int) -> list[tuple[int, int, int]]:
+    """The longest symbol-disjoint prefix of ranked (left, right, n) rows -> (left, right, new_id)."""
+    used: set[int] = set()
+    out = []
+    for row in ranked:
+        l, r = int(row[0]), int(row[1])
+        if l in used or r in used:
+            break
+        out.append((l, r, next_id + len(out)))
+        if l == r:
+            break
+        used.update((l, r))
+    return out
+
+
+def apply_merges_expr(syms, batch: list[tuple[int, int, int]]) -> "F.Column":
+    """Left-to-right, non-overlapping replacement of a symbol-disjoint merge batch.
+
+    Pairs of one batch share no symbol and new ids are fresh, so replacing them
+    one after another equals replacing them simultaneously.
+    """
+    out = tx.col_(syms)
+    for l, r, new in batch:
+        out = F.replace(out, F.lit(sym_char(l) + sym_char(r)), F.lit(sym_char(new)))
+    return out
+
+
+def apply_merges(words: DataFrame, batch: list[tuple[int, int, int]], syms_col: str = "syms") -> DataFrame:
+    return words.withColumn(syms_col, apply_merges_expr(syms_col, batch))
+
+
+def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, top_k: int = TOP_K,
+              text_col: str = "text", checkpoint_every: int = 8, counts: DataFrame | None = None):
+    """Byte-level BPE merges until ``vocab_size`` ids or no pair with count >= min_count.
+
+    Returns (vocab, merges) DataFrames; both are bounded by ``vocab_size``.
+    """
+    if vocab_size > MAX_VOCAB:
+        raise ValueError(f"vocab_size must be <= {MAX_VOCAB}")
+    spark = df.sparkSession
+    counts = counts if counts is not None else pretoken_counts(df, text_col)
+    # Words of one symbol never form a pair again; they leave the working table.  The table is
+    # spread over the cluster's cores explicitly (AQE would coalesce a small aggregate to few tasks).
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    words = materialize(word_symbols(counts).where(F.length("syms") >= 2).repartition(parts))
+    merges: list[tuple[int, int, int]] = []
+    next_id = FIRST_MERGE_ID
+    cached = []
+    rnd = 0
+    while next_id < vocab_size:
+        k = min(top_k, vocab_size - next_id)
+        top = (_pair_strings(words).where(F.col("n") >= min_count)
+               .orderBy(F.desc("n"), F.asc("p")).limit(k).collect())   # (left, right) order == string order
+        for old in cached[:-1]:
+            old.unpersist()
+        cached = cached[-1:]
+        if not top:
+            break
+        batch = select_merges([(char_sym(r["p"][0]), char_sym(r["p"][1]), r["n"]) for r in top], next_id)
+        merges.extend(batch)
+        next_id += len(batch)
+        rnd += 1
+        words = apply_merges(words, batch).where(F.length("syms") >= 2)
+        if rnd % checkpoint_every == 0:
+            words = materialize(words)          # reliable checkpoint: flat lineage, survives executor loss
+        else:
+            words = words.persist()
+            cached.append(words)
+    for old in cached:
+        old.unpersist()
+    return vocab_table(spark, merges), merges_table(spark, merges)
+
+
+def merges_table(spark: SparkSession, merges) -> DataFrame:
+    rows = [(rank, l, r, new) for rank, (l, r, new) in enumerate(merges)]
+    return spark.createDataFrame(rows, "rank int, left_id int, right_id int, new_id int")
+
+
+def token_bytes(merges) -> dict[int, bytes]:
+    """id -> bytes for specials, the byte alphabet and every merge (bounded by vocab_size)."""
+    tb = {i: t.encode("utf-8") for t, i in tx.SPECIAL_TOKENS}
+    tb.update({BYTE_OFFSET + b: bytes([b]) for b in range(256)})
+    for l, r, new in merges:
+        tb[new] = tb[l] + tb[r]
+    return tb
+
+
+def vocab_table(spark: SparkSession, merges) -> DataFrame:
+    tb = token_bytes(merges)
+    kinds = {i: "special" for _, i in tx.SPECIAL_TOKENS}
+    rows = [(i, tb[i], kinds.get(i, "byte" if i < FIRST_MERGE_ID else "merge")) for i in sorted(tb)]
+    return spark.createDataFrame(rows, "token_id int, token binary, kind string")
+
+
+# --- E1: encode / decode -----------------------------------------------------
+
+def _encode_words_fn(merges):
+    ranks = {(l, r): (rank, new) for rank, (l, r, new) in enumerate(merges)}
+
+    def encode_word(b: bytes) -> list[int]:
+        syms = [BYTE_OFFSET + x for x in b]
+        while len(syms) > 1:
+            best = None
+            for i in range(len(syms) - 1):
+                v = ranks.get((syms[i], syms[i + 1]))
+                if v is not None and (best is None or v[0] < best[0]):
+                    best = v + (syms[i], syms[i + 1])
+            if best is None:
+                break
+            _, new, l, r = best
+            out, i = [], 0
+            while i < len(syms):
+                if i + 1 < len(syms) and syms[i] == l and syms[i + 1] == r:
+                    out.append(new)
+                    i += 2
+                else:
+                    out.append(syms[i])
+                    i += 1
+            syms = out
+        return syms
+
+    def run(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"word": pdf["word"],
+                                "ids": [encode_word(w.encode("utf-8")) for w in pdf["word"]]})
+    return run
+
+
+def encode_words(words: DataFrame, merges) -> DataFrame:
+    """(word, ids) for a table of distinct pre-tokens: Arrow batches, merges shipped once per task."""
+    spark = words.sparkSession
+    bc = spark.sparkContext.broadcast(list(merges))
+
+    def run(batches):
+        yield from _encode_words_fn(bc.value)(batches)
+    return words.select("word").mapInPandas(run, "word string, ids array<int>")
+
+
+def bpe_encode(df: DataFrame, merges, text_col: str = "text", id_col: str = "doc_id",
+               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """(doc_id, input_ids, n_tokens) - pre-tokenise, encode each distinct pre-token once, rejoin."""
+    if isinstance(merges, DataFrame):
+        merges = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
+    toks = df.select(F.col(id_col), F.posexplode_outer(pretokens(text_col)).alias("pos", "word"))
+    distinct_words = toks.where(F.col("word").isNotNull()).select("word").distinct()
+    enc, n_enc = sized(encode_words(distinct_words, merges))
+    right = F.broadcast(enc) if n_enc <= max_broadcast_rows else enc
+    j = toks.join(right, "word", "left")
+    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "ids"))
+    out = (j.groupBy(id_col).agg(F.array_sort(F.collect_list(item)).alias("_s_"))
+            .select(id_col, F.flatten(F.transform("_s_", lambda x: x["ids"])).alias("input_ids")))
+    out = out.withColumn("input_ids", F.coalesce("input_ids", F.array().cast("array<int>")))
+    return out.withColumn("n_tokens", F.size("input_ids").cast("bigint"))
+
+
+def bpe_decode(encoded: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, text): ids -> token bytes (broadcast vocab, bounded by vocab_size) -> UTF-8 text."""
+    v = vocab.select(F.col("token_id").alias("t"), F.hex("token").alias("hx"))
+    ex = encoded.select(id_col, F.posexplode_outer("input_ids").alias("pos", "t"))
+    j = ex.join(F.broadcast(v), "t", "left")
+    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "hx"))
+    return (j.groupBy(id_col).agg(F.array_sort(F.collect_list(item)).alias("_s_"))
+             .select(id_col, F.decode(F.unhex(F.array_join(F.transform("_s_", lambda x: x["hx"]), "")), "UTF-8")
+                     .alias("text")))
+
+
+def vocab_report(encoded: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Tokens, words, tokens per word and bytes per token, by language."""
+    j = encoded.select(id_col, "n_tokens").join(
+        docs.select(id_col, "lang", tx.word_count(text_col).alias("w"),
+                    F.octet_length(text_col).cast("bigint").alias("b")), id_col)
+    a = j.groupBy("lang").agg(F.sum("n_tokens").cast("bigint").alias("tokens"),
+                              F.sum("w").cast("bigint").alias("words"), F.sum("b").cast("bigint").alias("bytes"))
+    return a.select("lang", "tokens", "words", tx.safe_ratio("tokens", "words").alias("tokens_per_word"),
+                    tx.safe_ratio("bytes", "tokens").alias("bytes_per_token"))
+
+
+def top_tokens(encoded: DataFrame, vocab: DataFrame, k: int = 100) -> DataFrame:
+    """The k most frequent token ids with their byte strings (bounded top-k)."""
+    c = (encoded.select(F.explode("input_ids").alias("token_id"))
+                .groupBy("token_id").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+    top = c.orderBy(F.desc("n"), F.asc("token_id")).limit(k)
+    return top.join(F.broadcast(vocab.select("token_id", "token")), "token_id")
+
+
+# --- A4: tokenizer artifact --------------------------------------------------
+
+def _bytes_to_unicode() -> dict[int, str]:
+    """Byte-level alphabet for tokenizer.json: printable Latin-1 bytes map to themselves,
+    the remaining bytes to code points from 256 upwards, in byte order (the public
+    byte-level BPE convention)."""
+    keep = list(range(ord("!"), ord("~") + 1)) + list(range(ord("¡"), ord("¬") + 1)) + \
+        list(range(ord("®"), ord("ÿ") + 1))
+    out, extra = {}, 0
+    for b in range(256):
+        if b in keep:
+            out[b] = chr(b)
+        else:
+            out[b] = chr(256 + extra)
+            extra += 1
+    return out
+
+
+def tokenizer_json(merges) -> str:
+    """A4: one tokenizer.json (byte-level BPE) for the trained merges."""
+    tb = token_bytes(merges)
+    b2u = _bytes_to_unicode()
+
+    def s(i):
+        return "".join(b2u[x] for x in tb[i])
+    specials = {i for _, i in tx.SPECIAL_TOKENS}
+    vocab = {(t if i in specials else s(i)): i for t, i in tx.SPECIAL_TOKENS}
+    vocab.update({s(i): i for i in sorted(tb) if i not in specials})
+    added = [{"id": i, "content": t, "single_word": False, "lstrip": False, "rstrip": False,
+              "normalized": False, "special": True} for t, i in tx.SPECIAL_TOKENS]
+    bl = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": False, "use_regex": False}
+    doc = {
+        "version": "1.0", "truncation": None, "padding": None, "added_tokens": added, "normalizer": None,
+        "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": tx.PRETOKEN_RE}, "behavior": "Isolated", "invert": False},
+            bl]},
+        "post_processor": None, "decoder": bl,
+        "model": {"type": "BPE", "dropout": None, "unk_token": "<unk>", "continuing_subword_prefix": None,
+                  "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False,
+                  "vocab": vocab, "merges": [[s(l), s(r)] for l, r, _ in merges]},
+    }
+    return json.dumps(doc, ensure_ascii=False)
+
+
+def save_tokenizer(vocab: DataFrame, merges: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A4: persist vocab and merges as two Parquet tables plus tokenizer.json (one text part file)."""
+    vocab.coalesce(1).write.mode(mode).parquet(f"{path}/vocab")
+    merges.coalesce(1).write.mode(mode).parquet(f"{path}/merges")
+    ml = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
+    spark = vocab.sparkSession
+    spark.createDataFrame([(tokenizer_json(ml),)], "value string").coalesce(1) \
+         .write.mode(mode).text(f"{path}/tokenizer_json")
+
+
+def load_merges(spark: SparkSession, path: str) -> list[tuple[int, int, int]]:
+    m = spark.read.parquet(f"{path}/merges").orderBy("rank").collect()
+    return [(r["left_id"], r["right_id"], r["new_id"]) for r in m]
+
+
+class BpeTokenizer:
+    """H1 plug-in for byte-level BPE."""
+
+    def __init__(self, merges):
+        self.merges = list(merges)
+
+    @classmethod
+    def train(cls, df: DataFrame, vocab_size: int = VOCAB_SIZE, **kw) -> "BpeTokenizer":
+        _, m = train_bpe(df, vocab_size, **kw)
+        return cls([(r["left_id"], r["right_id"], r["new_id"]) for r in m.orderBy("rank").collect()])
+
+    def encode_df(self, df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+        return bpe_encode(df, self.merges, text_col, id_col)
+

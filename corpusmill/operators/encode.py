@@ -47,6 +47,7 @@ def word_encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col:
     the vocabulary's row bound (its token ids are dense from 3).
     """
     toks = df.select(F.col(id_col), F.posexplode_outer(tx.words(text_col)).alias("pos", "word"))
+    # (id_col may be a struct column, e.g. (conv_id, turn) for instruction records.)
     v = vocab.select("word", "token_id")
     if vocab_rows is None:
         vocab_rows = v.count()

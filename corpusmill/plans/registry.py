@@ -456,3 +456,167 @@ SELECT CAST(count(*) AS BIGINT) AS windows, CAST(sum(n_tokens) AS BIGINT) AS rea
 FROM ({O.windows_sql(ENCODED_SQL)})""")
 def q_padding_report(spark, sf_dir):
     return W.padding_report(W.windows(_encoded(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# D: byte-level BPE
+# ---------------------------------------------------------------------------
+
+BPE_QUERY_VOCAB = 384     # training rounds are Spark jobs; the registered queries use a small vocabulary
+
+
+@register("pair_counts", f"""
+WITH w AS (SELECT word, count(*) AS n, hex(encode(word)) AS h
+           FROM (SELECT unnest(regexp_extract_all(text, {O.q(tx.PRETOKEN_RE)})) AS word FROM documents) GROUP BY word)
+SELECT CAST(('0x' || substr(h, 2 * i + 1, 2)) AS INTEGER) + 3 AS left_id,
+       CAST(('0x' || substr(h, 2 * i + 3, 2)) AS INTEGER) + 3 AS right_id, CAST(sum(n) AS BIGINT) AS n
+FROM (SELECT h, n, unnest(range(0, CAST(length(h) / 2 AS BIGINT) - 1)) AS i FROM w) GROUP BY 1, 2""")
+def q_pair_counts(spark, sf_dir):
+    from corpusmill.operators import bpe
+    return bpe.pair_counts(bpe.word_symbols(bpe.pretoken_counts(docs(spark, sf_dir))))
+
+
+def _trained(spark, sf_dir):
+    from corpusmill.operators import bpe
+    return bpe.train_bpe(docs(spark, sf_dir), vocab_size=BPE_QUERY_VOCAB)
+
+
+@register("train_bpe")
+def q_train_bpe(spark, sf_dir):
+    """Merge list of exact batched BPE (checked against sequential BPE in tests/)."""
+    return _trained(spark, sf_dir)[1]
+
+
+@register("tokenizer_tables")
+def q_tokenizer_tables(spark, sf_dir):
+    """Vocabulary table (specials, byte alphabet, merges) with token bytes as hex."""
+    vocab, _ = _trained(spark, sf_dir)
+    return vocab.select("token_id", F.hex("token").alias("token_hex"), "kind")
+
+
+@register("bpe_encode", "SELECT doc_id, text FROM documents")
+def q_bpe_encode(spark, sf_dir):
+    """decode(encode(text)) for every document - must reproduce the text exactly."""
+    from corpusmill.operators import bpe
+    d = docs(spark, sf_dir)
+    vocab, merges = _trained(spark, sf_dir)
+    return bpe.bpe_decode(bpe.bpe_encode(d, merges), vocab)
+
+
+@register("vocab_report")
+def q_vocab_report(spark, sf_dir):
+    from corpusmill.operators import bpe
+    d = docs(spark, sf_dir)
+    _, merges = _trained(spark, sf_dir)
+    return bpe.vocab_report(bpe.bpe_encode(d, merges), d)
+
+
+# ---------------------------------------------------------------------------
+# F: instruction (SFT) data
+# ---------------------------------------------------------------------------
+
+_PAIRS_SQL = """
+SELECT u.conv_id, u.turn, u.text AS instruction, coalesce(s.text, '') AS input, a.text AS output
+FROM conversations u
+JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+LEFT JOIN conversations s ON s.conv_id = u.conv_id AND s.turn = 0 AND s.role = 'system'
+WHERE u.role = 'user'"""
+
+_FILTERED_SQL = f"""
+SELECT conv_id, turn, instruction, input, output FROM (
+  SELECT *, row_number() OVER (PARTITION BY instruction, input, output ORDER BY conv_id, turn) AS rn
+  FROM ({_PAIRS_SQL}) WHERE trim(instruction) <> '' AND trim(output) <> '') WHERE rn = 1"""
+
+
+def _prompt_sql(tpl_in: str, tpl_no: str) -> str:
+    def fill(tpl, with_input):
+        a, rest = tpl.split("{instruction}")
+        if with_input:
+            b, c = rest.split("{input}")
+            return f"{O.q(a)} || instruction || {O.q(b)} || input || {O.q(c)}"
+        return f"{O.q(a)} || instruction || {O.q(rest)}"
+    return f"CASE WHEN input <> '' THEN {fill(tpl_in, True)} ELSE {fill(tpl_no, False)} END"
+
+
+def _sft_records(spark, sf_dir):
+    from corpusmill.operators import sft
+    return sft.sft_prompt(sft.sft_filter(sft.sft_pairs(table(spark, sf_dir, "conversations"))))
+
+
+def _sft_encoded(spark, sf_dir):
+    from corpusmill.operators import sft
+    vocab = encode.word_vocab(docs(spark, sf_dir))
+    return sft.sft_encode(_sft_records(spark, sf_dir), encode.WordTokenizer(vocab))
+
+
+@register("sft_pairs", _PAIRS_SQL)
+def q_sft_pairs(spark, sf_dir):
+    from corpusmill.operators import sft
+    return sft.sft_pairs(table(spark, sf_dir, "conversations"))
+
+
+@register("sft_filter", _FILTERED_SQL)
+def q_sft_filter(spark, sf_dir):
+    from corpusmill.operators import sft
+    return sft.sft_filter(sft.sft_pairs(table(spark, sf_dir, "conversations")))
+
+
+def _prompt_expr_sql():
+    from corpusmill.operators import sft
+    return _prompt_sql(sft.PROMPT_WITH_INPUT, sft.PROMPT_NO_INPUT)
+
+
+@register("sft_prompt", f"SELECT conv_id, turn, {_prompt_expr_sql()} AS prompt FROM ({_FILTERED_SQL})")
+def q_sft_prompt(spark, sf_dir):
+    return _sft_records(spark, sf_dir).select("conv_id", "turn", "prompt")
+
+
+_RECORDS_SQL = f"SELECT *, conv_id * 1000000 + turn AS rid, {_prompt_expr_sql()} AS prompt FROM ({_FILTERED_SQL})"
+_SFT_ENC_SQL = f"""
+SELECT r.conv_id, r.turn, CAST(len(p.ids) AS BIGINT) AS prompt_tokens, CAST(len(o.ids) + 1 AS BIGINT) AS response_tokens,
+       list_slice(list_concat(list_concat(p.ids, o.ids), [2]), 1, 512) AS ids,
+       list_slice(list_concat(list_concat(list_transform(p.ids, lambda x: -100), o.ids), [2]), 1, 512) AS labels
+FROM ({_RECORDS_SQL}) r
+JOIN ({O.word_encode_sql(src=f"(SELECT rid, prompt AS text FROM ({_RECORDS_SQL}))", vocab_src='documents', id_col='rid')}) p USING (rid)
+JOIN ({O.word_encode_sql(src=f"(SELECT rid, output AS text FROM ({_RECORDS_SQL}))", vocab_src='documents', id_col='rid')}) o USING (rid)
+WHERE len(p.ids) < 512"""
+
+
+@register("sft_encode", f"""
+SELECT conv_id, turn, prompt_tokens, response_tokens, CAST(len(ids) AS BIGINT) AS n_tokens,
+       {O.ids_text('ids')} AS input_ids, {O.ids_text('labels')} AS labels FROM ({_SFT_ENC_SQL})""")
+def q_sft_encode(spark, sf_dir):
+    e = _sft_encoded(spark, sf_dir)
+    return e.select("conv_id", "turn", "prompt_tokens", "response_tokens", "n_tokens",
+                    tx.ids_text("input_ids").alias("input_ids"), tx.ids_text("labels").alias("labels"))
+
+
+@register("sft_batches", f"""
+SELECT CAST(sid // 64 AS BIGINT) AS batch_id, CAST(sid % 64 AS INTEGER) AS pos,
+       {O.ids_text("list_transform(range(512), lambda i: CASE WHEN i < len(ids) THEN ids[i + 1] ELSE 0 END)")} AS input_ids,
+       {O.ids_text("list_transform(range(512), lambda i: CASE WHEN i < len(ids) THEN 1 ELSE 0 END)")} AS attention_mask,
+       {O.ids_text("list_transform(range(512), lambda i: CASE WHEN i < len(labels) THEN labels[i + 1] ELSE -100 END)")} AS labels
+FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS sid FROM ({_SFT_ENC_SQL}))""")
+def q_sft_batches(spark, sf_dir):
+    from corpusmill.operators import sft
+    b = sft.sft_batches(_sft_encoded(spark, sf_dir))
+    return b.select("batch_id", "pos", tx.ids_text("input_ids").alias("input_ids"),
+                    tx.ids_text("attention_mask").alias("attention_mask"), tx.ids_text("labels").alias("labels"))
+
+
+def _report_sql() -> str:
+    base = f"SELECT * FROM ({_SFT_ENC_SQL})"
+    parts = [f"SELECT 'records' AS metric, CAST(count(*) AS DOUBLE) AS value FROM ({base})",
+             f"SELECT 'conversations', CAST(count(DISTINCT conv_id) AS DOUBLE) FROM ({base})",
+             f"SELECT 'truncated', CAST(sum(CASE WHEN prompt_tokens + response_tokens > 512 THEN 1 ELSE 0 END) AS DOUBLE) FROM ({base})",
+             f"SELECT 'truncated_share', {O.ratio('sum(CASE WHEN prompt_tokens + response_tokens > 512 THEN 1 ELSE 0 END)', 'count(*)')} FROM ({base})"]
+    for c in ("prompt_tokens", "response_tokens"):
+        for p in (50, 90):
+            parts.append(f"SELECT '{c}_p{p}', round(quantile_cont({c}, {p / 100}), 6) FROM ({base})")
+    return " UNION ALL ".join(parts)
+
+
+@register("sft_report", _report_sql())
+def q_sft_report(spark, sf_dir):
+    from corpusmill.operators import sft
+    return sft.sft_report(_sft_encoded(spark, sf_dir))
