@@ -79,3 +79,23 @@ def safe_ratio(num, den) -> Column:
 def ids_text(c) -> Column:
     """An id array as one space-joined string (used for oracle comparison)."""
     return F.array_join(F.transform(col_(c), lambda x: x.cast("string")), " ")
+
+
+def ngram_strings(words_col, n: int) -> Column:
+    """All word n-grams of a words array, each joined by one space, in order.
+
+    Built from n shifted slices zipped together, so the lambda touches only
+    its own element: the words array is computed once per row, never once per
+    n-gram (a lambda that slices an outer expression may have that expression
+    inlined and re-evaluated for every element).
+    """
+    w = col_(words_col)
+    k = F.size(w) - n + 1
+    zipped = F.arrays_zip(*[F.slice(w, j + 1, F.greatest(k, F.lit(0))).alias(f"g{j}") for j in range(n)])
+    grams = F.transform(zipped, lambda s: F.concat_ws(" ", *[s[f"g{j}"] for j in range(n)]))
+    return F.when(k > 0, grams).otherwise(F.array().cast("array<string>"))
+
+
+def ngram_hashes(words_col, n: int) -> Column:
+    """xxhash64 of every word n-gram string (see ``ngram_strings``)."""
+    return F.transform(ngram_strings(words_col, n), lambda g: F.xxhash64(g))

@@ -20,11 +20,8 @@ NGRAM = 13
 
 
 def _gram_hashes(words_col: str, n: int):
-    """One xxhash64 per word n-gram of an existing words column (never re-tokenised per gram)."""
-    w = F.col(words_col)
-    k = F.size(w) - n + 1
-    return F.when(k > 0, F.transform(F.sequence(F.lit(1), k),
-                                     lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " "))))
+    """One xxhash64 per word n-gram of an existing words column."""
+    return tx.ngram_hashes(words_col, n)
 
 
 def _lower_words(text_col: str):

@@ -15,6 +15,8 @@ min-label propagation with reliable checkpoints between rounds.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,19 +51,39 @@ def shingle_hashes(df: DataFrame, n: int = 5, id_col: str = "doc_id", text_col:
 
     Documents with fewer than n words get an empty array (they never match).
     """
-    w = F.col("_w_")   # tokenised once per row; lambdas below only slice it
-    k = F.size(w) - n + 1
-    grams = F.when(k > 0, F.transform(F.sequence(F.lit(1), k),
-                                      lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " "))))
-    return (df.select(F.col(id_col), tx.words(F.lower(F.col(text_col))).alias("_w_"))
-              .select(F.col(id_col), F.array_distinct(F.coalesce(grams, F.array().cast("array<bigint>"))).alias("sh")))
+    return df.select(F.col(id_col),
+                     F.array_distinct(tx.ngram_hashes(tx.words(F.lower(F.col(text_col))), n)).alias("sh"))
+
+
+def _splitmix64(z):
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def _perm_seeds(num_perm: int, seed: int) -> np.ndarray:
+    return _splitmix64(np.arange(num_perm, dtype=np.uint64) + np.uint64(seed))
+
+
+def minhash_signature(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """min over shingles of splitmix64(shingle XOR seed_i), for every seed i (as int64)."""
+    x = shingles.astype(np.int64).view(np.uint64)[:, None] ^ seeds[None, :]
+    return _splitmix64(x).min(axis=0).view(np.int64)
 
 
 def minhash(sh: DataFrame, num_perm: int = 128, seed: int = 42) -> DataFrame:
-    """(doc_id, sh, mh: array<bigint>) - num_perm minima of seeded xxhash64 over the shingles."""
-    perms = F.sequence(F.lit(seed), F.lit(seed + num_perm - 1))
-    mh = F.transform(perms, lambda p: F.array_min(F.transform(F.col("sh"), lambda h: F.xxhash64(h, p))))
-    return sh.where(F.size("sh") > 0).withColumn("mh", mh)
+    """(doc_id, sh, mh: array<bigint>) - num_perm MinHash values over the shingle hashes.
+
+    The signature is the one numeric kernel done in Python: a vectorised
+    (shingles x permutations) numpy block per document inside an Arrow-batched
+    pandas UDF, instead of num_perm interpreted lambdas per shingle.
+    """
+    seeds = _perm_seeds(num_perm, seed)
+
+    @F.pandas_udf("array<bigint>")
+    def sig(col: pd.Series) -> pd.Series:
+        return pd.Series([minhash_signature(np.asarray(a, dtype=np.int64), seeds) for a in col])
+    return sh.where(F.size("sh") > 0).withColumn("mh", sig("sh"))
 
 
 def jaccard_expr(a, b) -> "F.Column":

@@ -26,7 +26,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables (``{sf_dir}/{name}.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    Text operators are CPU-bound per row, so a corpus stored as one parquet
+    row group (one scan task) would run on one core.  A large corpus already
+    scans as many splits as it has row groups, and this is then a no-op.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", text_col: str = "text",
@@ -36,7 +49,7 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", text_col:
         reader = spark.read
         if schema is not None:
             reader = reader.schema(schema)
-        df = reader.parquet(path)
+        df = spread(reader.parquet(path))
     elif fmt in ("arrow", "arrow_ipc", "ipc"):
         from corpusmill.sources.arrow_ipc import register
         register(spark)
