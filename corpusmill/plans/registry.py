@@ -620,3 +620,131 @@ def _report_sql() -> str:
 def q_sft_report(spark, sf_dir):
     from corpusmill.operators import sft
     return sft.sft_report(_sft_encoded(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# A: formats and sinks (each writes under the shared checkpoint dir and reads back)
+# ---------------------------------------------------------------------------
+
+_DOC_COLS = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+
+
+@register("read_arrow", _DOC_COLS)
+def q_read_arrow(spark, sf_dir):
+    """Round trip documents through Arrow IPC files with the arrow_ipc data source."""
+    from corpusmill.session import scratch_path
+    from corpusmill.sources.arrow_ipc import register as reg
+    from corpusmill.sources.corpus import read_corpus
+    reg(spark)
+    path = scratch_path(spark, "arrow")
+    docs(spark, sf_dir).write.format("arrow_ipc").mode("overwrite").save(path)
+    return read_corpus(spark, path, fmt="arrow").select("doc_id", "text", "lang", "source", "n_chars")
+
+
+@register("write_splits", f"SELECT doc_id, {SPLIT_SQL} AS split FROM documents")
+def q_write_splits(spark, sf_dir):
+    """C2 split written partitioned by split, read back (partition pruning on read)."""
+    from corpusmill.session import scratch_path
+    from corpusmill.sources.corpus import read_splits, write_splits
+    path = scratch_path(spark, "splits")
+    write_splits(sample.split(docs(spark, sf_dir), 0.01, 43), path)
+    return read_splits(spark, path).select("doc_id", "split")
+
+
+@register("read_instructions", _FILTERED_SQL.replace("SELECT conv_id, turn, instruction, input, output FROM (",
+                                                     "SELECT instruction, input, output FROM (", 1))
+def q_read_instructions(spark, sf_dir):
+    """F1+F2 records written as Alpaca JSON, read back with the Alpaca reader."""
+    from corpusmill.operators import sft
+    from corpusmill.session import scratch_path
+    from corpusmill.sources.corpus import read_alpaca, write_alpaca
+    path = scratch_path(spark, "alpaca")
+    write_alpaca(sft.sft_filter(sft.sft_pairs(table(spark, sf_dir, "conversations"))), path)
+    return read_alpaca(spark, path)
+
+
+@register("write_batches", f"""
+SELECT batch_id, pos, {O.ids_text('ids')} AS input_ids, {O.ids_text('mask')} AS attention_mask FROM ({_COLLATED_SQL})""")
+def q_write_batches(spark, sf_dir):
+    from corpusmill.session import scratch_path
+    from corpusmill.sources.corpus import write_batches
+    path = scratch_path(spark, "batches")
+    write_batches(_collated(spark, sf_dir).select("batch_id", "pos", "input_ids", "attention_mask"), path)
+    b = spark.read.parquet(path)
+    return b.select("batch_id", "pos", tx.ids_text("input_ids").alias("input_ids"),
+                    tx.ids_text("attention_mask").alias("attention_mask"))
+
+
+# ---------------------------------------------------------------------------
+# G: streaming (availableNow over the documents file, then read the sink)
+# ---------------------------------------------------------------------------
+
+def _doc_stream(spark, sf_dir):
+    from corpusmill.streaming.streams import stream_corpus
+    return stream_corpus(spark, sf_dir, glob="documents.parquet")
+
+
+@register("stream_docs", _DOC_COLS)
+def q_stream_docs(spark, sf_dir):
+    from corpusmill.session import scratch_path
+    out, ck = scratch_path(spark, "stream-docs"), scratch_path(spark, "stream-docs-ck")
+    q = _doc_stream(spark, sf_dir).writeStream.format("parquet").option("checkpointLocation", ck) \
+        .trigger(availableNow=True).start(out)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _clean_sql() -> str:
+    t = O.strip_control("text")
+    t = O.normalize(t)
+    t = f"array_to_string(list_filter(string_split({t}, chr(10)), lambda l: NOT regexp_matches(l, {O.q(tx.LICENSE_RE)})), chr(10))"
+    for kind in tx.PII_KINDS:
+        t = f"regexp_replace({t}, {O.q(tx.PII_PATTERNS[kind])}, {O.q(tx.PII_TOKENS[kind])}, 'g')"
+    t = f"regexp_replace({t}, {O.q(tx.SECRET_RE)}, {O.q(tx.SECRET_TOKEN)}, 'g')"
+    return f"""
+WITH c AS (SELECT doc_id, {t} AS text FROM documents),
+f AS (SELECT * FROM c WHERE length(text) BETWEEN 200 AND 100000 AND {O.word_count('text')} >= 50)
+SELECT doc_id, text FROM f WHERE doc_id IN (SELECT doc_id FROM ({O.quality_filter_sql('f')}) WHERE keep)"""
+
+
+@register("stream_clean", _clean_sql())
+def q_stream_clean(spark, sf_dir):
+    from corpusmill.session import scratch_path
+    from corpusmill.streaming.streams import stream_clean
+    out, ck = scratch_path(spark, "stream-clean"), scratch_path(spark, "stream-clean-ck")
+    stream_clean(_doc_stream(spark, sf_dir), out, ck).awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "text")
+
+
+@register("stream_windows", f"""
+SELECT doc_id, window_ix, n_tokens, {O.ids_text('wids')} AS input_ids FROM ({O.windows_sql(ENCODED_SQL)})""")
+def q_stream_windows(spark, sf_dir):
+    from corpusmill.operators.joins import materialize
+    from corpusmill.session import scratch_path
+    from corpusmill.streaming.streams import stream_windows
+    tok = encode.WordTokenizer(materialize(encode.word_vocab(docs(spark, sf_dir))))
+    out, ck = scratch_path(spark, "stream-win"), scratch_path(spark, "stream-win-ck")
+    stream_windows(_doc_stream(spark, sf_dir), tok, out, ck).awaitTermination()
+    w = spark.read.parquet(out)
+    return w.select("doc_id", "window_ix", "n_tokens", tx.ids_text("input_ids").alias("input_ids"))
+
+
+@register("stream_dedup", f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY {O.dedup_key('text')}")
+def q_stream_dedup(spark, sf_dir):
+    from corpusmill.session import scratch_path
+    from corpusmill.streaming.streams import stream_dedup
+    seen, out, ck = (scratch_path(spark, "seen"), scratch_path(spark, "stream-dedup"),
+                     scratch_path(spark, "stream-dedup-ck"))
+    stream_dedup(_doc_stream(spark, sf_dir), seen, out, ck).awaitTermination()
+    return spark.read.parquet(out).select("doc_id")
+
+
+@register("stream_sample_count", f"""
+SELECT lang, CAST(count(*) AS BIGINT) AS documents, CAST(sum({O.word_count('text')}) AS BIGINT) AS tokens,
+       CAST(sum({O.window_count(O.word_count('text'))}) AS BIGINT) AS samples FROM documents GROUP BY lang""")
+def q_stream_sample_count(spark, sf_dir):
+    from corpusmill.session import scratch_path
+    from corpusmill.streaming.streams import stream_sample_count
+    out, ck = scratch_path(spark, "stream-count"), scratch_path(spark, "stream-count-ck")
+    stream_sample_count(_doc_stream(spark, sf_dir), out, ck).awaitTermination()
+    return spark.read.parquet(out)

@@ -89,9 +89,13 @@ def read_splits(spark: SparkSession, path: str, split: str | None = None) -> Dat
     return df if split is None else df.where(F.col("split") == split)   # partition pruning
 
 
-def read_alpaca(spark: SparkSession, path: str) -> DataFrame:
-    """Alpaca-style instruction records (JSON lines or a JSON array per file)."""
-    return spark.read.schema(ALPACA_SCHEMA).option("multiLine", "true").json(path)
+def read_alpaca(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Alpaca-style instruction records.
+
+    JSON lines by default (splittable, one record per line); pass
+    ``multi_line=True`` for files holding one JSON array of records.
+    """
+    return spark.read.schema(ALPACA_SCHEMA).option("multiLine", str(multi_line).lower()).json(path)
 
 
 def write_alpaca(df: DataFrame, path: str, mode: str = "overwrite") -> None:
