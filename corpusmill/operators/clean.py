@@ -42,11 +42,24 @@ def strip_control(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 # --- B3 ---------------------------------------------------------------------
 
+def keep_if(df: DataFrame, col: str, cond) -> DataFrame:
+    """Rows whose ``col`` satisfies ``cond(value)``, evaluating ``col`` once per row.
+
+    A plain ``where`` is pushed below the projection that computes ``col``
+    and then re-evaluates that (regex-heavy) expression once per reference.
+    Exploding a 0/1-element ``filter(array(col), cond)`` binds the value
+    once - a generator the optimizer keeps in place.
+    """
+    others = [c for c in df.columns if c != col]
+    kept = F.explode(F.filter(F.array(F.col(col)), cond)).alias(col)
+    return df.select(*others, kept).select(*df.columns)
+
+
 def length_filter(df: DataFrame, min_chars: int = 200, max_chars: int = 100_000,
                   min_words: int = 50, text_col: str = "text") -> DataFrame:
     """Keep min_chars <= length <= max_chars and words >= min_words."""
-    n = F.length(text_col)
-    return df.where(n.between(min_chars, max_chars) & (tx.word_count(text_col) >= min_words))
+    return keep_if(df, text_col, lambda t: F.length(t).between(min_chars, max_chars) &
+                   (tx.word_count(t) >= min_words))
 
 
 # --- B4 / B5 ----------------------------------------------------------------

@@ -39,7 +39,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want)
+    # Staged through the shared checkpoint dir: the optimizer would otherwise push
+    # later filters (and their text expressions) below the repartition, back into
+    # the single scan task.  Only small inputs ever take this path.
+    return df.repartition(want).checkpoint(eager=True)
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", text_col: str = "text",
