@@ -232,3 +232,21 @@ def rule_calibration(decisions: DataFrame, labels: DataFrame, docs: DataFrame,
     return agg.select("lang", "tp", "fp", "fn", "tn",
                       tx.safe_ratio("tp", F.col("tp") + F.col("fp")).alias("precision"),
                       tx.safe_ratio("tp", F.col("tp") + F.col("fn")).alias("recall"))
+
+
+# --- H3: user rules -------------------------------------------------------------
+
+def apply_rules(df: DataFrame, rules, text_col: str = "text") -> DataFrame:
+    """H3: user cleaning rules -> (keep, reason) columns, reason = first failing rule.
+
+    ``rules`` is an ordered list of (name, rule); a rule is a Column that is
+    true when the row passes, or a function text_column -> Column (a built-in
+    expression, or a ``pandas_udf`` returning booleans for the slow path).
+    """
+    reason = None
+    for name, rule in rules:
+        ok = rule(F.col(text_col)) if callable(rule) else rule
+        fail = F.coalesce(~ok, F.lit(True))
+        reason = F.when(fail, F.lit(name)) if reason is None else reason.when(fail, F.lit(name))
+    reason = F.lit("ok") if reason is None else reason.otherwise(F.lit("ok"))
+    return df.withColumn("reason", reason).withColumn("keep", F.col("reason") == "ok")

@@ -171,3 +171,19 @@ def padding_report(windows_df: DataFrame, max_seq_length: int = MAX_SEQ_LENGTH,
          .cast("bigint").alias("overlap_tokens"),
         F.sum(F.when(n == max_seq_length, 1).otherwise(0)).cast("bigint").alias("full_windows"),
         F.sum(F.when(n < max_seq_length, 1).otherwise(0)).cast("bigint").alias("short_windows")))
+
+
+# --- H2: collate plug-in -------------------------------------------------------
+
+def collate_with(batched: DataFrame, collate_fn=None, **kwargs) -> DataFrame:
+    """H2: a user collate function bound with keyword arguments (``functools.partial`` style).
+
+    ``collate_fn(df, **kwargs) -> DataFrame`` runs as ``DataFrame.transform``;
+    the default is ``collate`` (right padding to L with the pad id).
+    """
+    return batched.transform(collate_fn or collate, **kwargs)
+
+
+def collate_arrow(batched: DataFrame, fn, schema) -> DataFrame:
+    """H2, Arrow form: ``fn(iterator of pyarrow.RecordBatch) -> iterator of RecordBatch`` per partition."""
+    return batched.mapInArrow(fn, schema)

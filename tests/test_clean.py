@@ -61,3 +61,15 @@ def test_funnel_reconciles(spark):
     rows = [r["rows"] for r in f]
     assert rows[0] == d.count()
     assert sum(r["dropped"] for r in f) == rows[0] - rows[-1]
+
+
+def test_user_rules(spark):
+    import pandas as pd
+
+    @F.pandas_udf("boolean")
+    def no_digits(s: pd.Series) -> pd.Series:
+        return ~s.str.contains("[0-9]")
+    df = spark.createDataFrame([(1, "plain words"), (2, "has 1 digit"), (3, "x")], "doc_id bigint, text string")
+    out = {r["doc_id"]: r["reason"] for r in clean.apply_rules(
+        df, [("short", lambda t: F.length(t) > 3), ("digits", no_digits)]).collect()}
+    assert out == {1: "ok", 2: "digits", 3: "short"}

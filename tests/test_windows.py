@@ -86,3 +86,15 @@ def test_epochs_accum_shards(spark):
     assert a[7] == 1 and a[8] == 2
     s = W.worker_shards(b, 4).groupBy("shard").count().collect()
     assert sum(r["count"] for r in s) == 10 and len(s) == 4
+
+
+def test_collate_plugins(spark):
+    import pyarrow as pa
+    df = spark.createDataFrame([(0, [5, 6])], "sample_id bigint, input_ids array<int>")
+    c = W.collate_with(df, max_seq_length=4, pad_id=9).collect()[0]
+    assert list(c["input_ids"]) == [5, 6, 9, 9]
+
+    def lengths(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(x) for x in b.column("input_ids").to_pylist()]})
+    assert W.collate_arrow(df, lengths, "n long").collect()[0]["n"] == 2
