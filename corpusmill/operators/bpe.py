@@ -1,12 +1,13 @@
 """Byte-level BPE on Spark: pre-token counting, batched exact merge training, encode/decode.
 
 Training works on the table of *distinct* pre-tokens (word, n, syms), never
-on documents: the corpus is read once (D1).  Each round is one Spark
-aggregation of adjacent-symbol pair counts; only the top-K pairs (K is a
-parameter, default 512) come back to the driver, where the prefix rule
-picks the merges of the round.  Merges are then applied to every word
-inside the JVM (``aggregate`` over the symbol array with a literal map of
-the <= K merges of the round), so no Python runs in the training loop.
+on documents: the corpus is read once (D1).  Symbols are carried as one
+character per token id, so each round is JVM string work: pair counts come
+from one regex scan per word (re-aggregated, or updated incrementally from
+the words a merge touched), only the top-K pairs (K is a parameter, default
+512) come back to the driver, where the prefix rule picks the merges of the
+round, and merges are applied with ``String.replace``.  No Python runs in
+the training loop.
 
 Prefix rule (exact): order pairs by (count desc, left asc, right asc) and
 take the longest prefix whose pairs share no symbol; a self-pair (x, x)
@@ -155,10 +156,30 @@ def apply_merges(words: DataFrame, batch: list[tuple[int, int, int]], syms_col:
     return words.withColumn(syms_col, apply_merges_expr(syms_col, batch))
 
 
+def _pairs_of(words: DataFrame, sign: int = 1) -> DataFrame:
+    """(p, n) pair-string occurrences weighted by word frequency (times ``sign``), not aggregated."""
+    return (words.where(F.length("syms") >= 2)
+                 .select((F.col("n") * sign).alias("n"),
+                         F.explode(F.regexp_extract_all(F.col("syms"), F.lit(_PAIRS_RE), 1)).alias("p")))
+
+
+INCREMENTAL_MIN_WORDS = 2_000_000
+
+
 def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, top_k: int = TOP_K,
-              text_col: str = "text", checkpoint_every: int = 8, counts: DataFrame | None = None):
+              text_col: str = "text", checkpoint_every: int = 8, counts: DataFrame | None = None,
+              pair_update: str = "auto"):
     """Byte-level BPE merges until ``vocab_size`` ids or no pair with count >= min_count.
 
+    Pair counts are kept as a table and updated incrementally: each round only
+    the words containing a merged pair (found with plain substring tests on
+    the symbol strings) contribute a delta - their old pairs negatively, their
+    merged pairs positively - so the per-round shuffle is the size of the pair
+    table plus the delta, not of every pair occurrence in the vocabulary.
+    ``pair_update``: "incremental", "recount" (re-aggregate all pairs each
+    round: fewer jobs per round, the better choice while the distinct-word
+    table is small and per-job latency dominates) or "auto" (incremental
+    from ``INCREMENTAL_MIN_WORDS`` distinct multi-symbol words up).
     Returns (vocab, merges) DataFrames; both are bounded by ``vocab_size``.
     """
     if vocab_size > MAX_VOCAB:
@@ -169,29 +190,51 @@ def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, t
     # spread over the cluster's cores explicitly (AQE would coalesce a small aggregate to few tasks).
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     words = materialize(word_symbols(counts).where(F.length("syms") >= 2).repartition(parts))
+    if pair_update == "auto":
+        pair_update = "incremental" if words.count() >= INCREMENTAL_MIN_WORDS else "recount"
+    incremental = pair_update == "incremental"
+
+    def aggregate_pairs(w):
+        return _pairs_of(w).groupBy("p").agg(F.sum("n").cast("bigint").alias("n"))
+    pairs = materialize(aggregate_pairs(words)) if incremental else None
     merges: list[tuple[int, int, int]] = []
     next_id = FIRST_MERGE_ID
-    cached = []
+    cached: list[DataFrame] = []
     rnd = 0
     while next_id < vocab_size:
         k = min(top_k, vocab_size - next_id)
-        top = (_pair_strings(words).where(F.col("n") >= min_count)
+        current = pairs if incremental else aggregate_pairs(words)
+        top = (current.where(F.col("n") >= min_count)
                .orderBy(F.desc("n"), F.asc("p")).limit(k).collect())   # (left, right) order == string order
-        for old in cached[:-1]:
-            old.unpersist()
-        cached = cached[-1:]
+        while len(cached) > 4:
+            cached.pop(0).unpersist()
         if not top:
             break
         batch = select_merges([(char_sym(r["p"][0]), char_sym(r["p"][1]), r["n"]) for r in top], next_id)
         merges.extend(batch)
         next_id += len(batch)
         rnd += 1
+        if incremental:
+            hit = None
+            for l, r, _ in batch:
+                c = F.col("syms").contains(sym_char(l) + sym_char(r))
+                hit = c if hit is None else hit | c
+            changed = words.where(hit)
+            delta = _pairs_of(changed, -1).unionByName(_pairs_of(apply_merges(changed, batch), 1))
+            pairs = (pairs.unionByName(delta).groupBy("p").agg(F.sum("n").cast("bigint").alias("n"))
+                          .where(F.col("n") != 0))
         words = apply_merges(words, batch).where(F.length("syms") >= 2)
+        # Reliable checkpoints every few rounds keep plans flat; a lost executor
+        # replays at most ``checkpoint_every`` rounds from the shared checkpoint dir.
         if rnd % checkpoint_every == 0:
-            words = materialize(words)          # reliable checkpoint: flat lineage, survives executor loss
+            words = materialize(words)
+            pairs = materialize(pairs) if incremental else None
         else:
             words = words.persist()
             cached.append(words)
+            if incremental:
+                pairs = pairs.persist()
+                cached.append(pairs)
     for old in cached:
         old.unpersist()
     return vocab_table(spark, merges), merges_table(spark, merges)

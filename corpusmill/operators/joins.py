@@ -17,8 +17,18 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint dir."""
-    return df.checkpoint(eager=True)
+    """Cut lineage with a reliable checkpoint in the shared checkpoint dir.
+
+    The frame is persisted for the duration of the checkpoint: the reliable
+    checkpoint writes its files in a second job, which would otherwise
+    recompute the whole plan.
+    """
+    from pyspark import StorageLevel
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def sized(df: DataFrame) -> tuple[DataFrame, int]:

@@ -47,11 +47,12 @@ CORPORA = [
 ]
 
 
+@pytest.mark.parametrize("mode", ["recount", "incremental"])
 @pytest.mark.parametrize("texts", CORPORA)
-def test_batched_equals_sequential(spark, texts):
+def test_batched_equals_sequential(spark, texts, mode):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
     vocab_size = bpe.FIRST_MERGE_ID + 40
-    _, merges = bpe.train_bpe(df, vocab_size=vocab_size, top_k=16)
+    _, merges = bpe.train_bpe(df, vocab_size=vocab_size, top_k=16, pair_update=mode)
     got = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
     assert got == sequential_bpe(texts, vocab_size)
 
