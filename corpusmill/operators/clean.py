@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, sized
+from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize, sized
 
 
 # --- B1 / B2 ---------------------------------------------------------------
@@ -207,6 +207,43 @@ def clean_funnel(stages, id_col: str = "doc_id", text_col: str = "text") -> Data
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
+    return _funnel_rollup(u)
+
+
+STANDARD_STAGES = ("raw", "length", "quality", "exact_dedup")
+
+
+def standard_funnel(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                    length_kw: dict | None = None, quality_kw: dict | None = None) -> DataFrame:
+    """B15 for the standard chain raw -> length (B3) -> quality (B5) -> exact dedup (B7), in one pass.
+
+    Every text-derived value is computed once into a narrow table
+    (id, lang, source, bytes, passes, dedup key) - the text is read once and
+    never shuffled; the dedup step shuffles (key, id) only.  Each document
+    then contributes one row per stage it reached to a single rollup.
+    """
+    lk = dict(min_chars=200, max_chars=100_000, min_words=50, **(length_kw or {}))
+    t = F.col(text_col)
+    stats = _stat_columns(text_col)
+    reason = _reason(**(quality_kw or {}))
+    narrow = (df.select(F.col(id_col), "lang", "source", F.octet_length(t).cast("bigint").alias("b"),
+                        (F.length(t).between(lk["min_chars"], lk["max_chars"]) &
+                         (tx.word_count(t) >= lk["min_words"])).alias("p_len"),
+                        *[c.alias(k) for k, c in stats.items()], tx.dedup_key(t).alias("k"))
+                .withColumn("p_q", F.col("p_len") & (reason == "ok"))
+                .select(id_col, "lang", "source", "b", "p_len", "p_q", "k"))
+    narrow = materialize(narrow)
+    first = narrow.where("p_q").groupBy("k").agg(F.min(id_col).alias("_first_"))
+    flagged = narrow.join(first, "k", "left")
+    reached = (F.col("p_len").cast("int") + F.col("p_q").cast("int") +
+               (F.col("p_q") & (F.col(id_col) == F.col("_first_"))).cast("int"))
+    names = F.array(*[F.lit(n) for n in STANDARD_STAGES])
+    rows = flagged.select("lang", "source", "b", F.explode(F.sequence(F.lit(0), reached)).alias("stage_ix")) \
+                  .withColumn("stage", F.element_at(names, F.col("stage_ix") + 1))
+    return _funnel_rollup(rows)
+
+
+def _funnel_rollup(u: DataFrame) -> DataFrame:
     agg = (u.rollup("stage_ix", "stage", "lang", "source")
              .agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.sum("b").cast("bigint").alias("bytes"),
                   F.grouping_id().alias("gid"))

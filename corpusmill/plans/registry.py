@@ -253,7 +253,7 @@ def funnel_stages(d: DataFrame):
 
 @register("clean_funnel", _FUNNEL_SQL)
 def q_clean_funnel(spark, sf_dir):
-    return clean.clean_funnel(funnel_stages(docs(spark, sf_dir)))
+    return clean.standard_funnel(docs(spark, sf_dir))
 
 
 @register("rule_calibration", f"""
@@ -712,7 +712,8 @@ def q_stream_clean(spark, sf_dir):
     from corpusmill.session import scratch_path
     from corpusmill.streaming.streams import stream_clean
     out, ck = scratch_path(spark, "stream-clean"), scratch_path(spark, "stream-clean-ck")
-    stream_clean(_doc_stream(spark, sf_dir), out, ck).awaitTermination()
+    stream_clean(_doc_stream(spark, sf_dir), out, ck,
+                 spread_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return spark.read.parquet(out).select("doc_id", "text")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from corpusmill.functions import text as tx
 from corpusmill.operators import clean
 from corpusmill.operators import windows as W
-from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
+from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize
 from corpusmill.sources.corpus import DOCUMENTS_SCHEMA
 
 
@@ -59,9 +59,16 @@ def _start(df: DataFrame, out: str, checkpoint: str, fmt: str = "parquet", avail
     return w.start(out)
 
 
-def stream_clean(stream: DataFrame, out: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """G1: cleaned documents appended to a parquet sink (exactly-once via the file sink log)."""
-    return _start(clean_rows(stream), out, checkpoint, available_now=available_now)
+def stream_clean(stream: DataFrame, out: str, checkpoint: str, available_now: bool = True,
+                 spread_partitions: int | None = None) -> StreamingQuery:
+    """G1: cleaned documents appended to a parquet sink (exactly-once via the file sink log).
+
+    ``spread_partitions`` round-robins each micro-batch over that many tasks
+    first - for arriving files that are few and large (one task per file
+    would leave cores idle on CPU-bound cleaning).
+    """
+    src = stream.repartition(spread_partitions) if spread_partitions else stream
+    return _start(clean_rows(src), out, checkpoint, available_now=available_now)
 
 
 def _overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -98,7 +105,7 @@ def dedup_batch(batch: DataFrame, batch_id: int, seen: str, out: str,
         n_prior = prior.count()
         right = F.broadcast(prior) if n_prior <= max_broadcast_rows else prior
         first = first.join(right, "k", "left_anti")
-    first = first.checkpoint(eager=True)
+    first = materialize(first)
     winners = keyed.join(first.select("doc_id", "k"), ["doc_id", "k"], "left_semi").drop("k")
     _overwrite_batch(winners, out, batch_id)
     _overwrite_batch(first.select("k", "doc_id"), seen, batch_id)
