@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, drop_keys, keep_keys, materialize, sized
+from corpusmill.operators.clean import keep_if
+from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, drop_keys, materialize
 
 
 # --- B7 ---------------------------------------------------------------------
@@ -104,7 +105,8 @@ def near_dup_pairs(df: DataFrame, n: int = 5, bands: int = 32, rows: int = 4, th
     clusters (``components``); it is not the list of every similar pair.
     """
     sh = shingle_hashes(df, n, id_col, text_col).withColumnRenamed(id_col, "id")
-    sh = sh.where(F.size("sh") > 0).withColumn("sig", F.xxhash64(F.array_sort("sh")))
+    # bind the shingle array once (a plain where would recompute it in the filter)
+    sh = keep_if(sh, "sh", lambda a: F.size(a) > 0).withColumn("sig", F.xxhash64(F.array_sort("sh")))
     sh = materialize(sh)
     rep = sh.groupBy("sig").agg(F.min("id").alias("rep"))
     with_rep = sh.join(rep, "sig")

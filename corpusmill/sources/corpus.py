@@ -39,10 +39,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    # Staged through the shared checkpoint dir: the optimizer would otherwise push
-    # later filters (and their text expressions) below the repartition, back into
-    # the single scan task.  Only small inputs ever take this path.
-    return df.repartition(want).checkpoint(eager=True)
+    # Staged once through the shared checkpoint dir: every consumer of the corpus
+    # then reads the spread copy, and the optimizer cannot move filters (and their
+    # text expressions) back below the exchange into the single scan task.
+    # Only inputs smaller than one split per core take this path.
+    from corpusmill.operators.joins import materialize
+    return materialize(df.repartition(want))
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", text_col: str = "text",
@@ -79,11 +81,11 @@ def with_text(df: DataFrame, text_col: str = "text", keep_other: bool = False) -
 def write_splits(df: DataFrame, path: str, split_col: str = "split", mode: str = "overwrite") -> None:
     """Write one table partitioned by split (``path/split=train``, ``path/split=validation``).
 
-    Rows are clustered by split before the write so each task writes one
-    directory; ``doc_id`` order inside files keeps reads range-friendly.
+    No shuffle: every task writes its rows of each split (sorted by split, so
+    one open file per task at a time) - a repartition on the split column
+    would funnel the whole corpus through two tasks.
     """
-    (df.repartition(split_col)
-       .sortWithinPartitions(split_col, "doc_id")
+    (df.sortWithinPartitions(split_col, "doc_id")
        .write.mode(mode).partitionBy(split_col).parquet(path))
 
 
@@ -105,9 +107,14 @@ def write_alpaca(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.select("instruction", "input", "output").write.mode(mode).json(path)
 
 
-def write_batches(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Collated batches, range-partitioned by batch_id so a trainer reads batches in order."""
-    n = max(1, df.sparkSession.sparkContext.defaultParallelism)
+def write_batches(df: DataFrame, path: str, mode: str = "overwrite", num_files: int | None = None) -> None:
+    """Collated batches, range-partitioned by batch_id so a trainer reads batches in order.
+
+    ``num_files`` defaults to ``spark.sql.shuffle.partitions`` (size it to the
+    output: token arrays are ~4 bytes per token).
+    """
+    spark = df.sparkSession
+    n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     (df.repartitionByRange(n, "batch_id", "pos")
        .sortWithinPartitions("batch_id", "pos")
        .write.mode(mode).parquet(path))
