@@ -24,9 +24,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_STAGED: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given parquet tables (``{sf_dir}/{name}.parquet``)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """One of the given parquet tables (``{sf_dir}/{name}.parquet``).
+
+    A table that needs spreading (see ``spread``) is staged once per
+    application and file version; later queries read the staged copy.
+    """
+    import os
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path, os.path.getmtime(path) if os.path.exists(path) else None)
+    if key not in _STAGED:
+        _STAGED[key] = spread(spark.read.parquet(path))
+    return _STAGED[key]
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
