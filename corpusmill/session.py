@@ -7,8 +7,10 @@ session has none configured (local runs and tests).
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -37,10 +39,41 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusmill`` importable in Python workers (UDFs, mapInPandas, data sources).
+
+    Zips the package once per application and hands it to ``addPyFile``,
+    which distributes it to every executor.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import corpusmill
+    root = os.path.dirname(os.path.abspath(corpusmill.__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="corpusmill-pkg-"), "corpusmill.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
+def prepare(spark: SparkSession) -> str:
+    """Checkpoint dir + package shipping; idempotent.  Returns the checkpoint dir."""
+    ship_package(spark)
+    return ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir, creating a local one only if unset."""
     sc = spark.sparkContext
