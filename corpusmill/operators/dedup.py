@@ -138,8 +138,9 @@ def components(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
 
     Min-label propagation: each round every vertex takes the minimum label
     over itself and its neighbours.  Edges are (src, dst) in both
-    directions; the label table is checkpointed (reliable) every round so
-    plans stay flat and a lost executor replays one round, not the history.
+    directions; the label table is checkpointed (reliable) every
+    ``checkpoint_every`` rounds so plans stay flat and a lost executor replays
+    at most that many rounds, not the history.
     Stops when no label changes.
     """
     e = pairs.select(F.col(a).alias("src"), F.col(b).alias("dst"))
@@ -153,7 +154,7 @@ def components(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
         new = (labels.join(prop, "id", "left")
                      .select("id", F.least("label", F.coalesce("nl", "label")).alias("label"),
                              (F.coalesce(F.col("nl"), F.col("label")) < F.col("label")).alias("chg")))
-        new = materialize(new)
+        new = materialize(new) if (r + 1) % checkpoint_every == 0 else new.persist()
         changed = new.where("chg").limit(1).count()
         labels = new.select("id", "label")
         if changed == 0:
