@@ -97,6 +97,7 @@ class _Writer(DataSourceArrowWriter):
     def __init__(self, path: str, overwrite: bool):
         self.path = _local(path).rstrip("/")
         self.overwrite = overwrite
+        self.job = uuid.uuid4().hex          # marks every file of this write job
 
     def write(self, iterator):
         import pyarrow as pa
@@ -104,7 +105,7 @@ class _Writer(DataSourceArrowWriter):
         from pyspark import TaskContext
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
-        target = f"{self.path}/part-{pid:05d}-{uuid.uuid4().hex}.arrow"
+        target = f"{self.path}/part-{pid:05d}-{self.job}-{uuid.uuid4().hex[:12]}.arrow"
         fs, p = _fs_and_path(target)
         fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
         rows, writer, sink = 0, None, None
@@ -122,13 +123,13 @@ class _Writer(DataSourceArrowWriter):
         return _Written(target, rows)
 
     def commit(self, messages):
-        """Overwrite mode: drop files in the directory that this job did not write."""
-        if not self.overwrite:
-            return
+        """Keep exactly the committed task files: drop leftovers of failed or
+        speculative attempts of this job, and (overwrite) every older file."""
         keep = {m.path for m in messages if m is not None and m.path}
         fs, _ = _fs_and_path(self.path)
         for f in _list_files(self.path):
-            if f not in keep:
+            ours = self.job in f.rsplit("/", 1)[-1]
+            if f not in keep and (ours or self.overwrite):
                 fs.delete_file(_fs_and_path(f)[1])
 
     def abort(self, messages):

@@ -46,3 +46,25 @@ def test_near_dedup_keeps_component_min(spark):
     pairs = dedup.near_dup_pairs(df)
     kept = sorted(r["doc_id"] for r in dedup.near_dedup(df, pairs).collect())
     assert kept == [1, 3]
+
+
+def test_components_long_chain(spark):
+    n = 200
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(n)], "a bigint, b bigint")
+    comp = dedup.components(pairs, max_rounds=30)
+    assert {r["component"] for r in comp.collect()} == {0}
+
+
+def test_hot_duplicate_group(spark):
+    """A third of the corpus is one text (plus case/space variants): results stay exact and edges linear."""
+    hot = "the same boilerplate page text repeated across many crawled sources again and again today"
+    rows = [(i, hot if i % 3 else hot.upper() + "  ") for i in range(0, 90)]
+    rows += [(1000 + i, f"unique document number {i} with its own words {i * 7} and more {i * 13} tokens here")
+             for i in range(180)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    kept = sorted(r["doc_id"] for r in dedup.exact_dedup(df).collect())
+    assert kept == [0] + [1000 + i for i in range(180)]
+    edges = dedup.near_dup_pairs(df)
+    assert edges.count() <= df.count()           # star edges: linear, never all pairs of the group
+    comp = {r["id"]: r["component"] for r in dedup.components(edges).collect()}
+    assert all(comp.get(i, i) == 0 for i in range(90))
