@@ -5,13 +5,14 @@ def convs(spark):
     rows = [(1, 0, "system", "Be brief."), (1, 1, "user", "Add 2 and 2"), (1, 2, "assistant", "4"),
             (2, 0, "user", "Say hi"), (2, 1, "assistant", "hi"), (2, 2, "user", "no reply"),
             (3, 0, "user", "Say hi"), (3, 1, "assistant", "hi"),
-            (4, 0, "user", "   "), (4, 1, "assistant", "empty instruction")]
+            (4, 0, "user", "   "), (4, 1, "assistant", "empty instruction"),
+            (5, 0, "user", "empty output"), (5, 1, "assistant", "")]
     return spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
 
 
 def test_pairs_filter_prompt(spark):
     p = {(r["conv_id"], r["turn"]): r for r in sft.sft_pairs(convs(spark)).collect()}
-    assert set(p) == {(1, 1), (2, 0), (3, 0), (4, 0)}
+    assert set(p) == {(1, 1), (2, 0), (3, 0), (4, 0), (5, 0)}
     assert p[(1, 1)]["input"] == "Be brief." and p[(2, 0)]["input"] == ""
     f = sft.sft_filter(sft.sft_pairs(convs(spark)))
     assert sorted((r["conv_id"], r["turn"]) for r in f.collect()) == [(1, 1), (2, 0)]
