@@ -281,6 +281,19 @@ def q_near_dup_pairs(spark, sf_dir):
     return dedup.near_dup_pairs(docs(spark, sf_dir))
 
 
+@register("near_dup_members", f"""
+SELECT DISTINCT doc_id FROM (SELECT a AS doc_id FROM ({O.near_pairs_sql()}) UNION ALL
+                             SELECT b FROM ({O.near_pairs_sql()}))""")
+def q_near_dup_members(spark, sf_dir):
+    """Documents with at least one near duplicate: the endpoints of B8's verified edges.
+
+    Every edge is a verified pair and every document with a partner lies in a
+    non-trivial component, so this set equals the brute-force one.
+    """
+    e = dedup.near_dup_pairs(docs(spark, sf_dir))
+    return e.select(F.col("a").alias("doc_id")).unionByName(e.select(F.col("b").alias("doc_id"))).distinct()
+
+
 @register("near_dedup", f"SELECT doc_id FROM ({O.near_only_components_sql()}) WHERE doc_id = component")
 def q_near_dedup(spark, sf_dir):
     d = docs(spark, sf_dir)
