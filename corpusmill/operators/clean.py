@@ -195,13 +195,14 @@ def secret_redact(df: DataFrame, pattern: str = tx.SECRET_RE, text_col: str = "t
 def clean_funnel(stages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows and bytes entering/leaving each stage, by lang, source and in total.
 
-    ``stages`` is an ordered list of (name, DataFrame); each frame holds the
+    ``stages`` is an ordered dict or list of (name, DataFrame); each frame holds the
     documents surviving that stage (a subset of the previous one).  One
     union + one rollup aggregation; ``dropped`` comes from a window over
     the (tiny) aggregated result.
     """
     parts = []
-    for ix, (name, sdf) in enumerate(stages):
+    items = stages.items() if isinstance(stages, dict) else stages
+    for ix, (name, sdf) in enumerate(items):
         parts.append(sdf.select(F.lit(ix).alias("stage_ix"), F.lit(name).alias("stage"),
                                 "lang", "source", F.octet_length(text_col).cast("bigint").alias("b")))
     u = parts[0]

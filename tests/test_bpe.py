@@ -99,3 +99,17 @@ def test_apply_merges_self_pair(spark):
     a = bpe.BYTE_OFFSET + ord("a")
     out = bpe.apply_merges(w, [(a, a, 500)]).select(bpe.symbol_ids("syms").alias("ids")).collect()[0]["ids"]
     assert list(out) == [500, 500, a]
+
+
+def test_save_and_load_tokenizer(spark, tmp_dir):
+    import glob
+    import os
+    df = spark.createDataFrame([(0, "low lower lowest newer wider")], "doc_id bigint, text string")
+    vocab, merges = bpe.train_bpe(df, vocab_size=bpe.FIRST_MERGE_ID + 10, min_count=1)
+    path = os.path.join(tmp_dir, "tok")
+    bpe.save_tokenizer(vocab, merges, path)
+    ml = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
+    assert bpe.load_merges(spark, path) == ml
+    part = [p for p in glob.glob(os.path.join(path, "tokenizer_json", "part-*")) if os.path.getsize(p) > 0]
+    doc = json.loads(open(part[0]).read())
+    assert len(doc["model"]["merges"]) == len(ml) and doc["model"]["vocab"]["<pad>"] == 0
