@@ -125,33 +125,44 @@ def lang_filter(df: DataFrame, langs, lang_col: str = "lang") -> DataFrame:
 
 # --- B10 --------------------------------------------------------------------
 
+# Largest hash set written into an expression (optimised to a hash-set lookup).
+MAX_INLINE_KEYS = 20_000
+
+
 def line_dedup(df: DataFrame, min_words: int = 3, min_docs: int = 10, text_col: str = "text",
-               id_col: str = "doc_id", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               id_col: str = "doc_id", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+               max_inline_keys: int = MAX_INLINE_KEYS) -> DataFrame:
     """Drop lines of >= min_words words that occur in >= min_docs distinct documents.
 
     The corpus-wide count shuffles (line md5, doc_id) pairs only.  It first
     de-duplicates (md5, doc_id) - hashed on both columns, so a boilerplate
     line present in a third of all documents is spread over every task -
-    and then counts per md5 with map-side partial aggregation.  The set of
-    frequent line hashes is broadcast into the text-rewriting projection
-    only after its size is measured; otherwise a shuffle join on the
-    per-line table finds the lines to drop.
+    and then counts per md5 with map-side partial aggregation.
+
+    Rewriting the text needs the set of frequent line hashes.  When it is
+    small (the usual boilerplate case, at most ``max_inline_keys``) the set
+    is written into the projection as an IN-list, which Spark evaluates as a
+    hash-set lookup: documents are rewritten in place, with no join and no
+    shuffle of text.  A larger set is matched per line with a join (broadcast
+    only under a measured size) and the drop positions are joined back by
+    doc_id.
     """
     lines = (df.select(F.col(id_col), F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
                .where(tx.word_count("line") >= min_words)
-               .select(id_col, "pos", F.unhex(F.md5("line")).alias("h")))
+               .select(id_col, "pos", F.md5("line").alias("h")))
     frequent = (lines.select("h", id_col).distinct()
                 .groupBy("h").count().where(F.col("count") >= min_docs).select("h"))
     frequent, n_frequent = sized(frequent)
     if n_frequent == 0:
         return df
-    if n_frequent <= max_broadcast_rows:
-        bad = F.broadcast(frequent)
-    else:
-        bad = frequent
+    if n_frequent <= max_inline_keys:
+        hashes = [r["h"] for r in frequent.collect()]          # bounded by max_inline_keys
+        kept = F.filter(F.split(F.col(text_col), "\n"),
+                        lambda l: ~((tx.word_count(l) >= min_words) & F.md5(l).isin(hashes)))
+        return df.withColumn(text_col, F.array_join(kept, "\n"))
+    bad = F.broadcast(frequent) if n_frequent <= max_broadcast_rows else frequent
     drops = (lines.join(bad, "h", "left_semi")
                   .groupBy(id_col).agg(F.collect_set("pos").alias("drop_pos_")))
-    n_drop_docs = None
     drops, n_drop_docs = sized(drops)
     right = F.broadcast(drops) if n_drop_docs <= max_broadcast_rows else drops
     out = df.join(right, id_col, "left")

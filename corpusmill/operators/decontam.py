@@ -1,10 +1,10 @@
 """Benchmark decontamination (B14): documents sharing a word 13-gram with a benchmark item.
 
-Each document contributes one 64-bit hash per 13-gram position (computed
-inside the row; the text is not copied per gram).  The benchmark's gram
-table is bounded by the benchmark, not the corpus, and is broadcast after
-its size is checked, so the probe is a map-side hash semi join with no
-shuffle of the corpus.  The rare hash hits are verified exactly by
+Each document computes one 64-bit hash per 13-gram position inside its row
+(the text is not copied per gram).  The benchmark's gram set is bounded by
+the benchmark, not the corpus: small sets are probed in-row as a hash-set
+lookup, larger ones through a size-checked broadcast semi join - no shuffle
+of the corpus either way.  The rare hash hits are verified exactly by
 re-reading the gram string at the hit position.
 """
 
@@ -40,20 +40,43 @@ def benchmark_grams(benchmark: DataFrame, n: int = NGRAM, id_col: str = "item_id
              .select("h", _gram_at("w", F.col("p") + 1, n).alias("gram"), "item_id").distinct())
 
 
+# Largest benchmark gram-hash set written into the probe expression (a hash-set lookup).
+MAX_INLINE_GRAMS = 100_000
+
+
 def decontaminate(df: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col: str = "doc_id",
-                  text_col: str = "text", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, contaminated, n_items) for every document."""
+                  text_col: str = "text", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                  max_inline_grams: int = MAX_INLINE_GRAMS) -> DataFrame:
+    """(doc_id, contaminated, n_items) for every document.
+
+    Probe: when the benchmark's distinct gram hashes fit ``max_inline_grams``
+    they are written into the projection (an IN-list Spark evaluates as a
+    hash-set lookup) and each document keeps only its hit positions - no row
+    per n-gram is ever generated.  A larger benchmark falls back to one row
+    per gram position and a (size-checked) broadcast semi join.  Either way
+    only hits are verified, by re-reading the gram string at the hit position.
+    """
+    from corpusmill.operators.clean import keep_if
     bg, n_bg = sized(benchmark_grams(benchmark, n))
     bh = bg.select("h").distinct()
-    bh_side = F.broadcast(bh) if n_bg <= max_broadcast_rows else bh
-    hits = (df.select(F.col(id_col), _lower_words(text_col).alias("w"))
-              .select(id_col, F.posexplode(_gram_hashes("w", n)).alias("p", "h"))
-              .join(bh_side, "h", "left_semi"))
-    hits, n_hits = sized(hits)
-    # Verify each hit against the text: (doc_id, p) -> gram string, then exact match to an item.
-    hit_side = F.broadcast(hits) if n_hits <= max_broadcast_rows else hits
-    verified = (df.select(id_col, _lower_words(text_col).alias("w")).join(hit_side, id_col)
-                  .select(id_col, "h", _gram_at("w", F.col("p") + 1, n).alias("gram")))
+    words = df.select(F.col(id_col), _lower_words(text_col).alias("w"))
+    n_bh = bh.count()
+    if n_bh <= max_inline_grams:
+        hset = [r["h"] for r in bh.collect()]                 # bounded by max_inline_grams
+        hits_arr = F.filter(F.transform(_gram_hashes("w", n), lambda h, i: F.struct(i.alias("p"), h.alias("h"))),
+                            lambda s: s["h"].isin(hset))
+        with_hits = keep_if(words.withColumn("hits", hits_arr), "hits", lambda a: F.size(a) > 0)
+        verified = (with_hits.select(id_col, "w", F.explode("hits").alias("x"))
+                             .select(id_col, F.col("x.h").alias("h"),
+                                     _gram_at("w", F.col("x.p") + 1, n).alias("gram")))
+    else:
+        bh_side = F.broadcast(bh) if n_bg <= max_broadcast_rows else bh
+        hits = (words.select(id_col, F.posexplode(_gram_hashes("w", n)).alias("p", "h"))
+                     .join(bh_side, "h", "left_semi"))
+        hits, n_hits = sized(hits)
+        hit_side = F.broadcast(hits) if n_hits <= max_broadcast_rows else hits
+        verified = (words.join(hit_side, id_col)
+                         .select(id_col, "h", _gram_at("w", F.col("p") + 1, n).alias("gram")))
     bg_side = F.broadcast(bg) if n_bg <= max_broadcast_rows else bg
     items = (verified.join(bg_side, ["h", "gram"])
                      .select(id_col, "item_id").distinct()

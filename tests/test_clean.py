@@ -45,6 +45,9 @@ def test_line_dedup(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     out = {r["doc_id"]: r["text"] for r in clean.line_dedup(df, min_words=3, min_docs=10).collect()}
     assert out[0] == "unique line 0 here\nshort"
+    joined = {r["doc_id"]: r["text"] for r in clean.line_dedup(df, min_words=3, min_docs=10,
+                                                                max_inline_keys=0).collect()}
+    assert joined == out
 
 
 def test_quality_reason_order(spark):
@@ -73,3 +76,13 @@ def test_user_rules(spark):
     out = {r["doc_id"]: r["reason"] for r in clean.apply_rules(
         df, [("short", lambda t: F.length(t) > 3), ("digits", no_digits)]).collect()}
     assert out == {1: "ok", 2: "digits", 3: "short"}
+
+
+def test_decontaminate_both_probe_paths(spark):
+    from corpusmill.operators.decontam import decontaminate
+    from corpusmill.sources.corpus import table
+    d = table(spark, "/root/testdata/sf0.001", "documents")
+    b = table(spark, "/root/testdata/sf0.001", "benchmark")
+    inline = sorted(map(tuple, decontaminate(d, b).collect()))
+    joined = sorted(map(tuple, decontaminate(d, b, max_inline_grams=0).collect()))
+    assert inline == joined and any(r[1] for r in inline)
