@@ -47,7 +47,7 @@ def _explode_windows(df: DataFrame, ids_col: str, max_seq_length: int, overlap_s
     keep = [c for c in df.columns if c not in (ids_col, "n_tokens")]
     out = (df.select(*keep, ids_col, F.explode(ixs).alias("window_ix"))
              .withColumn(ids_col, F.slice(ids_col, F.col("window_ix") * s + 1, max_seq_length))
-             .withColumn("n_tokens", F.size(ids_col)))
+             .withColumn("n_tokens", F.size(ids_col).cast("bigint")))
     return out
 
 
