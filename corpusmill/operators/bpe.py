@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize, sized
+from corpusmill.operators.joins import WIDE_MAX_BROADCAST_ROWS, materialize, sized
 
 BYTE_OFFSET = len(tx.SPECIAL_TOKENS)          # byte b has id BYTE_OFFSET + b
 FIRST_MERGE_ID = BYTE_OFFSET + 256
@@ -306,7 +306,7 @@ def encode_words(words: DataFrame, merges) -> DataFrame:
 
 
 def bpe_encode(df: DataFrame, merges, text_col: str = "text", id_col: str = "doc_id",
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_rows: int = WIDE_MAX_BROADCAST_ROWS) -> DataFrame:
     """(doc_id, input_ids, n_tokens) - pre-tokenise, encode each distinct pre-token once, rejoin."""
     if isinstance(merges, DataFrame):
         merges = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize, sized
+from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, WIDE_MAX_BROADCAST_ROWS, materialize, sized
 
 
 # --- B1 / B2 ---------------------------------------------------------------
@@ -164,7 +164,7 @@ def line_dedup(df: DataFrame, min_words: int = 3, min_docs: int = 10, text_col:
     drops = (lines.join(bad, "h", "left_semi")
                   .groupBy(id_col).agg(F.collect_set("pos").alias("drop_pos_")))
     drops, n_drop_docs = sized(drops)
-    right = F.broadcast(drops) if n_drop_docs <= max_broadcast_rows else drops
+    right = F.broadcast(drops) if n_drop_docs <= min(max_broadcast_rows, WIDE_MAX_BROADCAST_ROWS) else drops
     out = df.join(right, id_col, "left")
     kept = F.filter(F.split(F.col(text_col), "\n"),
                     lambda l, i: F.coalesce(~F.array_contains(F.col("drop_pos_"), i), F.lit(True)))

@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a key-only table we are willing to ship to every executor.
+# Rows of a key-only table (ids / hashes) we are willing to ship to every executor.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Rows of a table carrying strings or arrays (e.g. encoded pre-tokens).
+WIDE_MAX_BROADCAST_ROWS = 200_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
