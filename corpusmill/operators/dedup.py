@@ -22,26 +22,38 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
 from corpusmill.operators.clean import keep_if
-from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, drop_keys, materialize
+from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_join, drop_keys, materialize
 
 
 # --- B7 ---------------------------------------------------------------------
 
-def exact_dup_map(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, keep_id): every document mapped to the smallest id sharing its dedup key."""
+def _dup_groups(keyed: DataFrame, id_col: str) -> DataFrame:
+    """(k, keep_id) for keys held by two or more documents (partial aggregation on k)."""
+    return (keyed.groupBy("k").agg(F.min(id_col).alias("keep_id"), F.count(F.lit(1)).alias("_n_"))
+                 .where(F.col("_n_") > 1).select("k", "keep_id"))
+
+
+def exact_dup_map(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """(doc_id, keep_id) for every document that has an exact copy (keep_id = smallest id of its key)."""
     keyed = df.select(F.col(id_col), tx.dedup_key(text_col).alias("k"))
-    first = keyed.groupBy("k").agg(F.min(id_col).alias("keep_id"))
-    return keyed.join(first, "k").select(id_col, "keep_id")
+    return checked_join(keyed, _dup_groups(keyed, id_col), "k", "inner", max_broadcast_rows) \
+        .select(id_col, "keep_id")
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Keep the smallest doc_id per md5(lower(collapse_ws(trim(text))))."""
+    """Keep the smallest doc_id per md5(lower(collapse_ws(trim(text)))).
+
+    Only (key, id) is shuffled, once, for the per-key aggregation (partial
+    aggregation absorbs a hot key).  The keys that actually have copies are
+    usually few: that table is measured and broadcast, so finding the ids to
+    drop needs no second shuffle, and the ids to drop are in turn measured
+    before the final anti join.
+    """
     keyed = df.select(F.col(id_col), tx.dedup_key(text_col).alias("k"))
-    # Duplicates = ids that are not their group's minimum.  Only (k, id) shuffles;
-    # the hot-group case is a plain hash aggregation with partial pre-aggregation.
-    first = keyed.groupBy("k").agg(F.min(id_col).alias("keep_id"))
-    dups = (keyed.join(first, "k").where(F.col(id_col) != F.col("keep_id")).select(id_col))
+    dups = (checked_join(keyed, _dup_groups(keyed, id_col), "k", "inner", max_broadcast_rows)
+            .where(F.col(id_col) != F.col("keep_id")).select(id_col))
     return drop_keys(df, dups, id_col, max_broadcast_rows)
 
 
