@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, WIDE_MAX_BROADCAST_ROWS, materialize, sized
+from corpusmill.operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, WIDE_MAX_BROADCAST_ROWS, checked_join,
+                                        materialize, sized)
 
 
 # --- B1 / B2 ---------------------------------------------------------------
@@ -245,10 +246,13 @@ def standard_funnel(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
                 .withColumn("p_q", F.col("p_len") & (reason == "ok"))
                 .select(id_col, "lang", "source", "b", "p_len", "p_q", "k"))
     narrow = materialize(narrow)
-    first = narrow.where("p_q").groupBy("k").agg(F.min(id_col).alias("_first_"))
-    flagged = narrow.join(first, "k", "left")
-    reached = (F.col("p_len").cast("int") + F.col("p_q").cast("int") +
-               (F.col("p_q") & (F.col(id_col) == F.col("_first_"))).cast("int"))
+    # Only keys with copies matter for the dedup stage; that (measured) table joins back.
+    groups = (narrow.where("p_q").groupBy("k")
+                    .agg(F.min(id_col).alias("_first_"), F.count(F.lit(1)).alias("_n_"))
+                    .where(F.col("_n_") > 1).select("k", "_first_"))
+    flagged = checked_join(narrow, groups, "k", "left")
+    survives = F.col("p_q") & F.coalesce(F.col(id_col) == F.col("_first_"), F.lit(True))
+    reached = F.col("p_len").cast("int") + F.col("p_q").cast("int") + survives.cast("int")
     names = F.array(*[F.lit(n) for n in STANDARD_STAGES])
     rows = flagged.select("lang", "source", "b", F.explode(F.sequence(F.lit(0), reached)).alias("stage_ix")) \
                   .withColumn("stage", F.element_at(names, F.col("stage_ix") + 1))

@@ -57,6 +57,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     import corpusmill
     root = os.path.dirname(os.path.abspath(corpusmill.__file__))
+    # A code artifact on the driver, not data: addPyFile serves it to every executor.
     zpath = os.path.join(tempfile.mkdtemp(prefix="corpusmill-pkg-"), "corpusmill.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
         for dirpath, _, files in os.walk(root):
