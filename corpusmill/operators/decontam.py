@@ -2,9 +2,8 @@
 
 Each document computes one 64-bit hash per 13-gram position inside its row
 (the text is not copied per gram).  The benchmark's gram set is bounded by
-the benchmark, not the corpus: small sets are probed in-row as a hash-set
-lookup, larger ones through a size-checked broadcast semi join - no shuffle
-of the corpus either way.  The rare hash hits are verified exactly by
+the benchmark, not the corpus, and is probed through a size-checked broadcast
+semi join - no shuffle of the corpus.  The rare hash hits are verified exactly by
 re-reading the gram string at the hit position.
 """
 
@@ -40,8 +39,9 @@ def benchmark_grams(benchmark: DataFrame, n: int = NGRAM, id_col: str = "item_id
              .select("h", _gram_at("w", F.col("p") + 1, n).alias("gram"), "item_id").distinct())
 
 
-# Largest benchmark gram-hash set written into the probe expression (a hash-set lookup).
-MAX_INLINE_GRAMS = 100_000
+# In-row probing (hash-set IN-list inside a lambda) is off by default: measured at sf0.1 it is
+# slower (10.4 s vs 6.5 s) than one row per gram through a code-generated broadcast semi join.
+MAX_INLINE_GRAMS = 0
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col: str = "doc_id",
@@ -49,12 +49,12 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col: s
                   max_inline_grams: int = MAX_INLINE_GRAMS) -> DataFrame:
     """(doc_id, contaminated, n_items) for every document.
 
-    Probe: when the benchmark's distinct gram hashes fit ``max_inline_grams``
-    they are written into the projection (an IN-list Spark evaluates as a
-    hash-set lookup) and each document keeps only its hit positions - no row
-    per n-gram is ever generated.  A larger benchmark falls back to one row
-    per gram position and a (size-checked) broadcast semi join.  Either way
-    only hits are verified, by re-reading the gram string at the hit position.
+    Probe (default): one row per gram position against the benchmark's gram
+    hashes through a broadcast semi join (size-checked; a shuffle join beyond
+    the bound) - the corpus is not shuffled.  Optionally, when the hash set
+    fits ``max_inline_grams``, it is written into the projection as an IN-list
+    and each document keeps only its hit positions.  Either way only hits are
+    verified, by re-reading the gram string at the hit position.
     """
     from corpusmill.operators.clean import keep_if
     bg, n_bg = sized(benchmark_grams(benchmark, n))
