@@ -19,6 +19,31 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op4_hyperdimensional_language_id")
+def op4(spark, sf_dir):
+    from corpusmill.llm.langid import identify_languages
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+@register("op5_segment_toxicity")
+def op5(spark, sf_dir):
+    from corpusmill.llm.toxicity import toxicity
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("bigint").alias("n_passages"))
+
+
+@register("op6_wand_decontamination")
+def op6(spark, sf_dir):
+    from corpusmill.llm.decontam import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op7_information_theoretic_pii")
+def op7(spark, sf_dir):
+    from corpusmill.llm.pii import private_spans, span_rows
+    return span_rows(private_spans(table(spark, sf_dir, "documents")))
+
+
 @register("op8_simhash_near_dedup")
 def op8(spark, sf_dir):
     from corpusmill.llm.simhash import near_duplicates
