@@ -19,6 +19,25 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+OP3_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS x FROM p),
+v AS (SELECT page_id, n, x, max(page_id) OVER (PARTITION BY x, n) AS keeper FROM h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), i -> substr('{_B32}', CAST(1 + (
+    (CAST('0x' || substr(x, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM v"""
+
+
+@register("op3_warc_segment_reassembly", OP3_SQL)
+def op3(spark, sf_dir):
+    from corpusmill.llm.warc import archive_round_trip
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 @register("op4_hyperdimensional_language_id")
 def op4(spark, sf_dir):
     from corpusmill.llm.langid import identify_languages
