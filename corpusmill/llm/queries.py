@@ -19,13 +19,36 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+OP2_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+n AS (SELECT doc_id, x, length(x) // 2 AS n FROM d),
+w AS (SELECT doc_id, p, substr(x, CAST(2 * p + 1 AS BIGINT), 100) AS s FROM (SELECT doc_id, x, unnest(range(0, n - 49)) AS p FROM n WHERE n >= 50)),
+f AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) AS first FROM w),
+r AS (SELECT doc_id, p FROM f WHERE first < doc_id),
+o AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS fresh FROM r),
+i AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM o),
+spans AS (SELECT doc_id, k, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY doc_id, k),
+e AS (SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM (SELECT doc_id, a, b FROM spans UNION ALL SELECT doc_id, 0, 0 FROM n)),
+kept AS (SELECT e.doc_id, string_agg(substr(x, CAST(2 * a + 1 AS BIGINT), CAST(2 * (coalesce(b, n) - a) AS BIGINT)), '' ORDER BY a) AS x FROM e JOIN n ON e.doc_id = n.doc_id GROUP BY e.doc_id),
+g AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS c FROM spans GROUP BY doc_id)
+SELECT n.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(c, 0) AS BIGINT) AS n_spans,
+  lower(sha256(unhex(kept.x))) AS kept_sha256
+FROM n LEFT JOIN g ON n.doc_id = g.doc_id JOIN kept ON n.doc_id = kept.doc_id"""
+
+
+@register("op2_bwt_merge_dedup", OP2_SQL)
+def op2(spark, sf_dir):
+    from corpusmill.llm.suffix import removals
+    return removals(table(spark, sf_dir, "documents"))
+
+
 _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 OP3_SQL = f"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 h AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS x FROM p),
 v AS (SELECT page_id, n, x, max(page_id) OVER (PARTITION BY x, n) AS keeper FROM h)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('{_B32}', CAST(1 + (
+  array_to_string(list_transform(range(0, 32), lambda i: substr('{_B32}', CAST(1 + (
     (CAST('0x' || substr(x, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) AS INTEGER), 1)), '') AS payload_digest,
   CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> keeper THEN keeper END AS refers_to
