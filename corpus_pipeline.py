@@ -23,13 +23,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, question and answer, go."""
+    from corpusmill.llm.common import table
+    from corpusmill.llm.decontam import decontaminate
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it are taken out of the texts; every document stays."""
+    from corpusmill.llm.pii import sanitise
+    return sanitise(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix of sources takes it."""
     from corpusmill.llm.mixing import mixed_documents
     return mixed_documents(docs)
 
 
-STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_dedup), ("mixing", mixing)]
+STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_dedup), ("benchmark_decontamination", decontamination),
+          ("pii", pii), ("mixing", mixing)]
 
 # Fingerprints are XXH64 hashes and rates the solution of an iteration: no SQL.
 ORACLE_SQL = None

@@ -19,6 +19,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_masked_pseudo_likelihood")
+def op1(spark, sf_dir):
+    from corpusmill.llm.lm import pseudo_likelihood
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 OP2_SQL = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 n AS (SELECT doc_id, x, length(x) // 2 AS n FROM d),
@@ -28,8 +34,8 @@ r AS (SELECT doc_id, p FROM f WHERE first < doc_id),
 o AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS fresh FROM r),
 i AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM o),
 spans AS (SELECT doc_id, k, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY doc_id, k),
-e AS (SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM (SELECT doc_id, a, b FROM spans UNION ALL SELECT doc_id, 0, 0 FROM n)),
-kept AS (SELECT e.doc_id, string_agg(substr(x, CAST(2 * a + 1 AS BIGINT), CAST(2 * (coalesce(b, n) - a) AS BIGINT)), '' ORDER BY a) AS x FROM e JOIN n ON e.doc_id = n.doc_id GROUP BY e.doc_id),
+e AS (SELECT doc_id, b AS a0, lead(a) OVER (PARTITION BY doc_id ORDER BY a, b) AS b FROM (SELECT doc_id, a, b FROM spans UNION ALL SELECT doc_id, 0, 0 FROM n)),
+kept AS (SELECT e.doc_id, string_agg(substr(x, CAST(2 * a0 + 1 AS BIGINT), CAST(2 * (coalesce(b, n) - a0) AS BIGINT)), '' ORDER BY a0) AS x FROM e JOIN n ON e.doc_id = n.doc_id GROUP BY e.doc_id),
 g AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS c FROM spans GROUP BY doc_id)
 SELECT n.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(c, 0) AS BIGINT) AS n_spans,
   lower(sha256(unhex(kept.x))) AS kept_sha256
