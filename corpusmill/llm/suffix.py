@@ -28,7 +28,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,15 +75,29 @@ def segments(texts: list, length: int = LENGTH):
             yield d, g[start], start + at, np.diff(start, append=count)
 
 
-def gather(table: pa.Table, id_col: int, text_col: int) -> tuple[np.ndarray, list]:
-    """Ids (a missing one counts as larger than all) and UTF-8 texts of a group."""
-    ids = pc.fill_null(table.column(id_col).combine_chunks().cast(pa.int64()), int(NO_ID)).to_numpy(zero_copy_only=False)
-    return ids, table.column(text_col).combine_chunks().cast(pa.binary()).to_pylist()
+def gather(table: pa.Table) -> tuple[np.ndarray, list, list]:
+    """Ids (a missing one counts as larger than all), UTF-8 texts and rows of a group, in order of id and text.
+
+    The order lets two passes over a group number its segments alike.
+    """
+    ids = pc.fill_null(table.column("doc_id").combine_chunks().cast(pa.int64()), int(NO_ID)).to_numpy(zero_copy_only=False)
+    texts = [x or b"" for x in table.column("text").combine_chunks().cast(pa.binary()).to_pylist()]
+    order = sorted(range(len(texts)), key=lambda i: (ids[i], texts[i]))
+    return ids[order], [texts[i] for i in order], order
+
+
+def packed(a) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(a if isinstance(a, bytes) else a.tobytes())
+
+
+def unpacked(x: bytes, kind=None):
+    data = zstandard.ZstdDecompressor().decompress(x)
+    return data if kind is None else np.frombuffer(data, kind)
 
 
 def own_prints(table: pa.Table, length: int, buckets: int) -> pa.Table:
     """A group's distinct fingerprints by bucket; ``many`` marks those in two or more of its documents."""
-    _, texts = gather(table, 0, 1)
+    _, texts, _ = gather(table)
     found = [(g, np.full(len(g), d, np.int32)) for d, g, _, _ in segments(texts, length)]
     g = np.concatenate([x[0] for x in found]) if found else np.empty(0, np.uint64)
     d = np.concatenate([x[1] for x in found]) if found else np.empty(0, np.int32)
@@ -124,7 +138,7 @@ def member(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
 def shared_segments(docs: pa.Table, shared: pa.Table, length: int, buckets: int) -> pa.Table:
     """A group's distinct segments with a shared fingerprint, and the least id that has each, by bucket."""
     keep = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in shared.column("prints").to_pylist()] or [np.empty(0, np.uint64)]))
-    ids, texts = gather(docs, 0, 1)
+    ids, texts, _ = gather(docs)
     least: list[dict] = [{} for _ in range(buckets)]
     for d, g, start, n in segments(texts, length) if len(keep) else ():
         t, own = texts[d], int(ids[d])
@@ -136,9 +150,9 @@ def shared_segments(docs: pa.Table, shared: pa.Table, length: int, buckets: int)
                 least[b][s] = own
     rows = [b for b in range(buckets) if least[b]]
     return pa.table({"bucket": pa.array(rows, pa.int64()), "g": pa.array([docs.column("g")[0].as_py()] * len(rows), pa.int64()),
-                     "bytes": pa.array([b"".join(least[b]) for b in rows], pa.large_binary()).cast(pa.binary()),
-                     "sizes": pa.array([np.fromiter(map(len, least[b]), np.int32, len(least[b])).tobytes() for b in rows], pa.binary()),
-                     "least": pa.array([np.fromiter(least[b].values(), np.int64, len(least[b])).tobytes() for b in rows], pa.binary())})
+                     "bytes": pa.array([packed(b"".join(least[b])) for b in rows], pa.binary()),
+                     "sizes": pa.array([packed(np.fromiter(map(len, least[b]), np.int32, len(least[b]))) for b in rows], pa.binary()),
+                     "least": pa.array([packed(np.fromiter(least[b].values(), np.int64, len(least[b]))) for b in rows], pa.binary())})
 
 
 def transform(buf: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -255,10 +269,6 @@ def first_holders(strings: list, owner: np.ndarray, shard: np.ndarray, length: i
     return order[whose[cut]][back], (cut - begin[whose[cut]])[back], (end - begin[whose[cut]])[back], best[cut][back]
 
 
-def digest(s: bytes) -> bytes:
-    return xxhash.xxh3_128_digest(s)
-
-
 def verdicts(table: pa.Table, length: int) -> pa.Table:
     """For every group, the segments in this bucket and which earlier document holds which of their windows."""
     number: dict = {}
@@ -266,9 +276,9 @@ def verdicts(table: pa.Table, length: int) -> pa.Table:
     shard: list = []
     sent = []
     for row, (data, sizes, least) in enumerate(zip(*(table.column(c).to_pylist() for c in ("bytes", "sizes", "least")))):
-        ends = np.cumsum(np.frombuffer(sizes, np.int32), dtype=np.int64).tolist()
+        data, ends = unpacked(data), np.cumsum(unpacked(sizes, np.int32), dtype=np.int64).tolist()
         own, at = [], 0
-        for end, who in zip(ends, np.frombuffer(least, np.int64).tolist()):
+        for end, who in zip(ends, unpacked(least, np.int64).tolist()):
             s = data[at:end]
             at = end
             k = number.setdefault(s, len(owner))
@@ -282,7 +292,9 @@ def verdicts(table: pa.Table, length: int) -> pa.Table:
     strings, owner, shard = list(number), np.array(owner, np.int64), np.array(shard, np.int64)
     del number
     # Families of one fingerprint, as many at a time as make up a batch.
-    family = np.array([int(window_prints(np.frombuffer(s, np.uint8, length), length)[0]) for s in strings], np.uint64)
+    many = SLICE // length
+    family = np.concatenate([window_prints(np.frombuffer(b"".join([s[:length] for s in strings[i:i + many]]), np.uint8), length)[::length]
+                             for i in range(0, len(strings), many)])
     order = np.argsort(family, kind="stable")
     size = np.cumsum(np.fromiter(map(len, strings), np.int64, len(strings))[order])
     new = np.flatnonzero(np.append(True, family[order][1:] != family[order][:-1]))
@@ -302,15 +314,14 @@ def verdicts(table: pa.Table, length: int) -> pa.Table:
     back = np.argsort(s, kind="stable")
     s, a, b, w = s[back], a[back].astype(np.int32), b[back].astype(np.int32), w[back]
     lo, hi = np.searchsorted(s, np.arange(len(strings))), np.searchsorted(s, np.arange(len(strings)), "right")
-    keys = [digest(x) for x in strings]
-    out = {n: [] for n in ("prints", "keys", "counts", "from", "to", "owner")}
+    out = {n: [] for n in ("prints", "counts", "from", "to", "owner")}
     for own in sent:
         count = hi[own] - lo[own]
         at = np.repeat(lo[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        for n, v in (("prints", family[own]), ("counts", count.astype(np.int32)), ("from", a[at]), ("to", b[at]), ("owner", w[at])):
-            out[n].append(v.tobytes())
-        out["keys"].append(b"".join([keys[k] for k in own.tolist()]))
-    return pa.table({"g": table.column("g").cast(pa.int64()), **{n: pa.array(v, pa.binary()) for n, v in out.items()}})
+        for n, v in (("prints", np.unique(family[own])), ("counts", count.astype(np.int32)), ("from", a[at]), ("to", b[at]), ("owner", w[at])):
+            out[n].append(packed(v))
+    return pa.table({"g": table.column("g").cast(pa.int64()), "bucket": table.column("bucket").cast(pa.int64()),
+                     **{n: pa.array(v, pa.binary()) for n, v in out.items()}})
 
 
 def covered(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -321,27 +332,29 @@ def covered(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return begin[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
 
 
-def removed_runs(docs: pa.Table, said: pa.Table, length: int) -> tuple[np.ndarray, list, list]:
-    """(ids, texts, runs to remove per document) of a group."""
-    ids, texts = gather(docs, 0, 1)
-    col = lambda n, t: np.concatenate([np.frombuffer(x, t) for x in said.column(n).to_pylist()] or [np.empty(0, t)])
-    count = col("counts", np.int32).astype(np.int64)
-    a, b, who = col("from", np.int32).tolist(), col("to", np.int32).tolist(), col("owner", np.int64).tolist()
-    at = (np.cumsum(count) - count).tolist()
-    data = b"".join(said.column("keys").to_pylist())
-    of = {data[16 * i:16 * i + 16]: (at[i], at[i] + n) for i, n in enumerate(count.tolist())}
-    prints = np.unique(col("prints", np.uint64))
+def removed_runs(docs: pa.Table, said: pa.Table, length: int, buckets: int) -> tuple[list, list, list]:
+    """(texts, runs to remove or None per text, rows) of a group, in order of id and text."""
+    ids, texts, rows = gather(docs)
+    prints, answers = [np.empty(0, np.uint64)], {}
+    for b, p, *cols in zip(*(said.column(c).to_pylist() for c in ("bucket", "prints", "counts", "from", "to", "owner"))):
+        prints.append(unpacked(p, np.uint64))
+        count, lo, hi, who = (unpacked(x, t) for x, t in zip(cols, (np.int32, np.int32, np.int32, np.int64)))
+        end = np.cumsum(count, dtype=np.int64)
+        answers[b] = ((end - count).tolist(), end.tolist(), lo.tolist(), hi.tolist(), who.tolist())
+    prints = np.sort(np.concatenate(prints))
+    number: list[dict] = [{} for _ in range(buckets)]
     runs: list = [[] for _ in texts]
     for d, g, start, n in segments(texts, length) if len(prints) else ():
         t, own = texts[d], int(ids[d])
-        if own == NO_ID:
-            continue
         pick = np.flatnonzero(member(g, prints))
-        for i, j in zip(start[pick].tolist(), (start[pick] + n[pick] + length - 1).tolist()):
-            for k in range(*of.get(digest(t[i:j]), (0, 0))):
-                if who[k] < own:
-                    runs[d].append((i + a[k], i + b[k] + length - 1))
-    return ids, texts, [covered(*np.array(r, np.int64).T) if r else None for r in runs]
+        for b, i, j in zip((g[pick] % np.uint64(buckets)).tolist(), start[pick].tolist(), (start[pick] + n[pick] + length - 1).tolist()):
+            seen = number[b]
+            k = seen.setdefault(t[i:j], len(seen))
+            first, end, lo, hi, who = answers[b]
+            for x in range(first[k], end[k]):
+                if who[x] < own != NO_ID:
+                    runs[d].append((i + lo[x], i + hi[x] + length - 1))
+    return texts, [covered(*np.array(r, np.int64).T) if r else None for r in runs], rows
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = False) -> DataFrame:
@@ -371,20 +384,19 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     found = (dealt.groupBy("g").cogroup(shared.groupBy("g"))
              .applyInArrow(lambda d, s: shared_segments(d, s, length, n), "bucket bigint, g bigint, bytes binary, sizes binary, least binary"))
     said = found.groupBy("bucket").applyInArrow(
-        lambda t: verdicts(t, length), "g bigint, prints binary, keys binary, counts binary, from binary, to binary, owner binary")
+        lambda t: verdicts(t, length), "g bigint, bucket bigint, prints binary, counts binary, from binary, to binary, owner binary")
 
     def result(d, s):
-        ids, texts, runs = removed_runs(d, s, length)
+        texts, runs, rows = removed_runs(d, s, length, n)
         out = []
         for t, r in zip(texts, runs):
-            t = t or b""
             if r is None:
                 kept, gone, spans = t, 0, 0
             else:
                 at = [0, *np.stack(r, 1).ravel().tolist(), len(t)]
                 kept, gone, spans = b"".join([t[i:j] for i, j in zip(at[::2], at[1::2])]), int((r[1] - r[0]).sum()), len(r[0])
             out.append((len(t), gone, spans, hashlib.sha256(kept).hexdigest(), kept))
-        cols = {"doc_id": d.column("doc_id"), **{c: pa.array([x[k] for x in out], kind) for k, (c, kind) in enumerate(
+        cols = {"doc_id": d.column("doc_id").take(pa.array(rows, pa.int64())), **{c: pa.array([x[k] for x in out], kind) for k, (c, kind) in enumerate(
             [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])}}
         if with_text:
             cols["kept"] = pa.array([x[4] for x in out], pa.binary())
