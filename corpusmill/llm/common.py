@@ -53,6 +53,17 @@ def pieces(batches, column: str, limit: int = 8 << 20):
             i = j
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened where ``df`` has a column of that name."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+        taken.add(n.lower())
+    return out
+
+
 def null_safe(df: DataFrame, column: str, prefix: str) -> DataFrame:
     """Add a never-null key pair for an equi-join that treats null as a value."""
     return df.withColumns({f"{prefix}_k": F.coalesce(F.col(column).cast("string"), F.lit("")),

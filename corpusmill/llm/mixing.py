@@ -19,7 +19,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import WORD_RE, null_safe, saved
+from corpusmill.llm.common import WORD_RE, fresh, null_safe, saved
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -81,8 +81,9 @@ def tilts(units: DataFrame, targets: DataFrame, max_copies: int = MAX_COPIES, to
                      .select("s_k", "s_n", (F.col("size") * F.col("k")).cast("double").alias("words"), "target", "mean",
                              (F.col("size") / (F.col("size") + F.col("mean"))).alias("z")), "mix-hist")
     # At lam = hi every document is at its cap; at lam = lo every document of a word or more gives (almost) nothing.
-    state = saved(hist.groupBy("s_k", "s_n").agg(F.first("target").alias("target"), F.min("z").alias("zmin")).select(
-        "s_k", "s_n", "target", F.lit(0.0).alias("lam"), (F.lit(-40.0) / F.col("zmin")).alias("lo"),
+    state = saved(hist.groupBy("s_k", "s_n").agg(F.first("target").alias("target"), F.min("z").alias("zmin"),
+                                                       F.log(F.first("target") / F.sum("words")).alias("want"), (F.sum(F.col("words") * F.col("z")) / F.sum("words")).alias("zbar")).select(
+        "s_k", "s_n", "target", (F.col("want") / F.col("zbar")).alias("lam"), (F.lit(-40.0) / F.col("zmin")).alias("lo"),
         (F.lit(top + 1e-9) / F.col("zmin")).alias("hi"), F.lit(False).alias("done")), "mix-state")
     while True:
         e = F.exp(F.least(F.col("lam") * F.col("z"), F.lit(top)))
@@ -161,8 +162,8 @@ def mix_rows(mixed: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
     """The mix itself: every row of ``docs`` as many times as it is taken, its columns unchanged."""
-    m = saved(mix(docs, id_col, text_col, source_col, **kw).where("copies > 0")
-              .select(F.col("doc_id").alias("cm_id"), F.col("source").alias("cm_source"), F.col("size").alias("cm_size"), "copies"), "mix-copies")
-    m = m.withColumnRenamed("copies", "cm_copies")
-    on = docs[id_col].eqNullSafe(m["cm_id"]) & docs[source_col].cast("string").eqNullSafe(m["cm_source"]) & (word_count(text_col) == m["cm_size"])
-    return docs.join(m, on).withColumn("cm_copy", F.explode(F.sequence(F.lit(1), F.col("cm_copies")))).select(*docs.columns)
+    i, src, n, c, copy = fresh(docs, "cm_id", "cm_source", "cm_size", "cm_copies", "cm_copy")
+    m = saved(mix(docs, id_col, text_col, source_col, **kw).where("copies > 0").select(
+        F.col("doc_id").alias(i), F.col("source").alias(src), F.col("size").alias(n), F.col("copies").alias(c)), "mix-copies")
+    on = docs[id_col].eqNullSafe(m[i]) & docs[source_col].cast("string").eqNullSafe(m[src]) & (word_count(text_col) == m[n])
+    return docs.join(m, on).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(c)))).select(*docs.columns)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import arrow_type, pieces, saved
+from corpusmill.llm.common import arrow_type, fresh, pieces, saved
 from corpusmill.session import prepare
 
 KINDS = ("email", "ip", "card", "phone")
@@ -232,13 +232,13 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     Only the rows that hold disclosing terms are looked up, by id and hash of the text.
     """
+    i, h, x = fresh(docs, "cm_id", "cm_hash", "cm_terms")
     terms = (private_spans(docs, id_col, text_col, **kw).where(F.size("terms") > 0)
-             .select(F.col("doc_id").alias("cm_id"), F.col("text_hash").alias("cm_hash"), F.col("terms").alias("cm_terms"))
-             .dropDuplicates(["cm_id", "cm_hash"]))
+             .select(F.col("doc_id").alias(i), F.col("text_hash").alias(h), F.col("terms").alias(x)).dropDuplicates([i, h]))
     terms = saved(terms, "pii-terms")
     small = terms.limit(200_001).count() <= 200_000
     keyed = docs.join(F.broadcast(terms) if small else terms,
-                      docs[id_col].eqNullSafe(terms["cm_id"]) & (F.xxhash64(docs[text_col]) == terms["cm_hash"]), "left").drop("cm_id", "cm_hash")
+                      docs[id_col].eqNullSafe(terms[i]) & (F.xxhash64(docs[text_col]) == terms[h]), "left").drop(i, h)
     at, schema, names = docs.columns.index(text_col), docs.schema, docs.columns
     text_type = arrow_type(schema[text_col].dataType)
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import null_safe, pieces, saved
+from corpusmill.llm.common import fresh, null_safe, pieces, saved
 from corpusmill.session import prepare
 
 MIN_WORDS = 50
@@ -148,8 +148,9 @@ def quality_filter(docs: DataFrame, text_col: str = "text", host_col: str = "sou
     if bad.limit(1).count() == 0:
         return docs.mapInArrow(lambda x: clean(x, False), schema)
     names = list(docs.columns)
-    keyed = null_safe(docs, host_col, "cm_host")
-    on = (keyed["cm_host_k"] == bad["h_k"]) & (keyed["cm_host_n"] == bad["h_n"])
+    k, n = fresh(docs, "cm_host", "cm_null")
+    keyed = docs.withColumns({k: F.coalesce(F.col(host_col).cast("string"), F.lit("")), n: F.col(host_col).isNull()})
+    on = (keyed[k] == bad["h_k"]) & (keyed[n] == bad["h_n"])
     fine = keyed.join(bad, on, "left_anti").select(*names)
     poor = keyed.join(bad, on, "left_semi").select(*names)
     return fine.mapInArrow(lambda x: clean(x, False), schema).unionAll(poor.mapInArrow(lambda x: clean(x, True), schema))
