@@ -15,6 +15,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +28,9 @@ MAX_TOKENS = 100_000         # word and prefix features it keeps, those with the
 PREFIXES = (4, 5, 6)
 PRIOR = 20.0                 # pseudo-counts of the Dirichlet priors
 MIN_EVIDENCE = 12.0          # log-likelihood ratio, over documents, that a feature needs
-DRIFT = 0.7                  # what every other token costs
+DRIFT = 1.0                  # taken off every token's log-odds, so that clean text scores below zero
 THRESHOLD = 0.7
+MAX_SURPRISE = 12.0
 COUNTER = 200_000
 TOKEN = re.compile(r"\w+")
 
@@ -92,8 +94,37 @@ def labelled(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, i
     return saved(one.orderBy(F.xxhash64("cm_label_id"), "cm_label_id").limit(max_labels), "toxic-labels")
 
 
+def sketches(text: str | None) -> tuple[int, int]:
+    """Two min-hashes of a text's runs of five tokens; copies agree in them, near copies mostly in one."""
+    w = tokens(text)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w))
+    k = min(5, len(h))
+    if not k:
+        return 0, 0
+    runs = np.zeros(len(h) - k + 1, np.uint64)
+    for i in range(k):
+        runs = (runs ^ h[i:len(h) - k + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+        runs ^= runs >> np.uint64(32)
+    return tuple(int(((runs ^ np.uint64(seed)) * np.uint64(0xC2B2AE3D27D4EB4F)).min().view(np.int64)) for seed in (1, 0x5851F42D4C957F2D))
+
+
+def without_copies(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``known`` less the documents that copy another of the same label: copies would count as evidence many times."""
+    src = docs.select(F.col(id_col).alias("cm_label_id"), F.col(text_col).alias("text")).where("text is not null").join(F.broadcast(known), "cm_label_id")
+
+    def run(batches):
+        for b in pieces(batches, "text"):
+            m = [sketches(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *[pa.array([x[k] for x in m], pa.int64()) for k in (0, 1)]], names=["cm_label_id", "cm_toxic", "m0", "m1"])
+    kind = known.schema["cm_label_id"].dataType.simpleString()
+    left = src.select("cm_label_id", "text", "cm_toxic").mapInArrow(run, f"cm_label_id {kind}, cm_toxic int, m0 bigint, m1 bigint")
+    for m in ("m0", "m1"):
+        left = left.groupBy("cm_toxic", m).agg(F.min(F.struct("cm_label_id", "m0", "m1")).alias("x")).select("cm_toxic", "x.*")
+    return saved(left.select("cm_label_id", "cm_toxic").distinct(), "toxic-known")
+
+
 def fit_weights(train: DataFrame, max_tokens: int = MAX_TOKENS, prior: float = PRIOR) -> dict[str, float]:
-    """Positive log-odds per feature of ``train(text, toxic)``, at most ``max_tokens`` of them."""
+    """Log-odds less ``DRIFT`` per feature of ``train(text, toxic)`` where positive, at most ``max_tokens`` of them."""
     def run(batches):
         count: dict = {}
         for b in pieces(batches, "text"):
@@ -141,62 +172,100 @@ def fit_weights(train: DataFrame, max_tokens: int = MAX_TOKENS, prior: float = P
         up = next((rate[p] for p in features(f.rstrip("*")) if p != f and p in rate), base)
         rate[f] = (r["n1"] + prior * up) / (r["n0"] + r["n1"] + prior)
         odds = math.log(rate[f] / (1 - rate[f])) - math.log(base / (1 - base))
-        if odds > 0:
-            out[f] = odds
+        if odds > DRIFT:
+            out[f] = odds - DRIFT
     return out
 
 
-def fit_calibration(train: DataFrame, weights: dict[str, float], drift: float = DRIFT) -> tuple[float, float]:
-    """(lam, K) of the extreme-value law P(best segment >= s) = 1 - exp(-K n exp(-lam s)) from clean documents.
+class Law:
+    """Extreme-value law of clean text: segments of score >= s come at ``rate * exp(-lam * (s - least))`` per token.
 
-    lam solves sum p(score) exp(lam * score) = 1 over the clean documents' tokens; K is its
-    maximum-likelihood value given their lengths and best segments.
+    ``slope`` and ``shift`` turn the surprise of a document (minus the
+    decimal logarithm of its p-value) into the probability that it is toxic.
+    """
+
+    def __init__(self, lam: float, rate: float, least: float, slope: float = 1.0, shift: float = 0.0):
+        self.lam, self.rate, self.least, self.slope, self.shift = lam, rate, least, slope, shift
+
+    def expected(self, s, n: int):
+        """Segments of at least this score that clean text of ``n`` tokens has."""
+        return n * self.rate * np.exp(-self.lam * np.maximum(np.asarray(s, np.float64) - self.least, 0.0))
+
+    def surprise(self, scores: list, n: int) -> float:
+        """-log10 of the least chance, over r, that clean text has r segments as high as the r highest here."""
+        if not scores:
+            return 0.0
+        mu = self.expected(sorted(scores, reverse=True), n)
+        r = np.arange(1, len(mu) + 1)
+        mu = np.clip(mu, 1e-300, 0.999 * r)      # where r are expected they are no surprise
+        log_p = r * np.log(mu) - mu - np.cumsum(np.log(r)) - np.log1p(-mu / (r + 1))
+        return float(min(MAX_SURPRISE, max(0.0, -log_p.min() / math.log(10))))
+
+    def probability(self, surprise: float) -> float:
+        return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.shift + self.slope * surprise))))
+
+
+def logistic(x: np.ndarray, y0: np.ndarray, y1: np.ndarray, ridge: float = 0.1) -> tuple[float, float]:
+    """Slope (not below 0) and shift of a logistic curve through counts of both labels at values ``x``."""
+    f = np.stack([x, np.ones(len(x))], 1)
+
+    def gain(w):
+        z = f @ w
+        return float(-(y1 * np.logaddexp(0, -z) + y0 * np.logaddexp(0, z)).sum() - ridge / 2 * w @ w)
+    w = np.array([0.0, math.log((y1.sum() + 0.5) / (y0.sum() + 0.5))])
+    for _ in range(100):                         # Newton's method, steps halved until they gain
+        q = 1 / (1 + np.exp(-np.clip(f @ w, -50, 50)))
+        n = y0 + y1
+        step = np.linalg.solve((f * (n * q * (1 - q))[:, None]).T @ f + ridge * np.eye(2), f.T @ (y1 - n * q) - ridge * w)
+        while gain(w + step) < gain(w) and np.abs(step).max() > 1e-9:
+            step /= 2
+        w = w + step
+        if np.abs(step).max() < 1e-8:
+            break
+    return max(float(w[0]), 0.0), float(w[1])
+
+
+def fit_calibration(train: DataFrame, weights: dict[str, float], drift: float = DRIFT) -> Law:
+    """The law of the clean documents' segments, and the curve from surprise to probability over all of ``train``.
+
+    Above the least score the segments' scores fall off exponentially: rate and decay are
+    their maximum-likelihood values, with one segment more than was
+    seen, so that the law is proper where clean documents have none.
     """
     scores = Scores(weights, drift)
+    least = min(weights.values())
 
-    def run(batches):
+    def found(batches):
         for b in pieces(batches, "text"):
             rows = []
-            for t in b.column(0).to_pylist():
-                s = np.fromiter(map(scores.__getitem__, w := tokens(t)), np.float64, len(w))
-                if len(s):
-                    best = max((x[2] for x in segments(s)), default=0.0)
-                    values, n = np.unique(np.round(s[s > 0], 1), return_counts=True)
-                    rows.append({"n": len(s), "best": best, "v": values.tolist(), "c": n.tolist()})
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=kind)
-    kind = pa.schema([("n", pa.int64()), ("best", pa.float64()), ("v", pa.list_(pa.float64())), ("c", pa.list_(pa.int64()))])
-    clean = saved(train.where("cm_toxic = 0").select("text").mapInArrow(run, "n bigint, best double, v array<double>, c array<bigint>"), "toxic-clean")
-    n = clean.agg(F.sum("n")).first()[0] or 0
-    hist = {r["v"]: r["c"] for r in clean.select(F.inline(F.arrays_zip("v", "c"))).groupBy("v").agg(F.sum("c").alias("c")).collect()}
-    positive = sum(hist.values())
-    # One unseen positive token of the mean weight keeps the law proper where clean documents have none.
-    hist[1.0] = hist.get(1.0, 0) + 1
-    n, positive = max(n, 1) + 1, positive + 1
-
-    def excess(lam):
-        return (n - positive) / n * math.exp(-lam * drift) + sum(c / n * math.exp(min(lam * v, 700)) for v, c in hist.items()) - 1
-    lo, hi = 1e-6, 1.0
-    while excess(hi) < 0 and hi < 64:
-        hi *= 2
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if excess(mid) < 0 else (lo, mid)
-    lam = max(lo, 0.05)
-    s = clean.agg(F.count(F.lit(1)).alias("d"), F.sum(F.col("n") * F.exp(-F.lit(lam) * F.col("best"))).alias("e")).first()
-    return lam, (s["d"] / s["e"] if s["d"] and s["e"] else 1e-3)
-
-
-def score_documents(docs: DataFrame, weights: dict[str, float], lam: float, k: float, id_col: str = "doc_id",
+            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                w = tokens(t)
+                rows.append({"y": y, "n": len(w), "s": [x for _, _, x in segments(np.fromiter(map(scores.__getitem__, w), np.float64, len(w)))]})
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("y", pa.int32()), ("n", pa.int64()), ("s", pa.list_(pa.float64()))]))
+    per_doc = saved(train.select("text", "cm_toxic").mapInArrow(found, "y int, n bigint, s array<double>"), "toxic-segments")
+    clean = per_doc.where("y = 0").select("n", F.size("s").alias("c"), F.aggregate("s", F.lit(0.0), lambda a, v: a + F.greatest(v - F.lit(least), F.lit(0.0))).alias("e"))
+    n, c, e = (float(v or 0) for v in clean.agg(F.sum("n"), F.sum("c"), F.sum("e")).first())
+    law = Law((c + 1) / (e + 1), (c + 1) / max(n, 1.0), least)
+
+    def surprises(batches):
+        for b in batches:
+            x = [round(law.surprise(s, n), 1) for n, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.float64())], names=["y", "x"])
+    hist = per_doc.mapInArrow(surprises, "y int, x double").groupBy("x").agg(F.sum(1 - F.col("y")).alias("y0"), F.sum("y").alias("y1")).orderBy("x").collect()
+    x, y0, y1 = (np.array([float(r[k]) for r in hist]) for k in ("x", "y0", "y1"))
+    law.slope, law.shift = logistic(x, y0, y1)
+    return law
+
+
+def score_documents(docs: DataFrame, weights: dict[str, float], law: Law, id_col: str = "doc_id",
                     text_col: str = "text", drift: float = DRIFT, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted, passages) for every row of ``docs``.
 
-    passages: array of (start, end, p) in tokens, the maximal segments
-    whose p-value under the extreme-value law is at most 1 - threshold.
-    score: the chance that a clean document of this length stays below all
-    that was found, each passage counted: 1 - p of the best segment, with the
-    p-values of further significant passages multiplied in.  Null and empty
-    texts have score 0.
+    passages: array of (start, end, p) in tokens, the maximal segments, with the
+    chance that clean text of this length has one as high, where that is at most
+    1 - threshold.  score: the calibrated probability of the
+    document's surprise over all its segments together.  Null and empty texts have no
+    segment and get the probability of a document without any.
     """
     prepare(docs.sparkSession)
     fold = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
@@ -210,13 +279,11 @@ def score_documents(docs: DataFrame, weights: dict[str, float], lam: float, k: f
         for b in pieces(batches, "text"):
             score, passages = [], []
             for t in b.column(2).to_pylist():
-                w = tokens(t)
-                s = np.fromiter(map(scores.__getitem__, w), np.float64, len(w))
-                tail = sorted((-math.expm1(-k * len(w) * math.exp(-lam * x)), a, e) for a, e, x in segments(s))
-                sure = [(p, a, e) for p, a, e in tail if p <= 1 - threshold]
-                p = math.prod([x[0] for x in sure]) if sure else tail[0][0] if tail else 1.0
-                score.append(min(1.0, max(0.0, 1.0 - p)))
-                passages.append([{"start": a, "end": e, "p": p} for p, a, e in sorted(sure, key=lambda x: x[1])])
+                w = tokens(t) if weights else []
+                found = segments(np.fromiter(map(scores.__getitem__, w), np.float64, len(w)))
+                score.append(law.probability(law.surprise([x for _, _, x in found], len(w))) if weights else 0.0)
+                p = -np.expm1(-law.expected([x for _, _, x in found], len(w))) if found else []
+                passages.append([{"start": a, "end": e, "p": float(q)} for (a, e, _), q in zip(found, p) if q <= 1 - threshold])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(score, pa.float64()),
                                               pa.array([int(x >= threshold) for x in score], pa.int32()), pa.array(passages, kind)],
                                              names=["doc_id", "held_out", "score", "predicted", "passages"])
@@ -234,9 +301,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     empty result; other columns are not read.
     """
     prepare(docs.sparkSession)
-    known = labelled(docs, labels, max_labels, id_col, label_col)
+    known = without_copies(docs, labelled(docs, labels, max_labels, id_col, label_col), id_col, text_col)
     train = saved(docs.select(F.col(id_col).alias("cm_id"), F.col(text_col).alias("text")).where("text is not null")
                   .join(F.broadcast(known), F.col("cm_id") == F.col("cm_label_id")).select("text", "cm_toxic"), "toxic-train")
     weights = fit_weights(train)
-    lam, k = fit_calibration(train, weights) if weights else (1.0, 1.0)
-    return score_documents(docs, weights, lam, k, id_col, text_col)
+    law = fit_calibration(train, weights) if weights else Law(1.0, 1.0, 0.0)
+    return score_documents(docs, weights, law, id_col, text_col)
