@@ -235,7 +235,7 @@ def standard_funnel(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     never shuffled; the dedup step shuffles (key, id) only.  Each document
     then contributes one row per stage it reached to a single rollup.
     """
-    lk = dict(min_chars=200, max_chars=100_000, min_words=50, **(length_kw or {}))
+    lk = {"min_chars": 200, "max_chars": 100_000, "min_words": 50, **(length_kw or {})}
     t = F.col(text_col)
     stats = _stat_columns(text_col)
     reason = _reason(**(quality_kw or {}))

@@ -7,14 +7,16 @@ only after its size is measured.
 
 Near duplicates use MinHash over word 5-shingles with LSH banding.  To stay
 linear in hot buckets (a boilerplate template shared by a third of the
-corpus) a band bucket never emits all its member pairs: every member is
-linked to the bucket's smallest id (a star), each star edge is verified
-with the exact Jaccard, and connected components are found by iterative
+corpus) a band bucket never emits all its member pairs: members are compared
+with the bucket's smallest id (a star, each edge verified with the exact
+Jaccard), those unlike it again under a finer key, and connected components are found by iterative
 min-label propagation with reliable checkpoints between rounds.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -68,6 +70,9 @@ def shingle_hashes(df: DataFrame, n: int = 5, id_col: str = "doc_id", text_col:
                      F.array_distinct(tx.ngram_hashes(tx.words(F.lower(F.col(text_col))), n)).alias("sh"))
 
 
+MINHASH_CHUNK = 4096
+
+
 def _splitmix64(z):
     z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -80,8 +85,11 @@ def _perm_seeds(num_perm: int, seed: int) -> np.ndarray:
 
 def minhash_signature(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """min over shingles of splitmix64(shingle XOR seed_i), for every seed i (as int64)."""
-    x = shingles.astype(np.int64).view(np.uint64)[:, None] ^ seeds[None, :]
-    return _splitmix64(x).min(axis=0).view(np.int64)
+    x = shingles.astype(np.int64).view(np.uint64)
+    low = np.full(len(seeds), np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(x), MINHASH_CHUNK):        # a fixed block, however long the document
+        low = np.minimum(low, _splitmix64(x[i:i + MINHASH_CHUNK, None] ^ seeds[None, :]).min(axis=0))
+    return low.view(np.int64)
 
 
 def minhash(sh: DataFrame, num_perm: int = 128, seed: int = 42) -> DataFrame:
@@ -105,46 +113,63 @@ def jaccard_expr(a, b) -> "F.Column":
     return tx.round6(inter.cast("double") / union.cast("double"))
 
 
+def _verified(cand: DataFrame, sh: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, jaccard) of candidate pairs whose shingle sets are similar enough."""
+    return (cand.join(sh.select(F.col("id").alias("a"), F.col("sh").alias("sa")), "a")
+                .join(sh.select(F.col("id").alias("b"), F.col("sh").alias("sb")), "b")
+                .select("a", "b", jaccard_expr("sa", "sb").alias("jaccard"))
+                .where(F.col("jaccard") >= threshold))
+
+
 def near_dup_pairs(df: DataFrame, n: int = 5, bands: int = 32, rows: int = 4, threshold: float = 0.8,
                    seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Verified near-duplicate edges (a, b, jaccard), a < b, jaccard >= threshold.
 
-    Candidates: (1) identical shingle sets - each member linked to the set's
-    smallest id; (2) LSH band buckets over the remaining distinct sets -
-    each member linked to the bucket's smallest id.  Every candidate is
-    verified with the exact Jaccard of its shingle sets.  The output is a
-    linear-size edge set whose connected components are the near-duplicate
-    clusters (``components``); it is not the list of every similar pair.
+    Identical shingle sets are linked to the set's smallest id (Jaccard 1, nothing to verify);
+    distinct sets meet in LSH band buckets.  A bucket does not give all its
+    pairs: each member is compared with the bucket's smallest id, and the
+    members that are not similar to it - they may be similar to one another,
+    as in a family that shares a template - stay and are dealt anew by a
+    finer key (the band's rows and those of the next band), until every
+    member is linked or alone.  A round is linear in what is left, and each makes the keys
+    longer, so there are at most as many rounds as bands.  The output is a linear-size edge
+    set whose components are the near-duplicate clusters, not every similar pair.
     """
     sh = shingle_hashes(df, n, id_col, text_col).withColumnRenamed(id_col, "id")
     # bind the shingle array once (a plain where would recompute it in the filter)
     sh = keep_if(sh, "sh", lambda a: F.size(a) > 0).withColumn("sig", F.xxhash64(F.array_sort("sh")))
     sh = materialize(sh)
-    rep = sh.groupBy("sig").agg(F.min("id").alias("rep"))
-    with_rep = sh.join(rep, "sig")
-    # (1) exact-set copies: star to the representative; Jaccard is 1 (verified below).
-    copy_edges = with_rep.where(F.col("id") != F.col("rep")).select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    # (2) LSH over representatives only.
-    reps = with_rep.where(F.col("id") == F.col("rep")).select("id", "sh")
+    rep = materialize(sh.groupBy("sig").agg(F.min("id").alias("rep")))
+    copies = (sh.select("id", "sig").join(rep, "sig").where(F.col("id") != F.col("rep"))
+                .select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("jaccard")))
+    reps = materialize(sh.join(rep.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "sh"))
     mh = minhash(reps, bands * rows, seed)
     band_keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                             lambda b: F.xxhash64(b, F.slice(F.col("mh"), b * rows + 1, rows)))
-    banded = mh.select("id", F.explode(band_keys).alias("bk"))
-    bmin = banded.groupBy("bk").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("m")).where(F.col("m") > 1)
-    lsh_edges = (banded.join(bmin.select("bk", "a"), "bk").where(F.col("id") != F.col("a"))
-                       .select("a", F.col("id").alias("b")).distinct())
-    cand = copy_edges.unionByName(lsh_edges).distinct()
-    s = sh.select("id", "sh")
-    verified = (cand.join(s.withColumnRenamed("id", "a").withColumnRenamed("sh", "sa"), "a")
-                    .join(s.withColumnRenamed("id", "b").withColumnRenamed("sh", "sb"), "b")
-                    .select("a", "b", jaccard_expr("sa", "sb").alias("jaccard"))
-                    .where(F.col("jaccard") >= threshold))
-    return verified
+    hashes = materialize(mh.select("id", band_keys.alias("hs")))
+    left = materialize(hashes.select("id", F.posexplode("hs").alias("band", "key")))
+    edges = []
+    for r in range(1, bands + 1):
+        least = materialize(left.groupBy("band", "key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("m"))
+                                .where(F.col("m") > 1).select("band", "key", "a"))
+        met = materialize(left.join(least, ["band", "key"]).where(F.col("id") != F.col("a")))
+        found = materialize(_verified(met.select("a", F.col("id").alias("b")).distinct(), reps, threshold))
+        edges.append(found)
+        # Members that are not like their bucket's first stay, under a longer key.
+        stay = met.join(found.select("a", F.col("b").alias("id")), ["a", "id"], "left_anti").select("id", "band", "key")
+        left = materialize(stay.join(hashes, "id").select(
+            "id", "band", F.xxhash64("key", F.element_at("hs", (F.pmod(F.col("band") + r, F.lit(bands)) + 1).cast("int"))).alias("key")))
+        if left.limit(1).count() == 0:
+            break
+    out = edges[0]
+    for e in edges[1:]:
+        out = out.unionByName(e)
+    return copies.unionByName(out.groupBy("a", "b").agg(F.first("jaccard").alias("jaccard")))
 
 
 # --- B9 ---------------------------------------------------------------------
 
-def components(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100,
+def components(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int | None = None,
                checkpoint_every: int = 1) -> DataFrame:
     """(id, component): connected components, labelled by their smallest id.
 
@@ -155,14 +180,17 @@ def components(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
     component holding a third of all vertices) is a skewed join key that AQE's
     skew join splits.  The label table is checkpointed (reliable) every
     ``checkpoint_every`` rounds so plans stay flat and a lost executor replays
-    at most that many rounds, not the history.  Stops when no label changes.
+    at most that many rounds, not the history.  Stops when no label changes;
+    ``max_rounds`` makes a longer run an error, never an unfinished result.
     """
     e = pairs.select(F.col(a).alias("src"), F.col(b).alias("dst"))
     edges = materialize(e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
     labels = edges.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("label")) \
                   .withColumnRenamed("src", "id")
     labels = materialize(labels)
-    for r in range(max_rounds):
+    for r in itertools.count():
+        if max_rounds is not None and r >= max_rounds:
+            raise RuntimeError(f"labels still change after {max_rounds} rounds")
         prop = (edges.join(labels.withColumnRenamed("id", "src"), "src")
                      .groupBy("dst").agg(F.min("label").alias("nl")).withColumnRenamed("dst", "id"))
         step = labels.join(prop, "id", "left").select(

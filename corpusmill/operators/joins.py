@@ -51,12 +51,6 @@ def checked_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(small, on, how)
 
 
-def keep_keys(big: DataFrame, keys: DataFrame, on, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-              keys_rows: int | None = None) -> DataFrame:
-    """Rows of ``big`` whose key appears in ``keys`` (left semi join)."""
-    return checked_join(big, keys, on, "left_semi", max_rows, keys_rows)
-
-
 def drop_keys(big: DataFrame, keys: DataFrame, on, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
               keys_rows: int | None = None) -> DataFrame:
     """Rows of ``big`` whose key does not appear in ``keys`` (left anti join)."""

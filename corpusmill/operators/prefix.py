@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.operators.joins import materialize
+from corpusmill.operators.joins import checked_join, materialize
 
 _G = "_grp_"
 
@@ -37,12 +37,9 @@ def prefix_cutoff(df: DataFrame, group_cols, key_col: str, tie_col: str, weight_
     ``(rows_col, weight_col) -> Column`` of the group's totals.
     """
     group_cols = list(group_cols)
-    base = df
-    if not group_cols:
-        base = df.withColumn(_G, F.lit(0))
-        gcols = [_G]
-    else:
-        gcols = group_cols
+    # One struct as the key: never null itself, so rows whose group columns are null make up groups like others.
+    base = df.withColumn(_G, F.struct(*group_cols) if group_cols else F.lit(0))
+    gcols = [_G]
     w = F.col(weight_col).cast("bigint") if weight_col else F.lit(1).cast("bigint")
     cells = (base.select(*gcols, _range_of(key_col, ranges_log2, key_bits).alias("_r_"), w.alias("_w_"))
                  .groupBy(*gcols, "_r_").agg(F.sum("_w_").alias("cw"), F.count(F.lit(1)).alias("cn")))
@@ -60,7 +57,7 @@ def prefix_cutoff(df: DataFrame, group_cols, key_col: str, tie_col: str, weight_
     straddle = cells.where((F.col("before") <= F.col("_budget_")) &
                            (F.col("before") + F.col("cw") > F.col("_budget_")))
     rows = base.withColumn("_r_", _range_of(key_col, ranges_log2, key_bits)).withColumn("_w_", w)
-    inner = (rows.join(F.broadcast(straddle.select(*gcols, "_r_", "before", "_budget_")), gcols + ["_r_"])
+    inner = (checked_join(rows, straddle.select(*gcols, "_r_", "before", "_budget_"), gcols + ["_r_"])
                  .withColumn("_cum_", F.col("before") + F.sum("_w_").over(
                      Window.partitionBy(*gcols, "_r_").orderBy(key_col, tie_col)
                            .rowsBetween(Window.unboundedPreceding, 0)))
@@ -70,16 +67,14 @@ def prefix_cutoff(df: DataFrame, group_cols, key_col: str, tie_col: str, weight_
     full = (cells.where(F.col("before") + F.col("cw") <= F.col("_budget_"))
                  .groupBy(*gcols).agg(F.max("_r_").alias("_rfull_")))
     bounds = materialize(cells.select(*gcols).distinct().join(full, gcols, "left").join(inner, gcols, "left"))
-    kept = rows.join(F.broadcast(bounds), gcols)
+    kept = checked_join(rows, bounds, gcols, small_rows=bounds.count())
     r = F.col("_r_")
     k, t = F.col(key_col), F.col(tie_col)
     lk, lt = F.col("_last_")[key_col], F.col("_last_")[tie_col]
     cond = (F.coalesce(r <= F.col("_rfull_"), F.lit(False)) |
             F.coalesce((k < lk) | ((k == lk) & (t <= lt)), F.lit(False)))
     out = kept.where(cond).drop("_r_", "_w_", "_rfull_", "_last_")
-    if not group_cols:
-        out = out.drop(_G)
-    return out
+    return out.drop(_G)
 
 
 def running_offsets(df: DataFrame, order_cols, weight_col: str, out_col: str = "offset",

@@ -11,20 +11,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
+from corpusmill.operators.joins import materialize
 from corpusmill.operators.prefix import prefix_cutoff
 
 
+def _share(bucket, fraction: float, least: int = 1000):
+    """bucket % m < m * fraction, m the least power of ten from ``least`` on that holds the fraction (to nine digits)."""
+    m = least
+    while m < 10**9 and abs(fraction * m - round(fraction * m)) > 1e-9:
+        m *= 10
+    return F.pmod(bucket, F.lit(m)) < int(round(fraction * m))
+
+
 def hash_sample(df: DataFrame, fraction: float = 0.10, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
-    """Keep rows with bucket(id, seed) % 1000 < 1000 * fraction."""
-    thr = int(round(fraction * 1000))
-    return df.where(F.pmod(tx.hash_bucket(id_col, seed), F.lit(1000)) < thr)
+    """Keep rows with bucket(id, seed) % 1000 < 1000 * fraction (finer for finer fractions)."""
+    return df.where(_share(tx.hash_bucket(id_col, seed), fraction))
 
 
 def split(df: DataFrame, val_fraction: float = 0.01, seed: int = 43, id_col: str = "doc_id",
           split_col: str = "split") -> DataFrame:
     """Disjoint, complete train/validation assignment by a second seed."""
-    thr = int(round(val_fraction * 10000))
-    is_val = F.pmod(tx.hash_bucket(id_col, seed), F.lit(10000)) < thr
+    is_val = _share(tx.hash_bucket(id_col, seed), val_fraction, 10_000)
     return df.withColumn(split_col, F.when(is_val, "validation").otherwise("train"))
 
 
@@ -52,9 +59,8 @@ def cluster_split(df: DataFrame, components: DataFrame, val_fraction: float = 0.
 
     ``components`` is (doc_id, component) for every document.
     """
-    thr = int(round(val_fraction * 10000))
     withc = df.join(components.select(id_col, "component"), id_col)
-    is_val = F.pmod(tx.hash_bucket("component", seed), F.lit(10000)) < thr
+    is_val = _share(tx.hash_bucket("component", seed), val_fraction, 10_000)
     return withc.withColumn(split_col, F.when(is_val, "validation").otherwise("train"))
 
 
@@ -69,12 +75,15 @@ def split_report(df: DataFrame, components: DataFrame | None = None, id_col: str
     """
     base = df.select(id_col, split_col, F.octet_length(text_col).cast("bigint").alias("b"),
                      tx.dedup_key(text_col).alias("k"))
-    ksplits = base.groupBy("k").agg(F.countDistinct(split_col).alias("ns"))
+    # Written tables on both sides: AQE then splits a hot key, which it cannot beside an aggregate on that key.
+    base = materialize(base)
+    ksplits = materialize(base.groupBy("k").agg(F.countDistinct(split_col).alias("ns")))
     out = base.join(ksplits, "k")
     if components is not None:
         c = out.join(components.select(id_col, "component"), id_col, "left") \
                .withColumn("component", F.coalesce("component", id_col))
-        csplits = c.groupBy("component").agg(F.countDistinct(split_col).alias("nc"))
+        c = materialize(c)
+        csplits = materialize(c.groupBy("component").agg(F.countDistinct(split_col).alias("nc")))
         out = c.join(csplits, "component")
     else:
         out = out.withColumn("nc", F.col("ns"))

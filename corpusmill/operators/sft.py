@@ -1,8 +1,6 @@
 """Instruction-tuning (SFT) records: pairs, filtering, prompt template, encoding, batches, report.
 
-Turn pairing is an equi-join on (conv_id, turn + 1) - the key is unique per
-row, so a very long conversation never lands in one task the way a window
-partitioned by conversation would.  Turn numbers are positions 0..n-1.
+Turns are paired by their order, not by their numbers.
 """
 
 from __future__ import annotations
@@ -12,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
 from corpusmill.operators import windows as W
-from corpusmill.operators.joins import checked_join
+from corpusmill.operators.joins import checked_join, materialize
 from corpusmill.operators.prefix import running_offsets
 
 # The public Alpaca prompt template (with-input and no-input forms).
@@ -28,18 +26,37 @@ PROMPT_NO_INPUT = (
 KEY = ["conv_id", "turn"]
 
 
+TURN_RANGE = 4096           # turns of a conversation that one task puts in order
+
+
+def next_turns(conversations: DataFrame) -> DataFrame:
+    """Every turn with the role and text of the one after it, whatever the numbers between.
+
+    Conversations are ordered in ranges of turn numbers, and the first turn of each range is
+    handed to the last of the range before, so a very long conversation is spread over many tasks.
+    """
+    c = conversations.select("conv_id", "turn", "role", "text").withColumn("_r_", F.floor(F.col("turn") / TURN_RANGE))
+    order = Window.partitionBy("conv_id", "_r_").orderBy("turn", "role", "text")
+    nxt = F.lead(F.struct("role", "text")).over(order)
+    inside = c.withColumn("_next_", nxt)
+    first = c.groupBy("conv_id", "_r_").agg(F.min(F.struct("turn", "role", "text")).alias("_f_"))
+    after = materialize(first.select("conv_id", "_r_", F.lead("_f_").over(Window.partitionBy("conv_id").orderBy("_r_")).alias("_f_"))
+                             .where(F.col("_f_").isNotNull()))
+    ends = checked_join(inside, after, ["conv_id", "_r_"], "left")
+    return ends.select("conv_id", "turn", "role", "text",
+                       F.coalesce(F.col("_next_.role"), F.when(F.col("_next_").isNull(), F.col("_f_.role"))).alias("next_role"),
+                       F.when(F.col("_next_").isNull(), F.col("_f_.text")).otherwise(F.col("_next_.text")).alias("next_text"))
+
+
 def sft_pairs(conversations: DataFrame) -> DataFrame:
-    """(conv_id, turn, instruction, input, output) from adjacent user -> assistant turns.
+    """(conv_id, turn, instruction, input, output) from user turns that an assistant turn follows.
 
     ``input`` is the conversation's system turn when it sits at turn 0, else ''.
     """
-    c = conversations.select("conv_id", "turn", "role", "text")
-    user = c.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("instruction"))
-    nxt = c.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output"))
-    system = c.where((F.col("role") == "system") & (F.col("turn") == 0)) \
-              .select("conv_id", F.col("text").alias("input"))
-    pairs = user.join(nxt, KEY)
+    pairs = next_turns(conversations).where((F.col("role") == "user") & (F.col("next_role") == "assistant")).select(
+        "conv_id", "turn", F.col("text").alias("instruction"), F.col("next_text").alias("output"))
+    system = conversations.where((F.col("role") == "system") & (F.col("turn") == 0)) \
+                          .select("conv_id", F.col("text").alias("input"))
     return (checked_join(pairs, system, "conv_id", "left")
             .select("conv_id", "turn", "instruction", F.coalesce("input", F.lit("")).alias("input"), "output"))
 
@@ -47,15 +64,16 @@ def sft_pairs(conversations: DataFrame) -> DataFrame:
 def sft_filter(records: DataFrame) -> DataFrame:
     """drop empty instruction/output; keep one record per exact (instruction, input, output).
 
-    The survivor is the smallest (conv_id, turn); the min(struct) aggregate
-    pre-aggregates map-side, so a record repeated a million times costs one
-    row per task in the shuffle.
+    The survivor is the smallest (conv_id, turn).  The key hashes the texts with their
+    lengths, so no two records share it by where one text ends; texts are not
+    aggregated: the survivors' ids are, and pick the rows.
     """
     nonempty = records.where((F.trim("instruction") != "") & (F.trim("output") != ""))
-    key = F.md5(F.concat_ws("\u0001", "instruction", "input", "output"))
-    first = nonempty.groupBy(key.alias("_k_")).agg(
-        F.min(F.struct("conv_id", "turn", "instruction", "input", "output")).alias("r"))
-    return first.select("r.*")
+    parts = [F.coalesce(F.col(c), F.lit("")) for c in ("instruction", "input", "output")]
+    sizes = [F.concat(F.octet_length(p).cast("string"), F.lit(":")) for p in parts]
+    keyed = nonempty.withColumn("_k_", F.sha2(F.concat(*sizes, *parts), 256))
+    first = materialize(keyed.groupBy("_k_").agg(F.min(F.struct(*KEY)).alias("_id_")).select("_k_", "_id_.*"))
+    return keyed.join(first, ["_k_", *KEY], "left_semi").drop("_k_").select(*records.columns)
 
 
 def sft_prompt(records: DataFrame) -> DataFrame:
@@ -134,11 +152,11 @@ def sft_report(encoded: DataFrame, max_seq_length: int = W.MAX_SEQ_LENGTH) -> Da
     """(metric, value) rows: records, conversations, truncated count/share, token percentiles."""
     full = F.col("prompt_tokens") + F.col("response_tokens")
     base = encoded.agg(F.count(F.lit(1)).alias("records"),
-                       F.countDistinct("conv_id").alias("conversations"),
+                       F.countDistinct("conv_id").alias("conversations"), F.countDistinct("conv_id", "turn").alias("turns"),
                        F.sum(F.when(full > max_seq_length, 1).otherwise(0)).alias("truncated"))
     base = base.select(F.explode(F.array(
         *[F.struct(F.lit(k).alias("metric"), F.col(k).cast("double").alias("value"))
-          for k in ("records", "conversations", "truncated")],
+          for k in ("records", "conversations", "turns", "truncated")],
         F.struct(F.lit("truncated_share").alias("metric"),
                  tx.safe_ratio("truncated", "records").alias("value")))).alias("m")).select("m.*")
     pp = hist_percentiles(encoded, "prompt_tokens", (0.5, 0.9))

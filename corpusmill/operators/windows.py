@@ -37,7 +37,7 @@ def window_count(n, max_seq_length: int = MAX_SEQ_LENGTH, overlap_size: int = OV
     n = tx.col_(n).cast("bigint")
     return (F.when(n <= 0, F.lit(0))
              .when(n <= max_seq_length, F.lit(1))
-             .otherwise(F.lit(1) + F.floor((n - max_seq_length + (s - 1)) / s))).cast("bigint")
+             .otherwise(F.lit(1) + F.call_function("div", n - max_seq_length + (s - 1), F.lit(s)))).cast("bigint")
 
 
 def _explode_windows(df: DataFrame, ids_col: str, max_seq_length: int, overlap_size: int) -> DataFrame:
@@ -97,7 +97,7 @@ def sample_index(windows_df: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def batches(samples: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     """batch_id = sample_id div batch_size, pos = sample_id % batch_size."""
-    return (samples.withColumn("batch_id", (F.col("sample_id") / F.lit(batch_size)).cast("bigint"))
+    return (samples.withColumn("batch_id", F.expr(f"sample_id div {int(batch_size)}").cast("bigint"))
                    .withColumn("pos", F.pmod(F.col("sample_id"), F.lit(batch_size)).cast("int")))
 
 
@@ -136,7 +136,7 @@ def epochs(batch_index: DataFrame, num_epochs: int = NUM_EPOCHS) -> DataFrame:
 
 def accum_groups(batch_index: DataFrame, steps: int = ACCUM_STEPS) -> DataFrame:
     """Optimizer step of each micro-batch within its epoch."""
-    return batch_index.withColumn("step", (F.col("batch_id") / F.lit(steps)).cast("bigint"))
+    return batch_index.withColumn("step", F.expr(f"batch_id div {int(steps)}").cast("bigint"))
 
 
 def training_budget(encoded_with_split: DataFrame, max_seq_length: int = MAX_SEQ_LENGTH,
@@ -173,6 +173,12 @@ def padding_report(windows_df: DataFrame, max_seq_length: int = MAX_SEQ_LENGTH,
         F.sum(F.when(n < max_seq_length, 1).otherwise(0)).cast("bigint").alias("short_windows")))
 
 
+def window_histogram(windows_df: DataFrame, width: int = 64) -> DataFrame:
+    """Windows and their tokens by length, in steps of ``width`` tokens."""
+    at = F.expr(f"n_tokens div {int(width)} * {int(width)}").cast("bigint")
+    return windows_df.groupBy(at.alias("from_tokens")).agg(F.count(F.lit(1)).cast("bigint").alias("windows"), F.sum("n_tokens").cast("bigint").alias("tokens"))
+
+
 # --- H2: collate plug-in -------------------------------------------------------
 
 def collate_with(batched: DataFrame, collate_fn=None, **kwargs) -> DataFrame:

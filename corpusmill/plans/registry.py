@@ -287,8 +287,8 @@ SELECT DISTINCT doc_id FROM (SELECT a AS doc_id FROM ({O.near_pairs_sql()}) UNIO
 def q_near_dup_members(spark, sf_dir):
     """Documents with at least one near duplicate: the endpoints of B8's verified edges.
 
-    Every edge is a verified pair and every document with a partner lies in a
-    non-trivial component, so this set equals the brute-force one.
+    Every edge is a verified pair; a document with a partner is found if they
+    meet in a band bucket, for which MinHash gives a probability (1 - (1 - j^4)^32), not a proof.
     """
     e = dedup.near_dup_pairs(docs(spark, sf_dir))
     return e.select(F.col("a").alias("doc_id")).unionByName(e.select(F.col("b").alias("doc_id"))).distinct()
@@ -471,6 +471,13 @@ def q_padding_report(spark, sf_dir):
     return W.padding_report(W.windows(_encoded(spark, sf_dir)))
 
 
+@register("window_histogram", f"""
+SELECT CAST(n_tokens // 64 * 64 AS BIGINT) AS from_tokens, CAST(count(*) AS BIGINT) AS windows, CAST(sum(n_tokens) AS BIGINT) AS tokens
+FROM ({O.windows_sql(ENCODED_SQL)}) GROUP BY 1""")
+def q_window_histogram(spark, sf_dir):
+    return W.window_histogram(W.windows(_encoded(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------------------
 # D: byte-level BPE
 # ---------------------------------------------------------------------------
@@ -547,11 +554,11 @@ def q_vocab_report(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 _PAIRS_SQL = """
-SELECT u.conv_id, u.turn, u.text AS instruction, coalesce(s.text, '') AS input, a.text AS output
-FROM conversations u
-JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+SELECT u.conv_id, u.turn, u.text AS instruction, coalesce(s.text, '') AS input, u.next_text AS output
+FROM (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text FROM conversations
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)) u
 LEFT JOIN conversations s ON s.conv_id = u.conv_id AND s.turn = 0 AND s.role = 'system'
-WHERE u.role = 'user'"""
+WHERE u.role = 'user' AND u.next_role = 'assistant'"""
 
 _FILTERED_SQL = f"""
 SELECT conv_id, turn, instruction, input, output FROM (
@@ -639,6 +646,7 @@ def _report_sql() -> str:
     base = f"SELECT * FROM ({_SFT_ENC_SQL})"
     parts = [f"SELECT 'records' AS metric, CAST(count(*) AS DOUBLE) AS value FROM ({base})",
              f"SELECT 'conversations', CAST(count(DISTINCT conv_id) AS DOUBLE) FROM ({base})",
+             f"SELECT 'turns', CAST(count(*) AS DOUBLE) FROM (SELECT DISTINCT conv_id, turn FROM ({base}))",
              f"SELECT 'truncated', CAST(sum(CASE WHEN prompt_tokens + response_tokens > 512 THEN 1 ELSE 0 END) AS DOUBLE) FROM ({base})",
              f"SELECT 'truncated_share', {O.ratio('sum(CASE WHEN prompt_tokens + response_tokens > 512 THEN 1 ELSE 0 END)', 'count(*)')} FROM ({base})"]
     for c in ("prompt_tokens", "response_tokens"):
@@ -749,7 +757,8 @@ def q_stream_clean(spark, sf_dir):
 
 
 @register("stream_windows", f"""
-SELECT doc_id, window_ix, n_tokens, {O.ids_text('wids')} AS input_ids FROM ({O.windows_sql(ENCODED_SQL)})""")
+SELECT doc_id, window_ix, n_tokens, {O.ids_text('wids')} AS input_ids
+FROM ({O.windows_sql(O.word_encode_sql(src=f"({_clean_sql()})", vocab_src='documents'))})""")
 def q_stream_windows(spark, sf_dir):
     from corpusmill.operators.joins import materialize
     from corpusmill.session import scratch_path

@@ -83,7 +83,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when nothing is configured (tests, local runs).
+        # Other machines do not see this machine's folders.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="corpusmill-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

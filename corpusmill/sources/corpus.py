@@ -24,39 +24,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_STAGED: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given parquet tables (``{sf_dir}/{name}.parquet``).
-
-    A table that needs spreading (see ``spread``) is staged once per
-    application and file version; later queries read the staged copy.
-    """
-    import os
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path, os.path.getmtime(path) if os.path.exists(path) else None)
-    if key not in _STAGED:
-        _STAGED[key] = spread(spark.read.parquet(path))
-    return _STAGED[key]
+    """One of the given parquet tables (``{sf_dir}/{name}.parquet``), read anew by every query."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a scan at least one partition per core.
+    """Give a scan of a single split one partition per core.
 
-    Text operators are CPU-bound per row, so a corpus stored as one parquet
-    row group (one scan task) would run on one core.  A large corpus already
-    scans as many splits as it has row groups, and this is then a no-op.
+    A table that is one parquet row group would otherwise be worked on by one core.
+    The exchange carries the columns that the query uses; tables of
+    two splits or more are scanned as they are.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    if df.rdd.getNumPartitions() > 1:
         return df
-    # Staged once through the shared checkpoint dir: every consumer of the corpus
-    # then reads the spread copy, and the optimizer cannot move filters (and their
-    # text expressions) back below the exchange into the single scan task.
-    # Only inputs smaller than one split per core take this path.
-    from corpusmill.operators.joins import materialize
-    return materialize(df.repartition(want))
+    return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", text_col: str = "text",
@@ -106,13 +88,18 @@ def read_splits(spark: SparkSession, path: str, split: str | None = None) -> Dat
     return df if split is None else df.where(F.col("split") == split)   # partition pruning
 
 
-def read_alpaca(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Alpaca-style instruction records.
+def read_alpaca(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """Alpaca-style instruction records: JSON lines (splittable), or files that hold an array or spread a record over lines.
 
-    JSON lines by default (splittable, one record per line); pass
-    ``multi_line=True`` for files holding one JSON array of records.
+    Unless ``multi_line`` says which, the first line that is not blank decides: a
+    whole object on it means JSON lines.  Anything that is not JSON is an error, never a row of nulls.
     """
-    return spark.read.schema(ALPACA_SCHEMA).option("multiLine", str(multi_line).lower()).json(path)
+    if multi_line is None:
+        first = spark.read.text(path).where(F.trim("value") != "").select(
+            F.trim("value").startswith("{"), F.from_json("value", "map<string,string>").isNotNull()).limit(1).collect()
+        multi_line = bool(first) and not all(first[0])
+    return (spark.read.schema(ALPACA_SCHEMA).option("multiLine", str(multi_line).lower())
+            .option("mode", "FAILFAST").json(path))
 
 
 def write_alpaca(df: DataFrame, path: str, mode: str = "overwrite") -> None:

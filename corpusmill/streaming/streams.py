@@ -71,18 +71,27 @@ def stream_clean(stream: DataFrame, out: str, checkpoint: str, available_now: bo
     return _start(clean_rows(src), out, checkpoint, available_now=available_now)
 
 
-def _overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def _prefix():
+    return F.substring("k", 1, 2)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _overwrite_batch(df: DataFrame, path: str, batch_id: int, *by: str) -> None:
     (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").parquet(path))
+       .partitionBy("batch_id", *by).parquet(path))
 
 
 def stream_windows(stream: DataFrame, tokenizer, out: str, checkpoint: str,
                    max_seq_length: int = W.MAX_SEQ_LENGTH, overlap_size: int = W.OVERLAP,
                    available_now: bool = True) -> StreamingQuery:
-    """Encode + windows per micro-batch with a fixed (already trained) tokenizer."""
+    """Clean + encode + windows per micro-batch with a fixed (already trained) tokenizer."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        enc = tokenizer.encode_df(batch.select("doc_id", "text"), "text", "doc_id")
+        enc = tokenizer.encode_df(clean_rows(batch).select("doc_id", "text"), "text", "doc_id")
         win = W.windows(enc, max_seq_length, overlap_size)
         _overwrite_batch(win, out, batch_id)
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
@@ -96,10 +105,11 @@ def dedup_batch(batch: DataFrame, batch_id: int, seen: str, out: str,
     spark = batch.sparkSession
     keyed = batch.withColumn("k", tx.dedup_key("text"))
     first = keyed.groupBy("k").agg(F.min("doc_id").alias("doc_id"))
-    try:
-        prior = spark.read.parquet(seen).where(F.col("batch_id") < batch_id).select("k")
-    except Exception:  # noqa: BLE001 - no seen table yet (first batch)
-        prior = None
+    prior = None
+    if _exists(spark, seen):                     # an unreadable table fails the batch; it is not a first batch
+        # Keys are kept by prefix: a batch reads the prefixes that it holds, not all keys ever seen.
+        prefixes = [r[0] for r in first.select(_prefix()).distinct().collect()]      # 256 at most
+        prior = spark.read.schema("k string, batch_id bigint, kp string").parquet(seen).where((F.col("batch_id") < batch_id) & F.col("kp").isin(prefixes)).select("k")
     if prior is not None:
         # The seen-key table grows with the stream: broadcast only when measured small.
         n_prior = prior.count()
@@ -108,7 +118,7 @@ def dedup_batch(batch: DataFrame, batch_id: int, seen: str, out: str,
     first = materialize(first)
     winners = keyed.join(first.select("doc_id", "k"), ["doc_id", "k"], "left_semi").drop("k")
     _overwrite_batch(winners, out, batch_id)
-    _overwrite_batch(first.select("k", "doc_id"), seen, batch_id)
+    _overwrite_batch(first.select("k", "doc_id", _prefix().alias("kp")), seen, batch_id, "kp")
 
 
 def stream_dedup(stream: DataFrame, seen: str, out: str, checkpoint: str,
