@@ -2,38 +2,40 @@
 
 Training works on the table of *distinct* pre-tokens (word, n, syms), never
 on documents: the corpus is read once (D1).  Symbols are carried as one
-character per token id, so each round is JVM string work: pair counts come
-from one regex scan per word (re-aggregated, or updated incrementally from
-the words a merge touched), only the top-K pairs (K is a parameter, default
-512) come back to the driver, where the prefix rule picks the merges of the
-round, and merges are applied with ``String.replace``.  No Python runs in
-the training loop.
-
-Prefix rule (exact): order pairs by (count desc, left asc, right asc) and
-take the longest prefix whose pairs share no symbol; a self-pair (x, x)
-is taken and ends the batch.  Merging a pair leaves the counts of
-symbol-disjoint pairs unchanged, and every pair it creates counts no more
-than an old pair sharing one of its symbols - which, ranking above the
-next candidate, would already have ended the prefix.  So the merge list
-equals one-merge-at-a-time BPE (checked against a sequential reference in
-tests/test_bpe.py).
+character per token id.  A round is two Spark jobs: pair counts, of which
+the top K (a parameter) come to the driver, and the counts of symbol triples
+whose two pairs are both among these.  From them the driver takes as many
+merges as are certain (``plan_merges``), and the tasks apply the batch to
+their words.
+
+Why the batch equals one merge at a time: merging (l, r) only changes pairs
+that overlap it, by the number of triples that they make up together, which
+is known; what is no longer known exactly (a pair touched from two sides, a
+neighbour of a symbol made in this batch) is kept as an upper bound, and the
+batch ends where a bound would have to be chosen.  Pairs beyond the top K
+rank after the K-th, and so does all that merges make of them: their counts only fall,
+and on equal counts the newer symbol ranks last.  Checked against a
+sequential reference in tests/test_bpe.py.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
+import re
+from collections import Counter, defaultdict
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.operators.joins import WIDE_MAX_BROADCAST_ROWS, materialize, sized
+from corpusmill.operators.joins import materialize
 
 BYTE_OFFSET = len(tx.SPECIAL_TOKENS)          # byte b has id BYTE_OFFSET + b
 FIRST_MERGE_ID = BYTE_OFFSET + 256
 VOCAB_SIZE = 25000
-TOP_K = 512
+TOP_K = 4096
 
 
 def pretokens(text) -> "F.Column":
@@ -156,31 +158,169 @@ def apply_merges(words: DataFrame, batch: list[tuple[int, int, int]], syms_col:
     return words.withColumn(syms_col, apply_merges_expr(syms_col, batch))
 
 
-def _pairs_of(words: DataFrame, sign: int = 1) -> DataFrame:
-    """(p, n) pair-string occurrences weighted by word frequency (times ``sign``), not aggregated."""
-    return (words.where(F.length("syms") >= 2)
-                 .select((F.col("n") * sign).alias("n"),
-                         F.explode(F.regexp_extract_all(F.col("syms"), F.lit(_PAIRS_RE), 1)).alias("p")))
+def plan_merges(top, triples: dict, truncated: bool, next_id: int, limit: int, min_count: int = 1) -> list[tuple[int, int, int]]:
+    """The merges that one-at-a-time BPE takes next, as far as these counts decide it.
 
+    ``top``: (left, right, n) in rank order (n descending, left, right);
+    ``triples``: counts of (x, y, z) where (x, y) and (y, z) are both in ``top``;
+    ``truncated``: there may be pairs that rank after the last.
+    """
+    count: dict = {}
+    touched, bound = set(), set()              # exact but changed; no more than an upper bound
+    lefts, rights, heap = defaultdict(set), defaultdict(set), []
+
+    def put(p, n):
+        count[p] = n
+        lefts[p[0]].add(p)
+        rights[p[1]].add(p)
+        heapq.heappush(heap, (-n, *p))
+    for l, r, n in top:
+        put((l, r), n)
+    first = set(count)
+    last = (-top[-1][2], top[-1][0], top[-1][1]) if truncated and top else None
+    before, after = defaultdict(list), defaultdict(list)
+    for (x, y, z), n in triples.items():
+        before[(y, z)].append((x, n))
+        after[(x, y)].append((z, n))
+    out: list[tuple[int, int, int]] = []
+    while heap and len(out) < limit:
+        key = heap[0]
+        p = l, r = key[1:]
+        if count.get(p) != -key[0]:            # an older count of this pair
+            heapq.heappop(heap)
+            continue
+        if -key[0] < min_count or (last is not None and key > last) or p in bound:
+            break
+        heapq.heappop(heap)
+        n = count.pop(p)
+        lefts[l].discard(p)
+        rights[r].discard(p)
+        z = next_id + len(out)
+        out.append((l, r, z))
+        if l == r:                             # runs of one symbol: what is left of them is not in the triples
+            break
+        sides = [(q, 0) for q in rights[l]] + [(q, 1) for q in lefts[r]]
+        exact = p in first and p not in touched
+        if exact:
+            near = [((x, l), 0, t) for x, t in before[p]] + [((r, y), 1, t) for y, t in after[p]]
+            near += [(q, side, None) for q, side in sides if q not in first]
+        else:
+            # No occurrence of a changed pair is new, so triples that never were are not there now either.
+            near = [(q, side, None) for q, side in sides if not (p in first and q in first) or
+                    triples.get((q[0], l, r) if side == 0 else (l, r, q[1]))]
+        made: dict = {}
+
+        def add(q, m, sure=False):
+            known, old = made.get(q, (True, 0))
+            made[q] = (sure and q not in made, max(m, old))
+        for q, side, t in near:
+            if q not in count:
+                continue
+            most = min(n, count[q]) if t is None else min(t, count[q])
+            if q == (r, l):
+                bound.add(q)
+                for w in ((z, z), (r, z), (z, l)):
+                    add(w, most)
+                continue
+            w = (q[0], z) if side == 0 else (z, q[1])
+            if exact and t is not None and q in first and q not in touched and q not in bound and q[0] != q[1]:
+                count[q] -= t
+                touched.add(q)
+                heapq.heappush(heap, (-count[q], *q))
+                add(w, t, True)
+            else:
+                bound.add(q)
+                add(w, most)
+        for q, (sure, m) in made.items():
+            if m > 0:
+                put(q, m)
+                touched.add(q)
+                if not sure:
+                    bound.add(q)
+    return out
+
+
+def merge_symbols(syms: list, ranks: dict) -> list:
+    """Apply merges to one word, lowest rank first, left to right; n log n for a word of n symbols.
+
+    ``ranks``: {(left, right): (rank, new)}.  A list of neighbours and a heap of
+    the pairs that can be merged; a merge made of merges ranks after them.
+    """
+    n = len(syms)
+    if n < 2:
+        return syms
+    syms, right, left = list(syms), list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(*ranks[p], i) for i, p in enumerate(zip(syms, syms[1:])) if p in ranks]
+    if not heap:
+        return syms
+    heapq.heapify(heap)
+    while heap:
+        rank, new, i = heapq.heappop(heap)
+        j = right[i]
+        if syms[i] is None or j >= n or ranks.get((syms[i], syms[j])) != (rank, new):
+            continue
+        syms[i], syms[j] = new, None
+        k = right[i] = right[j]
+        if k < n:
+            left[k] = i
+            if (m := ranks.get((new, syms[k]))):
+                heapq.heappush(heap, (*m, i))
+        h = left[i]
+        if h >= 0 and (m := ranks.get((syms[h], new))):
+            heapq.heappush(heap, (*m, h))
+    return [s for s in syms if s is not None]
+
+
+def _merged(words: DataFrame, batch) -> DataFrame:
+    """D5 in the tasks: (n, syms) after a batch; words of one symbol leave."""
+    ranks = {(sym_char(l), sym_char(r)): (i, sym_char(new)) for i, (l, r, new) in enumerate(batch)}
+
+    def run(batches):
+        for b in batches:
+            n, syms = b.column(0).to_pylist(), b.column(1).to_pylist()
+            done = ["".join(merge_symbols(list(s), ranks)) for s in syms]
+            keep = [(k, s) for k, s in zip(n, done) if len(s) > 1]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keep], pa.int64()), pa.array([s for _, s in keep], pa.string())], names=["n", "syms"])
+    return words.mapInArrow(run, "n bigint, syms string")
 
-INCREMENTAL_MIN_WORDS = 2_000_000
+
+def _triples_of(words: DataFrame, pairs: list[str]) -> DataFrame:
+    """(t, n): triples whose pairs are both among ``pairs``, counted in the tasks before they are shuffled."""
+    among = frozenset(pairs)
+
+    def run(batches):
+        count: Counter = Counter()
+        for b in batches:
+            for n, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                hit = [s[i:i + 2] in among for i in range(len(s) - 1)]
+                for i in range(len(s) - 2):
+                    if hit[i] and hit[i + 1]:
+                        count[s[i:i + 3]] += n
+        yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], names=["t", "n"])
+    return words.select("n", "syms").mapInArrow(run, "t string, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
+
+
+def _pairs_in(words: DataFrame) -> DataFrame:
+    """(p, n): pair counts, added up in the tasks before they are shuffled."""
+    def run(batches):
+        count: Counter = Counter()
+        for b in batches:
+            for n, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for i in range(len(s) - 1):
+                    count[s[i:i + 2]] += n
+            if len(count) > 1_000_000:
+                yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], names=["p", "n"])
+                count = Counter()
+        yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], names=["p", "n"])
+    return words.select("n", "syms").mapInArrow(run, "p string, n bigint").groupBy("p").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, top_k: int = TOP_K,
-              text_col: str = "text", checkpoint_every: int = 8, counts: DataFrame | None = None,
-              pair_update: str = "auto"):
+              text_col: str = "text", checkpoint_every: int = 8, counts: DataFrame | None = None):
     """Byte-level BPE merges until ``vocab_size`` ids or no pair with count >= min_count.
 
-    Pair counts are kept as a table and updated incrementally: each round only
-    the words containing a merged pair (found with plain substring tests on
-    the symbol strings) contribute a delta - their old pairs negatively, their
-    merged pairs positively - so the per-round shuffle is the size of the pair
-    table plus the delta, not of every pair occurrence in the vocabulary.
-    ``pair_update``: "incremental", "recount" (re-aggregate all pairs each
-    round: fewer jobs per round, the better choice while the distinct-word
-    table is small and per-job latency dominates) or "auto" (incremental
-    from ``INCREMENTAL_MIN_WORDS`` distinct multi-symbol words up).
     Returns (vocab, merges) DataFrames; both are bounded by ``vocab_size``.
+    What comes to the driver is bounded by ``top_k`` pairs and the triples among them.
     """
     if vocab_size > MAX_VOCAB:
         raise ValueError(f"vocab_size must be <= {MAX_VOCAB}")
@@ -189,52 +329,31 @@ def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, t
     # Words of one symbol never form a pair again; they leave the working table.  The table is
     # spread over the cluster's cores explicitly (AQE would coalesce a small aggregate to few tasks).
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    words = materialize(word_symbols(counts).where(F.length("syms") >= 2).repartition(parts))
-    if pair_update == "auto":
-        pair_update = "incremental" if words.count() >= INCREMENTAL_MIN_WORDS else "recount"
-    incremental = pair_update == "incremental"
-
-    def aggregate_pairs(w):
-        return _pairs_of(w).groupBy("p").agg(F.sum("n").cast("bigint").alias("n"))
-    pairs = materialize(aggregate_pairs(words)) if incremental else None
+    words = materialize(word_symbols(counts).where(F.length("syms") >= 2).select("n", "syms").repartition(parts))
     merges: list[tuple[int, int, int]] = []
-    next_id = FIRST_MERGE_ID
     cached: list[DataFrame] = []
-    rnd = 0
-    while next_id < vocab_size:
-        k = min(top_k, vocab_size - next_id)
-        current = pairs if incremental else aggregate_pairs(words)
-        top = (current.where(F.col("n") >= min_count)
-               .orderBy(F.desc("n"), F.asc("p")).limit(k).collect())   # (left, right) order == string order
-        while len(cached) > 4:
+    rounds = 0
+    while FIRST_MERGE_ID + len(merges) < vocab_size:
+        top = (_pairs_in(words).where(F.col("n") >= min_count)
+               .orderBy(F.desc("n"), F.asc("p")).limit(top_k).collect())   # (left, right) order == string order
+        while len(cached) > 1:
             cached.pop(0).unpersist()
         if not top:
             break
-        batch = select_merges([(char_sym(r["p"][0]), char_sym(r["p"][1]), r["n"]) for r in top], next_id)
+        pairs = [r["p"] for r in top]
+        triples = {tuple(map(char_sym, r["t"])): r["n"] for r in _triples_of(words, pairs).collect()}
+        batch = plan_merges([(char_sym(r["p"][0]), char_sym(r["p"][1]), r["n"]) for r in top], triples,
+                            len(top) == top_k, FIRST_MERGE_ID + len(merges), vocab_size - FIRST_MERGE_ID - len(merges), min_count)
         merges.extend(batch)
-        next_id += len(batch)
-        rnd += 1
-        if incremental:
-            hit = None
-            for l, r, _ in batch:
-                c = F.col("syms").contains(sym_char(l) + sym_char(r))
-                hit = c if hit is None else hit | c
-            changed = words.where(hit)
-            delta = _pairs_of(changed, -1).unionByName(_pairs_of(apply_merges(changed, batch), 1))
-            pairs = (pairs.unionByName(delta).groupBy("p").agg(F.sum("n").cast("bigint").alias("n"))
-                          .where(F.col("n") != 0))
-        words = apply_merges(words, batch).where(F.length("syms") >= 2)
+        rounds += 1
+        words = _merged(words, batch)
         # Reliable checkpoints every few rounds keep plans flat; a lost executor
         # replays at most ``checkpoint_every`` rounds from the shared checkpoint dir.
-        if rnd % checkpoint_every == 0:
+        if rounds % checkpoint_every == 0:
             words = materialize(words)
-            pairs = materialize(pairs) if incremental else None
         else:
             words = words.persist()
             cached.append(words)
-            if incremental:
-                pairs = pairs.persist()
-                cached.append(pairs)
     for old in cached:
         old.unpersist()
     return vocab_table(spark, merges), merges_table(spark, merges)
@@ -263,74 +382,56 @@ def vocab_table(spark: SparkSession, merges) -> DataFrame:
 
 # --- E1: encode / decode -----------------------------------------------------
 
-def _encode_words_fn(merges):
-    ranks = {(l, r): (rank, new) for rank, (l, r, new) in enumerate(merges)}
-
-    def encode_word(b: bytes) -> list[int]:
-        syms = [BYTE_OFFSET + x for x in b]
-        while len(syms) > 1:
-            best = None
-            for i in range(len(syms) - 1):
-                v = ranks.get((syms[i], syms[i + 1]))
-                if v is not None and (best is None or v[0] < best[0]):
-                    best = v + (syms[i], syms[i + 1])
-            if best is None:
-                break
-            _, new, l, r = best
-            out, i = [], 0
-            while i < len(syms):
-                if i + 1 < len(syms) and syms[i] == l and syms[i + 1] == r:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(syms[i])
-                    i += 1
-            syms = out
-        return syms
+def _ranks(merges) -> dict:
+    return {(l, r): (rank, new) for rank, (l, r, new) in enumerate(merges)}
 
-    def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"word": pdf["word"],
-                                "ids": [encode_word(w.encode("utf-8")) for w in pdf["word"]]})
-    return run
 
+def encode_word(word: str, ranks: dict) -> list[int]:
+    return merge_symbols([BYTE_OFFSET + x for x in word.encode("utf-8")], ranks)
 
-def encode_words(words: DataFrame, merges) -> DataFrame:
-    """(word, ids) for a table of distinct pre-tokens: Arrow batches, merges shipped once per task."""
-    spark = words.sparkSession
-    bc = spark.sparkContext.broadcast(list(merges))
 
-    def run(batches):
-        yield from _encode_words_fn(bc.value)(batches)
-    return words.select("word").mapInPandas(run, "word string, ids array<int>")
+CACHED_WORDS = 200_000
 
 
-def bpe_encode(df: DataFrame, merges, text_col: str = "text", id_col: str = "doc_id",
-               max_broadcast_rows: int = WIDE_MAX_BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, input_ids, n_tokens) - pre-tokenise, encode each distinct pre-token once, rejoin."""
+def bpe_encode(df: DataFrame, merges, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, input_ids, n_tokens): documents are encoded where they are read, nothing is shuffled.
+
+    The merges (bounded by the vocabulary) go to the tasks; each remembers the words it has met.
+    """
     if isinstance(merges, DataFrame):
         merges = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
-    toks = df.select(F.col(id_col), F.posexplode_outer(pretokens(text_col)).alias("pos", "word"))
-    distinct_words = toks.where(F.col("word").isNotNull()).select("word").distinct()
-    enc, n_enc = sized(encode_words(distinct_words, merges))
-    right = F.broadcast(enc) if n_enc <= max_broadcast_rows else enc
-    j = toks.join(right, "word", "left")
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "ids"))
-    out = (j.groupBy(id_col).agg(F.array_sort(F.collect_list(item)).alias("_s_"))
-            .select(id_col, F.flatten(F.transform("_s_", lambda x: x["ids"])).alias("input_ids")))
-    out = out.withColumn("input_ids", F.coalesce("input_ids", F.array().cast("array<int>")))
+    ranks = _ranks(merges)
+
+    def run(batches):
+        words, seen = re.compile(tx.PRETOKEN_RE), {}
+        for b in batches:
+            out = []
+            for t in b.column(1).to_pylist():
+                ids = []
+                for w in words.findall(t or ""):
+                    x = seen.get(w)
+                    if x is None:
+                        if len(seen) >= CACHED_WORDS:
+                            seen.clear()
+                        x = seen[w] = encode_word(w, ranks)
+                    ids += x
+                out.append(ids)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=[id_col, "input_ids"])
+    src = df.select(F.col(id_col), F.col(text_col))
+    out = src.mapInArrow(run, src.select(id_col, F.array().cast("array<int>").alias("input_ids")).schema)
     return out.withColumn("n_tokens", F.size("input_ids").cast("bigint"))
 
 
 def bpe_decode(encoded: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, text): ids -> token bytes (broadcast vocab, bounded by vocab_size) -> UTF-8 text."""
-    v = vocab.select(F.col("token_id").alias("t"), F.hex("token").alias("hx"))
-    ex = encoded.select(id_col, F.posexplode_outer("input_ids").alias("pos", "t"))
-    j = ex.join(F.broadcast(v), "t", "left")
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "hx"))
-    return (j.groupBy(id_col).agg(F.array_sort(F.collect_list(item)).alias("_s_"))
-             .select(id_col, F.decode(F.unhex(F.array_join(F.transform("_s_", lambda x: x["hx"]), "")), "UTF-8")
-                     .alias("text")))
+    """(doc_id, text): ids -> token bytes (vocab, bounded by vocab_size, sent to the tasks) -> UTF-8 text."""
+    tokens = {r["token_id"]: bytes(r["token"]) for r in vocab.collect()}
+    src = encoded.select(id_col, "input_ids")
+
+    def run(batches):
+        for b in batches:
+            text = [b"".join(map(tokens.__getitem__, x or ())).decode("utf-8", "replace") for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string())], names=[id_col, "text"])
+    return src.mapInArrow(run, src.select(id_col, F.lit("").alias("text")).schema)
 
 
 def vocab_report(encoded: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

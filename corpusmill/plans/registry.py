@@ -482,9 +482,6 @@ def q_window_histogram(spark, sf_dir):
 # D: byte-level BPE
 # ---------------------------------------------------------------------------
 
-BPE_QUERY_VOCAB = 384     # training rounds are Spark jobs; the registered queries use a small vocabulary
-
-
 @register("pair_counts", f"""
 WITH w AS (SELECT word, count(*) AS n, hex(encode(word)) AS h
            FROM (SELECT unnest(regexp_extract_all(text, {O.q(tx.PRETOKEN_RE)})) AS word FROM documents) GROUP BY word)
@@ -500,21 +497,20 @@ _TOKENIZERS: dict = {}
 
 
 def _trained(spark, sf_dir, reuse: bool = True):
-    """(vocab, merges) trained on the documents; encode-side queries reuse the artifact.
+    """(vocab, merges) of the default vocabulary, trained on the documents.
 
-    The merge list is a bounded model artifact (<= vocab_size rows), kept per
-    application and input file version, the way a trainer hands one
-    tokenizer.json to every consumer.
+    Encode-side queries share the artifact (at most a vocabulary's rows), the way a
+    trainer hands one tokenizer.json to every consumer; it is known by the texts it
+    was trained on, so another or a rewritten table is trained anew.
     """
-    import os
     from corpusmill.operators import bpe
-    path = f"{sf_dir.rstrip('/')}/documents.parquet"
-    key = (spark.sparkContext.applicationId, path, os.path.getmtime(path) if os.path.exists(path) else None,
-           BPE_QUERY_VOCAB)
+    d = docs(spark, sf_dir)
+    h = F.xxhash64("text").cast("decimal(38,0)")
+    key = (spark.sparkContext.applicationId, *d.agg(F.count(F.lit(1)), F.sum(h), F.sum(F.octet_length("text"))).first())
     if reuse and key in _TOKENIZERS:
         merges = _TOKENIZERS[key]
         return bpe.vocab_table(spark, merges), bpe.merges_table(spark, merges)
-    vocab, m = bpe.train_bpe(docs(spark, sf_dir), vocab_size=BPE_QUERY_VOCAB)
+    vocab, m = bpe.train_bpe(d)
     _TOKENIZERS[key] = [(r["left_id"], r["right_id"], r["new_id"]) for r in m.orderBy("rank").collect()]
     return vocab, m
 

@@ -1,12 +1,16 @@
 import collections
+import heapq
 import json
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
 from corpusmill.operators import bpe
+from tests.conftest import SF0001
 
 
 def sequential_bpe(texts, vocab_size, min_count=2):
@@ -47,16 +51,100 @@ CORPORA = [
 ]
 
 
-@pytest.mark.parametrize("mode", ["recount", "incremental"])
+@pytest.mark.parametrize("top_k", [4, 16, 4096])
 @pytest.mark.parametrize("texts", CORPORA)
-def test_batched_equals_sequential(spark, texts, mode):
+def test_batched_equals_sequential(spark, texts, top_k):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
     vocab_size = bpe.FIRST_MERGE_ID + 40
-    _, merges = bpe.train_bpe(df, vocab_size=vocab_size, top_k=16, pair_update=mode)
+    _, merges = bpe.train_bpe(df, vocab_size=vocab_size, top_k=top_k)
     got = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
     assert got == sequential_bpe(texts, vocab_size)
 
 
+def indexed_bpe(counts, n_merges, min_count=2):
+    """One merge at a time with counts kept up to date: the definition, fast enough for thousands of merges."""
+    words = [[bpe.BYTE_OFFSET + b for b in w.encode("utf-8")] for w in counts]
+    n = list(counts.values())
+    pairs, where = collections.Counter(), collections.defaultdict(set)
+    for i, w in enumerate(words):
+        for p in zip(w, w[1:]):
+            pairs[p] += n[i]
+            where[p].add(i)
+    heap = [(-c, *p) for p, c in pairs.items()]
+    heapq.heapify(heap)
+    out = []
+    while heap and len(out) < n_merges:
+        c, a, b = heapq.heappop(heap)
+        if pairs.get((a, b), 0) != -c:
+            continue
+        if -c < min_count:
+            break
+        new, changed = bpe.FIRST_MERGE_ID + len(out), set()
+        out.append((a, b, new))
+        for i in where[(a, b)]:
+            w, o, k = words[i], [], 0
+            for p in zip(w, w[1:]):
+                pairs[p] -= n[i]
+                changed.add(p)
+            while k < len(w):
+                if k + 1 < len(w) and (w[k], w[k + 1]) == (a, b):
+                    o.append(new)
+                    k += 2
+                else:
+                    o.append(w[k])
+                    k += 1
+            words[i] = o
+            for p in zip(o, o[1:]):
+                pairs[p] += n[i]
+                where[p].add(i)
+                changed.add(p)
+        for p in changed:
+            if pairs[p] > 0:
+                heapq.heappush(heap, (-pairs[p], *p))
+    return out
+
+
+def test_thousands_of_merges_equal_sequential(spark):
+    df = spark.read.parquet(f"{SF0001}/documents.parquet")
+    counts = {r["word"]: r["n"] for r in bpe.pretoken_counts(df).collect()}
+    _, merges = bpe.train_bpe(df, vocab_size=bpe.FIRST_MERGE_ID + 2048)
+    got = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
+    assert got == indexed_bpe(counts, 2048) and len(got) == 2048
+
+
+def test_merge_symbols_equals_repeated_scans():
+    """Lowest rank first, all its occurrences left to right, until nothing merges."""
+    rng = random.Random(0)
+    for _ in range(300):
+        merges, made = [], [1, 2, 3]
+        for new in range(10, 10 + rng.randint(1, 8)):
+            merges.append((rng.choice(made), rng.choice(made), new))
+            made.append(new)
+        merges = list({(l, r): (l, r, z) for l, r, z in merges}.values())
+        ranks = bpe._ranks(merges)
+        word = [rng.choice([1, 2, 3]) for _ in range(rng.randint(0, 30))]
+        w = list(word)
+        while (best := min((ranks[p] + p for p in zip(w, w[1:]) if p in ranks), default=None)):
+            _, new, l, r = best
+            o, i = [], 0
+            while i < len(w):
+                if i + 1 < len(w) and (w[i], w[i + 1]) == (l, r):
+                    o.append(new)
+                    i += 2
+                else:
+                    o.append(w[i])
+                    i += 1
+            w = o
+        assert bpe.merge_symbols(word, ranks) == w
+
+
+def test_a_very_long_word():
+    ranks = bpe._ranks([(bpe.BYTE_OFFSET + 97, bpe.BYTE_OFFSET + 98, 300), (300, 300, 301), (301, 301, 302)])
+    t = time.time()
+    assert bpe.encode_word("ab" * 100_000, ranks) == [302] * 25_000
+    assert time.time() - t < 5
+
+
 def test_empty_corpus(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     vocab, merges = bpe.train_bpe(df, vocab_size=300)
