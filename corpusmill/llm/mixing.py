@@ -166,4 +166,5 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     m = saved(mix(docs, id_col, text_col, source_col, **kw).where("copies > 0").select(
         F.col("doc_id").alias(i), F.col("source").alias(src), F.col("size").alias(n), F.col("copies").alias(c)), "mix-copies")
     on = docs[id_col].eqNullSafe(m[i]) & docs[source_col].cast("string").eqNullSafe(m[src]) & (word_count(text_col) == m[n])
-    return docs.join(m, on).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(c)))).select(*docs.columns)
+    # A sort-merge join at every size: there is a row of copies for nearly every document.
+    return docs.join(m.hint("merge"), on).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(c)))).select(*docs.columns)
