@@ -1,18 +1,18 @@
 """Word-level encoder (E2) and the tokenizer plug-in surface (H1).
 
-The vocabulary is bounded by ``vocab_size`` (a parameter), so it is the
-one table we may broadcast: the encode join streams the exploded words
-through a broadcast hash join with no shuffle, and only the
-(doc_id, pos, id) triples are regrouped by document.
+The vocabulary is bounded by ``vocab_size`` (a parameter): it is sent to the
+tasks, which encode whole documents where they are read.  No token row, no join and no shuffle.
 """
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
 
 VOCAB_SIZE = 25000
 
@@ -31,29 +31,21 @@ def word_vocab(df: DataFrame, vocab_size: int = VOCAB_SIZE, text_col: str = "tex
     return top.select((rank + F.lit(len(tx.SPECIAL_TOKENS) - 1)).cast("int").alias("token_id"), "word", "n")
 
 
-def _ordered_ids(exploded: DataFrame, id_col: str, ids_expr) -> DataFrame:
-    """Regroup (id_col, pos, token) rows into an ordered array per document."""
-    item = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), ids_expr.alias("t")))
-    return (exploded.groupBy(id_col)
-                    .agg(F.array_sort(F.collect_list(item)).alias("_s_"))
-                    .select(id_col, F.transform("_s_", lambda x: x["t"]).alias("input_ids")))
-
-
-def word_encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, vocab_rows: int | None = None) -> DataFrame:
+def word_encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(doc_id, input_ids, n_tokens) with unknown words -> <unk>.
 
-    Documents without words get an empty array.  ``vocab_rows`` defaults to
-    the vocabulary's row bound (its token ids are dense from 3).
+    Documents without words (null text too) get an empty array.  ``id_col`` may be of any
+    type, a struct too.  ``vocab`` is collected: its rows are bounded by the vocabulary size.
     """
-    toks = df.select(F.col(id_col), F.posexplode_outer(tx.words(text_col)).alias("pos", "word"))
-    # (id_col may be a struct column, e.g. (conv_id, turn) for instruction records.)
-    v = vocab.select("word", "token_id")
-    if vocab_rows is None:
-        vocab_rows = v.count()
-    right = F.broadcast(v) if vocab_rows <= max_broadcast_rows else v
-    j = toks.join(right, "word", "left")
-    enc = _ordered_ids(j, id_col, F.coalesce(F.col("token_id"), F.lit(tx.UNK_ID)).cast("int"))
+    ids = {r["word"]: r["token_id"] for r in vocab.select("word", "token_id").collect()}
+    src = df.select(F.col(id_col), F.col(text_col))
+
+    def run(batches):
+        words = re.compile(tx.WORD_RE)
+        for b in batches:
+            out = [[ids.get(w, tx.UNK_ID) for w in words.findall(t or "")] for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=[id_col, "input_ids"])
+    enc = src.mapInArrow(run, src.select(id_col, F.array().cast("array<int>").alias("input_ids")).schema)
     return enc.withColumn("n_tokens", F.size("input_ids").cast("bigint"))
 
 

@@ -81,6 +81,18 @@ def indexed_windows(encoded: DataFrame, max_seq_length: int = MAX_SEQ_LENGTH, ov
     return w.withColumn("sample_id", (F.col("_start_") + F.col("window_ix")).cast("bigint")).drop("_start_")
 
 
+def window_index(encoded: DataFrame, max_seq_length: int = MAX_SEQ_LENGTH, overlap_size: int = OVERLAP,
+                 id_col: str = "doc_id", order_cols=None) -> DataFrame:
+    """E5: (doc_id, window_ix, n_tokens, sample_id) from token counts alone: no token array is moved or written."""
+    order_cols = list(order_cols or [id_col])
+    n = encoded.select(*dict.fromkeys([id_col, *order_cols]), F.col("n_tokens").alias("_n_"))
+    off = running_offsets(n.withColumn("_nwin_", window_count("_n_", max_seq_length, overlap_size)), order_cols, "_nwin_", "_start_")
+    w = off.where("_nwin_ > 0").withColumn("window_ix", F.explode(F.sequence(F.lit(0), (F.col("_nwin_") - 1).cast("int"))))
+    left = F.col("_n_") - F.col("window_ix") * _stride(max_seq_length, overlap_size)
+    return w.select(id_col, "window_ix", F.least(left, F.lit(max_seq_length)).cast("bigint").alias("n_tokens"),
+                    (F.col("_start_") + F.col("window_ix")).cast("bigint").alias("sample_id"))
+
+
 def sample_index(windows_df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """E5: dense global ``sample_id`` for an existing window table.
 

@@ -123,7 +123,7 @@ def q_word_vocab(spark, sf_dir):
 
 def _encoded(spark, sf_dir):
     d = docs(spark, sf_dir)
-    return encode.word_encode(d, encode.word_vocab(d), vocab_rows=encode.VOCAB_SIZE)
+    return encode.word_encode(d, encode.word_vocab(d))
 
 
 ENCODED_SQL = O.word_encode_sql()
@@ -367,9 +367,14 @@ def _indexed(spark, sf_dir):
     return W.indexed_windows(_encoded(spark, sf_dir))
 
 
+def _index(spark, sf_dir):
+    """The windows' index without their tokens."""
+    return W.window_index(_encoded(spark, sf_dir))
+
+
 @register("sample_index", f"SELECT doc_id, window_ix, n_tokens, sample_id FROM ({INDEXED_SQL})")
 def q_sample_index(spark, sf_dir):
-    return _indexed(spark, sf_dir).select("doc_id", "window_ix", "n_tokens", "sample_id")
+    return _index(spark, sf_dir)
 
 
 _BATCH_COLS = "sample_id, CAST(sample_id // 64 AS BIGINT) AS batch_id, CAST(sample_id % 64 AS INTEGER) AS pos"
@@ -377,14 +382,14 @@ _BATCH_COLS = "sample_id, CAST(sample_id // 64 AS BIGINT) AS batch_id, CAST(samp
 
 @register("batches", f"SELECT doc_id, window_ix, {_BATCH_COLS} FROM ({INDEXED_SQL})")
 def q_batches(spark, sf_dir):
-    return W.batches(_indexed(spark, sf_dir)).select("doc_id", "window_ix", "sample_id", "batch_id", "pos")
+    return W.batches(_index(spark, sf_dir)).select("doc_id", "window_ix", "sample_id", "batch_id", "pos")
 
 
 @register("worker_shards", f"""
 SELECT batch_id, CAST(batch_id % 4 AS INTEGER) AS shard, CAST(count(*) AS BIGINT) AS samples
 FROM (SELECT {_BATCH_COLS} FROM ({INDEXED_SQL})) GROUP BY batch_id""")
 def q_worker_shards(spark, sf_dir):
-    b = W.worker_shards(W.batches(_indexed(spark, sf_dir)))
+    b = W.worker_shards(W.batches(_index(spark, sf_dir)))
     return b.groupBy("batch_id", "shard").agg(F.count(F.lit(1)).cast("bigint").alias("samples"))
 
 
@@ -417,7 +422,7 @@ _BATCH_INDEX_SQL = f"SELECT DISTINCT CAST(sample_id // 64 AS BIGINT) AS batch_id
 
 
 def _batch_index(spark, sf_dir):
-    return W.batches(_indexed(spark, sf_dir)).select("batch_id").distinct()
+    return W.batches(_index(spark, sf_dir)).select("batch_id").distinct()
 
 
 @register("epochs", f"SELECT CAST(e AS INTEGER) AS epoch, batch_id FROM ({_BATCH_INDEX_SQL}), range(6) t(e)")
@@ -437,8 +442,8 @@ WHERE sample_id // 64 < 5000""")
 def q_val_subset(spark, sf_dir):
     d = docs(spark, sf_dir)
     val = sample.split(d, 0.01, 43).where(F.col("split") == "validation")
-    enc = encode.word_encode(val, encode.word_vocab(d), vocab_rows=encode.VOCAB_SIZE)
-    b = W.batches(W.indexed_windows(enc))
+    enc = encode.word_encode(val, encode.word_vocab(d))
+    b = W.batches(W.window_index(enc))
     from corpusmill.operators.sample import val_subset
     return val_subset(b, 5000).select("doc_id", "window_ix", "sample_id", "batch_id", "pos")
 
