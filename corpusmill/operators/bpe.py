@@ -24,6 +24,7 @@ import heapq
 import json
 import re
 from collections import Counter, defaultdict
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -276,9 +277,10 @@ def _merged(words: DataFrame, batch) -> DataFrame:
     ranks = {(sym_char(l), sym_char(r)): (i, sym_char(new)) for i, (l, r, new) in enumerate(batch)}
 
     def run(batches):
+        hit = frozenset(l + r for l, r in ranks).__contains__
         for b in batches:
             n, syms = b.column(0).to_pylist(), b.column(1).to_pylist()
-            done = ["".join(merge_symbols(list(s), ranks)) for s in syms]
+            done = ["".join(merge_symbols(list(s), ranks)) if any(map(hit, map(add, s, s[1:]))) else s for s in syms]
             keep = [(k, s) for k, s in zip(n, done) if len(s) > 1]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keep], pa.int64()), pa.array([s for _, s in keep], pa.string())], names=["n", "syms"])
     return words.mapInArrow(run, "n bigint, syms string")
@@ -292,9 +294,9 @@ def _triples_of(words: DataFrame, pairs: list[str]) -> DataFrame:
         count: Counter = Counter()
         for b in batches:
             for n, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                hit = [s[i:i + 2] in among for i in range(len(s) - 1)]
-                for i in range(len(s) - 2):
-                    if hit[i] and hit[i + 1]:
+                hit = list(map(among.__contains__, map(add, s, s[1:])))
+                for i, (a, c) in enumerate(zip(hit, hit[1:])):
+                    if a and c:
                         count[s[i:i + 3]] += n
         yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], names=["t", "n"])
     return words.select("n", "syms").mapInArrow(run, "t string, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
@@ -306,8 +308,8 @@ def _pairs_in(words: DataFrame) -> DataFrame:
         count: Counter = Counter()
         for b in batches:
             for n, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for i in range(len(s) - 1):
-                    count[s[i:i + 2]] += n
+                for p in map(add, s, s[1:]):
+                    count[p] += n
             if len(count) > 1_000_000:
                 yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], names=["p", "n"])
                 count = Counter()

@@ -39,48 +39,20 @@ def benchmark_grams(benchmark: DataFrame, n: int = NGRAM, id_col: str = "item_id
              .select("h", _gram_at("w", F.col("p") + 1, n).alias("gram"), "item_id").distinct())
 
 
-# In-row probing (hash-set IN-list inside a lambda) is off by default: measured at sf0.1 it is
-# slower (10.4 s vs 6.5 s) than one row per gram through a code-generated broadcast semi join.
-MAX_INLINE_GRAMS = 0
-
-
 def decontaminate(df: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col: str = "doc_id",
-                  text_col: str = "text", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                  max_inline_grams: int = MAX_INLINE_GRAMS) -> DataFrame:
+                  text_col: str = "text", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(doc_id, contaminated, n_items) for every document.
 
-    Probe (default): one row per gram position against the benchmark's gram
-    hashes through a broadcast semi join (size-checked; a shuffle join beyond
-    the bound) - the corpus is not shuffled.  Optionally, when the hash set
-    fits ``max_inline_grams``, it is written into the projection as an IN-list
-    and each document keeps only its hit positions.  Either way only hits are
-    verified, by re-reading the gram string at the hit position.
+    One pass over the texts: each n-gram meets the benchmark's through its hash and is
+    verified on the row that carries it.  The benchmark's grams are broadcast under a
+    measured size (the corpus is then not shuffled), joined by a shuffle beyond it.
     """
-    from corpusmill.operators.clean import keep_if
     bg, n_bg = sized(benchmark_grams(benchmark, n))
-    bh = bg.select("h").distinct()
-    words = df.select(F.col(id_col), _lower_words(text_col).alias("w"))
-    n_bh = bh.count()
-    if n_bh <= max_inline_grams:
-        hset = [r["h"] for r in bh.collect()]                 # bounded by max_inline_grams
-        hits_arr = F.filter(F.transform(_gram_hashes("w", n), lambda h, i: F.struct(i.alias("p"), h.alias("h"))),
-                            lambda s: s["h"].isin(hset))
-        with_hits = keep_if(words.withColumn("hits", hits_arr), "hits", lambda a: F.size(a) > 0)
-        verified = (with_hits.select(id_col, "w", F.explode("hits").alias("x"))
-                             .select(id_col, F.col("x.h").alias("h"),
-                                     _gram_at("w", F.col("x.p") + 1, n).alias("gram")))
-    else:
-        bh_side = F.broadcast(bh) if n_bg <= max_broadcast_rows else bh
-        hits = (words.select(id_col, F.posexplode(_gram_hashes("w", n)).alias("p", "h"))
-                     .join(bh_side, "h", "left_semi"))
-        hits, n_hits = sized(hits)
-        hit_side = F.broadcast(hits) if n_hits <= max_broadcast_rows else hits
-        verified = (words.join(hit_side, id_col)
-                         .select(id_col, "h", _gram_at("w", F.col("p") + 1, n).alias("gram")))
-    bg_side = F.broadcast(bg) if n_bg <= max_broadcast_rows else bg
-    items = (verified.join(bg_side, ["h", "gram"])
-                     .select(id_col, "item_id").distinct()
-                     .groupBy(id_col).agg(F.count(F.lit(1)).cast("bigint").alias("n_items")))
+    side = F.broadcast(bg) if n_bg <= max_broadcast_rows else bg
+    grams = (df.select(F.col(id_col), F.explode(tx.ngram_strings(_lower_words(text_col), n)).alias("gram"))
+               .select(id_col, F.xxhash64("gram").alias("h"), "gram"))
+    items = (grams.join(side, ["h", "gram"]).select(id_col, "item_id").distinct()
+                  .groupBy(id_col).agg(F.count(F.lit(1)).cast("bigint").alias("n_items")))
     items, n_items_rows = sized(items)
     right = F.broadcast(items) if n_items_rows <= max_broadcast_rows else items
     return (df.select(id_col).join(right, id_col, "left")

@@ -53,12 +53,14 @@ def _list_files(path: str) -> list[str]:
 
 
 def _open(path: str):
+    import pyarrow as pa
     import pyarrow.ipc as ipc
     fs, p = _fs_and_path(path)
     f = fs.open_input_file(p)
     try:
         return ipc.open_file(f)
-    except Exception:  # noqa: BLE001 - fall back to the streaming IPC format
+    except pa.ArrowInvalid:                      # not the file format: the streaming one
+        f.close()
         return ipc.open_stream(fs.open_input_stream(p))
 
 
@@ -119,7 +121,6 @@ class _Writer(DataSourceArrowWriter):
             return _Written("", 0)
         writer.close()
         sink.close()
-        _ = pa
         return _Written(target, rows)
 
     def commit(self, messages):

@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from corpusmill.operators import clean, dedup
@@ -78,11 +80,17 @@ def test_user_rules(spark):
     assert out == {1: "ok", 2: "digits", 3: "short"}
 
 
-def test_decontaminate_both_probe_paths(spark):
+def test_decontaminate_both_join_paths_equal_brute_force(spark):
     from corpusmill.operators.decontam import decontaminate
     from corpusmill.sources.corpus import table
     d = table(spark, "/root/testdata/sf0.001", "documents")
     b = table(spark, "/root/testdata/sf0.001", "benchmark")
-    inline = sorted(map(tuple, decontaminate(d, b, max_inline_grams=100_000).collect()))
-    joined = sorted(map(tuple, decontaminate(d, b).collect()))
-    assert inline == joined and any(r[1] for r in inline)
+    broadcast = sorted(map(tuple, decontaminate(d, b).collect()))
+    shuffled = sorted(map(tuple, decontaminate(d, b, max_broadcast_rows=0).collect()))
+
+    def grams(t):
+        w = [x for x in re.split("[ \t\n\r]+", t.lower()) if x]
+        return {tuple(w[i:i + 13]) for i in range(len(w) - 12)}
+    items = [grams(r["text"]) for r in b.collect()]
+    want = sorted((r["doc_id"], any(n := [bool(grams(r["text"]) & i) for i in items]), sum(n)) for r in d.collect())
+    assert broadcast == shuffled == want and any(r[1] for r in want)
