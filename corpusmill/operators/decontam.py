@@ -43,16 +43,22 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col: s
                   text_col: str = "text", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(doc_id, contaminated, n_items) for every document.
 
-    One pass over the texts: each n-gram meets the benchmark's through its hash and is
-    verified on the row that carries it.  The benchmark's grams are broadcast under a
-    measured size (the corpus is then not shuffled), joined by a shuffle beyond it.
+    One row per gram position meets the benchmark's gram hashes through a semi join
+    (broadcast under a measured size, a shuffle join beyond it); only hits are
+    verified, by reading the gram at the hit position.  Carrying the gram strings
+    instead, to verify in the first pass, measured slower (51 s against 8 s at sf0.1).
     """
     bg, n_bg = sized(benchmark_grams(benchmark, n))
-    side = F.broadcast(bg) if n_bg <= max_broadcast_rows else bg
-    grams = (df.select(F.col(id_col), F.explode(tx.ngram_strings(_lower_words(text_col), n)).alias("gram"))
-               .select(id_col, F.xxhash64("gram").alias("h"), "gram"))
-    items = (grams.join(side, ["h", "gram"]).select(id_col, "item_id").distinct()
-                  .groupBy(id_col).agg(F.count(F.lit(1)).cast("bigint").alias("n_items")))
+    bh = bg.select("h").distinct()
+    words = df.select(F.col(id_col), _lower_words(text_col).alias("w"))
+    hits = (words.select(id_col, F.posexplode(_gram_hashes("w", n)).alias("p", "h"))
+                 .join(F.broadcast(bh) if n_bg <= max_broadcast_rows else bh, "h", "left_semi"))
+    hits, n_hits = sized(hits)
+    verified = (words.join(F.broadcast(hits) if n_hits <= max_broadcast_rows else hits, id_col)
+                     .select(id_col, "h", _gram_at("w", F.col("p") + 1, n).alias("gram")))
+    items = (verified.join(F.broadcast(bg) if n_bg <= max_broadcast_rows else bg, ["h", "gram"])
+                     .select(id_col, "item_id").distinct()
+                     .groupBy(id_col).agg(F.count(F.lit(1)).cast("bigint").alias("n_items")))
     items, n_items_rows = sized(items)
     right = F.broadcast(items) if n_items_rows <= max_broadcast_rows else items
     return (df.select(id_col).join(right, id_col, "left")
