@@ -4,27 +4,31 @@ Protected entities are the e-mail addresses, IP addresses, card and phone
 numbers that the patterns find.  A term that keeps company with an entity
 tells about it: the pointwise mutual information of term and entity, over the
 whole corpus, measures by how many bits.  A term that tells nearly all of the
-entity's own information content is removed, one that tells most of it is generalised.
+entity's own information content is removed, one that tells most of it is generalised,
+wherever in the corpus it stands: away from its entity it gives it away just as well.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import arrow_type, fresh, pieces, saved
+from corpusmill.llm.common import arrow_type, fresh, matching, pieces, saved
 from corpusmill.session import prepare
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 8                   # words on either side of an entity
-MIN_DOCS = 3                  # documents in which a term has to stand beside the entity
+MIN_DOCS = 3                  # documents in which a term has to stand with the entity
 GENERALISE, REMOVE = 0.75, 0.9      # shares of the entity's information content
 COUNTER = 200_000             # distinct words a task holds before it passes their counts on
+SLOTS = 1 << 22               # hash slots that say which words may be disclosing terms
+SMALL = 200_000               # rows of a table that is broadcast, at most
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -96,67 +100,101 @@ def entity(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{value}") - (1 << 63)
 
 
-def context_terms(text: str, spans: list) -> list[tuple[int, str, int, int]]:
-    """(entity, term, start, end) for the words within ``CONTEXT`` words of each span, outside all spans."""
-    if not spans:
-        return []
-    out = []
+def free_words(text: str, spans: list):
+    """(lower-case word, start, end) of the words outside all spans, in order."""
     taken = sorted((s, e) for _, s, e in spans)
-
-    def free(s, e):
-        return not any(a < e and s < b for a, b in near)
-    for kind, s, e in spans:
-        key = entity(kind, text[s:e])
-        # Far enough for the words wanted, unless words are very long: then look on.
-        reach = 32 * CONTEXT
-        while True:
-            lo, hi = max(0, s - reach), min(len(text), e + reach)
-            before = [m.span() for m in WORD.finditer(text, lo, s)]
-            after = [m.span() for m in WORD.finditer(text, e, hi)]
-            if (len(before) > CONTEXT or lo == 0) and (len(after) > CONTEXT or hi == len(text)):
-                break
-            reach *= 4
-        near = [x for x in taken if x[0] < hi and lo < x[1]]
-        out += [(key, text[a:b].lower(), a, b) for a, b in before[-CONTEXT:] + after[:CONTEXT] if free(a, b)]
-    return out
+    i, reach = 0, 0                            # spans that start before the word's end, and how far they go
+    for m in WORD.finditer(text):
+        s, e = m.span()
+        while i < len(taken) and taken[i][0] < e:
+            reach = max(reach, taken[i][1])
+            i += 1
+        if reach <= s:
+            yield m.group().lower(), s, e
+
+
+def free_terms(text: str | None, spans: list) -> set:
+    """The distinct words outside all spans."""
+    if not spans:
+        return set(map(str.lower, WORD.findall(text or "")))
+    return {w for w, _, _ in free_words(text, spans)}
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, text_hash, counts, base spans, their digest, and the terms beside the entities."""
+    """Per row: the distinct entities and, where there are any, the distinct words of the whole text outside them."""
     prepare(docs.sparkSession)
+    schema = "ents array<bigint>, words array<string>"
+
+    def run(batches):
+        for b in pieces(batches, "text"):
+            ents, words = [], []
+            for t in b.column(0).to_pylist():
+                spans = base_spans(t)
+                ents.append(list({entity(k, t[s:e]) for k, s, e in spans}))
+                words.append(list(free_terms(t, spans)) if spans else [])
+            yield pa.RecordBatch.from_arrays([pa.array(ents, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.string()))], names=["ents", "words"])
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, schema)
+
+
+def slot(word: str) -> int:
+    return zlib.crc32(word.encode()) % SLOTS
+
+
+def slots(terms: DataFrame) -> np.ndarray:
+    """Bytes with a bit per hash slot, set where a term of ``terms(t)`` falls."""
+    at = F.crc32(F.col("t").cast("binary")) % SLOTS
+    bit = F.element_at(F.array(*[F.lit(1 << i).cast("bigint") for i in range(32)]), (at % 32 + 1).cast("int"))
+    out = np.zeros(SLOTS // 32, "<u4")
+    for r in terms.select(F.floor(at / 32).alias("i"), bit.alias("v")).groupBy("i").agg(F.bit_or("v").alias("v")).collect():
+        out[r["i"]] = r["v"]
+    return out.view(np.uint8)
+
+
+def spotted(docs: DataFrame, bits: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, text_hash, counts, base spans, their digest, and the words that may be disclosing (their slot is set)."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     id_type = src.schema["doc_id"].dataType
     schema = f"doc_id {id_type.simpleString()}, text_hash bigint, " + ", ".join(f"n_{k} bigint" for k in KINDS) + \
-        ", base string, base_sha256 string, near array<struct<e:bigint,t:string,s:int,x:int>>"
-    near_type = pa.list_(pa.struct([("e", pa.int64()), ("t", pa.string()), ("s", pa.int32()), ("x", pa.int32())]))
+        ", base string, base_sha256 string, seen array<struct<t:string,s:int,x:int>>"
+    seen_type = pa.list_(pa.struct([("t", pa.string()), ("s", pa.int32()), ("x", pa.int32())]))
+    some = bool(bits.any())
 
     def run(batches):
+        known: dict = {}
+
+        def held(w):
+            if w not in known:
+                if len(known) > COUNTER:
+                    known.clear()
+                i = slot(w)
+                known[w] = bool(bits[i >> 3] >> (i & 7) & 1)
+            return known[w]
         for b in pieces(batches, "text"):
-            base, near, counts = [], [], {k: [] for k in KINDS}
+            base, seen, counts = [], [], {k: [] for k in KINDS}
             for t in b.column(2).to_pylist():
                 spans = base_spans(t)
                 base.append(",".join(f"{k}:{s}:{e}" for k, s, e in spans))
-                near.append([dict(zip("etsx", c)) for c in context_terms(t, spans)] if spans else [])
+                hit = some and t and any(map(held, set(map(str.lower, WORD.findall(t)))))
+                seen.append([{"t": w, "s": s, "x": e} for w, s, e in free_words(t, spans) if held(w)] if hit else [])
                 for k in KINDS:
                     counts[k].append(sum(x[0] == k for x in spans))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), *[pa.array(counts[k], pa.int64()) for k in KINDS], pa.array(base, pa.string()),
-                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in base], pa.string()), pa.array(near, near_type)],
-                names=["doc_id", "text_hash", *[f"n_{k}" for k in KINDS], "base", "base_sha256", "near"])
+                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in base], pa.string()), pa.array(seen, seen_type)],
+                names=["doc_id", "text_hash", *[f"n_{k}" for k in KINDS], "base", "base_sha256", "seen"])
     return src.mapInArrow(run, schema)
 
 
 def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(t, n): number of documents that hold each lower-case word, over all documents."""
+    """(t, n): number of documents that hold each lower-case word outside their entities, over all documents."""
     prepare(docs.sparkSession)
 
     def run(batches):
         count: dict = {}
         for b in pieces(batches, "text"):
             for t in b.column(0).to_pylist():
-                if t:
-                    for w in set(WORD.findall(t.lower())):
-                        count[w] = count.get(w, 0) + 1
+                for w in free_terms(t, base_spans(t)):
+                    count[w] = count.get(w, 0) + 1
                 if len(count) > COUNTER:
                     yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], names=["t", "n"])
                     count = {}
@@ -170,18 +208,23 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text", min_do
 
     share = PMI(t, e) / IC(e) with document probabilities over the whole
     corpus; level 1 generalises, 2 removes.  An entity in every document has no
-    information to protect.  A term beside the entity in fewer than
-    ``min_docs`` documents is chance and is left.
+    information to protect.  Term and entity meet where one document holds both, however
+    far apart; a term with the entity in fewer than ``min_docs`` documents is chance and is left.
+    As they meet in n_e documents at most, a term of more than
+    N * (n_e / N) ** generalise documents cannot reach the share: such pairs are not formed.
     """
-    beside = found.where(F.size("near") > 0).select(
-        F.explode(F.array_distinct(F.transform("near", lambda c: F.struct(c["e"].alias("e"), c["t"].alias("t"))))).alias("c")).select("c.*")
-    pairs = saved(beside.groupBy("e", "t").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= min_docs), "pii-pairs")
-    ents = found.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda c: c["e"]))).alias("e")) \
-        .groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
+    found = saved(found.select("ents", "words").withColumn("row", F.monotonically_increasing_id()), "pii-scan")
     total = found.count()
-    df = saved(term_counts(docs, text_col).join(pairs.select("t").distinct(), "t", "left_semi"), "pii-df")
     n = F.lit(float(max(total, 1)))
-    joined = pairs.join(saved(ents, "pii-entities"), "e").join(df, "t").where(F.col("n_e") < total)
+    held = found.select("row", F.explode("ents").alias("e"))
+    ents = saved(held.groupBy("e").agg(F.count(F.lit(1)).alias("n_e")).where((F.col("n_e") >= min_docs) & (F.col("n_e") < total))
+                 .withColumn("most", n * F.pow(F.col("n_e") / n, F.lit(float(generalise))) * (1 + 1e-9)), "pii-entities")
+    most = ents.agg(F.max("most")).first()[0] or 0.0
+    df = saved(term_counts(docs, text_col).where((F.col("n") >= min_docs) & (F.col("n") <= most)), "pii-df")
+    held = saved(matching(held, ents, "e", "inner", SMALL), "pii-held")
+    words = found.join(held.select("row").distinct(), "row", "left_semi").select("row", F.explode("words").alias("t"))
+    meet = held.join(matching(words, df, "t", "inner", SMALL), "row").where(F.col("n") <= F.col("most"))
+    joined = meet.groupBy("e", "t", "n_e", "n").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= min_docs)
     share = F.log2(F.col("n_et") * n / (F.col("n") * F.col("n_e"))) / F.log2(n / F.col("n_e"))
     return saved(joined.select("e", "t", share.alias("share")).where(F.col("share") >= generalise)
                  .withColumn("level", F.when(F.col("share") >= remove, 2).otherwise(1)), "pii-disclosing")
@@ -191,17 +234,17 @@ def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per row of ``docs``: doc_id, text_hash, n_email, n_ip, n_card, n_phone, base, base_sha256, terms.
 
     base: the pattern spans as ``kind:start:end``; terms: array of (start,
-    end, level) of the disclosing terms, in order, never inside a pattern span.
+    end, level) of every place where a disclosing term stands, with its entity or
+    without, in order, never inside a pattern span; the highest of a term's levels holds.
     Null text is empty: no spans, the digest of the empty string.  Repeated
     rows are scanned row by row (and count as documents of their own), an
     empty table gives an empty result, other columns are not read.
     """
-    found = saved(scan(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "pii-scan")
-    flagged = disclosing(found, docs, text_col, **kw)
-    near = found.where(F.size("near") > 0).select("row", F.inline("near"))
-    hits = (near.join(flagged.select("e", "t", "level"), ["e", "t"]).groupBy("row", "s", "x").agg(F.max("level").alias("level"))
-                .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("s", "x", "level"))).alias("terms")))
-    out = found.drop("near").join(saved(hits, "pii-hits"), "row", "left").drop("row")
+    flagged = saved(disclosing(scan(docs, id_col, text_col), docs, text_col, **kw).groupBy("t").agg(F.max("level").alias("level")), "pii-flagged")
+    found = saved(spotted(docs, slots(flagged), id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "pii-spotted")
+    hits = (matching(found.where(F.size("seen") > 0).select("row", F.inline("seen")), flagged, "t", "inner", SMALL)
+            .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("s", "x", "level"))).alias("terms")))
+    out = found.drop("seen").join(saved(hits, "pii-hits"), "row", "left").drop("row")
     return out.withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<s:int,x:int,level:int>>")))
 
 
@@ -236,7 +279,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     terms = (private_spans(docs, id_col, text_col, **kw).where(F.size("terms") > 0)
              .select(F.col("doc_id").alias(i), F.col("text_hash").alias(h), F.col("terms").alias(x)).dropDuplicates([i, h]))
     terms = saved(terms, "pii-terms")
-    small = terms.limit(200_001).count() <= 200_000
+    small = terms.limit(SMALL + 1).count() <= SMALL
     keyed = docs.join(F.broadcast(terms) if small else terms,
                       docs[id_col].eqNullSafe(terms[i]) & (F.xxhash64(docs[text_col]) == terms[h]), "left").drop(i, h)
     at, schema, names = docs.columns.index(text_col), docs.schema, docs.columns

@@ -81,6 +81,22 @@ def test_disclosure_is_the_share_of_information(spark):
     assert abs(flagged["beta"] - math.log2(4 * 32 / (8 * 4)) / math.log2(32 / 4)) < 1e-12
 
 
+def test_terms_are_taken_out_wherever_they_stand(spark):
+    """More than a context away from the entity, and in documents that do not hold it; counted over whole documents."""
+    gap = " ".join(["weather"] * 30)
+    rows = [(i, f"Quentarius {gap} quentarius@mail.example.com {gap} quentarius filler{i}") for i in range(12)]
+    rows += [(i, f"about the weather today filler{i}") for i in range(12, 200)]
+    rows += [(300, "QUENTARIUS is named, weather, quentarius"), (301, "mail example com"), (None, "of quentarius")]
+    df = documents(spark, rows)
+    got = {r["doc_id"]: [(x["s"], x["x"], x["level"]) for x in r["terms"]] for r in pii.private_spans(df).collect()}
+    assert got[300] == [(0, 10, 2), (30, 40, 2)] and got[None] == [(3, 13, 2)]
+    assert got[301] == got[50] == []                       # parts of an address are no terms beside it
+    assert all(len(got[i]) == 2 for i in range(12))
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert out[300] == " is named, weather, " and out[None] == "of " and out[50] == dict(rows)[50]
+    assert not any("uentarius" in t.lower() for t in out.values())
+
+
 def test_edges(spark):
     got = pii.span_rows(pii.private_spans(documents(spark, EDGES))).collect()
     assert len(got) == len(EDGES) and all(r["spans"] == "" for r in got)
