@@ -7,9 +7,10 @@ buckets, and within a bucket each word type of the corpus is as likely as anothe
 
 The network: context embeddings, scaled by position, summed and squashed, then
 a two-level softmax (64 classes of 64 tokens, by frequency).  It is trained in
-numpy inside the tasks, on every document: in each round every task hides one position
-in ``MASK`` of all its texts and takes gradient steps from the shared parameters; the tasks'
-results are averaged, weighted by positions, through a shuffled tree.
+numpy inside the tasks, on every token of every document: positions are dealt to ``MASK`` sets, the sets
+to the rounds; in each round every task hides its sets of positions in turn, in all its texts,
+and takes gradient steps from the shared parameters; the tasks' results are averaged,
+weighted by positions, through a shuffled tree.  After all rounds (of up to ``MASK``) each position was hidden once.
 """
 
 from __future__ import annotations
@@ -221,8 +222,14 @@ def sequences(column) -> list:
     return [np.frombuffer(x, np.int16) for x in column.to_pylist()]
 
 
+def hidden(at: np.ndarray, r: int, rounds: int) -> list:
+    """The sets of positions that round ``r`` of ``rounds`` hides, one after the other; more than ``MASK`` rounds begin anew."""
+    own, n = (at * 2654435761 >> 7) % MASK, min(rounds, MASK)
+    return [at[own == k] for k in range(r % n, MASK, n)]
+
+
 def train(encoded: DataFrame, counts: np.ndarray, rounds: int = ROUNDS, seed: int = 42) -> dict:
-    """Parameters after ``rounds`` rounds over all documents, each round hiding other positions."""
+    """Parameters after ``rounds`` rounds over all documents, which hide every position between them."""
     p = initial(counts, seed)
     for r in range(rounds):
         start = flat(p)
@@ -231,17 +238,17 @@ def train(encoded: DataFrame, counts: np.ndarray, rounds: int = ROUNDS, seed: in
             t, n = Trainer(p), 0
             for b in pieces(batches, "ids", 1 << 20):
                 ids, at, _ = padded(sequences(b.column(0)))
-                at = at[(at * 2654435761 >> 7) % MASK == r % MASK]
-                for i in range(0, len(at), BATCH):
-                    t.step(ids, at[i:i + BATCH])
-                n += len(at)
+                for own in hidden(at, r, rounds):
+                    for i in range(0, len(own), BATCH):
+                        t.step(ids, own[i:i + BATCH])
+                    n += len(own)
             if n:
                 v = np.append(flat(t.p) * n, n)
                 yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([np.append(x, n).tobytes() for x in np.array_split(v[:-1], BLOCKS)], pa.binary())], names=["block", "vec"])
         parts = saved(encoded.select("ids").mapInArrow(run, "block int, vec binary"), "lm-parts")
         sums = {x["block"]: np.frombuffer(x["vec"], np.float64) for x in sum_vectors(parts, "block", "vec", DIM).collect()}
-        if not sums:
-            break
+        if not sums:                             # no text has a position of this round
+            continue
         v = np.concatenate([sums[k][:-1] / sums[k][-1] for k in range(BLOCKS)])
         p = shaped(v if len(v) == len(start) else start)
     return p

@@ -64,6 +64,18 @@ def test_scores(spark):
     assert lm.pseudo_likelihood(documents(spark, [])).count() == 0
 
 
+def test_every_position_is_trained_on(spark):
+    """Token 1 stands only where the hash of the position is 2 to 7; the registered number of rounds learns it."""
+    _, at, _ = lm.padded([np.zeros(4000, np.int16)])
+    ids = ((at * 2654435761 >> 7) % lm.MASK >= 2).astype(np.int16)
+    encoded = spark.createDataFrame([(1, bytearray(ids.tobytes()))], "doc_id bigint, ids binary").coalesce(1)
+    p = lm.train(encoded, np.ones(lm.TOKENS))
+    assert ids.mean() > 0.7 and p["low_b"][0][1] > p["low_b"][0][0]
+    for rounds in (1, 2, 3, 4, 8):
+        told = np.concatenate([x for r in range(rounds) for x in lm.hidden(at, r, rounds)])
+        assert sorted(told.tolist()) == at.tolist()
+
+
 def test_padding_keeps_documents_apart():
     ids, at, sizes = lm.padded([np.array([1, 2]), np.array([], np.int64), np.array([3])])
     assert sizes.tolist() == [2, 0, 1] and ids[at].tolist() == [1, 2, 3]
