@@ -19,12 +19,13 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import WORD_RE, fresh, null_safe, saved
+from corpusmill.llm.common import WORD_RE, fresh, matching, null_safe, saved
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_COPIES = 2
 BUCKET_ROWS = 512
+PART_ROWS = 65_536           # rows that are numbered together
 
 
 def word_count(text_col: str = "text"):
@@ -109,18 +110,11 @@ def tilts(units: DataFrame, targets: DataFrame, max_copies: int = MAX_COPIES, to
             return state.select("s_k", "s_n", F.round("lam", 9).alias("lam"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+def dealt(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, share: float = SHARE, max_copies: int = MAX_COPIES, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rate, copies, taken, k) per distinct (doc_id, source, size).
+    """(doc_id, source, size, source_size, target, rate, copies, more, k) per distinct (doc_id, source, size).
 
-    ``k`` counts the rows that share these three values; each of them is taken
-    ``copies`` times (0 to ``max_copies``).  taken = copies * size.  The rounding
-    works in buckets of about ``bucket_rows`` documents of one source, dealt by
-    a hash of the id, so a source with a third of all rows is spread over many
-    tasks; a bucket ends within half of its smallest documents of its share.
-    Null text has size 0 and takes nothing; a null source is one source, last
-    in order; null and repeated ids are documents like others; an empty table
-    gives an empty result; other columns are not read.
+    Of the ``k`` rows that share these three values ``more`` are taken ``copies + 1`` times, the others ``copies`` times.
     """
     units = saved(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"))
                       .groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("k")), "mix-units")
@@ -139,19 +133,40 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     item = F.struct((-F.col("size")).alias("down"), "h", "doc_id", "size", "rate", "k")
     grouped = rows.groupBy("s_k", "s_n", "bucket", "source", "source_size", "target").agg(
         F.sort_array(F.collect_list(item)).alias("items"))
-    zero = F.struct(F.lit(0.0).alias("over"), F.array().cast("array<int>").alias("copies"))
+    zero = F.struct(F.lit(0.0).alias("over"), F.array().cast("array<bigint>").alias("copies"))
 
     def place(state, x):
-        """Copies of one document, given the words that those before were over or under."""
-        size = F.greatest(x["size"] * x["k"], F.lit(1))
-        want = F.least(F.greatest(F.round((x["rate"] * size + state["over"]) / size), F.lit(0.0)), F.lit(float(max_copies)))
+        """Copies of a unit's rows together, given the words that those before were over or under."""
+        size = F.greatest(x["size"], F.lit(1))
+        want = F.least(F.greatest(F.round((x["rate"] * x["k"] * size + state["over"]) / size), F.lit(0.0)), x["k"] * float(max_copies))
         copies = F.when(x["size"] == 0, F.lit(0.0)).otherwise(want)
-        over = F.when(x["size"] == 0, state["over"]).otherwise(state["over"] + (x["rate"] - copies) * size)
-        return F.struct(over.alias("over"), F.concat(state["copies"], F.array(copies.cast("int"))).alias("copies"))
-    dealt = grouped.select("source", "source_size", "target", "items", F.aggregate("items", zero, place)["copies"].alias("copies"))
-    out = dealt.select("source", "source_size", "target", F.inline(F.arrays_zip("items", "copies")))
-    return out.select("items.doc_id", "source", "items.size", "source_size", "target", "items.rate", "copies",
-                      (F.col("items.size") * F.col("copies")).alias("taken"), "items.k")
+        over = F.when(x["size"] == 0, state["over"]).otherwise(state["over"] + (x["rate"] * x["k"] - copies) * size)
+        return F.struct(over.alias("over"), F.concat(state["copies"], F.array(copies.cast("bigint"))).alias("copies"))
+    out = grouped.select("source", "source_size", "target", "items", F.aggregate("items", zero, place)["copies"].alias("n")) \
+        .select("source", "source_size", "target", F.inline(F.arrays_zip("items", "n")))
+    k = F.col("items.k")
+    return out.select("items.doc_id", "source", "items.size", "source_size", "target", "items.rate",
+                      F.floor((F.col("n") - F.col("n") % k) / k).cast("int").alias("copies"), (F.col("n") % k).alias("more"), k.alias("k"))
+
+
+def mix(docs: DataFrame, *args, **kw) -> DataFrame:
+    """(doc_id, source, size, source_size, target, rate, copies, taken, k) per distinct (doc_id, source, size) and number of copies.
+
+    ``k`` counts the rows that share these values; each of them is taken
+    ``copies`` times (0 to ``max_copies``).  taken = copies * size.  Rows that share id,
+    source and size may differ by one copy, so that they give together what one row each would.  The rounding
+    works in buckets of about ``bucket_rows`` documents of one source, dealt by
+    a hash of the id, so a source with a third of all rows is spread over many
+    tasks; a bucket ends within half of its smallest documents of its share.
+    Null text has size 0 and takes nothing; a null source is one source, last
+    in order; null and repeated ids are documents like others; an empty table
+    gives an empty result; other columns are not read.
+    """
+    kinds = F.filter(F.array(F.struct((F.col("copies") + 1).alias("copies"), F.col("more").alias("k")),
+                             F.struct("copies", (F.col("k") - F.col("more")).alias("k"))), lambda x: x["k"] > 0)
+    out = dealt(docs, *args, **kw).withColumn("kind", F.explode(kinds))
+    return out.select("doc_id", "source", "size", "source_size", "target", "rate", "kind.copies",
+                      (F.col("size") * F.col("kind.copies")).alias("taken"), "kind.k")
 
 
 def mix_rows(mixed: DataFrame) -> DataFrame:
@@ -162,9 +177,36 @@ def mix_rows(mixed: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
     """The mix itself: every row of ``docs`` as many times as it is taken, its columns unchanged."""
-    i, src, n, c, copy = fresh(docs, "cm_id", "cm_source", "cm_size", "cm_copies", "cm_copy")
-    m = saved(mix(docs, id_col, text_col, source_col, **kw).where("copies > 0").select(
-        F.col("doc_id").alias(i), F.col("source").alias(src), F.col("size").alias(n), F.col("copies").alias(c)), "mix-copies")
+    names = ("id", "source", "size", "copies", "more", "k", "unit", "hash", "rows", "quota", "part", "before", "copy")
+    i, src, n, c, more, k, unit, h, rows, quota, part, before, copy = fresh(docs, *[f"cm_{x}" for x in names])
+    m = saved(dealt(docs, id_col, text_col, source_col, **kw).where("copies > 0 or more > 0").select(
+        F.col("doc_id").alias(i), F.col("source").alias(src), F.col("size").alias(n), F.col("copies").alias(c), F.col("more").alias(more),
+        F.col("k").alias(k), F.monotonically_increasing_id().alias(unit)), "mix-copies")
     on = docs[id_col].eqNullSafe(m[i]) & docs[source_col].cast("string").eqNullSafe(m[src]) & (word_count(text_col) == m[n])
+
+    def copied(df):
+        return df.where(F.col(c) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(c)))).select(*docs.columns)
     # A sort-merge join at every size: there is a row of copies for nearly every document.
-    return docs.join(m.hint("merge"), on).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(c)))).select(*docs.columns)
+    out = copied(docs.join(m.where(F.col(more) == 0).hint("merge"), on))
+    if m.where(F.col(more) > 0).limit(1).count() == 0:
+        return out
+
+    def running(df, keys, value, order):
+        """The sum of ``value`` over the rows of the same keys before each, parts first: no task sorts a whole unit."""
+        sums = df.groupBy(*keys, part).agg(F.sum(value).alias(before))
+        start = sums.withColumn(before, F.coalesce(F.sum(before).over(
+            Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        inside = F.coalesce(F.sum(value).over(Window.partitionBy(*keys, part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        return df.withColumn(copy, inside).join(start, [*keys, part]).withColumn(before, F.col(before) + F.col(copy)).drop(copy, part)
+    # Units whose rows differ: texts in the order of their hash take the copy more, and the last of them for some of its rows.
+    split = docs.join(m.where(F.col(more) > 0).hint("merge"), on).withColumn(h, F.xxhash64(text_col))
+    texts = saved(split.groupBy(unit, more, k, h).agg(F.count(F.lit(1)).alias(rows))
+                       .withColumn(part, F.pmod(h, F.ceil(F.col(k) / PART_ROWS))), "mix-texts")
+    due = F.greatest(F.lit(0), F.least(F.col(rows), F.col(more) - F.col(before)))
+    due = saved(running(texts, [unit], F.col(rows), h).select(unit, h, rows, due.alias(quota)), "mix-quotas")
+    split = matching(split, due, [unit, h], "inner", 200_000)
+    some = (F.col(quota) > 0) & (F.col(quota) < F.col(rows))
+    sure = split.where(~some).withColumn(c, F.col(c) + (F.col(quota) > 0).cast("int"))
+    edge = saved(split.where(some).withColumn(part, F.floor(F.rand(1) * F.ceil(F.col(rows) / PART_ROWS))), "mix-edge")
+    edge = running(edge, [unit, h], F.lit(1), h).withColumn(c, F.col(c) + (F.col(before) < F.col(quota)).cast("int"))
+    return out.unionByName(copied(sure)).unionByName(copied(edge))

@@ -78,3 +78,26 @@ def test_edges(spark):
 def test_plan_has_no_python(spark):
     text = mixing.mix(documents(spark, EDGES))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+def test_rows_that_share_id_and_size_differ_by_a_copy(spark, monkeypatch):
+    """Null and repeated ids of one size come as near their target as rows with ids of their own."""
+    monkeypatch.setattr(mixing, "PART_ROWS", 64)
+    rows = [(None, " ".join([f"w{i if i < 200 else 200}"] * 10), "en", "a") for i in range(600)]
+    rows += [(7, " ".join([f"x{i if i < 200 else 200}"] * 10), "en", "b") for i in range(400)]
+    rows += [(8, " ".join(["y"] * 7), "en", "b") for _ in range(400)] + [(9, None, "en", "c"), (9, None, "en", "c")]
+    docs = documents(spark, rows)
+    units = mixing.mix(docs).collect()
+    assert sum(r["k"] for r in units) == len(rows) == mixing.mix_rows(mixing.mix(docs)).count()
+    want, words = {}, {}
+    for r in units:
+        want[r["source"]] = r["target"]
+        words[r["source"]] = words.get(r["source"], 0) + r["taken"] * r["k"]
+        assert 0 <= r["copies"] <= mixing.MAX_COPIES and abs(r["copies"] - r["rate"]) <= 2
+    assert all(abs(words[s] - want[s]) <= 10 for s in want)
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    got = {}
+    for r in out.collect():
+        got[r["source"]] = got.get(r["source"], 0) + len(r["text"].split())
+    assert got == {s: w for s, w in words.items() if w}
