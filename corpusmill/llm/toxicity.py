@@ -10,6 +10,7 @@ document of that length has such a passage by chance.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 
@@ -31,6 +32,7 @@ MIN_EVIDENCE = 12.0          # log-likelihood ratio, over documents, that a feat
 DRIFT = 1.0                  # taken off every token's log-odds, so that clean text scores below zero
 THRESHOLD = 0.7
 MAX_SURPRISE = 12.0
+COPY = 0.8                   # Jaccard similarity of the runs of five tokens of two copies
 COUNTER = 200_000
 TOKEN = re.compile(r"\w+")
 
@@ -94,32 +96,67 @@ def labelled(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, i
     return saved(one.orderBy(F.xxhash64("cm_label_id"), "cm_label_id").limit(max_labels), "toxic-labels")
 
 
-def sketches(text: str | None) -> tuple[int, int]:
-    """Two min-hashes of a text's runs of five tokens; copies agree in them, near copies mostly in one."""
+def run_hashes(text: str | None) -> np.ndarray:
+    """Hashes of a text's runs of five tokens, in order."""
     w = tokens(text)
     h = np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w))
     k = min(5, len(h))
     if not k:
-        return 0, 0
+        return np.zeros(0, np.uint64)
     runs = np.zeros(len(h) - k + 1, np.uint64)
     for i in range(k):
         runs = (runs ^ h[i:len(h) - k + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
         runs ^= runs >> np.uint64(32)
+    return runs
+
+
+def sketches(runs: np.ndarray) -> tuple[int, int]:
+    """Two min-hashes of the runs; copies agree in them, near copies mostly in one."""
+    if not len(runs):
+        return 0, 0
     return tuple(int(((runs ^ np.uint64(seed)) * np.uint64(0xC2B2AE3D27D4EB4F)).min().view(np.int64)) for seed in (1, 0x5851F42D4C957F2D))
 
 
 def without_copies(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``known`` less the documents that copy another of the same label: copies would count as evidence many times."""
+    """``known`` less the documents that copy another of the same label: copies would count as evidence many times.
+
+    Equal token sequences count once.  Documents that agree in a min-hash are held against the
+    first of them: one that shares ``COPY`` of its runs or more with it goes, one with a passage in common stays.
+    """
     src = docs.select(F.col(id_col).alias("cm_label_id"), F.col(text_col).alias("text")).where("text is not null").join(F.broadcast(known), "cm_label_id")
 
-    def run(batches):
+    def whole(t):
+        return hashlib.blake2b(" ".join(tokens(t)).encode(), digest_size=16).digest()
+
+    def sketched(batches):
+        for b in pieces(batches, "text"):
+            texts = b.column(1).to_pylist()
+            m = [sketches(run_hashes(t)) for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(map(whole, texts), pa.binary()), *[pa.array([x[k] for x in m], pa.int64()) for k in (0, 1)]],
+                                             names=["cm_label_id", "cm_toxic", "whole", "m0", "m1"])
+
+    def sets(batches):
         for b in pieces(batches, "text"):
-            m = [sketches(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *[pa.array([x[k] for x in m], pa.int64()) for k in (0, 1)]], names=["cm_label_id", "cm_toxic", "m0", "m1"])
+            texts = b.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array(map(whole, texts), pa.binary()), pa.array([np.unique(run_hashes(t)).view(np.int64) for t in texts], pa.list_(pa.int64()))],
+                                             names=["whole", "runs"])
     kind = known.schema["cm_label_id"].dataType.simpleString()
-    left = src.select("cm_label_id", "text", "cm_toxic").mapInArrow(run, f"cm_label_id {kind}, cm_toxic int, m0 bigint, m1 bigint")
+    src = src.select("cm_label_id", "text", "cm_toxic")
+    left = saved(src.mapInArrow(sketched, f"cm_label_id {kind}, cm_toxic int, whole binary, m0 bigint, m1 bigint")
+                    .groupBy("cm_toxic", "whole", "m0", "m1").agg(F.min("cm_label_id").alias("cm_label_id")), "toxic-distinct")
+    met = []
     for m in ("m0", "m1"):
-        left = left.groupBy("cm_toxic", m).agg(F.min(F.struct("cm_label_id", "m0", "m1")).alias("x")).select("cm_toxic", "x.*")
+        first = left.groupBy("cm_toxic", m).agg(F.min(F.struct("cm_label_id", "whole")).alias("to"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        met.append(left.join(first, ["cm_toxic", m]).select("cm_toxic", "cm_label_id", "whole", F.col("to.cm_label_id").alias("to_id"), F.col("to.whole").alias("to")))
+    met = saved(met[0].unionByName(met[1]).where("whole != to").distinct(), "toxic-met")
+    # The runs of those that met only, from their texts.
+    ids = saved(met.select("cm_label_id").union(met.select("to_id")).distinct(), "toxic-met-ids")
+    runs = saved(src.join(F.broadcast(ids), "cm_label_id", "left_semi").select("cm_label_id", "text").mapInArrow(sets, "whole binary, runs array<bigint>")
+                    .dropDuplicates(["whole"]), "toxic-runs")
+    both = F.size(F.array_intersect("runs", "others"))
+    gone = (met.join(runs, "whole").join(runs.select(F.col("whole").alias("to"), F.col("runs").alias("others")), "to")
+               .where(both >= F.lit(COPY) * (F.size("runs") + F.size("others") - both)).select("cm_toxic", "whole"))
+    left = left.join(saved(gone, "toxic-copies"), ["cm_toxic", "whole"], "left_anti")
     return saved(left.select("cm_label_id", "cm_toxic").distinct(), "toxic-known")
 
 

@@ -75,3 +75,15 @@ def test_edges(spark):
     assert len(got) == len(EDGES) and all(r["score"] == 0 and r["predicted"] == 0 for r in got)
     assert toxicity.toxicity(documents(spark, []), labels).count() == 0
     assert toxicity.toxicity(documents(spark, EDGES), labels.where("false")).count() == len(EDGES)
+
+
+def test_a_common_passage_makes_no_copy(spark):
+    """Training rows go only if they are alike as a whole: not for a passage, be it half of the text."""
+    passage = " ".join(f"passage{i}" for i in range(60))
+    rows = [(i, passage + " " + " ".join(f"own{i}x{j}" for j in range(60))) for i in range(40)]
+    long = " ".join(f"long{i}" for i in range(200))
+    rows += [(100, long), (101, long + " end"), (102, long.upper() + "!"), (103, None), (104, ""), (105, " . ")]
+    docs = documents(spark, rows)
+    known = spark.createDataFrame([(r[0], 0) for r in rows], "cm_label_id bigint, cm_toxic int")
+    got = {r["cm_label_id"] for r in toxicity.without_copies(docs, known, "doc_id", "text").collect()}
+    assert got == set(range(40)) | {100, 104}
