@@ -135,3 +135,78 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     from corpusmill.llm.mixing import mix, mix_rows
     return mix_rows(mix(table(spark, sf_dir, "documents")))
+
+
+@register("op11_digest_run_dedup", """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""")
+def op11(spark, sf_dir):
+    from corpusmill.llm.digestruns import exact_groups
+    return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
+
+
+def _op12_sql(levels: int = 6, upper: int = 3) -> str:
+    """Trees of up to 16 ** levels rows a source, 16 ** upper sources; a node that is alone in its tree goes up unchanged."""
+    def field(c):
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR) END"
+    ids, text = [field(c) for c in ("doc_id", "source", "lang", "n_chars")], "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    byte = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    crc = ("xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+           f"lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b: {byte}), 4294967295)")
+    out = [f"""WITH d AS (SELECT doc_id, source, sha256({' || '.join([*ids, field('text')])}) AS leaf,
+  CASE WHEN {crc} % 5 = 0 THEN sha256({' || '.join([*ids, field(text)])}) END AS altered FROM documents),
+x0 AS (SELECT dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS gid, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  doc_id, leaf, coalesce(altered, leaf) AS folded, '' AS proof FROM d),
+n0 AS (SELECT gid, pos, leaf AS h, count(*) OVER (PARTITION BY gid) AS n FROM x0)"""]
+
+    def climb(k):
+        out.append(f"""s{k} AS (SELECT gid, pos, h, n,
+  coalesce(string_agg(h, '') OVER (PARTITION BY gid, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+  coalesce(string_agg(h, '') OVER (PARTITION BY gid, pos // 16 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM n{k}),
+x{k + 1} AS (SELECT x.* REPLACE (x.pos // 16 AS pos, CASE WHEN n > 1 THEN sha256(a || folded || b) ELSE folded END AS folded,
+  proof || a || b AS proof) FROM x{k} x JOIN s{k} s ON x.gid = s.gid AND x.pos = s.pos),
+n{k + 1} AS (SELECT gid, pos // 16 AS pos, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h,
+  (any_value(n) + 15) // 16 AS n FROM n{k} GROUP BY gid, pos // 16)""")
+    for k in range(levels):
+        climb(k)
+    m = levels + 1
+    out.append(f"""x{m} AS (SELECT x.* REPLACE (0 AS gid, x.gid AS pos), n.h AS subroot FROM x{levels} x JOIN n{levels} n ON x.gid = n.gid),
+n{m} AS (SELECT 0 AS gid, gid AS pos, h, count(*) OVER () AS n FROM n{levels})""")
+    for k in range(m, m + upper):
+        climb(k)
+    end = m + upper
+    return ",\n".join(out) + f"""
+SELECT x.doc_id, x.leaf, x.subroot, n.h AS root, sha256(x.proof) AS proof_sha256, x.folded AS folded_root, x.folded = n.h AS verified FROM x{end} x, n{end} n"""
+
+
+@register("op12_slot_pivot_manifest", _op12_sql())
+def op12(spark, sf_dir):
+    from corpusmill.llm.merkle import proofs
+    return proofs(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+t AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+m AS (SELECT CAST(unnest([1, 2, 3, 4, 5]) AS BIGINT) AS m),
+i AS (SELECT lang, m, ws, unnest(range(1, CAST(len(ws) - m + 2 AS BIGINT))) AS i FROM w, m WHERE len(ws) >= m),
+g AS (SELECT lang, m, ws[i:i + m - 1] AS g, count(*) AS f FROM i GROUP BY ALL),
+c AS (SELECT lang, m, g, f AS a FROM g WHERE m > 1 AND f >= 100),
+sub AS (SELECT lang, g[x:y] AS g, max(a) AS longer FROM (SELECT lang, m, g, a, unnest(range(1, m + 1)) AS x FROM c), (SELECT unnest([2, 3, 4, 5]) AS y)
+  WHERE y > x AND y <= m AND y - x + 1 < m GROUP BY ALL),
+alive AS (SELECT c.* FROM c LEFT JOIN sub ON c.lang = sub.lang AND c.g = sub.g WHERE sub.longer IS NULL OR 100 * sub.longer < 100 * c.a),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM alive),
+s AS (SELECT k.lang, k.g, k.a, k.k, x.f AS l, y.f AS r, t.n,
+  CAST((CAST(1000 AS HUGEINT) * k.a * t.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM k JOIN t ON k.lang = t.lang JOIN g x ON x.lang = k.lang AND x.g = k.g[1:k.k] JOIN g y ON y.lang = k.lang AND y.g = k.g[k.k + 1:]),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS b FROM s),
+o AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM best WHERE b = 1)
+SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o) WHERE rank <= 2000"""
+
+
+@register("op13_branch_and_bound_collocations", OP13_SQL)
+def op13(spark, sf_dir):
+    from corpusmill.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
