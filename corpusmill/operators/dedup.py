@@ -5,11 +5,10 @@ shuffled rows are (key, doc_id).  Survivors are re-attached to the
 documents through a semi/anti join on doc_id whose small side is broadcast
 only after its size is measured.
 
-Near duplicates use MinHash over word 5-shingles with LSH banding.  To stay
-linear in hot buckets (a boilerplate template shared by a third of the
-corpus) a band bucket never emits all its member pairs: members are compared
-with the bucket's smallest id (a star, each edge verified with the exact
-Jaccard), those unlike it again under a finer key, and connected components are found by iterative
+Near duplicates are found by an exact set-similarity join over word
+5-shingles: sets are indexed under their rarest shingles only (prefix
+filter), with length and position bounds and parity bitmaps before the exact
+Jaccard.  Clusters are linked by stars, and connected components are found by iterative
 min-label propagation with reliable checkpoints between rounds.
 """
 
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
 from corpusmill.operators.clean import keep_if
-from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_join, drop_keys, materialize
+from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_join, drop_keys, materialize, stored
 
 
 # --- B7 ---------------------------------------------------------------------
@@ -70,101 +69,136 @@ def shingle_hashes(df: DataFrame, n: int = 5, id_col: str = "doc_id", text_col:
                      F.array_distinct(tx.ngram_hashes(tx.words(F.lower(F.col(text_col))), n)).alias("sh"))
 
 
-MINHASH_CHUNK = 4096
-
-
-def _splitmix64(z):
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
-def _perm_seeds(num_perm: int, seed: int) -> np.ndarray:
-    return _splitmix64(np.arange(num_perm, dtype=np.uint64) + np.uint64(seed))
+def jaccard_expr(a, b) -> "F.Column":
+    inter = F.size(F.array_intersect(a, b))
+    union = F.size(a) + F.size(b) - inter
+    return tx.round6(inter.cast("double") / union.cast("double"))
 
 
-def minhash_signature(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """min over shingles of splitmix64(shingle XOR seed_i), for every seed i (as int64)."""
-    x = shingles.astype(np.int64).view(np.uint64)
-    low = np.full(len(seeds), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(x), MINHASH_CHUNK):        # a fixed block, however long the document
-        low = np.minimum(low, _splitmix64(x[i:i + MINHASH_CHUNK, None] ^ seeds[None, :]).min(axis=0))
-    return low.view(np.int64)
+BITMAP_WORDS = 8             # 512 bits of parity per set
+PAIRS_PER_TASK = 4_000_000   # comparisons within one shingle that a task makes
 
 
-def minhash(sh: DataFrame, num_perm: int = 128, seed: int = 42) -> DataFrame:
-    """(doc_id, sh, mh: array<bigint>) - num_perm MinHash values over the shingle hashes.
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """(id, bits: array<bigint>): the parity of the set's hashes per residue.
 
-    The signature is the one numeric kernel done in Python: a vectorised
-    (shingles x permutations) numpy block per document inside an Arrow-batched
-    pandas UDF, instead of num_perm interpreted lambdas per shingle.
+    One element more or less flips one bit, so two sets that differ in d elements
+    differ in at most d bits: a bound that needs no look at the sets.
     """
-    seeds = _perm_seeds(num_perm, seed)
+    size = 64 * BITMAP_WORDS
 
     @F.pandas_udf("array<bigint>")
-    def sig(col: pd.Series) -> pd.Series:
-        return pd.Series([minhash_signature(np.asarray(a, dtype=np.int64), seeds) for a in col])
-    return sh.where(F.size("sh") > 0).withColumn("mh", sig("sh"))
+    def parity(col: pd.Series) -> pd.Series:
+        odd = [np.bincount(np.asarray(a, dtype=np.int64) & (size - 1), minlength=size) & 1 for a in col]
+        return pd.Series([np.packbits(x.astype(np.uint8)).view(np.int64) for x in odd])
+    return sets.select("id", parity("sh").alias("bits"))
 
 
-def jaccard_expr(a, b) -> "F.Column":
-    inter = F.size(F.array_intersect(a, b))
-    union = F.size(a) + F.size(b) - inter
-    return tx.round6(inter.cast("double") / union.cast("double"))
-
+def rare_prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """(id, len, s, upto): the shingles by which a set can meet one that is similar enough.
 
-def _verified(cand: DataFrame, sh: DataFrame, threshold: float) -> DataFrame:
+    Shingles are ordered from rare to frequent (ties by hash).  Two sets of
+    Jaccard t or more have their first common shingle, in that order, among the
+    first len - ceil(t * len) + 1 of either.  Shingles of one set only come first
+    and meet nothing, so a set with that many of its own needs no row at all, and only
+    shared shingles are ordered.  A shingle at place i of x leaves at most len - i in
+    common, which bounds the length of a partner: ``upto`` (the position filter).
+    """
+    shared = stored(sets.select(F.explode("sh").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+                        .where(F.col("n") > 1), "near-shared")
+    held = checked_join(sets.select("id", F.size("sh").alias("len"), F.explode("sh").alias("s")), shared, "s",
+                        small_rows=shared.count())
+    own = held.groupBy("id", "len").agg(F.sort_array(F.collect_list(F.struct("n", "s"))).alias("ts"))
+    alone = F.col("len") - F.size("ts")
+    take = F.col("len") - F.ceil(F.col("len") * threshold).cast("int") + 1 - alone
+    rows = (own.where(take > 0).withColumn("alone", alone)
+               .select("id", "len", "alone", F.posexplode(F.slice("ts", 1, take)).alias("i", "t")))
+    left = F.col("len") - F.col("alone") - F.col("i")          # may be in common, this shingle included
+    upto = F.floor(left * (1 + threshold) / threshold + 1e-6) - F.col("len")
+    return (rows.select("id", "len", F.col("t.s").alias("s"), upto.cast("int").alias("upto"))
+                .where(F.col("upto") >= F.ceil(F.col("len") * threshold - 1e-6)))
+
+
+def _may_match(x: str, y: str, threshold: float) -> "F.Column":
+    """Lengths within each other's bounds, and bitmaps that differ in no more bits than the sets may."""
+    differ = F.lit(0)
+    for i in range(BITMAP_WORDS):
+        differ = differ + F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i]))
+    most = (F.col(f"{x}.len") + F.col(f"{y}.len")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    return (F.col(f"{x}.len") <= F.col(f"{y}.upto")) & (F.col(f"{y}.len") <= F.col(f"{x}.upto")) & (differ <= most)
+
+
+def _verified(cand: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """(a, b, jaccard) of candidate pairs whose shingle sets are similar enough."""
-    return (cand.join(sh.select(F.col("id").alias("a"), F.col("sh").alias("sa")), "a")
-                .join(sh.select(F.col("id").alias("b"), F.col("sh").alias("sb")), "b")
+    return (cand.join(sets.select(F.col("id").alias("a"), F.col("sh").alias("sa")), "a")
+                .join(sets.select(F.col("id").alias("b"), F.col("sh").alias("sb")), "b")
                 .select("a", "b", jaccard_expr("sa", "sb").alias("jaccard"))
                 .where(F.col("jaccard") >= threshold))
 
 
-def near_dup_pairs(df: DataFrame, n: int = 5, bands: int = 32, rows: int = 4, threshold: float = 0.8,
-                   seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Verified near-duplicate edges (a, b, jaccard), a < b, jaccard >= threshold.
-
-    Identical shingle sets are linked to the set's smallest id (Jaccard 1, nothing to verify);
-    distinct sets meet in LSH band buckets.  A bucket does not give all its
-    pairs: each member is compared with the bucket's smallest id, and the
-    members that are not similar to it - they may be similar to one another,
-    as in a family that shares a template - stay and are dealt anew by a
-    finer key (the band's rows and those of the next band), until every
-    member is linked or alone.  A round is linear in what is left, and each makes the keys
-    longer, so there are at most as many rounds as bands.  The output is a linear-size edge
-    set whose components are the near-duplicate clusters, not every similar pair.
+def near_dup_pairs(df: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """Verified near-duplicate edges (a, b, jaccard), a < b, jaccard >= threshold (rounded to 6 places).
+
+    A set-similarity join by prefix filter: it misses no pair.  The edges
+    link all that is similar, directly or over others; not every similar pair is
+    an edge of its own, so a group of copies gives edges in proportion to its size:
+
+    1. equal shingle sets are linked to the set's smallest id;
+    2. the others meet in the shingles of their prefixes (``rare_prefixes``); each is
+       compared with the smallest of those that share a shingle;
+    3. what step 2 has not linked: per shingle, the members outside its largest
+       component so far are compared with all members of other
+       components, in blocks of a shingle's members.  Pairs are compared by lengths and bitmaps in
+       place, and only those that may be similar go on to the exact check.
+
+    Step 3 takes comparisons in proportion to (members outside the largest component) x
+    (members) of a shingle; they are dealt to tasks in blocks.
+    Documents of fewer than ``n`` words, null texts included, have no shingles and no edges.
     """
+    t = threshold - 5e-7                                    # the check rounds
     sh = shingle_hashes(df, n, id_col, text_col).withColumnRenamed(id_col, "id")
     # bind the shingle array once (a plain where would recompute it in the filter)
-    sh = keep_if(sh, "sh", lambda a: F.size(a) > 0).withColumn("sig", F.xxhash64(F.array_sort("sh")))
-    sh = materialize(sh)
-    rep = materialize(sh.groupBy("sig").agg(F.min("id").alias("rep")))
-    copies = (sh.select("id", "sig").join(rep, "sig").where(F.col("id") != F.col("rep"))
-                .select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("jaccard")))
-    reps = materialize(sh.join(rep.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "sh"))
-    mh = minhash(reps, bands * rows, seed)
-    band_keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
-                            lambda b: F.xxhash64(b, F.slice(F.col("mh"), b * rows + 1, rows)))
-    hashes = materialize(mh.select("id", band_keys.alias("hs")))
-    left = materialize(hashes.select("id", F.posexplode("hs").alias("band", "key")))
-    edges = []
-    for r in range(1, bands + 1):
-        least = materialize(left.groupBy("band", "key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("m"))
-                                .where(F.col("m") > 1).select("band", "key", "a"))
-        met = materialize(left.join(least, ["band", "key"]).where(F.col("id") != F.col("a")))
-        found = materialize(_verified(met.select("a", F.col("id").alias("b")).distinct(), reps, threshold))
-        edges.append(found)
-        # Members that are not like their bucket's first stay, under a longer key.
-        stay = met.join(found.select("a", F.col("b").alias("id")), ["a", "id"], "left_anti").select("id", "band", "key")
-        left = materialize(stay.join(hashes, "id").select(
-            "id", "band", F.xxhash64("key", F.element_at("hs", (F.pmod(F.col("band") + r, F.lit(bands)) + 1).cast("int"))).alias("key")))
-        if left.limit(1).count() == 0:
-            break
-    out = edges[0]
-    for e in edges[1:]:
-        out = out.unionByName(e)
-    return copies.unionByName(out.groupBy("a", "b").agg(F.first("jaccard").alias("jaccard")))
+    sh = stored(keep_if(sh, "sh", lambda a: F.size(a) > 0).withColumn("sig", F.xxhash64(F.array_sort("sh"))), "near-sets")
+    rep = stored(sh.groupBy("sig").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m")), "near-reps")
+    groups = rep.where(F.col("m") > 1).select("sig", "rep")
+    twins = checked_join(sh.select("id", "sig"), groups, "sig", small_rows=groups.count()).where(F.col("id") != F.col("rep"))
+    copies = stored(twins.select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("jaccard")), "near-copies")
+    sets = sh.select("id", "sh")
+    if copies.limit(1).count():
+        sets = drop_keys(sets, copies.select(F.col("b").alias("id")), "id", keys_rows=copies.count())
+    rows = stored(rare_prefixes(sets, t), "near-prefixes")
+    # A pair holds a set that may have partners of its own length or more: shingles without one meet nothing.
+    meet = rows.groupBy("s").agg(F.count(F.lit(1)).alias("m"), F.max(F.col("upto") >= F.col("len")).alias("open"))
+    rows = checked_join(rows, stored(meet.where((F.col("m") > 1) & F.col("open")).select("s"), "near-meet"), "s", "left_semi")
+    rows = stored(rows, "near-rows")
+    live = rows.select("id").distinct()
+    sets = stored(checked_join(sets, stored(live, "near-live"), "id", "left_semi"), "near-live-sets")
+    rows = stored(rows.join(_bitmaps(sets), "id"), "near-index")
+    x, y = rows.alias("x"), rows.alias("y")
+    first = rows.groupBy("s").agg(F.min(F.struct("id", "len", "upto", "bits")).alias("f")).select("s", "f.*")
+    star = (first.alias("x").join(y, "s").where((F.col("x.id") < F.col("y.id")) & _may_match("x", "y", t))
+                 .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+    star = stored(_verified(star, sets, threshold), "near-star")
+    found = copies.unionByName(star)
+    comp = components(star)
+    rows = rows.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    rows = stored(rows, "near-components")
+    parts = rows.groupBy("s", "comp").agg(F.count(F.lit(1)).alias("c"))
+    mixed = parts.groupBy("s").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"), F.count(F.lit(1)).alias("k"))
+    blocks = F.ceil((F.col("m") - F.col("top.c")) * F.col("m") / PAIRS_PER_TASK).cast("int")
+    mixed = stored(mixed.where(F.col("k") > 1).select("s", F.col("top.comp").alias("top"), blocks.alias("blocks")), "near-mixed")
+    n_mixed = mixed.count()
+    if n_mixed == 0:
+        return found
+    rows = stored(checked_join(rows, mixed, "s", small_rows=n_mixed), "near-open")
+    x = rows.where(F.col("comp") != F.col("top")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("x")
+    y = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).alias("y")
+    # Two members outside the largest component meet twice: the smaller id asks.
+    once = (F.col("y.comp") == F.col("y.top")) | (F.col("x.id") < F.col("y.id"))
+    cross = (x.join(y, ["s", "block"]).where((F.col("x.comp") != F.col("y.comp")) & once & _may_match("x", "y", t))
+              .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
+    return found.unionByName(stored(_verified(cross, sets, threshold), "near-cross"))
 
 
 # --- B9 ---------------------------------------------------------------------

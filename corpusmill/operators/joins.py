@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.session import scratch_path
+
 # Rows of a key-only table (ids / hashes) we are willing to ship to every executor.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 # Rows of a table carrying strings or arrays (e.g. encoded pre-tokens).
@@ -33,6 +35,18 @@ def materialize(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table as Parquet below the shared checkpoint dir and read it back.
+
+    Cuts lineage like ``materialize``; readers take only the columns they
+    use, and the optimizer knows the table's size.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def sized(df: DataFrame) -> tuple[DataFrame, int]:
     """Materialize a small-ish derived table and return it with its row count."""
     m = materialize(df)

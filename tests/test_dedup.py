@@ -1,6 +1,8 @@
 import itertools
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators import dedup
@@ -68,3 +70,110 @@ def test_hot_duplicate_group(spark):
     assert edges.count() <= df.count()           # star edges: linear, never all pairs of the group
     comp = {r["id"]: r["component"] for r in dedup.components(edges).collect()}
     assert all(comp.get(i, i) == 0 for i in range(90))
+
+
+def brute_components(rows):
+    """{id: smallest id reachable over pairs of Jaccard 0.8 or more}, all pairs compared."""
+    sets = {i: _shingles(t) for i, t in rows}
+    up = {i: i for i in sets}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+    for a, b in itertools.combinations(sorted(sets), 2):
+        x, y = sets[a], sets[b]
+        if x and y and round(len(x & y) / len(x | y), 6) >= 0.8:
+            ra, rb = sorted((root(a), root(b)))
+            up[rb] = ra
+    return {i: root(i) for i in sets}
+
+
+def template_families(rng):
+    """Many low ids that are like their template but not like one another, then two near copies of it."""
+    rows = []
+    for t in range(5):
+        words = [f"t{t}x{i}" for i in range(150)]
+        for i in range(120):
+            w = list(words)
+            for k in rng.sample(range(150), 6):
+                w[k] = f"v{rng.randrange(10**9)}"
+            rows.append((t * 200 + i, " ".join(w)))
+        for j in range(2):
+            w = list(words)
+            for k in rng.sample(range(150), 2):
+                w[k] = f"c{rng.randrange(10**9)}"
+            rows.append((10_000 + 2 * t + j, " ".join(w)))
+    return rows
+
+
+def chains(rng):
+    """Each document is its predecessor with a word changed: the ends of a chain share nothing."""
+    rows = []
+    for c in range(6):
+        w = [f"k{c}x{i}" for i in range(60)]
+        for i in range(50):
+            w[(i * 7) % 60] = f"e{rng.randrange(10**9)}"
+            rows.append((c * 100 + i, " ".join(w)))
+    rng.shuffle(rows)
+    return rows
+
+
+def lengths(rng):
+    """Beginnings of one text, of many lengths, behind a heading that all documents share; some with repeated words."""
+    head, rows = [f"head{i}" for i in range(30)], []
+    for c in range(8):
+        body = [f"b{c}x{i}" for i in range(300)]
+        for i in range(30):
+            n = rng.randint(20, 300)
+            w = head + (body[:n] if i % 5 else body[:n // 3] * 3)
+            rows.append((c * 50 + i, " ".join(w)))
+    rows += [(900 + i, " ".join(head[:i])) for i in range(12)] + [(950, None), (951, "")]
+    return rows
+
+
+@pytest.mark.parametrize("shape", [template_families, chains, lengths])
+def test_no_pair_is_lost(spark, shape):
+    rows = shape(random.Random(9))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    edges = dedup.near_dup_pairs(df)
+    comp = {r["id"]: r["component"] for r in dedup.components(edges).collect()}
+    want = brute_components([(i, t or "") for i, t in rows])
+    assert {i: comp.get(i, i) for i, _ in rows} == want
+    sets = {i: _shingles(t or "") for i, t in rows}
+    for a, b, j in edges.collect():
+        assert a < b and abs(len(sets[a] & sets[b]) / len(sets[a] | sets[b]) - j) < 1e-6 and j >= 0.8
+
+
+def test_prefixes_hold_the_first_common_shingle(spark):
+    """Of two similar sets at least one shingle is indexed for both, within the other's bounds."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(120):
+        w = [f"s{rng.randrange(25)}" for _ in range(rng.randint(5, 60))]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w + [f"n{i}"] * rng.randint(0, 4)))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = dedup.shingle_hashes(df).selectExpr("doc_id id", "sh").where("size(sh) > 0")
+    index: dict = {}
+    for r in dedup.rare_prefixes(sets, 0.8).collect():
+        index.setdefault(r["s"], []).append((r["id"], r["len"], r["upto"]))
+    met = {(min(a, b), max(a, b)) for rows_ in index.values() for (a, x, u), (b, y, v) in itertools.combinations(rows_, 2) if x <= v and y <= u}
+    full = {r["id"]: set(r["sh"]) for r in sets.collect()}
+    for a, b in itertools.combinations(sorted(full), 2):
+        if len(full[a] & full[b]) >= 0.8 * len(full[a] | full[b]):
+            assert (a, b) in met
+
+
+def test_edges_grow_with_the_group(spark):
+    """A third of all documents are near copies of one another: about an edge each, not one per pair."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(600):
+        w = list(words)
+        w[rng.randrange(100)] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join(f"o{i}x{k}" for k in range(40))) for i in range(1200)]
+    edges = dedup.near_dup_pairs(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert edges.count() < 3000
+    assert {r["component"] for r in dedup.components(edges).collect()} == {0}
