@@ -29,16 +29,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a scan of a single split one partition per core.
-
-    A table that is one parquet row group would otherwise be worked on by one core.
-    The exchange carries the columns that the query uses; tables of
-    two splits or more are scanned as they are.
+def spread(df: DataFrame, cores: int | None = None) -> DataFrame:
+    """Give a scan that only a few tasks would work on one partition per core.
+
+    A parquet file is cut into splits by bytes, but a split without the middle of a row group has no
+    rows: a table that is one row group is read by one task, however many splits it has.
+    So the rows of each split are counted, which reads footers only; scans
+    of twice as many splits as cores are large, and are taken as they are without a look.
+    The exchange carries the columns that the query uses.
     """
-    if df.rdd.getNumPartitions() > 1:
+    cores = cores or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 2 * cores:
         return df
-    return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
+    rows = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("split")).count().collect()]
+    # The slowest task has more than twice the rows that an even deal gives.
+    return df.repartition(cores) if rows and max(rows) > 2 * -(-sum(rows) // cores) else df
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", text_col: str = "text",

@@ -30,3 +30,25 @@ def test_splits_roundtrip(spark, tmp_dir):
     corpus.write_splits(d, path)
     assert sorted(f for f in os.listdir(path) if f.startswith("split=")) == ["split=train", "split=validation"]
     assert corpus.read_splits(spark, path, "validation").count() == d.where("split = 'validation'").count()
+
+
+def test_a_table_of_one_row_group_is_worked_on_by_all_cores(spark, tmp_dir):
+    """Several splits, all but one without a row: dealt out; a table of even splits is read as it is."""
+    from pyspark.sql import functions as F
+    from corpusmill.sources.corpus import spread
+    one, even = f"{tmp_dir}/one", f"{tmp_dir}/even"
+    df = spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    df.coalesce(1).write.parquet(one)
+    df.repartition(4).write.parquet(even)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        scan = spark.read.parquet(one)
+        assert 1 < scan.rdd.getNumPartitions() < 8
+        rows = [r["count"] for r in spread(scan).groupBy(F.spark_partition_id()).count().collect()]
+        assert len(rows) == 4 and max(rows) < 11_000
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        scan = spark.read.parquet(even)
+        assert "Exchange" not in spread(scan)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
