@@ -1,12 +1,13 @@
 """Byte-level BPE on Spark: pre-token counting, batched exact merge training, encode/decode.
 
-Training works on the table of *distinct* pre-tokens (word, n, syms), never
-on documents: the corpus is read once (D1).  Symbols are carried as one
-character per token id.  A round is two Spark jobs: pair counts, of which
-the top K (a parameter) come to the driver, and the counts of symbol triples
+Training works on the table of *distinct* pre-tokens, never
+on documents: the corpus is read once (D1).  Words are kept in blocks, flat
+symbol arrays that tasks work on as a whole, and the table of pair counts is
+kept up to date by the changes that a round's touched words make.  A round is two Spark jobs:
+the top K pairs (a parameter) come to the driver, and the counts of symbol triples
 whose two pairs are both among these.  From them the driver takes as many
 merges as are certain (``plan_merges``), and the tasks apply the batch to
-their words.
+their blocks.
 
 Why the batch equals one merge at a time: merging (l, r) only changes pairs
 that overlap it, by the number of triples that they make up together, which
@@ -23,14 +24,15 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections import Counter, defaultdict
-from operator import add
+from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
+from corpusmill.operators.encode import encode_columns
 from corpusmill.operators.joins import materialize
 
 BYTE_OFFSET = len(tx.SPECIAL_TOKENS)          # byte b has id BYTE_OFFSET + b
@@ -272,49 +274,159 @@ def merge_symbols(syms: list, ranks: dict) -> list:
     return [s for s in syms if s is not None]
 
 
-def _merged(words: DataFrame, batch) -> DataFrame:
-    """D5 in the tasks: (n, syms) after a batch; words of one symbol leave."""
-    ranks = {(sym_char(l), sym_char(r)): (i, sym_char(new)) for i, (l, r, new) in enumerate(batch)}
+# --- D6: word blocks and counts kept up to date ------------------------------
 
-    def run(batches):
-        hit = frozenset(l + r for l, r in ranks).__contains__
-        for b in batches:
-            n, syms = b.column(0).to_pylist(), b.column(1).to_pylist()
-            done = ["".join(merge_symbols(list(s), ranks)) if any(map(hit, map(add, s, s[1:]))) else s for s in syms]
-            keep = [(k, s) for k, s in zip(n, done) if len(s) > 1]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keep], pa.int64()), pa.array([s for _, s in keep], pa.string())], names=["n", "syms"])
-    return words.mapInArrow(run, "n bigint, syms string")
+BLOCK_SCHEMA = "syms binary, weights binary, pairs array<bigint>, changes array<bigint>"
+
+
+def _pair_sums(syms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Adjacent pairs, as left * 2**32 + right, with their words' weights added up.  ``weights``: one per position."""
+    ok = (syms[:-1] >= 0) & (syms[1:] >= 0)
+    code = (syms[:-1][ok].astype(np.int64) << 32) | syms[1:][ok]
+    pairs, at = np.unique(code, return_inverse=True)
+    sums = np.zeros(len(pairs), np.int64)
+    np.add.at(sums, at, weights[:-1][ok])
+    return pairs, sums
 
 
-def _triples_of(words: DataFrame, pairs: list[str]) -> DataFrame:
-    """(t, n): triples whose pairs are both among ``pairs``, counted in the tasks before they are shuffled."""
-    among = frozenset(pairs)
+def _merge_block(syms: np.ndarray, weights: np.ndarray, codes: np.ndarray, ranks: np.ndarray, news: np.ndarray):
+    """A block after a batch of merges, in every word the earliest merge first.
 
+    ``syms``: the symbols of all words, -1 after each; ``codes`` are the sorted
+    pairs of the batch.  Each step makes every word's earliest merge at all its places, from the left.
+    """
+    done_s, done_w = [], []
+    while len(syms):
+        at = np.minimum(np.searchsorted(codes, code := (syms[:-1].astype(np.int64) << 32) | np.maximum(syms[1:], 0)), len(codes) - 1)
+        hit = (codes[at] == code) & (syms[:-1] >= 0) & (syms[1:] >= 0)
+        rank = np.append(np.where(hit, ranks[at], len(ranks)), len(ranks))
+        ends = np.flatnonzero(syms < 0)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        sizes = ends - starts + 1
+        least = np.minimum.reduceat(rank, starts)
+        live = np.repeat(least < len(ranks), sizes)
+        done_s.append(syms[~live])
+        done_w.append(weights[~live])
+        place = (rank == np.repeat(least, sizes))[live]
+        syms, weights, rank = syms[live], weights[live], rank[live]
+        if not len(syms):
+            break
+        i = np.flatnonzero(place)
+        # A run of places one after another is a run of one symbol: every second one counts.
+        fresh = np.concatenate([[True], i[1:] != i[:-1] + 1])
+        run = np.maximum.accumulate(np.where(fresh, np.arange(len(i)), 0))
+        i = i[(np.arange(len(i)) - run) % 2 == 0]
+        by_rank = np.empty(len(ranks), np.int64)
+        by_rank[ranks] = news
+        syms[i] = by_rank[rank[i]]
+        keep = np.ones(len(syms), bool)
+        keep[i + 1] = False
+        syms, weights = syms[keep], weights[keep]
+    return np.concatenate(done_s or [syms]), np.concatenate(done_w or [weights])
+
+
+def _words_of(syms: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """``mask`` spread to all positions of the words that hold a marked one."""
+    ends = np.flatnonzero(syms < 0)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    return np.repeat(np.logical_or.reduceat(mask, starts), ends - starts + 1) if len(ends) else mask
+
+
+def _block_row(syms, weights, pairs, changes) -> pa.RecordBatch:
+    lists = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (pairs, changes)]
+    return pa.RecordBatch.from_arrays([pa.array([syms.astype(np.int32).tobytes()], pa.binary()), pa.array([weights.tobytes()], pa.binary()), *lists],
+                                      names=["syms", "weights", "pairs", "changes"])
+
+
+def word_blocks(counts: DataFrame) -> DataFrame:
+    """Blocks of distinct pre-tokens (``BLOCK_SCHEMA``): flat symbol arrays with their pair counts as the first changes."""
     def run(batches):
-        count: Counter = Counter()
         for b in batches:
-            for n, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                hit = list(map(among.__contains__, map(add, s, s[1:])))
-                for i, (a, c) in enumerate(zip(hit, hit[1:])):
-                    if a and c:
-                        count[s[i:i + 3]] += n
-        yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], names=["t", "n"])
-    return words.select("n", "syms").mapInArrow(run, "t string, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
+            parts, weight = [], []
+            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                raw = w.encode("utf-8")
+                if len(raw) > 1:                  # a word of one symbol never forms a pair
+                    parts.append(raw)
+                    weight.append(n)
+            if not parts:
+                continue
+            sizes = np.array([len(x) + 1 for x in parts])
+            syms = np.full(sizes.sum(), -1, np.int64)
+            inside = np.ones(len(syms), bool)
+            inside[np.cumsum(sizes) - 1] = False
+            syms[inside] = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64) + BYTE_OFFSET
+            weights = np.repeat(np.array(weight, np.int64), sizes)
+            yield _block_row(syms, weights, *_pair_sums(syms, weights))
+    return counts.select("word", "n").mapInArrow(run, BLOCK_SCHEMA)
 
 
-def _pairs_in(words: DataFrame) -> DataFrame:
-    """(p, n): pair counts, added up in the tasks before they are shuffled."""
+def _blocks(batches):
+    for b in batches:
+        for s, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if s:                                 # all words of a block may have left
+                yield np.frombuffer(s, np.int32).astype(np.int64), np.frombuffer(w, np.int64)
+
+
+def merged_blocks(blocks: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
+    """D5 over blocks: the batch applied, and what it changes in the pair counts, from the touched words alone.
+
+    Words that come down to one symbol leave.
+    """
+    code = np.array([(l << 32) | r for l, r, _ in batch], np.int64)
+    order = np.argsort(code)
+    codes, ranks, news = code[order], order.astype(np.int64), np.array([batch[i][2] for i in order], np.int64)
+
     def run(batches):
-        count: Counter = Counter()
-        for b in batches:
-            for n, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for p in map(add, s, s[1:]):
-                    count[p] += n
-            if len(count) > 1_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], names=["p", "n"])
-                count = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], names=["p", "n"])
-    return words.select("n", "syms").mapInArrow(run, "p string, n bigint").groupBy("p").agg(F.sum("n").cast("bigint").alias("n"))
+        for syms, weights in _blocks(batches):
+            pairs = (syms[:-1] << 32) | np.maximum(syms[1:], 0)
+            at = np.minimum(np.searchsorted(codes, pairs), len(codes) - 1)
+            hit = np.append((codes[at] == pairs) & (syms[:-1] >= 0) & (syms[1:] >= 0), False)
+            touched = _words_of(syms, hit)
+            old_s, old_w = syms[touched], weights[touched]
+            new_s, new_w = _merge_block(old_s, old_w, codes, ranks, news)
+            a, x = _pair_sums(old_s, old_w) if len(old_s) else (np.empty(0, np.int64),) * 2
+            c, y = _pair_sums(new_s, new_w) if len(new_s) else (np.empty(0, np.int64),) * 2
+            keys, at = np.unique(np.concatenate([a, c]), return_inverse=True)
+            change = np.zeros(len(keys), np.int64)
+            np.add.at(change, at, np.concatenate([-x, y]))
+            moved = change != 0
+            # Of what is left of a touched word, one symbol and its end are no pair any more.
+            ends = np.flatnonzero(new_s < 0)
+            sizes = np.diff(np.concatenate([[-1], ends]))
+            stay = np.repeat(sizes > 2, sizes) if len(ends) else np.empty(0, bool)
+            yield _block_row(np.concatenate([syms[~touched], new_s[stay]]), np.concatenate([weights[~touched], new_w[stay]]),
+                             keys[moved], change[moved])
+    return blocks.select("syms", "weights").mapInArrow(run, BLOCK_SCHEMA)
+
+
+def changes_of(blocks: DataFrame) -> DataFrame:
+    """(p, n): the changes of the pair counts that came with these blocks, added up."""
+    return (blocks.select(F.inline(F.arrays_zip("pairs", "changes"))).groupBy(F.col("pairs").alias("p"))
+                  .agg(F.sum("changes").alias("n")))
+
+
+def context_counts(blocks: DataFrame, top: list[tuple[int, int]]) -> dict:
+    """{(x, y, z): n} of the triples whose two pairs are both in ``top``; at most len(top) ** 2 of them."""
+    code = np.array([(l << 32) | r for l, r in top], np.int64)
+    order = np.argsort(code)
+    codes, size = code[order], len(code)
+
+    def run(batches):
+        for syms, weights in _blocks(batches):
+            pairs = (syms[:-1] << 32) | np.maximum(syms[1:], 0)
+            at = np.minimum(np.searchsorted(codes, pairs), size - 1)
+            hit = (codes[at] == pairs) & (syms[:-1] >= 0) & (syms[1:] >= 0)
+            both = np.flatnonzero(hit[:-1] & hit[1:])
+            found, where = np.unique(at[both] * size + at[both + 1], return_inverse=True)
+            sums = np.zeros(len(found), np.int64)
+            np.add.at(sums, where, weights[both])
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(sums)], names=["t", "n"])
+    rows = blocks.select("syms", "weights").mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).collect()
+    out = {}
+    for t, n in rows:
+        l, r = top[order[t // size]], top[order[t % size]]
+        out[(*l, r[1])] = n
+    return out
 
 
 def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, top_k: int = TOP_K,
@@ -323,39 +435,42 @@ def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, t
 
     Returns (vocab, merges) DataFrames; both are bounded by ``vocab_size``.
     What comes to the driver is bounded by ``top_k`` pairs and the triples among them.
+
+    The table of pair counts is kept between rounds and only brought up to
+    date: a batch of merges changes the counts by what its touched words
+    contribute before and after.  A pair below ``min_count`` leaves the table for good,
+    as counts only fall after the round that makes a pair's newer symbol.
     """
-    if vocab_size > MAX_VOCAB:
-        raise ValueError(f"vocab_size must be <= {MAX_VOCAB}")
     spark = df.sparkSession
     counts = counts if counts is not None else pretoken_counts(df, text_col)
-    # Words of one symbol never form a pair again; they leave the working table.  The table is
-    # spread over the cluster's cores explicitly (AQE would coalesce a small aggregate to few tasks).
+    # The table of words is spread over the cluster's cores explicitly (AQE would coalesce a small aggregate to few tasks).
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    words = materialize(word_symbols(counts).where(F.length("syms") >= 2).select("n", "syms").repartition(parts))
+    blocks = materialize(word_blocks(counts.repartition(parts)))
+    pairs = materialize(changes_of(blocks).where(F.col("n") >= min_count))
     merges: list[tuple[int, int, int]] = []
     cached: list[DataFrame] = []
     rounds = 0
     while FIRST_MERGE_ID + len(merges) < vocab_size:
-        top = (_pairs_in(words).where(F.col("n") >= min_count)
-               .orderBy(F.desc("n"), F.asc("p")).limit(top_k).collect())   # (left, right) order == string order
-        while len(cached) > 1:
+        top = [(r["p"] >> 32, r["p"] & 0xFFFFFFFF, r["n"])
+               for r in pairs.orderBy(F.desc("n"), F.asc("p")).limit(top_k).collect()]
+        while len(cached) > 2:
             cached.pop(0).unpersist()
         if not top:
             break
-        pairs = [r["p"] for r in top]
-        triples = {tuple(map(char_sym, r["t"])): r["n"] for r in _triples_of(words, pairs).collect()}
-        batch = plan_merges([(char_sym(r["p"][0]), char_sym(r["p"][1]), r["n"]) for r in top], triples,
-                            len(top) == top_k, FIRST_MERGE_ID + len(merges), vocab_size - FIRST_MERGE_ID - len(merges), min_count)
+        batch = plan_merges(top, context_counts(blocks, [(l, r) for l, r, _ in top]), len(top) == top_k,
+                            FIRST_MERGE_ID + len(merges), vocab_size - FIRST_MERGE_ID - len(merges), min_count)
         merges.extend(batch)
         rounds += 1
-        words = _merged(words, batch)
         # Reliable checkpoints every few rounds keep plans flat; a lost executor
         # replays at most ``checkpoint_every`` rounds from the shared checkpoint dir.
-        if rounds % checkpoint_every == 0:
-            words = materialize(words)
-        else:
-            words = words.persist()
-            cached.append(words)
+        keep = materialize if rounds % checkpoint_every == 0 else (lambda x: x.persist())
+        blocks = keep(merged_blocks(blocks, batch))
+        change = changes_of(blocks).withColumnRenamed("n", "d")
+        pairs = keep(pairs.join(change, "p", "full_outer")
+                          .select("p", (F.coalesce("n", F.lit(0)) + F.coalesce("d", F.lit(0))).alias("n"))
+                          .where(F.col("n") >= min_count))
+        if rounds % checkpoint_every:
+            cached += [blocks, pairs]
     for old in cached:
         old.unpersist()
     return vocab_table(spark, merges), merges_table(spark, merges)
@@ -395,32 +510,32 @@ def encode_word(word: str, ranks: dict) -> list[int]:
 CACHED_WORDS = 200_000
 
 
-def bpe_encode(df: DataFrame, merges, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, input_ids, n_tokens): documents are encoded where they are read, nothing is shuffled.
-
-    The merges (bounded by the vocabulary) go to the tasks; each remembers the words it has met.
-    """
+def bpe_ids(merges):
+    """``ids_of`` of the merges (bounded by the vocabulary), which go to the tasks; each remembers the words it has met."""
     if isinstance(merges, DataFrame):
         merges = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
     ranks = _ranks(merges)
 
-    def run(batches):
+    def ids_of():
         words, seen = re.compile(tx.PRETOKEN_RE), {}
-        for b in batches:
-            out = []
-            for t in b.column(1).to_pylist():
-                ids = []
-                for w in words.findall(t or ""):
-                    x = seen.get(w)
-                    if x is None:
-                        if len(seen) >= CACHED_WORDS:
-                            seen.clear()
-                        x = seen[w] = encode_word(w, ranks)
-                    ids += x
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=[id_col, "input_ids"])
-    src = df.select(F.col(id_col), F.col(text_col))
-    out = src.mapInArrow(run, src.select(id_col, F.array().cast("array<int>").alias("input_ids")).schema)
+
+        def encode(text):
+            ids = []
+            for w in words.findall(text):
+                x = seen.get(w)
+                if x is None:
+                    if len(seen) >= CACHED_WORDS:
+                        seen.clear()
+                    x = seen[w] = encode_word(w, ranks)
+                ids += x
+            return ids
+        return encode
+    return ids_of
+
+
+def bpe_encode(df: DataFrame, merges, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, input_ids, n_tokens): documents are encoded where they are read, nothing is shuffled."""
+    out = encode_columns(df.select(F.col(id_col), F.col(text_col)), bpe_ids(merges), {text_col: "input_ids"})
     return out.withColumn("n_tokens", F.size("input_ids").cast("bigint"))
 
 
@@ -528,3 +643,6 @@ class BpeTokenizer:
     def encode_df(self, df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
         return bpe_encode(df, self.merges, text_col, id_col)
 
+    def encode_columns(self, df: DataFrame, cols: dict[str, str]) -> DataFrame:
+        return encode_columns(df, bpe_ids(self.merges), cols)
+

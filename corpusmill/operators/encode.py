@@ -31,26 +31,49 @@ def word_vocab(df: DataFrame, vocab_size: int = VOCAB_SIZE, text_col: str = "tex
     return top.select((rank + F.lit(len(tx.SPECIAL_TOKENS) - 1)).cast("int").alias("token_id"), "word", "n")
 
 
-def word_encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, input_ids, n_tokens) with unknown words -> <unk>.
+def encode_columns(df: DataFrame, ids_of, cols: dict[str, str]) -> DataFrame:
+    """H1 over several text columns in one pass: ``df`` with an id array for each of them.
 
-    Documents without words (null text too) get an empty array.  ``id_col`` may be of any
-    type, a struct too.  ``vocab`` is collected: its rows are bounded by the vocabulary size.
+    ``cols``: text column -> name of its id array, which takes the text's place.  ``ids_of()`` is called in
+    the task and returns a function from text to ids.  The other columns stay as they are; rows do not move.
     """
-    ids = {r["word"]: r["token_id"] for r in vocab.select("word", "token_id").collect()}
-    src = df.select(F.col(id_col), F.col(text_col))
+    names = [cols.get(c, c) for c in df.columns]
+    src = df.select(*df.columns)
+    schema = src.select(*[F.array().cast("array<int>").alias(cols[c]) if c in cols else F.col(c) for c in df.columns]).schema
+    at = [i for i, c in enumerate(df.columns) if c in cols]
 
     def run(batches):
-        words = re.compile(tx.WORD_RE)
+        encode = ids_of()
         for b in batches:
-            out = [[ids.get(w, tx.UNK_ID) for w in words.findall(t or "")] for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=[id_col, "input_ids"])
-    enc = src.mapInArrow(run, src.select(id_col, F.array().cast("array<int>").alias("input_ids")).schema)
+            out = list(b.columns)
+            for i in at:
+                out[i] = pa.array([encode(t or "") for t in b.column(i).to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays(out, names=names)
+    return src.mapInArrow(run, schema)
+
+
+def word_ids(vocab: DataFrame):
+    """``ids_of`` of the word vocabulary, which is collected: its rows are bounded by the vocabulary size."""
+    ids = {r["word"]: r["token_id"] for r in vocab.select("word", "token_id").collect()}
+
+    def ids_of():
+        words = re.compile(tx.WORD_RE)
+        return lambda t: [ids.get(w, tx.UNK_ID) for w in words.findall(t)]
+    return ids_of
+
+
+def word_encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, input_ids, n_tokens) with unknown words -> <unk>.
+
+    Documents without words (null text too) get an empty array.  ``id_col`` may be of any type, a struct too.
+    """
+    enc = encode_columns(df.select(F.col(id_col), F.col(text_col)), word_ids(vocab), {text_col: "input_ids"})
     return enc.withColumn("n_tokens", F.size("input_ids").cast("bigint"))
 
 
 class WordTokenizer:
-    """H1 plug-in: any object with ``encode_df(df, text_col, id_col)`` -> (id, input_ids, n_tokens)."""
+    """H1 plug-in: any object with ``encode_df(df, text_col, id_col)`` -> (id, input_ids, n_tokens)
+    and ``encode_columns(df, {text column: id array column})``."""
 
     def __init__(self, vocab: DataFrame):
         self.vocab = vocab
@@ -62,3 +85,6 @@ class WordTokenizer:
 
     def encode_df(self, df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
         return word_encode(df, self.vocab, text_col, id_col)
+
+    def encode_columns(self, df: DataFrame, cols: dict[str, str]) -> DataFrame:
+        return encode_columns(df, word_ids(self.vocab), cols)
