@@ -12,14 +12,20 @@ windows inside single ranges.
   final filter (no join of the rows against the result).
 * ``running_offsets`` - the exclusive running sum of a weight in a global
   order, for every row (dense global indexes).
+* ``in_order`` and ``offsets_in_place`` - the same for rows that are brought
+  into order before something wide is made of them: the running sum is
+  taken where the rows are, nothing moves afterwards.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.operators.joins import checked_join, materialize
+from corpusmill.operators.joins import checked_join, materialize, stored
 
 _G = "_grp_"
 
@@ -97,3 +103,31 @@ def running_offsets(df: DataFrame, order_cols, weight_col: str, out_col: str = "
     return (ranged.join(F.broadcast(offs), "_pid_")
                   .withColumn(out_col, (F.col("_base_") + F.coalesce(local, F.lit(0))).cast("bigint"))
                   .drop("_pid_", "_base_"))
+
+
+def in_order(df: DataFrame, order_cols) -> DataFrame:
+    """Rows in the global order: a range of it per partition, sorted inside."""
+    return df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+
+
+def offsets_in_place(df: DataFrame, weight_col: str, out_col: str = "offset") -> DataFrame:
+    """Add ``out_col`` = sum of ``weight_col`` over all rows before this one; ``df`` made from ``in_order`` rows by narrow steps.
+
+    Each task adds up its range as the rows pass (only the weights go
+    through Python), the result is written once, and the ranges' own starts - a row per range - are
+    broadcast.  The rows are not moved.
+    """
+    @F.pandas_udf("bigint")
+    def before(weights: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        total = 0
+        for w in weights:
+            upto = w.cumsum() + total
+            yield upto - w
+            total = int(upto.iloc[-1]) if len(upto) else total
+    rows = stored(df.withColumn("_part_", F.spark_partition_id())
+                    .withColumn("_before_", before.asNondeterministic()(F.col(weight_col).cast("bigint"))), "in-place")
+    totals = rows.groupBy("_part_").agg(F.sum(weight_col).cast("bigint").alias("_t_"))
+    starts = totals.select("_part_", F.coalesce(F.sum("_t_").over(
+        Window.orderBy("_part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base_"))
+    return (rows.join(F.broadcast(stored(starts, "in-place-starts")), "_part_")
+                .withColumn(out_col, (F.col("_base_") + F.col("_before_")).cast("bigint")).drop("_part_", "_base_", "_before_"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as tx
 from corpusmill.operators import windows as W
 from corpusmill.operators.joins import checked_join, materialize
-from corpusmill.operators.prefix import running_offsets
+from corpusmill.operators.prefix import in_order, offsets_in_place
 
 # The public Alpaca prompt template (with-input and no-input forms).
 PROMPT_WITH_INPUT = (
@@ -97,19 +97,14 @@ def sft_encode(records: DataFrame, tokenizer, max_seq_length: int = W.MAX_SEQ_LE
     """ids = enc(prompt) ++ enc(output) ++ [eos]; labels ignore the prompt; cut to L.
 
     Records whose prompt alone fills the window (no response token left) are dropped.
-    ``tokenizer`` is any H1 plug-in with ``encode_df(df, text_col, id_col)``.
+    ``tokenizer`` is any H1 plug-in: prompt and output are encoded in one pass, after the texts
+    have been brought into the order of (conv_id, turn), so token arrays are not joined and need not move again.
     """
-    r = records.withColumn("rid", F.struct(*KEY))
-    p = tokenizer.encode_df(r.select("rid", F.col("prompt").alias("text")), "text", "rid") \
-                 .select("rid", F.col("input_ids").alias("p_ids"))
-    o = tokenizer.encode_df(r.select("rid", F.col("output").alias("text")), "text", "rid") \
-                 .select("rid", F.col("input_ids").alias("o_ids"))
-    j = r.select("rid").join(p, "rid").join(o, "rid")
+    j = tokenizer.encode_columns(in_order(records.select(*KEY, "prompt", "output"), KEY), {"prompt": "p_ids", "output": "o_ids"})
     resp = F.concat(F.col("o_ids"), F.array(F.lit(eos_id)))
     ids = F.concat(F.col("p_ids"), resp)
     labels = F.concat(F.array_repeat(F.lit(ignore_id), F.size("p_ids")), resp)
-    out = j.select(F.col("rid.conv_id").alias("conv_id"), F.col("rid.turn").alias("turn"),
-                   F.size("p_ids").cast("bigint").alias("prompt_tokens"),
+    out = j.select(*KEY, F.size("p_ids").cast("bigint").alias("prompt_tokens"),
                    (F.size("o_ids") + 1).cast("bigint").alias("response_tokens"),
                    F.slice(ids, 1, max_seq_length).alias("input_ids"),
                    F.slice(labels, 1, max_seq_length).alias("labels"))
@@ -119,8 +114,11 @@ def sft_encode(records: DataFrame, tokenizer, max_seq_length: int = W.MAX_SEQ_LE
 
 def sft_batches(encoded: DataFrame, batch_size: int = W.BATCH_SIZE, max_seq_length: int = W.MAX_SEQ_LENGTH,
                 pad_id: int = tx.PAD_ID, ignore_id: int = tx.IGNORE_ID) -> DataFrame:
-    """dense sample_id in (conv_id, turn) order, batches, right padding, mask and padded labels."""
-    idx = running_offsets(encoded.withColumn("_one_", F.lit(1)), KEY, "_one_", "sample_id").drop("_one_")
+    """dense sample_id in (conv_id, turn) order, batches, right padding, mask and padded labels.
+
+    ``encoded`` as ``sft_encode`` leaves it, in that order.
+    """
+    idx = offsets_in_place(encoded.withColumn("_one_", F.lit(1)), "_one_", "sample_id").drop("_one_")
     b = W.collate(W.batches(idx, batch_size), max_seq_length, pad_id)
     padn = F.lit(max_seq_length) - F.size("labels")
     return b.withColumn("labels", F.concat("labels", F.array_repeat(F.lit(ignore_id), padn)))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.operators.prefix import running_offsets
+from corpusmill.operators.prefix import in_order, offsets_in_place, running_offsets
 
 MAX_SEQ_LENGTH = 512
 OVERLAP = MAX_SEQ_LENGTH // 4
@@ -71,8 +71,8 @@ def indexed_windows(encoded: DataFrame, max_seq_length: int = MAX_SEQ_LENGTH, ov
                     ids_col: str = "input_ids", id_col: str = "doc_id", order_cols=None) -> DataFrame:
     """E3 + E5: windows carrying a dense global ``sample_id`` in (doc_id, window_ix) order.
 
-    The running window count is computed per document (one range shuffle of
-    the encoded rows, no join back), then windows are exploded in place.
+    For rows that are encoded already, wherever they lie: the running window count costs a range
+    shuffle of the encoded rows.  From documents, ``ordered_windows`` moves no token array.
     """
     order_cols = list(order_cols or [id_col])
     withn = encoded.withColumn("_nwin_", window_count(F.size(ids_col), max_seq_length, overlap_size))
@@ -81,6 +81,20 @@ def indexed_windows(encoded: DataFrame, max_seq_length: int = MAX_SEQ_LENGTH, ov
     return w.withColumn("sample_id", (F.col("_start_") + F.col("window_ix")).cast("bigint")).drop("_start_")
 
 
+def ordered_windows(docs: DataFrame, tokenizer, max_seq_length: int = MAX_SEQ_LENGTH, overlap_size: int = OVERLAP,
+                    text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """E1/E2 + E3 + E5: windows with ``sample_id`` in (id, window_ix) order, straight from documents.
+
+    The texts are brought into order, then encoded where they lie: token arrays are written
+    once and never shuffled.  ``tokenizer`` is any H1 plug-in.
+    """
+    enc = tokenizer.encode_df(in_order(docs.select(id_col, text_col), [id_col]), text_col, id_col)
+    withn = enc.withColumn("_nwin_", window_count("n_tokens", max_seq_length, overlap_size))
+    off = offsets_in_place(withn, "_nwin_", "_start_").drop("_nwin_")
+    w = _explode_windows(off, "input_ids", max_seq_length, overlap_size)
+    return w.withColumn("sample_id", (F.col("_start_") + F.col("window_ix")).cast("bigint")).drop("_start_")
+
+
 def window_index(encoded: DataFrame, max_seq_length: int = MAX_SEQ_LENGTH, overlap_size: int = OVERLAP,
                  id_col: str = "doc_id", order_cols=None) -> DataFrame:
     """E5: (doc_id, window_ix, n_tokens, sample_id) from token counts alone: no token array is moved or written."""
@@ -157,15 +171,15 @@ def training_budget(encoded_with_split: DataFrame, max_seq_length: int = MAX_SEQ
                     val_cap: int = VAL_CAP, split_col: str = "split") -> DataFrame:
     """Samples, batches, optimizer steps, log/save events and validation batches per split."""
     c = sample_count(encoded_with_split, max_seq_length, overlap_size, by=[split_col])
-    b = F.floor((F.col("samples") + (batch_size - 1)) / batch_size).cast("bigint")
-    spe = F.floor((F.col("batches") + (accum - 1)) / accum).cast("bigint")
+    b = F.expr(f"(samples + {int(batch_size) - 1}) div {int(batch_size)}").cast("bigint")
+    spe = F.expr(f"(batches + {int(accum) - 1}) div {int(accum)}").cast("bigint")
     log_every = max(1, log // accum)
     save_every = max(1, save // accum)
     return (c.withColumn("batches", b)
              .withColumn("steps_per_epoch", spe)
              .withColumn("total_steps", (F.col("steps_per_epoch") * num_epochs).cast("bigint"))
-             .withColumn("log_events", F.floor(F.col("total_steps") / log_every).cast("bigint"))
-             .withColumn("save_events", F.floor(F.col("total_steps") / save_every).cast("bigint"))
+             .withColumn("log_events", F.expr(f"total_steps div {log_every}").cast("bigint"))
+             .withColumn("save_events", F.expr(f"total_steps div {save_every}").cast("bigint"))
              .withColumn("eval_batches", F.when(F.col(split_col) == "validation",
                                                 F.least(F.col("batches"), F.lit(val_cap)))
                                           .otherwise(F.lit(0)).cast("bigint")))

@@ -364,7 +364,8 @@ INDEXED_SQL = O.indexed_windows_sql(ENCODED_SQL)
 
 
 def _indexed(spark, sf_dir):
-    return W.indexed_windows(_encoded(spark, sf_dir))
+    d = docs(spark, sf_dir)
+    return W.ordered_windows(d, encode.WordTokenizer(encode.word_vocab(d)))
 
 
 def _index(spark, sf_dir):

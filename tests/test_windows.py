@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from corpusmill.operators import encode
 from corpusmill.operators import windows as W
 
 L, O = 8, 2
@@ -98,3 +99,33 @@ def test_collate_plugins(spark):
         for b in batches:
             yield pa.RecordBatch.from_pydict({"n": [len(x) for x in b.column("input_ids").to_pylist()]})
     assert W.collate_arrow(df, lengths, "n long").collect()[0]["n"] == 2
+
+
+def test_token_arrays_are_not_shuffled(spark):
+    """collate and sft_batches: what is exchanged are texts and counts, in the written part and in the rest."""
+    from corpusmill.operators import sft
+    from corpusmill.plans import registry
+    from tests.conftest import SF0001
+    for name in ("collate", "lm_labels", "sft_batches"):
+        plan = registry.QUERIES[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Exchange" in x and "Broadcast" not in x], name
+    tok = encode.WordTokenizer(encode.word_vocab(spark.createDataFrame([("a b c",)], "text string")))
+    df = spark.createDataFrame([(3, 1, "a b", "c"), (1, 2, "b", "a"), (1, 1, "", "c c")], "conv_id bigint, turn int, prompt string, output string")
+    out = sft.sft_encode(df, tok)
+    text = out._jdf.queryExecution().toString()
+    assert "Join" not in text
+    assert [(r["conv_id"], r["turn"], r["prompt_tokens"], r["response_tokens"]) for r in sft.sft_batches(out).orderBy("sample_id").collect()] == \
+        [(1, 1, 0, 3), (1, 2, 1, 2), (3, 1, 2, 2)]
+
+
+def test_ordered_windows_equal_the_shuffled_index(spark):
+    """Any partitioning of the documents gives the sample ids of the index over encoded rows."""
+    import random
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(9)}" for _ in range(rng.choice([0, 1, 7, 8, 9, 40])))) for i in rng.sample(range(1000), 300)] + [(2000, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    tok = encode.WordTokenizer.train(df)
+    want = W.indexed_windows(tok.encode_df(df), 8, 2).select("sample_id", "doc_id", "window_ix", "input_ids", "n_tokens").orderBy("sample_id").collect()
+    for parts in (1, 7):
+        got = W.ordered_windows(df.repartition(parts), tok, 8, 2).select(*want[0].__fields__).orderBy("sample_id").collect()
+        assert got == want and [r["sample_id"] for r in got] == list(range(len(got)))
