@@ -24,6 +24,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -614,21 +615,53 @@ def tokenizer_json(merges) -> str:
     return json.dumps(doc, ensure_ascii=False)
 
 
+def _commit_text(spark: SparkSession, path: str, text: str) -> None:
+    """One file, whole or not at all: written beside its place, then renamed over it in the path's own file system."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    out = target.getFileSystem(conf).create(part, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(part, target, over)
+
+
 def save_tokenizer(vocab: DataFrame, merges: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A4: persist vocab and merges as two Parquet tables plus tokenizer.json (one text part file)."""
+    """A4: ``path/tokenizer.json``, one file committed by a rename, beside the tables ``vocab`` and ``merges``.
+
+    Sizes are bounded by the vocabulary.  The file is written last: who finds it finds the tables.
+    """
     vocab.coalesce(1).write.mode(mode).parquet(f"{path}/vocab")
     merges.coalesce(1).write.mode(mode).parquet(f"{path}/merges")
     ml = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
-    spark = vocab.sparkSession
-    spark.createDataFrame([(tokenizer_json(ml),)], "value string").coalesce(1) \
-         .write.mode(mode).text(f"{path}/tokenizer_json")
+    _commit_text(vocab.sparkSession, f"{path}/tokenizer.json", tokenizer_json(ml))
 
 
 def load_merges(spark: SparkSession, path: str) -> list[tuple[int, int, int]]:
+    """The merges of a saved tokenizer, from its table."""
     m = spark.read.parquet(f"{path}/merges").orderBy("rank").collect()
     return [(r["left_id"], r["right_id"], r["new_id"]) for r in m]
 
 
+def merges_of_json(text: str) -> list[tuple[int, int, int]]:
+    """(left, right, new) ids of a byte-level ``tokenizer.json``, in rank order."""
+    model = json.loads(text)["model"]
+    ids = model["vocab"]
+    pairs = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
+    return [(ids[l], ids[r], ids[l + r]) for l, r in pairs]
+
+
+def load_tokenizer(spark: SparkSession, path: str) -> "BpeTokenizer":
+    """The tokenizer of ``path/tokenizer.json``."""
+    text = spark.read.text(f"{path}/tokenizer.json", wholetext=True).first()[0]
+    return BpeTokenizer(merges_of_json(text))
+
+
 class BpeTokenizer:
     """H1 plug-in for byte-level BPE."""
 

@@ -57,6 +57,18 @@ def windows(encoded: DataFrame, max_seq_length: int = MAX_SEQ_LENGTH, overlap_si
     return _explode_windows(encoded, ids_col, max_seq_length, overlap_size)
 
 
+def unwindowed(windows_df: DataFrame, overlap_size: int = OVERLAP, id_col: str = "doc_id", ids_col: str = "input_ids") -> DataFrame:
+    """The inverse of E3: (doc_id, input_ids) per document, from its windows in any order.
+
+    Every window but the first begins with ``overlap_size`` tokens of the one before.  Padded windows
+    are cut to ``n_tokens`` first.  A document's windows meet in one row, which is its whole token array.
+    """
+    own = F.slice(ids_col, 1, F.col("n_tokens").cast("int"))
+    new = F.when(F.col("window_ix") == 0, own).otherwise(F.slice(own, overlap_size + 1, F.greatest(F.size(own), F.lit(1))))
+    parts = F.array_sort(F.collect_list(F.struct("window_ix", new.alias("ids"))))
+    return windows_df.groupBy(id_col).agg(F.flatten(F.transform(parts, lambda x: x["ids"])).alias(ids_col))
+
+
 def sample_count(encoded: DataFrame, max_seq_length: int = MAX_SEQ_LENGTH, overlap_size: int = OVERLAP,
                  by=(), n_col: str = "n_tokens") -> DataFrame:
     """Total samples (and documents, tokens) without materialising a window."""

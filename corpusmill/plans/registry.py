@@ -527,13 +527,30 @@ def q_train_bpe(spark, sf_dir):
     return _trained(spark, sf_dir)[1]
 
 
+def _saved_tokenizer(spark, sf_dir):
+    """Path of the default tokenizer, saved: vocab and merges tables and tokenizer.json."""
+    from corpusmill.operators import bpe
+    from corpusmill.session import scratch_path
+    vocab, merges = _trained(spark, sf_dir)
+    path = scratch_path(spark, "tokenizer")
+    bpe.save_tokenizer(vocab, merges, path)
+    return path
+
+
 @register("tokenizer_tables")
 def q_tokenizer_tables(spark, sf_dir):
-    """Vocabulary table (specials, byte alphabet, merges) with token bytes as hex."""
-    vocab, _ = _trained(spark, sf_dir)
+    """The vocabulary table of the saved tokenizer (specials, byte alphabet, merges) with token bytes as hex."""
+    vocab = spark.read.parquet(f"{_saved_tokenizer(spark, sf_dir)}/vocab")
     return vocab.select("token_id", F.hex("token").alias("token_hex"), "kind")
 
 
+@register("tokenizer_json")
+def q_tokenizer_json(spark, sf_dir):
+    """The merges as they are read back from the saved tokenizer.json."""
+    from corpusmill.operators import bpe
+    return bpe.merges_table(spark, bpe.load_tokenizer(spark, _saved_tokenizer(spark, sf_dir)).merges)
+
+
 @register("bpe_encode", "SELECT doc_id, text FROM documents")
 def q_bpe_encode(spark, sf_dir):
     """decode(encode(text)) for every document - must reproduce the text exactly."""
@@ -543,6 +560,26 @@ def q_bpe_encode(spark, sf_dir):
     return bpe.bpe_decode(bpe.bpe_encode(d, merges), vocab)
 
 
+@register("bpe_collate", "SELECT doc_id, text FROM documents WHERE length(text) > 0")
+def q_bpe_collate(spark, sf_dir):
+    """The reference's own path, and back: documents -> BPE ids of the saved tokenizer -> overlapping windows with sample
+    ids -> batches -> padded with mask and labels; then the labels' real tokens, overlaps taken out, decoded to the texts."""
+    from corpusmill.operators import bpe
+    tok = bpe.load_tokenizer(spark, _saved_tokenizer(spark, sf_dir))
+    batched = W.lm_labels(W.collate(W.batches(W.ordered_windows(docs(spark, sf_dir), tok))))
+    real = F.filter("labels", lambda x: x != tx.IGNORE_ID)
+    back = W.unwindowed(batched.select("doc_id", "window_ix", "n_tokens", real.alias("input_ids")))
+    return bpe.bpe_decode(back, bpe.vocab_table(spark, tok.merges))
+
+
+@register("bpe_sample_index")
+def q_bpe_sample_index(spark, sf_dir):
+    """E5 under BPE: the dense index of all samples (tests: equals the encoder of the tokenizers library)."""
+    from corpusmill.operators import bpe
+    tok = bpe.load_tokenizer(spark, _saved_tokenizer(spark, sf_dir))
+    return W.window_index(tok.encode_df(docs(spark, sf_dir))).select("doc_id", "window_ix", "n_tokens", "sample_id")
+
+
 @register("vocab_report")
 def q_vocab_report(spark, sf_dir):
     from corpusmill.operators import bpe
@@ -551,6 +588,30 @@ def q_vocab_report(spark, sf_dir):
     return bpe.vocab_report(bpe.bpe_encode(d, merges), d)
 
 
+@register("top_tokens", f"""
+SELECT token_id, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(ids) AS token_id FROM ({ENCODED_SQL}))
+GROUP BY token_id ORDER BY n DESC, token_id LIMIT 100""")
+def q_top_tokens(spark, sf_dir):
+    """The 100 most frequent token ids under the word encoder, with their words' bytes looked up by id."""
+    from corpusmill.operators import bpe
+    d = docs(spark, sf_dir)
+    vocab = encode.word_vocab(d)
+    named = vocab.select("token_id", F.encode("word", "UTF-8").alias("token")).unionByName(
+        bpe.special_tokens(spark).select("token_id", "token"))
+    return bpe.top_tokens(encode.word_encode(d, vocab), named).select("token_id", "n")
+
+
+@register("word_vocab_report", f"""
+SELECT d.lang, CAST(sum(e.n_tokens) AS BIGINT) AS tokens, CAST(sum({O.word_count('d.text')}) AS BIGINT) AS words,
+  {O.ratio('sum(e.n_tokens)', f"sum({O.word_count('d.text')})")} AS tokens_per_word,
+  {O.ratio('sum(octet_length(encode(d.text)))', 'sum(e.n_tokens)')} AS bytes_per_token
+FROM documents d JOIN ({ENCODED_SQL}) e ON d.doc_id = e.doc_id GROUP BY d.lang""")
+def q_word_vocab_report(spark, sf_dir):
+    """D8 under the word encoder."""
+    from corpusmill.operators import bpe
+    return bpe.vocab_report(_encoded(spark, sf_dir), docs(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------
 # F: instruction (SFT) data
 # ---------------------------------------------------------------------------
@@ -631,6 +692,23 @@ def q_sft_encode(spark, sf_dir):
                     tx.ids_text("input_ids").alias("input_ids"), tx.ids_text("labels").alias("labels"))
 
 
+@register("bpe_sft", f"SELECT conv_id, turn, {_prompt_expr_sql()} AS prompt, output FROM ({_FILTERED_SQL})")
+def q_bpe_sft(spark, sf_dir):
+    """F4 with the saved BPE tokenizer, uncut, and back: what the labels hide decodes to the prompt, the rest to the output."""
+    from corpusmill.operators import bpe, sft
+    tok = bpe.load_tokenizer(spark, _saved_tokenizer(spark, sf_dir))
+    enc = sft.sft_encode(_sft_records(spark, sf_dir), tok, max_seq_length=1 << 30)
+    at = F.col("prompt_tokens").cast("int")
+    response = F.filter("labels", lambda x: (x != tx.IGNORE_ID) & (x != tx.EOS_ID))
+    both = enc.select(F.struct("conv_id", "turn").alias("doc_id"), F.explode(F.array(
+        F.struct(F.lit("prompt").alias("part"), F.slice("input_ids", 1, at).alias("input_ids")),
+        F.struct(F.lit("output").alias("part"), response.alias("input_ids")))).alias("x"))
+    text = bpe.bpe_decode(both.select(F.struct("doc_id", "x.part").alias("doc_id"), "x.input_ids"), bpe.vocab_table(spark, tok.merges))
+    return (text.select("doc_id.doc_id.*", "doc_id.part", "text").groupBy("conv_id", "turn")
+                .agg(F.max(F.when(F.col("part") == "prompt", F.col("text"))).alias("prompt"),
+                     F.max(F.when(F.col("part") == "output", F.col("text"))).alias("output")))
+
+
 @register("sft_batches", f"""
 SELECT CAST(sid // 64 AS BIGINT) AS batch_id, CAST(sid % 64 AS INTEGER) AS pos,
        {O.ids_text("list_transform(range(512), lambda i: CASE WHEN i < len(ids) THEN ids[i + 1] ELSE 0 END)")} AS input_ids,
@@ -791,3 +869,18 @@ def q_stream_sample_count(spark, sf_dir):
     out, ck = scratch_path(spark, "stream-count"), scratch_path(spark, "stream-count-ck")
     stream_sample_count(_doc_stream(spark, sf_dir), out, ck).awaitTermination()
     return spark.read.parquet(out)
+
+
+@register("stream_window_count", f"""
+SELECT lang, CAST(count(*) AS BIGINT) AS documents, CAST(sum(e.n_tokens) AS BIGINT) AS tokens, CAST(sum({O.window_count('e.n_tokens')}) AS BIGINT) AS samples
+FROM ({O.word_encode_sql(src=f"({_clean_sql()})", vocab_src='documents')}) e JOIN documents d ON e.doc_id = d.doc_id WHERE e.n_tokens > 0 GROUP BY lang""")
+def q_stream_window_count(spark, sf_dir):
+    """Two chained streams: documents -> cleaned, encoded windows -> running counts per language."""
+    from corpusmill.operators.joins import materialize
+    from corpusmill.session import scratch_path
+    from corpusmill.streaming.streams import stream_window_count, stream_windows
+    tok = encode.WordTokenizer(materialize(encode.word_vocab(docs(spark, sf_dir))))
+    win, out = scratch_path(spark, "stream-win"), scratch_path(spark, "stream-win-count")
+    stream_windows(_doc_stream(spark, sf_dir), tok, win, scratch_path(spark, "stream-win-ck")).awaitTermination()
+    stream_window_count(spark, win, out, scratch_path(spark, "stream-win-count-ck")).awaitTermination()
+    return spark.read.parquet(out)

@@ -1,8 +1,10 @@
 """A1: Arrow IPC files as a Spark data source (Python Data Source API).
 
-``spark.read.format("arrow_ipc").load(dir)`` plans one input partition per
-file and yields ``pyarrow.RecordBatch`` objects straight from the file (no
-per-row Python).  ``df.write.format("arrow_ipc").save(dir)`` writes one IPC
+``spark.read.format("arrow_ipc").load(dir)`` plans input partitions of about
+``split_bytes`` (an option): small files whole, large ones by ranges of their record batches, which the
+file's footer tells.  It yields ``pyarrow.RecordBatch`` objects straight from the file (no
+per-row Python).  With a ``schema`` of some of the columns only these are decoded.  Files of the
+streaming format have no footer and are one partition each.  ``df.write.format("arrow_ipc").save(dir)`` writes one IPC
 file per task from Arrow batches.  Files are opened through
 ``pyarrow.fs`` so the same code reads local paths and cluster file systems.
 
@@ -52,37 +54,66 @@ def _list_files(path: str) -> list[str]:
     return [prefix + f for f in files]
 
 
-def _open(path: str):
+def _open(path: str, columns: list[str] | None = None):
+    """A reader of one file, of ``columns`` only."""
     import pyarrow as pa
     import pyarrow.ipc as ipc
     fs, p = _fs_and_path(path)
-    f = fs.open_input_file(p)
-    try:
-        return ipc.open_file(f)
-    except pa.ArrowInvalid:                      # not the file format: the streaming one
-        f.close()
-        return ipc.open_stream(fs.open_input_stream(p))
+
+    def opened(options=None):
+        f = fs.open_input_file(p)
+        try:
+            return ipc.open_file(f, options=options)
+        except pa.ArrowInvalid:                  # not the file format: the streaming one
+            f.close()
+            return ipc.open_stream(fs.open_input_stream(p), options=options)
+    r = opened()
+    if columns is None:
+        return r
+    at = [r.schema.get_field_index(c) for c in columns]
+    if min(at, default=0) < 0:
+        raise ValueError(f"{path} has no column {columns[at.index(-1)]!r}")
+    return opened(ipc.IpcReadOptions(included_fields=sorted(at)))
+
+
+SPLIT_BYTES = 64 << 20
 
 
 @dataclass
 class _FilePartition(InputPartition):
     path: str
+    start: int = 0
+    end: int = -1                # record batches, the last one exclusive; -1: all
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, schema: StructType):
+    def __init__(self, path: str, schema: StructType, split_bytes: int = SPLIT_BYTES):
         self.path = path
         self.schema = schema
+        self.split_bytes = split_bytes
 
     def partitions(self):
-        return [_FilePartition(p) for p in _list_files(self.path)]
+        import pyarrow as pa
+        out = []
+        for path in _list_files(self.path):
+            fs, p = _fs_and_path(path)
+            size = fs.get_file_info(p).size
+            r = _open(path) if size > self.split_bytes else None
+            if isinstance(r, pa.ipc.RecordBatchFileReader) and r.num_record_batches > 1:
+                n = r.num_record_batches
+                step = max(1, n * self.split_bytes // size)
+                out += [_FilePartition(path, i, min(i + step, n)) for i in range(0, n, step)]
+            else:
+                out.append(_FilePartition(path))
+        return out
 
     def read(self, partition):
         import pyarrow as pa
-        r = _open(partition.path)
         names = [f.name for f in self.schema.fields]
+        r = _open(partition.path, names)
         if isinstance(r, pa.ipc.RecordBatchFileReader):
-            batches = (r.get_batch(i) for i in range(r.num_record_batches))
+            end = r.num_record_batches if partition.end < 0 else partition.end
+            batches = (r.get_batch(i) for i in range(partition.start, end))
         else:
             batches = iter(r)
         for b in batches:
@@ -155,7 +186,7 @@ class ArrowIpcDataSource(DataSource):
         return from_arrow_schema(pa.schema(s))
 
     def reader(self, schema: StructType):
-        return _Reader(self.options["path"], schema)
+        return _Reader(self.options["path"], schema, int(self.options.get("split_bytes", SPLIT_BYTES)))
 
     def writer(self, schema: StructType, overwrite: bool):
         return _Writer(self.options["path"], overwrite)

@@ -5,6 +5,7 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,6 +199,50 @@ def test_save_and_load_tokenizer(spark, tmp_dir):
     bpe.save_tokenizer(vocab, merges, path)
     ml = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
     assert bpe.load_merges(spark, path) == ml
-    part = [p for p in glob.glob(os.path.join(path, "tokenizer_json", "part-*")) if os.path.getsize(p) > 0]
-    doc = json.loads(open(part[0]).read())
+    doc = json.loads(open(os.path.join(path, "tokenizer.json")).read())
+    assert bpe.load_tokenizer(spark, path).merges == ml
+    bpe.save_tokenizer(vocab, merges, path)                    # over the old one; no leftovers of the write
+    assert bpe.load_tokenizer(spark, path).merges == ml and not glob.glob(os.path.join(path, "*.part"))
     assert len(doc["model"]["merges"]) == len(ml) and doc["model"]["vocab"]["<pad>"] == 0
+
+
+def test_blocks_keep_the_pair_counts(spark):
+    """After any batch the kept counts are those of the words as they are now."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab c") for _ in range(40)) for _ in range(60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    blocks = bpe.word_blocks(bpe.pretoken_counts(df))
+    kept = {r["p"]: r["n"] for r in bpe.changes_of(blocks).collect()}
+    a, b = bpe.BYTE_OFFSET + ord("a"), bpe.BYTE_OFFSET + ord("b")
+    for batch in ([(a, a, 300), (a, b, 301)], [(300, 300, 302), (301, a, 303), (b, b, 304)], [(302, 300, 305)]):
+        blocks = bpe.merged_blocks(blocks, batch)
+        for r in bpe.changes_of(blocks).collect():
+            kept[r["p"]] = kept.get(r["p"], 0) + r["n"]
+        want = {}
+        for r in blocks.collect():
+            syms, weights = np.frombuffer(r["syms"], np.int32).astype(np.int64), np.frombuffer(r["weights"], np.int64)
+            for p, n in zip(*bpe._pair_sums(syms, weights)) if len(syms) else ():
+                want[int(p)] = want.get(int(p), 0) + int(n)
+        assert {p: n for p, n in kept.items() if n} == want
+
+
+def test_windows_of_bpe_ids_give_the_texts_back(spark):
+    """docs -> ids -> windows -> batches -> padded -> labels -> texts; ids and index equal the tokenizers library's."""
+    import tokenizers
+    from corpusmill.operators import windows as W
+    df = spark.read.parquet(f"{SF0001}/documents.parquet").limit(60)
+    df = df.select("doc_id", "text").unionAll(spark.createDataFrame([(9001, ""), (9002, None), (9003, " \n\n x")], "doc_id bigint, text string"))
+    tok = bpe.BpeTokenizer.train(df, bpe.FIRST_MERGE_ID + 300)
+    batched = W.lm_labels(W.collate(W.batches(W.ordered_windows(df, tok, 32, 8), 4), 32))
+    real = F.filter("labels", lambda x: x != tx.IGNORE_ID)
+    back = W.unwindowed(batched.select("doc_id", "window_ix", "n_tokens", real.alias("input_ids")), 8)
+    got = {r["doc_id"]: r["text"] for r in bpe.bpe_decode(back, bpe.vocab_table(spark, tok.merges)).collect()}
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    assert got == {i: t for i, t in texts.items() if t}
+    hf = tokenizers.Tokenizer.from_str(bpe.tokenizer_json(tok.merges))
+    for r in tok.encode_df(df).collect():
+        assert list(r["input_ids"]) == hf.encode(texts[r["doc_id"]] or "").ids
+    index = W.window_index(tok.encode_df(df), 32, 8).orderBy("sample_id").collect()
+    sizes = {i: len(hf.encode(t or "").ids) for i, t in texts.items()}
+    want = [(i, k) for i in sorted(sizes) for k in range(0 if not sizes[i] else 1 if sizes[i] <= 32 else 1 + -(-(sizes[i] - 32) // 24))]
+    assert [(r["doc_id"], r["window_ix"]) for r in index] == want and [r["sample_id"] for r in index] == list(range(len(want)))

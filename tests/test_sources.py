@@ -52,3 +52,23 @@ def test_a_table_of_one_row_group_is_worked_on_by_all_cores(spark, tmp_dir):
         assert "Exchange" not in spread(scan)._jdf.queryExecution().toString()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_a_large_arrow_file_is_read_by_many_tasks(spark, tmp_dir):
+    """Ranges of record batches; only the columns of the schema; the streaming format as one partition."""
+    import pyarrow as pa
+    register(spark)
+    table = pa.table({"doc_id": list(range(5000)), "text": [f"text {i} " * 20 for i in range(5000)], "other": ["x" * 50] * 5000})
+    os.makedirs(f"{tmp_dir}/a")
+    with pa.ipc.new_file(f"{tmp_dir}/a/one.arrow", table.schema) as w:
+        w.write_table(table, max_chunksize=100)
+    read = spark.read.format("arrow_ipc").option("split_bytes", str(100_000))
+    df = read.load(f"{tmp_dir}/a")
+    assert df.rdd.getNumPartitions() > 5
+    assert sorted(map(tuple, df.collect())) == sorted(zip(*(table[c].to_pylist() for c in table.column_names)))
+    some = read.schema("text string, doc_id bigint").load(f"{tmp_dir}/a")
+    assert sorted(map(tuple, some.collect())) == sorted(zip(table["text"].to_pylist(), range(5000)))
+    os.makedirs(f"{tmp_dir}/b")
+    with pa.ipc.new_stream(f"{tmp_dir}/b/one.arrow", table.schema) as w:
+        w.write_table(table, max_chunksize=100)
+    assert read.schema("doc_id bigint").load(f"{tmp_dir}/b").count() == 5000

@@ -50,3 +50,39 @@ def test_stream_sample_count_equals_batch(spark, tmp_dir):
     got = sorted(map(tuple, spark.read.parquet(out).collect()))
     want = sorted(map(tuple, streams.sample_count_agg(d).collect()))
     assert got == want
+
+
+def test_seen_keys_stay_few_files(spark, tmp_dir):
+    """Batches and a replay of any of the last ones: first arrival wins, the number of files does not grow with the stream."""
+    seen, out = os.path.join(tmp_dir, "seen"), os.path.join(tmp_dir, "out")
+    batches = [[(b * 10 + i, f"text {(b * 3 + i) % 37}", "en", "s", 1) for i in range(6)] for b in range(24)]
+    first, counts = {}, []
+    for b, rows in enumerate(batches):
+        for i, t, *_ in rows:
+            first.setdefault(t, i)
+        df = spark.createDataFrame(rows, DOCUMENTS_SCHEMA).coalesce(1)
+        streams.dedup_batch(df, b, seen, out, compact=4)
+        if b % 7 == 3:
+            streams.dedup_batch(df, b, seen, out, compact=4)             # a replay, also of a batch that merged
+        counts.append(sum(f.endswith(".parquet") for _, _, fs in os.walk(seen) for f in fs))
+    assert sorted(r["doc_id"] for r in spark.read.parquet(out).collect()) == sorted(first.values())
+    assert max(counts) <= 2 * 37 + 8 and len([d for d in os.listdir(f"{seen}/merged") if d.startswith("upto=")]) <= 2
+
+
+def test_chained_counts_equal_batch(spark, tmp_dir):
+    """documents -> windows of BPE ids -> counts, in two streams that restart; a replayed batch adds nothing."""
+    from pyspark.sql import functions as F
+    from corpusmill.operators import bpe
+    from corpusmill.operators import windows as W
+    src, win, out = (os.path.join(tmp_dir, x) for x in ("src", "win", "out"))
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    tok = bpe.BpeTokenizer.train(d.limit(50), bpe.FIRST_MERGE_ID + 100)
+    parts = d.randomSplit([1.0, 1.0], 3)
+    for k, part in enumerate(parts):
+        part.coalesce(1).write.mode("append").parquet(src)
+        streams.stream_windows(streams.stream_corpus(spark, src, max_files_per_trigger=1), tok, win, os.path.join(tmp_dir, "ck1"), 64, 16).awaitTermination()
+        streams.stream_window_count(spark, win, out, os.path.join(tmp_dir, "ck2"), 16).awaitTermination()
+    got = sorted(map(tuple, spark.read.parquet(out).collect()))
+    enc = tok.encode_df(streams.clean_rows(d)).join(d.select("doc_id", "lang"), "doc_id").where("n_tokens > 0")
+    want = enc.groupBy("lang").agg(F.count(F.lit(1)), F.sum("n_tokens"), F.sum(W.window_count("n_tokens", 64, 16)))
+    assert got == sorted(map(tuple, want.collect())) and got
