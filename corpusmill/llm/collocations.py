@@ -21,78 +21,100 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import pieces, saved
+from corpusmill.llm.common import arrow_batches, matching, pieces, saved
 from corpusmill.session import prepare
 
 MIN_COUNT, MAX_WORDS, TOP, SCALE = 100, 5, 2000, 1000
 SHARES = (1 / 8, 1 / 2, 1.0)       # of a language's words that the frontier's batches take
-MAX_SLOTS = 1 << 26                # bits of a table, at most
-CACHE = 500_000                    # words a task remembers per language
-BLOB = 8 << 20                     # bytes of hashes that are worked on at a time
+MIN_SLOTS, MAX_SLOTS = 1 << 22, 1 << 26    # bits of a table
+CACHE = 100_000                    # words a task remembers
+SLICE = 2 << 20                    # bytes of text that are encoded at a time
+BLOB = 2 << 20                     # bytes of hashes that are worked on at a time
+CHUNK = 1 << 16                    # words of a row of hashes, about
+BATCH = 4 << 20                    # bytes that are handed to Python at a time
+ROWS = 16 << 20                    # bytes of a row group of hashes
 PIECE_END = b".,;:!?\n\x0b\x0c\r"
-TO_PIECES = bytes.maketrans(PIECE_END + b"\t", b"\n" * len(PIECE_END) + b" ")
+END = b"\xff"                      # stands for the end of a piece; no byte of UTF-8 text
+TO_ENDS = bytes.maketrans(PIECE_END, END * len(PIECE_END))
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Words(dict):
-    """Hashes of one language's words, remembered."""
+    """(hash, check) of one language's words; those that are not known yet are noted in ``new``."""
 
-    def __init__(self, lang: bytes, seed: int):
-        self.prefix, self.seed = lang + b"\0", seed
+    def __init__(self, lang: str, seed: int):
+        self.prefix, self.seed, self.new = lang.encode() + b"\0", seed, []
+        self[END] = 0, 0
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        h = xxhash.xxh64_intdigest(self.prefix + word, self.seed) or 1
-        self[word] = h
+    def __missing__(self, word: bytes) -> tuple[int, int]:
+        own = self.prefix + word
+        h = self[word] = xxhash.xxh64_intdigest(own, self.seed) or 1, xxhash.xxh32_intdigest(own, self.seed)
+        self.new.append(word)
         return h
 
-
-def encode(text: bytes, words: Words) -> tuple[np.ndarray, dict]:
-    """Word hashes in order, 0 after each piece; and the hash of every distinct word."""
-    lines = [p.split() for p in text.lower().translate(TO_PIECES).split(b"\n")]   # bytes: lower() is A-Z only
-    known = {w: words[w] for w in set(itertools.chain.from_iterable(lines))}
-    out = []
-    for line in lines:
-        if line:
-            out += [known[w] for w in line]
-            out.append(0)
-    return np.array(out, np.uint64), known
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Word hashes in order, 0 after each piece (each text at least); and the distinct hashes with their counts and checks."""
+        data = b"\n".join([*texts, b""]).lower().translate(TO_ENDS).replace(END, b" " + END + b" ")   # lower() of bytes: A-Z only
+        words = pc.ascii_split_whitespace(pa.array([data], pa.binary()).view(pa.string())).flatten()
+        coded = words.filter(pc.not_equal(pc.binary_length(words), 0)).dictionary_encode()
+        known = [self[w] for w in coded.dictionary.view(pa.binary()).to_pylist()]
+        hashes, checks = np.array([h for h, _ in known], np.uint64), np.array([x for _, x in known], np.int64)
+        at = coded.indices.to_numpy()
+        live = hashes != 0
+        return hashes[at], hashes[live], np.bincount(at, minlength=len(hashes))[live], checks[live]
 
 
 def encoded(docs: DataFrame, text_col: str, lang_col: str, seed: int) -> DataFrame:
-    """(blob, words): hashes of one text's words; the words of a slice of texts with counts, on one row of each language."""
+    """A row per slice of texts and language: its word hashes, how often each distinct one is there, and the words the task had not met before."""
     prepare(docs.sparkSession)
-    entry = pa.struct([("lang", pa.string()), ("h", pa.int64()), ("w", pa.binary()), ("c", pa.int64())])
+    kinds = {"lang": pa.string(), "n": pa.int64(), "blob": pa.binary(), "hs": pa.list_(pa.int64()), "cs": pa.list_(pa.int32()), "xs": pa.list_(pa.int32()),
+             "words": pa.binary()}
 
     def run(batches):
-        langs: dict = {}
-        for b in pieces(batches, "text"):
-            blobs, hashes, named = [], {}, {}
+        known: dict = {}
+        for b in pieces(batches, "text", SLICE):
+            if sum(map(len, known.values())) > CACHE:
+                known.clear()
+            texts: dict = {}
             for t, lang in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).to_pylist()):
-                lang = "und" if lang is None else lang
-                if lang not in langs:
-                    if len(langs) >= 64:
-                        langs.clear()
-                    langs[lang] = Words(lang.encode(), seed)
-                h, known = encode(t or b"", langs[lang])
-                blobs.append(h.tobytes())
-                if len(h):
-                    hashes.setdefault(lang, []).append(h)
-                    named.setdefault(lang, {}).update(known)
-            rows = []
-            for lang, parts in hashes.items():
-                value, count = np.unique(np.concatenate(parts), return_counts=True)
-                c = dict(zip(value.tolist(), count.tolist()))
-                rows += [{"lang": lang, "h": x - (1 << 64) if x >> 63 else x, "w": w, "c": c[x]} for w, x in named[lang].items()]
-            lists = [rows] + [[]] * (len(blobs) - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary()), pa.array(lists, pa.list_(entry))], names=["blob", "words"])
+                if t:
+                    texts.setdefault("und" if lang is None else lang, []).append(t)
+            for lang, own in texts.items():
+                if lang not in known:
+                    known[lang] = Words(lang, seed)
+                words = known[lang]
+                h, value, count, check = words.encode(own)
+                new = zstandard.compress(b"\n".join(words.new), 1)       # no word holds a line end
+                words.new = []
+                ends = np.flatnonzero(h == 0) + 1      # rows are cut where a piece ends
+                cuts = np.unique(ends[np.searchsorted(ends, np.arange(CHUNK, len(h) + CHUNK, CHUNK)).clip(max=len(ends) - 1)])
+                blobs = [x.tobytes() for x in np.split(h, cuts[:-1])]
+                rest = [None] * (len(blobs) - 1)
+                cols = [[lang] * len(blobs), [int(count.sum())] + [0] * len(rest), blobs, [value.view(np.int64), *rest],
+                        [count.astype(np.int32), *rest], [check.astype(np.uint32).view(np.int32), *rest], [new, *rest]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds.values())], names=list(kinds))
     return docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).mapInArrow(
-        run, "blob binary, words array<struct<lang:string,h:bigint,w:binary,c:bigint>>")
+        run, "lang string, n bigint, blob binary, hs array<bigint>, cs array<int>, xs array<int>, words binary")
+
+
+def names_of(enc: DataFrame, wanted: "Bits", seed: int) -> DataFrame:
+    """(h, lang, w): the noted words whose hashes ``wanted`` has, and some others."""
+    def run(batches):
+        for b in batches:
+            for lang, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                words = [w for w in zstandard.decompress(packed).split(b"\n") if w]
+                own = lang.encode() + b"\0"
+                h = np.array([xxhash.xxh64_intdigest(own + w, seed) or 1 for w in words], np.uint64)
+                at = np.flatnonzero(wanted(mixed(h))) if len(h) else []
+                yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array([lang] * len(at), pa.string()),
+                                                  pa.array([words[i] for i in at], pa.binary())], names=["h", "lang", "w"])
+    return enc.where("words is not null").select("lang", "words").mapInArrow(run, "h bigint, lang string, w binary")
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -116,7 +138,7 @@ class Bits:
         """``keys(key binary)``: the hashes of m words.  At most MAX_SLOTS bits come to the driver."""
         n = keys.count()
         self.m, self.any = m, n > 0
-        size = min(MAX_SLOTS, 1 << max(16, (16 * n).bit_length()))
+        size = max(MIN_SLOTS, min(MAX_SLOTS, 1 << (64 * n).bit_length()))
         self.mask = np.uint64(size - 1)
 
         def run(batches):
@@ -154,34 +176,24 @@ def blocks(batches):
             yield w
 
 
-def grouped(w: np.ndarray, at: np.ndarray, m: int, around: bool) -> pa.RecordBatch | None:
-    """Phrases of m words at the places ``at``: key, count and (if asked) the least and greatest neighbours."""
+def grouped(w: np.ndarray, at: np.ndarray, m: int, before: bool) -> pa.RecordBatch | None:
+    """Phrases of m words at the places ``at``: key, count and (if asked) the least and greatest word before them, 0 at a piece's start."""
     if not len(at):
         return None
-    words = [w[at + k].view(np.int64) for k in range(m)]
-    cols = {f"w{k}": x for k, x in enumerate(words)}
+    cols = {f"w{k}": w[at + k].view(np.int64) for k in range(m)}
     sums = [([], "count_all")]
-    if around:
+    if before:
         cols["left"] = np.where(at > 0, w[at - 1], 0).view(np.int64)
-        end = at + m
-        cols["right"] = np.where(end < len(w), w[np.minimum(end, len(w) - 1)], 0).view(np.int64)
-        sums += [("left", "min"), ("left", "max"), ("right", "min"), ("right", "max")]
+        sums += [("left", "min"), ("left", "max")]
     t = pa.table(cols).group_by([f"w{k}" for k in range(m)], use_threads=False).aggregate(sums)
-    key = np.stack([t[f"w{k}"].to_numpy() for k in range(m)], 1)
-    keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * m), len(key), [None, pa.py_buffer(np.ascontiguousarray(key))]).cast(pa.binary())
-    out = [keys, t["count_all"].combine_chunks()]
-    names = ["key", "a"]
-    if around:
-        names += ["left_min", "left_max", "right_min", "right_max"]
-        out += [t[c].combine_chunks() for c in names[2:]]
-    return pa.RecordBatch.from_arrays(out, names=names)
+    key = np.ascontiguousarray(np.stack([t[f"w{k}"].to_numpy() for k in range(m)], 1))
+    keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * m), len(key), [None, pa.py_buffer(key)]).cast(pa.binary())
+    names = ["key", "a", "left_min", "left_max"][:4 if before else 2]
+    return pa.RecordBatch.from_arrays([keys, t["count_all"].combine_chunks(), *[t[c].combine_chunks() for c in names[2:]]], names=names)
 
 
 def level(blobs: DataFrame, m: int, prefix: Bits, frequent: Bits, min_count: int) -> DataFrame:
-    """(key, a, left_min, left_max, right_min, right_max): phrases of m words, min_count times or more, whose prefix is in ``prefix``.
-
-    Neighbours stand in the same piece; 0 is the end of one.
-    """
+    """(key, a): phrases of m words, min_count times or more, whose prefix is in ``prefix`` (false hits of its table included)."""
     def run(batches):
         for w in blocks(batches):
             if len(w) < m:
@@ -192,17 +204,15 @@ def level(blobs: DataFrame, m: int, prefix: Bits, frequent: Bits, min_count: int
             ok &= frequent(mixed(last))
             for k in range(m):
                 ok &= w[k:k + n] != 0
-            found = grouped(w, np.flatnonzero(ok), m, True)
+            found = grouped(w, np.flatnonzero(ok), m, False)
             if found is not None:
                 yield found
-    sums = blobs.mapInArrow(run, "key binary, a bigint, left_min bigint, left_max bigint, right_min bigint, right_max bigint")
-    return (sums.groupBy("key").agg(F.sum("a").alias("a"), F.min("left_min").alias("left_min"), F.max("left_max").alias("left_max"),
-                                    F.min("right_min").alias("right_min"), F.max("right_max").alias("right_max"))
-                .where(F.col("a") >= min_count))
+    return (blobs.mapInArrow(run, "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("a"))
+                 .where(F.col("a") >= min_count))
 
 
 def counts_of(blobs: DataFrame, keys: DataFrame, lengths) -> DataFrame:
-    """(key, f): how often each of ``keys(key)`` occurs."""
+    """(key, f, left_min, left_max): how often each of ``keys(key)`` occurs, and the words before it (and some other keys)."""
     tables = [t for t in (Bits(keys.where(F.octet_length("key") == 8 * m), m) for m in lengths) if t.any]
 
     def run(batches):
@@ -215,11 +225,11 @@ def counts_of(blobs: DataFrame, keys: DataFrame, lengths) -> DataFrame:
                 ok = t(rolled(w, m))
                 for k in range(m):
                     ok &= w[k:k + n] != 0
-                found = grouped(w, np.flatnonzero(ok), m, False)
+                found = grouped(w, np.flatnonzero(ok), m, True)
                 if found is not None:
                     yield found
-    return (blobs.mapInArrow(run, "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("f"))
-                 .join(keys, "key", "left_semi"))
+    return (blobs.mapInArrow(run, "key binary, a bigint, left_min bigint, left_max bigint").groupBy("key")
+                 .agg(F.sum("a").alias("f"), F.min("left_min").alias("left_min"), F.max("left_max").alias("left_max")))
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT,
@@ -237,15 +247,23 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     Repeated rows count as often as they stand there, an empty table gives an empty
     result, other columns are not read.
     """
+    with arrow_batches(docs.sparkSession, BATCH):
+        return _collocations(docs, text_col, lang_col, min_count, max_words, top, shares)
+
+
+def _collocations(docs: DataFrame, text_col: str, lang_col: str, min_count: int, max_words: int, top: int, shares) -> DataFrame:
     for seed in itertools.count(42):
-        enc = saved(encoded(docs, text_col, lang_col, seed), "colloc-encoded")
-        vocab = saved(enc.where(F.size("words") > 0).select(F.inline("words")).groupBy("lang", "h", "w")
-                         .agg(F.sum("c").alias("f")), "colloc-words")
-        if vocab.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").limit(1).count() == 0:
+        enc = saved(encoded(docs, text_col, lang_col, seed), "colloc-encoded", compression="none", **{"parquet.block.size": str(ROWS)})
+        sums = enc.select(F.inline(F.arrays_zip("hs", "cs", "xs"))).groupBy(F.col("hs").alias("h")).agg(
+            F.sum("cs").alias("f"), (F.min("xs") != F.max("xs")).alias("two"))
+        counts = saved(sums.where((F.col("f") >= min_count) | F.col("two")), "colloc-counts")
+        if counts.where("two").limit(1).count() == 0:
             break                                   # no two words share a hash
-    blobs = enc.where(F.octet_length("blob") > 0).select("blob")
-    totals = saved(vocab.groupBy("lang").agg(F.sum("f").alias("n")), "colloc-totals")
-    words = vocab.where(F.col("f") >= min_count)
+    blobs = enc.select("blob")
+    totals = saved(enc.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"), "colloc-totals")
+    names = names_of(enc, Bits(counts.select(_key_of("h").alias("key")), 1), seed)
+    words = saved(matching(names, counts.select("h", "f"), "h", "inner").groupBy("h", "lang", "w", "f")
+                  .agg(F.count(F.lit(1)).alias("met")), "colloc-words")
     # Batches of the frontier: first words by the power of two of their count, so a language has at most 63 bins.
     binned = words.withColumn("bin", F.floor(F.log2("f")).cast("int"))
     share = binned.groupBy("lang", "bin").agg(F.sum("f").alias("occ"))
@@ -316,10 +334,10 @@ def _best(scored: DataFrame, top: int) -> DataFrame:
 def _expand(blobs: DataFrame, words: DataFrame, first: DataFrame, frequent: Bits, min_count: int, max_words: int) -> DataFrame | None:
     """(key, a, l, r, n, score) of the surviving phrases that begin with the words ``first(key)``."""
     prefix = Bits(first, 1)
-    found: list = []
+    found: list = []                                # levels, from two words up
     while prefix.any and len(found) + 2 <= max_words:
         m = len(found) + 2
-        counted = level(blobs, m, prefix, frequent, min_count)
+        counted = saved(level(blobs, m, prefix, frequent, min_count), f"colloc-counted{m}")
         # False hits of the bit tables go: the prefix has to be there.
         head = first if m == 2 else found[-1].select("key")
         counted = counted.withColumn("head", F.substring("key", F.lit(1), F.lit(8 * (m - 1)))).join(
@@ -331,20 +349,27 @@ def _expand(blobs: DataFrame, words: DataFrame, first: DataFrame, frequent: Bits
     every = found[0].select("key", "a")
     for x in found[1:]:
         every = every.unionByName(x.select("key", "a"))
-    held = lambda side: (F.col(f"{side}_min") == F.col(f"{side}_max")) & (F.col(f"{side}_min") != 0)
+    # Longer phrases with the same word behind are in the next level; the words before are counted below.
     alive = None
     for m, x in enumerate(found, 2):
-        live = x if m == max_words else x.where(~held("left") & ~held("right"))
-        live = live.select("key", "a", F.lit(m).alias("m"))
+        live = x.select("key", "a", F.lit(m).alias("m"))
+        if m - 1 < len(found):
+            longer = found[m - 1].groupBy(F.substring("key", F.lit(1), F.lit(8 * m)).alias("key")).agg(F.max("a").alias("b"))
+            live = live.join(longer, "key", "left").where("b is null or b < a").drop("b")
         alive = live if alive is None else alive.unionByName(live)
     alive = saved(alive, "colloc-alive")
     k = F.explode(F.sequence(F.lit(1), F.col("m") - 1)).alias("k")
     cuts = alive.select("key", "a", "m", k).select(
         "key", "a", "k", F.substring("key", F.lit(1), F.col("k") * 8).alias("head"),
         F.substring("key", F.col("k") * 8 + 1, (F.col("m") - F.col("k")) * 8).alias("tail"))
-    tails = saved(cuts.where(F.octet_length("tail") > 8).select(F.col("tail").alias("key")).distinct(), "colloc-tails")
-    tail_counts = counts_of(blobs, tails, range(2, max_words)).unionByName(words.select("key", "f"))
-    tail_counts = saved(tail_counts, "colloc-tail-counts")
+    asked = cuts.where(F.octet_length("tail") > 8).select(F.col("tail").alias("key"))
+    asked = saved(asked.unionByName(alive.where(F.col("m") < max_words).select("key")).distinct(), "colloc-asked")
+    told = saved(counts_of(blobs, asked, range(2, max_words)), "colloc-told").join(asked, "key", "left_semi")
+    covered = told.where((F.col("left_min") == F.col("left_max")) & (F.col("left_min") != 0)).select("key")
+    longest = F.octet_length("key") == 8 * max_words
+    alive = alive.where(longest).unionByName(alive.where(~longest).join(covered, "key", "left_anti"))
+    cuts = cuts.join(alive.select("key"), "key", "left_semi")
+    tail_counts = told.select("key", "f").unionByName(words.select("key", "f"))
     head_counts = every.unionByName(words.select("key", F.col("f").alias("a")))
     # n is the language's, which the first word tells.
     lang_n = words.select(F.col("key").alias("w0"), "n")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, **options) -> DataFrame:
     """Write a derived table to the shared scratch folder and read it back.
 
     Cuts lineage: what follows survives a lost executor without redoing what
@@ -28,10 +30,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     prepare(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, limit: int):
+    """Jobs started inside hand at most about ``limit`` bytes at a time to Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def text_bytes(column: pa.Array) -> list:
     """UTF-8 bytes of a string column (None for null)."""
     return column.cast(pa.binary()).to_pylist()
