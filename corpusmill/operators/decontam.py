@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, sized
+from corpusmill.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, WIDE_MAX_BROADCAST_ROWS, sized
 
 NGRAM = 13
 
@@ -56,7 +56,7 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col: s
     hits, n_hits = sized(hits)
     verified = (words.join(F.broadcast(hits) if n_hits <= max_broadcast_rows else hits, id_col)
                      .select(id_col, "h", _gram_at("w", F.col("p") + 1, n).alias("gram")))
-    items = (verified.join(F.broadcast(bg) if n_bg <= max_broadcast_rows else bg, ["h", "gram"])
+    items = (verified.join(F.broadcast(bg) if n_bg <= min(max_broadcast_rows, WIDE_MAX_BROADCAST_ROWS) else bg, ["h", "gram"])
                      .select(id_col, "item_id").distinct()
                      .groupBy(id_col).agg(F.count(F.lit(1)).cast("bigint").alias("n_items")))
     items, n_items_rows = sized(items)
