@@ -24,7 +24,11 @@ from corpusmill.llm.common import arrow_type, fresh, matching, pieces, saved
 from corpusmill.session import prepare
 
 KINDS = ("email", "ip", "card", "phone")
-MIN_DOCS = 3                  # documents in which a term has to stand with the entity
+MIN_DOCS = 3                  # independent documents in which a term has to stand with the entity
+RUN = 5                       # words of a shingle, by which copies are told
+COPY = 0.8                    # shared shingles of all, from which on a document is a copy
+SKETCHES = 4                  # min-hashes that bring copies together
+CHANCE = 0.01                 # pairs that chance may bring about among all that are tested
 GENERALISE, REMOVE = 0.75, 0.9      # shares of the entity's information content
 COUNTER = 200_000             # distinct words a task holds before it passes their counts on
 SLOTS = 1 << 22               # hash slots that say which words may be disclosing terms
@@ -120,20 +124,71 @@ def free_terms(text: str | None, spans: list) -> set:
     return {w for w, _, _ in free_words(text, spans)}
 
 
+def run_hashes(text: str | None) -> np.ndarray:
+    """Distinct hashes of the text's runs of ``RUN`` words (all words if there are fewer)."""
+    words = WORD.findall((text or "").lower())
+    h = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    k = min(RUN, len(h))
+    runs = np.zeros(len(h) - k + 1 if k else 0, np.uint64)
+    for i in range(k):
+        runs = (runs ^ h[i:len(h) - k + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+        runs ^= runs >> np.uint64(32)
+    return np.unique(runs).view(np.int64)
+
+
+def sketch(runs: np.ndarray) -> list[int]:
+    """``SKETCHES`` min-hashes of the runs."""
+    if not len(runs):
+        return [0] * SKETCHES
+    x = runs.view(np.uint64)
+    return [int(((x ^ np.uint64(0x5851F42D4C957F2D * (k + 1) % (1 << 64))) * np.uint64(0xC2B2AE3D27D4EB4F)).min().view(np.int64)) for k in range(SKETCHES)]
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the distinct entities and, where there are any, the distinct words of the whole text outside them."""
+    """Per row: the distinct entities and, where there are any, the distinct words of the whole text outside them, and what tells copies."""
     prepare(docs.sparkSession)
-    schema = "ents array<bigint>, words array<string>"
+    schema = "text_hash bigint, ents array<bigint>, words array<string>, whole binary, marks array<bigint>"
 
     def run(batches):
         for b in pieces(batches, "text"):
-            ents, words = [], []
-            for t in b.column(0).to_pylist():
+            ents, words, whole, marks = [], [], [], []
+            for t in b.column(1).to_pylist():
                 spans = base_spans(t)
                 ents.append(list({entity(k, t[s:e]) for k, s, e in spans}))
                 words.append(list(free_terms(t, spans)) if spans else [])
-            yield pa.RecordBatch.from_arrays([pa.array(ents, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.string()))], names=["ents", "words"])
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, schema)
+                runs = run_hashes(t) if spans else np.zeros(0, np.int64)
+                whole.append(hashlib.blake2b(runs.tobytes(), digest_size=16).digest() if spans else b"")
+                marks.append(sketch(runs) if spans else [])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(ents, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.string())), pa.array(whole, pa.binary()),
+                 pa.array(marks, pa.list_(pa.int64()))], names=["text_hash", "ents", "words", "whole", "marks"])
+    return docs.select(F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+
+
+def copies(found: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(whole) of the texts with entities that copy another such text: as evidence they say nothing new.
+
+    Texts that agree in a min-hash are held against the first of them; those that share ``COPY`` of
+    their runs or more with it are copies.  (Texts of equal runs share one ``whole``.)
+    """
+    texts = found.where(F.size("ents") > 0).groupBy("whole").agg(F.min("text_hash").alias("text_hash"), F.first("marks").alias("marks"))
+    texts = saved(texts, "pii-texts")
+    at = texts.select("whole", "text_hash", F.posexplode("marks").alias("k", "m"))
+    first = at.groupBy("k", "m").agg(F.min(F.struct("whole", "text_hash")).alias("to"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = saved(at.join(first, ["k", "m"]).where(F.col("whole") != F.col("to.whole"))
+                  .select("whole", "text_hash", F.col("to.whole").alias("to"), F.col("to.text_hash").alias("to_hash")).distinct(), "pii-met")
+    hashes = saved(met.select("text_hash").union(met.select("to_hash")).distinct(), "pii-met-hashes")
+
+    def sets(batches):
+        for b in pieces(batches, "text"):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([run_hashes(t) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))],
+                                             names=["text_hash", "runs"])
+    src = docs.select(F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    runs = saved(matching(src, hashes, "text_hash", "left_semi", SMALL).mapInArrow(sets, "text_hash bigint, runs array<bigint>")
+                 .dropDuplicates(["text_hash"]), "pii-runs")
+    both = F.size(F.array_intersect("runs", "others"))
+    return saved(met.join(runs, "text_hash").join(runs.select(F.col("text_hash").alias("to_hash"), F.col("runs").alias("others")), "to_hash")
+                    .where(both >= F.lit(COPY) * (F.size("runs") + F.size("others") - both)).select("whole").distinct(), "pii-copies")
 
 
 def slot(word: str) -> int:
@@ -209,24 +264,36 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text", min_do
     share = PMI(t, e) / IC(e) with document probabilities over the whole
     corpus; level 1 generalises, 2 removes.  An entity in every document has no
     information to protect.  Term and entity meet where one document holds both, however
-    far apart; a term with the entity in fewer than ``min_docs`` documents is chance and is left.
+    far apart.  Evidence has to come from ``min_docs`` independent documents or more: of equal texts and of near
+    copies (``copies``) one counts.  And it has to be more than chance brings about in as many
+    pairs as are tested (the Poisson tail of what independence lets expect): a word that merely fell
+    together with an entity is left.
     As they meet in n_e documents at most, a term of more than
     N * (n_e / N) ** generalise documents cannot reach the share: such pairs are not formed.
     """
-    found = saved(found.select("ents", "words").withColumn("row", F.monotonically_increasing_id()), "pii-scan")
+    found = saved(found.withColumn("row", F.monotonically_increasing_id()), "pii-scan")
     total = found.count()
     n = F.lit(float(max(total, 1)))
-    held = found.select("row", F.explode("ents").alias("e"))
-    ents = saved(held.groupBy("e").agg(F.count(F.lit(1)).alias("n_e")).where((F.col("n_e") >= min_docs) & (F.col("n_e") < total))
-                 .withColumn("most", n * F.pow(F.col("n_e") / n, F.lit(float(generalise))) * (1 + 1e-9)), "pii-entities")
+    # One row stands for all copies of its text.
+    firsts = found.where(F.size("ents") > 0).groupBy("whole").agg(F.min("row").alias("row"))
+    lone = saved(firsts.join(copies(found, docs, text_col), "whole", "left_anti").select("row", F.lit(1).alias("lone")), "pii-independent")
+    held = saved(found.where(F.size("ents") > 0).select("row", F.explode("ents").alias("e")).join(lone, "row", "left")
+                      .select("row", "e", F.coalesce("lone", F.lit(0)).alias("lone")), "pii-mentions")
+    ents = saved(held.groupBy("e").agg(F.count(F.lit(1)).alias("n_e"), F.sum("lone").alias("s_e"))
+                     .where((F.col("s_e") >= min_docs) & (F.col("n_e") < total))
+                     .withColumn("most", n * F.pow(F.col("n_e") / n, F.lit(float(generalise))) * (1 + 1e-9)), "pii-entities")
     most = ents.agg(F.max("most")).first()[0] or 0.0
     df = saved(term_counts(docs, text_col).where((F.col("n") >= min_docs) & (F.col("n") <= most)), "pii-df")
     held = saved(matching(held, ents, "e", "inner", SMALL), "pii-held")
     words = found.join(held.select("row").distinct(), "row", "left_semi").select("row", F.explode("words").alias("t"))
     meet = held.join(matching(words, df, "t", "inner", SMALL), "row").where(F.col("n") <= F.col("most"))
-    joined = meet.groupBy("e", "t", "n_e", "n").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= min_docs)
+    joined = saved(meet.groupBy("e", "t", "n_e", "s_e", "n").agg(F.count(F.lit(1)).alias("n_et"), F.sum("lone").alias("s_et")), "pii-pairs")
+    tested = joined.count()
     share = F.log2(F.col("n_et") * n / (F.col("n") * F.col("n_e"))) / F.log2(n / F.col("n_e"))
-    return saved(joined.select("e", "t", share.alias("share")).where(F.col("share") >= generalise)
+    by_chance = F.col("s_e") * F.col("n") / n
+    tail = F.col("s_et") * F.log(F.col("s_et") / by_chance) - (F.col("s_et") - by_chance)
+    sure = (F.col("s_et") > by_chance) & (tail >= F.log(F.lit(max(tested, 1) / CHANCE)))
+    return saved(joined.where((F.col("s_et") >= min_docs) & sure).select("e", "t", share.alias("share")).where(F.col("share") >= generalise)
                  .withColumn("level", F.when(F.col("share") >= remove, 2).otherwise(1)), "pii-disclosing")
 
 
@@ -237,7 +304,7 @@ def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     end, level) of every place where a disclosing term stands, with its entity or
     without, in order, never inside a pattern span; the highest of a term's levels holds.
     Null text is empty: no spans, the digest of the empty string.  Repeated
-    rows are scanned row by row (and count as documents of their own), an
+    rows are scanned row by row (as evidence they count once), an
     empty table gives an empty result, other columns are not read.
     """
     flagged = saved(disclosing(scan(docs, id_col, text_col), docs, text_col, **kw).groupBy("t").agg(F.max("level").alias("level")), "pii-flagged")
