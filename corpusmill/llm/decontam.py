@@ -45,15 +45,15 @@ def question_answer(text: str) -> tuple[list[str], list[str]]:
     """Words of the question and the answer of an item.
 
     The question runs to the last question mark that something follows, else to the end of the last but
-    one sentence.  An answer of under eight words is read with the words before it, so
+    one sentence, else to the middle word.  An answer of under eight words is read with the words before it, so
     that it can be told from chance; an item of under 16 words is question and answer at once.
     """
     at = text.rstrip().rfind("?", 0, len(text.rstrip()) - 1)
     if at < 0:
         ends = [m.end() for m in re.finditer(r"[.!?。]\s+(?=\S)", text)]
-        at = ends[-1] - 1 if ends else len(text) // 2
-    q, a = words(text[:at + 1]), words(text[at + 1:])
-    both = q + a
+        at = ends[-1] - 1 if ends else -1
+    both = words(text)
+    q = words(text[:at + 1]) if at >= 0 else both[:len(both) // 2]
     if len(both) < 16:
         return both, both
     cut = min(max(len(q), 8), len(both) - 8)
@@ -196,8 +196,11 @@ class Index:
             hits = self.retrieve(terms.tolist(), theta)
             if not hits:
                 continue
-            seen = shingles(w[max(0, lo - s):hi + s])
-            short = {g[:k] for g in seen for k in range(1, SHINGLE)} if any(len(min(self.parts[i][0], key=len)) < SHINGLE for i, _ in hits) else seen
+            around = w[max(0, lo - s):hi + s]
+            seen = shingles(around)
+            # Items of fewer words than a shingle have one run, of their length: it may begin at any word, the last ones too.
+            sizes = {len(g) for i, _ in hits for g in self.parts[i][0] if len(g) < SHINGLE}
+            short = {tuple(around[j:j + k]) for k in sizes for j in range(len(around) - k + 1)}
             for i, score in hits:
                 every, q, a = (sum(g in seen or (len(g) < SHINGLE and g in short) for g in p) / len(p) for p in self.parts[i])
                 if every >= overlap and q >= overlap / 2 and a >= overlap / 2:

@@ -68,6 +68,23 @@ def test_equals_scan_of_all_items(spark):
     assert left.count() == len(rows) - len({d for d, _ in want})
 
 
+def test_verbatim_items_of_any_length_are_found(spark):
+    """Items of 1 to 20 words without a sentence end, at the start, in the middle and at the end of a text, and alone."""
+    rng = random.Random(11)
+    items = [(n * 10 + k, " ".join(f"q{n}x{k}x{i}" for i in range(n))) for n in range(1, 21) for k in range(3)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows, want = [], set()
+    for d, (i, x) in enumerate(items):
+        other = [f"w{rng.randrange(500)}" for _ in range(60)]
+        for k, t in enumerate((x, x + " " + " ".join(other), " ".join(other[:30]) + " " + x + " " + " ".join(other[30:]), " ".join(other) + " " + x)):
+            rows.append((d * 10 + k, t))
+            want.add((d * 10 + k, i))
+        half = " ".join(x.split()[:len(x.split()) // 2])
+        rows.append((d * 10 + 5, " ".join(other) + " " + half))
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(documents(spark, rows), bench).collect()}
+    assert got == want
+
+
 def test_more_items_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_ITEMS", 7)
     rng = random.Random(8)
