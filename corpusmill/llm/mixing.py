@@ -198,8 +198,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         inside = F.coalesce(F.sum(value).over(Window.partitionBy(*keys, part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         return df.withColumn(copy, inside).join(start, [*keys, part]).withColumn(before, F.col(before) + F.col(copy)).drop(copy, part)
-    # Units whose rows differ: texts in the order of their hash take the copy more, and the last of them for some of its rows.
-    split = docs.join(m.where(F.col(more) > 0).hint("merge"), on).withColumn(h, F.xxhash64(text_col))
+    # Units whose rows differ: rows in the order of a hash over all their columns take the copy more, and the last
+    # of them, equal in every column, for some of its repeats - which of those does not show.
+    hashable = [c for c, t in docs.dtypes if "map<" not in t and t != "variant"]
+    split = docs.join(m.where(F.col(more) > 0).hint("merge"), on).withColumn(h, F.xxhash64(*hashable))
     texts = saved(split.groupBy(unit, more, k, h).agg(F.count(F.lit(1)).alias(rows))
                        .withColumn(part, F.pmod(h, F.ceil(F.col(k) / PART_ROWS))), "mix-texts")
     due = F.greatest(F.lit(0), F.least(F.col(rows), F.col(more) - F.col(before)))
@@ -207,6 +209,6 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     split = matching(split, due, [unit, h], "inner", 200_000)
     some = (F.col(quota) > 0) & (F.col(quota) < F.col(rows))
     sure = split.where(~some).withColumn(c, F.col(c) + (F.col(quota) > 0).cast("int"))
-    edge = saved(split.where(some).withColumn(part, F.floor(F.rand(1) * F.ceil(F.col(rows) / PART_ROWS))), "mix-edge")
+    edge = saved(split.where(some).withColumn(part, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.ceil(F.col(rows) / PART_ROWS))), "mix-edge")
     edge = running(edge, [unit, h], F.lit(1), h).withColumn(c, F.col(c) + (F.col(before) < F.col(quota)).cast("int"))
     return out.unionByName(copied(sure)).unionByName(copied(edge))
