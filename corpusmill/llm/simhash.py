@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import matching, pieces, saved, text_bytes
+from corpusmill.llm.common import fresh, matching, pieces, saved, text_bytes
 from corpusmill.llm.graph import components
 from corpusmill.session import prepare
 
@@ -146,6 +146,18 @@ def links(prints: DataFrame, max_bits: int = 2, segments: int = 16) -> DataFrame
     return dealt.mapInArrow(run, schema)
 
 
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+            max_bits: int = 2, seed: int = 42, segments: int = 16) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) per row, and (fp, root, component_id) per fingerprint; ``root`` names the component."""
+    fps = saved(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp")
+    least = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-least")
+    comp = components(links(least, max_bits, segments)).select(F.col("v").alias("fp"), "root")
+    rooted = least.join(comp, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return fps, saved(rooted.select("fp", "root").join(saved(smallest, "simhash-small"), "root")
+                            .select("fp", "root", "component_id"), "simhash-comp")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     max_bits: int = 2, seed: int = 42, segments: int = 16) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
@@ -158,33 +170,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     unless all are null.  An empty table gives an empty result; columns other
     than the two named are not read.
     """
-    fps = saved(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp")
-    least = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-least")
-    comp = components(links(least, max_bits, segments)).select(F.col("v").alias("fp"), "root")
-    rooted = least.join(comp, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = saved(rooted.select("fp", "root").join(saved(smallest, "simhash-small"), "root")
-                        .select("fp", "component_id"), "simhash-comp")
+    fps, by_fp = grouped(docs, id_col, text_col, shingle, max_bits, seed, segments)
     return fps.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2,
+             seed: int = 42, segments: int = 16) -> DataFrame:
     """The rows of ``docs`` less all but one of each near-duplicate group, columns unchanged.
 
-    The row with the group's smallest doc_id stays.  Rows that share that id, or a
-    group without any id, can only be told apart by their text: of equal
-    ones one stays.
+    The row with the group's smallest doc_id stays; of a group without any id one
+    row.  Rows with a null or a repeated id are told apart by their fingerprint, which is taken of
+    them once more; of those that share their group's smallest id one stays.
     """
-    found = near_duplicates(docs, id_col, text_col, **kw).select(F.col("doc_id").alias("cm_id"), "component_id")
-    ids = saved(found.groupBy("cm_id").agg(F.count(F.lit(1)).alias("rows"),
-                                           F.sum((~F.col("cm_id").eqNullSafe(F.col("component_id"))).cast("int")).alias("gone")), "simhash-ids")
-    # Ids of one row that goes; ids that need a second look (repeated or null).
-    gone = ids.where("rows = gone and cm_id is not null").select(F.col("cm_id").alias(id_col))
-    again = saved(ids.where("cm_id is null or (rows > 1 and gone < rows)").select("cm_id", "rows", "gone"), "simhash-again")
+    i, f, r, c = fresh(docs, "cm_id", "cm_fp", "cm_root", "cm_component")
+    fps, by_fp = grouped(docs, id_col, text_col, shingle, max_bits, seed, segments)
+    found = fps.join(by_fp, "fp").select("doc_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays"))
+    ids = saved(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("stays").cast("int")).alias("stay")), "simhash-ids")
+    # Ids none of whose rows stays; ids that need a look at their rows.
+    gone = ids.where("stay = 0 and doc_id is not null").select(F.col("doc_id").alias(id_col))
     left = matching(docs, saved(gone, "simhash-gone"), id_col, "left_anti")
+    again = saved(ids.where("doc_id is null or (rows > 1 and stay > 0)").select(F.col("doc_id").alias(i)), "simhash-again")
     if again.limit(1).count() == 0:
         return left
-    first = again.select("cm_id")
-    on = left[id_col].eqNullSafe(first["cm_id"])
-    return left.join(first, on, "left_anti").unionAll(
-        left.join(first, on, "left_semi").dropDuplicates([id_col, text_col]))
+    on = left[id_col].eqNullSafe(again[i])
+    look = matching(left, again, on, "left_semi")
+    schema = look.withColumn(f, F.lit(0).cast("bigint")).schema
+    at, names = docs.columns.index(text_col), [*docs.columns, f]
+
+    def run(batches):
+        for b in pieces(batches, text_col):
+            fp = np.array([majority(shingle_hashes(t, shingle, seed)) for t in text_bytes(b.column(at))], np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], names=names)
+    looked = saved(look.mapInArrow(run, schema), "simhash-look")
+    groups = by_fp.select(F.col("fp").alias(f), F.col("root").alias(r), F.col("component_id").alias(c))
+    one = (looked.join(groups, f).where(F.col(id_col).eqNullSafe(F.col(c))).dropDuplicates([r]).select(*docs.columns))
+    return matching(left, again, on, "left_anti").unionAll(one)

@@ -94,3 +94,15 @@ def test_empty_table_and_keep_one(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5]
     rows = [(3, "a b c"), (3, "a b c"), (8, "a b c"), (None, "q r s t"), (None, "q r s t")]
     assert sorted((r["doc_id"] is None, r["text"]) for r in simhash.keep_one(documents(spark, rows)).collect()) == [(False, "a b c"), (True, "q r s t")]
+
+
+def test_rows_without_or_with_a_repeated_id_go_by_their_fingerprint(spark):
+    """Of a group one row stays, whatever its ids: the smallest known one, else any; equal rows are told apart too."""
+    near = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(None, near)] * 3 + [(7, near), (9, near)]                   # null ids beside known ones
+    rows += [(None, "alpha beta gamma")] * 2 + [(None, "ALPHA beta gamma"), (None, "delta epsilon zeta eta")]
+    rows += [(20, "red green blue"), (20, "red green blue"), (20, "quite another text here"), (21, "quite another text here")]
+    rows += [(19, "quite another text here")]
+    for parts in (1, 5):
+        kept = sorted((r["doc_id"] or 0, r["text"].lower()) for r in simhash.keep_one(documents(spark, rows).repartition(parts)).collect())
+        assert kept == [(0, "alpha beta gamma"), (0, "delta epsilon zeta eta"), (7, near), (19, "quite another text here"), (20, "red green blue")]
