@@ -65,7 +65,7 @@ def test_queries_equal_their_sql(spark):
     con = duckdb.connect()
     for t in ("documents", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
-    assert set(ORACLE) < set(QUERIES) and len(QUERIES) == 10
+    assert set(ORACLE) < set(QUERIES) and len(QUERIES) == 13
     for name, sql in ORACLE.items():
         df = QUERIES[name](spark, SF0001)
         rel = con.sql(sql)
