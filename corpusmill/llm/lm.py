@@ -33,8 +33,9 @@ DIM = 32
 WINDOW = 2
 MASK = 8
 ROUNDS = 2
-BATCH = 4096
-RATE = 0.1
+RUN = 256                    # neighbouring positions that are dealt to the same set
+BATCH = 8192
+RATE = 0.2
 SCORED = 1 << 15             # positions scored at a time
 BLOCKS = 16                  # pieces that the parameters are averaged in
 COUNTER = 200_000
@@ -111,9 +112,18 @@ class Trainer:
             p[rows] -= RATE * grad / np.sqrt(a[rows])
 
     def step(self, ids: np.ndarray, at: np.ndarray) -> None:
+        """One step on the ascending positions ``at``."""
         p, n = self.p, len(at)
-        around = [ids[at + o] for o in OFFSETS]
-        e = [p["emb"][a] for a in around]
+        # The positions around, numbered without gaps: most are a neighbour to several of ``at``.
+        low = at[0] - WINDOW
+        near = np.zeros(at[-1] + WINDOW + 1 - low, bool)
+        for o in OFFSETS:
+            near[at + (o - low)] = True
+        number = np.cumsum(near, dtype=np.int32) - 1
+        word = ids[low:low + len(near)][near]
+        rows = [number[at + (o - low)] for o in OFFSETS]
+        around = p["emb"][word]
+        e = [around[r] for r in rows]
         h = np.tanh(sum((x * s for x, s in zip(e, p["place"])), p["bias"]))
         target = ids[at]
         x = h @ p["top"].T + p["top_b"]
@@ -137,9 +147,11 @@ class Trainer:
         self.apply("top", top)
         self.apply("top_b", top_b)
         self.apply("bias", d.sum(0))
-        place = np.stack([(d * x).sum(0) for x in e])
-        word = np.concatenate(around)
-        g = np.concatenate([d * s for s in p["place"]])
+        place = np.stack([np.einsum("ij,ij->j", d, x) for x in e])
+        g = np.zeros_like(around)
+        for r, s in zip(rows, p["place"]):
+            g[r] += d * s                          # no position is the same neighbour twice
+        word = word.astype(np.uint16)              # 16 bits: sorted by counting
         order = np.argsort(word, kind="stable")
         word = word[order]
         first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
@@ -223,8 +235,11 @@ def sequences(column) -> list:
 
 
 def hidden(at: np.ndarray, r: int, rounds: int) -> list:
-    """The sets of positions that round ``r`` of ``rounds`` hides, one after the other; more than ``MASK`` rounds begin anew."""
-    own, n = (at * 2654435761 >> 7) % MASK, min(rounds, MASK)
+    """The sets of positions that round ``r`` of ``rounds`` hides, one after the other; more than ``MASK`` rounds begin anew.
+
+    ``RUN`` neighbours are dealt together.  A position is never among those that it is predicted from.
+    """
+    own, n = (at // RUN * 2654435761 >> 7) % MASK, min(rounds, MASK)
     return [at[own == k] for k in range(r % n, MASK, n)]
 
 

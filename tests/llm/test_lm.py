@@ -80,3 +80,36 @@ def test_padding_keeps_documents_apart():
     ids, at, sizes = lm.padded([np.array([1, 2]), np.array([], np.int64), np.array([3])])
     assert sizes.tolist() == [2, 0, 1] and ids[at].tolist() == [1, 2, 3]
     assert (ids == lm.PAD).sum() == lm.WINDOW * 4 and (np.diff(at) > 0).all() and at[2] - at[1] > lm.WINDOW
+
+
+def plain_score(p, ids, log_types):
+    """The definition: per position a softmax over all classes, one over all tokens of the token's class, from its neighbours alone."""
+    total, first = 0.0, lm.TOKENS - lm.BUCKETS
+    around = lambda i: ids[i] if 0 <= i < len(ids) else lm.PAD
+    q = {k: v.astype(np.float64) for k, v in p.items()}
+    for i, t in enumerate(ids):
+        h = np.tanh(sum(q["place"][k] * q["emb"][around(i + o)] for k, o in enumerate(lm.OFFSETS)) + q["bias"])
+        for x, at in ((q["top"] @ h + q["top_b"], t // lm.CLASS), (q["low"][t // lm.CLASS] @ h + q["low_b"][t // lm.CLASS], t % lm.CLASS)):
+            total += x[at] - np.log(np.exp(x).sum())
+        if t >= first:
+            total -= log_types[t - first]
+    return total
+
+
+def test_the_query_equals_a_plain_loop(spark):
+    """Vocabulary, ids and summed conditional log-probabilities of every row, from the trained parameters by the definition."""
+    rng = random.Random(7)
+    rows = [(100 + i, " ".join(f"w{rng.choice([rng.randrange(9), rng.randrange(9000)])}" for _ in range(rng.randint(0, 120)))) for i in range(200)]
+    rows += [r for r in EDGES if r[0] != 5]
+    df = documents(spark, rows).coalesce(1)
+    got = lm.pseudo_likelihood(df).collect()
+    vocab, counts, log_types = lm.vocabulary(df)
+    p = lm.train(lm.encode(df, vocab).coalesce(1), counts)
+    want = {}
+    for r in rows:
+        ids = [vocab.get(w, lm.TOKENS - lm.BUCKETS + zlib.crc32(w.encode()) % lm.BUCKETS) for w in (r[1] or "").lower().split()]
+        want.setdefault(r[0], []).append((len(ids), plain_score(p, ids, log_types)))
+    assert len(vocab) < len({w for r in rows for w in (r[1] or "").lower().split()})     # some words are in buckets
+    assert len(got) == len(rows)
+    for r in got:
+        assert any(r["n_tokens"] == n and abs(r["log_likelihood"] - x) < 1e-3 * max(n, 1) for n, x in want[r["doc_id"]])
