@@ -795,12 +795,12 @@ def q_write_batches(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# G: streaming (availableNow over the documents file, then read the sink)
+# G: streaming (availableNow over the documents, one file or a folder of them, then read the sink)
 # ---------------------------------------------------------------------------
 
 def _doc_stream(spark, sf_dir):
     from corpusmill.streaming.streams import stream_corpus
-    return stream_corpus(spark, sf_dir, glob="documents.parquet")
+    return stream_corpus(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
 @register("stream_docs", _DOC_COLS)

@@ -33,7 +33,14 @@ from corpusmill.sources.corpus import DOCUMENTS_SCHEMA
 
 def stream_corpus(spark: SparkSession, path: str, schema=DOCUMENTS_SCHEMA, max_files_per_trigger: int | None = None,
                   glob: str | None = None) -> DataFrame:
-    """A5: arriving parquet document files as a streaming DataFrame."""
+    """A5: arriving parquet document files as a streaming DataFrame.
+
+    ``path``: the folder in which they arrive, or a single file: a stream
+    reads folders only, so that file is picked by its name from its own.
+    """
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).isFile(p):
+        path, glob = p.getParent().toString(), p.getName()
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))

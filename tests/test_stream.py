@@ -86,3 +86,16 @@ def test_chained_counts_equal_batch(spark, tmp_dir):
     enc = tok.encode_df(streams.clean_rows(d)).join(d.select("doc_id", "lang"), "doc_id").where("n_tokens > 0")
     want = enc.groupBy("lang").agg(F.count(F.lit(1)), F.sum("n_tokens"), F.sum(W.window_count("n_tokens", 64, 16)))
     assert got == sorted(map(tuple, want.collect())) and got
+
+
+def test_stream_queries_read_a_folder_of_documents(spark, tmp_dir):
+    from corpusmill.plans.registry import QUERIES
+    from corpusmill.session import prepare
+    prepare(spark)
+    rows = [(i, f"w{i % 3} b", ("en", "de")[i % 2], "s", 4) for i in range(6)]
+    spark.createDataFrame(rows, DOCUMENTS_SCHEMA).repartition(3).write.parquet(os.path.join(tmp_dir, "documents.parquet"))
+    spark.createDataFrame([(1, "other")], "id int, text string").write.parquet(os.path.join(tmp_dir, "pages.parquet"))
+    assert sorted(r["doc_id"] for r in QUERIES["stream_docs"](spark, tmp_dir).collect()) == list(range(6))
+    assert sorted(r["doc_id"] for r in QUERIES["stream_dedup"](spark, tmp_dir).collect()) == [0, 1, 2]
+    got = {r["lang"]: (r["documents"], r["tokens"]) for r in QUERIES["stream_sample_count"](spark, tmp_dir).collect()}
+    assert got == {"en": (3, 6), "de": (3, 6)}
