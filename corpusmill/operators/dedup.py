@@ -18,7 +18,7 @@ import itertools
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
@@ -104,10 +104,9 @@ def rare_prefixes(sets: DataFrame, threshold: float) -> DataFrame:
     shared shingles are ordered.  A shingle at place i of x leaves at most len - i in
     common, which bounds the length of a partner: ``upto`` (the position filter).
     """
-    shared = stored(sets.select(F.explode("sh").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n"))
-                        .where(F.col("n") > 1), "near-shared")
-    held = checked_join(sets.select("id", F.size("sh").alias("len"), F.explode("sh").alias("s")), shared, "s",
-                        small_rows=shared.count())
+    # Counted where its holders are: the shingles cross the shuffle once, and only shared ones go on.
+    held = (sets.select("id", F.size("sh").alias("len"), F.explode("sh").alias("s"))
+                .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("s"))).where(F.col("n") > 1))
     own = held.groupBy("id", "len").agg(F.sort_array(F.collect_list(F.struct("n", "s"))).alias("ts"))
     alone = F.col("len") - F.size("ts")
     take = F.col("len") - F.ceil(F.col("len") * threshold).cast("int") + 1 - alone

@@ -177,3 +177,25 @@ def test_edges_grow_with_the_group(spark):
     edges = dedup.near_dup_pairs(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert edges.count() < 3000
     assert {r["component"] for r in dedup.components(edges).collect()} == {0}
+
+
+def test_rare_prefixes_count_and_order_in_one_pass(spark):
+    import math
+    import random
+    from collections import Counter
+    rng = random.Random(5)
+    sets = {i: sorted(rng.sample(range(60), rng.randint(5, 20))) for i in range(40)}
+    n = Counter(s for x in sets.values() for s in x)
+    want, t = set(), 0.7
+    for i, x in sets.items():
+        ts = sorted((n[s], s) for s in x if n[s] > 1)
+        alone, least = len(x) - len(ts), math.ceil(len(x) * t)
+        for at, (_, s) in enumerate(ts[:max(0, len(x) - least + 1 - alone)]):
+            upto = math.floor((len(x) - alone - at) * (1 + t) / t + 1e-6) - len(x)
+            if upto >= math.ceil(len(x) * t - 1e-6):
+                want.add((i, len(x), s, upto))
+    df = spark.createDataFrame(list(sets.items()), "id bigint, sh array<bigint>")
+    got = dedup.rare_prefixes(df, t)
+    assert {tuple(r) for r in got.collect()} == want
+    # Every shingle of the sets crosses the shuffle once: no join of them all with the table of their counts.
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
