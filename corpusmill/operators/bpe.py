@@ -3,19 +3,19 @@
 Training works on the table of *distinct* pre-tokens, never
 on documents: the corpus is read once (D1).  Words are kept in blocks, flat
 symbol arrays that tasks work on as a whole, and the table of pair counts is
-kept up to date by the changes that a round's touched words make.  A round is two Spark jobs:
-the top K pairs (a parameter) come to the driver, and the counts of symbol triples
-whose two pairs are both among these.  From them the driver takes as many
+kept up to date by the changes that a round's touched words make.  In a round the
+top K pairs (a parameter) come to the driver, and the distinct segments of words
+that are made of these pairs alone (``MAX_SEGMENTS`` bytes at most: fewer pairs are
+taken where they would be more).  From them the driver takes as many
 merges as are certain (``plan_merges``), and the tasks apply the batch to
 their blocks.
 
-Why the batch equals one merge at a time: merging (l, r) only changes pairs
-that overlap it, by the number of triples that they make up together, which
-is known; what is no longer known exactly (a pair touched from two sides, a
-neighbour of a symbol made in this batch) is kept as an upper bound, and the
-batch ends where a bound would have to be chosen.  Pairs beyond the top K
-rank after the K-th, and so does all that merges make of them: their counts only fall,
-and on equal counts the newer symbol ranks last.  Checked against a
+Why the batch equals one merge at a time: all places of the top K pairs are in the
+segments, so their counts, and those of all pairs that merges make inside, are known
+exactly.  Any other pair comes from a place whose pair ranks after the K-th
+at the round's start, and it ranks after it too: its count is no higher,
+and on equal counts the newer symbol ranks last.  So the batch ends where the
+K-th pair of the start would be passed.  Checked against a
 sequential reference in tests/test_bpe.py.
 """
 
@@ -40,6 +40,8 @@ BYTE_OFFSET = len(tx.SPECIAL_TOKENS)          # byte b has id BYTE_OFFSET + b
 FIRST_MERGE_ID = BYTE_OFFSET + 256
 VOCAB_SIZE = 25000
 TOP_K = 4096
+FIRST_WIDTH = 64             # of the top pairs, those whose segments the first round takes
+MAX_SEGMENTS = 2 << 20       # bytes of segments (4 a symbol) that come to the driver in a round
 
 
 def pretokens(text) -> "F.Column":
@@ -162,85 +164,59 @@ def apply_merges(words: DataFrame, batch: list[tuple[int, int, int]], syms_col:
     return words.withColumn(syms_col, apply_merges_expr(syms_col, batch))
 
 
-def plan_merges(top, triples: dict, truncated: bool, next_id: int, limit: int, min_count: int = 1) -> list[tuple[int, int, int]]:
-    """The merges that one-at-a-time BPE takes next, as far as these counts decide it.
+def plan_merges(top, segments, truncated: bool, next_id: int, limit: int, min_count: int = 1) -> list[tuple[int, int, int]]:
+    """The merges that one-at-a-time BPE takes next, as far as ``top`` decides it.
 
     ``top``: (left, right, n) in rank order (n descending, left, right);
-    ``triples``: counts of (x, y, z) where (x, y) and (y, z) are both in ``top``;
+    ``segments``: (symbols, n), the longest parts of words whose pairs are all in ``top``;
     ``truncated``: there may be pairs that rank after the last.
     """
-    count: dict = {}
-    touched, bound = set(), set()              # exact but changed; no more than an upper bound
-    lefts, rights, heap = defaultdict(set), defaultdict(set), []
-
-    def put(p, n):
-        count[p] = n
-        lefts[p[0]].add(p)
-        rights[p[1]].add(p)
-        heapq.heappush(heap, (-n, *p))
-    for l, r, n in top:
-        put((l, r), n)
-    first = set(count)
     last = (-top[-1][2], top[-1][0], top[-1][1]) if truncated and top else None
-    before, after = defaultdict(list), defaultdict(list)
-    for (x, y, z), n in triples.items():
-        before[(y, z)].append((x, n))
-        after[(x, y)].append((z, n))
+    words, weight = [list(s) for s, _ in segments], [n for _, n in segments]
+    count: dict = defaultdict(int)
+    where, heap = defaultdict(set), []
+    for i, w in enumerate(words):
+        for p in zip(w, w[1:]):
+            count[p] += weight[i]
+            where[p].add(i)
+
+    def put(p):
+        key = (-count[p], *p)
+        # Counts of pairs that are there only fall: what ranks too low now never rises.
+        if -key[0] >= min_count and (last is None or key <= last):
+            heapq.heappush(heap, key)
+    for p in count:
+        put(p)
     out: list[tuple[int, int, int]] = []
     while heap and len(out) < limit:
-        key = heap[0]
-        p = l, r = key[1:]
-        if count.get(p) != -key[0]:            # an older count of this pair
-            heapq.heappop(heap)
+        n, l, r = heapq.heappop(heap)
+        if count[l, r] != -n:                  # an older count of this pair
             continue
-        if -key[0] < min_count or (last is not None and key > last) or p in bound:
-            break
-        heapq.heappop(heap)
-        n = count.pop(p)
-        lefts[l].discard(p)
-        rights[r].discard(p)
         z = next_id + len(out)
         out.append((l, r, z))
-        if l == r:                             # runs of one symbol: what is left of them is not in the triples
-            break
-        sides = [(q, 0) for q in rights[l]] + [(q, 1) for q in lefts[r]]
-        exact = p in first and p not in touched
-        if exact:
-            near = [((x, l), 0, t) for x, t in before[p]] + [((r, y), 1, t) for y, t in after[p]]
-            near += [(q, side, None) for q, side in sides if q not in first]
-        else:
-            # No occurrence of a changed pair is new, so triples that never were are not there now either.
-            near = [(q, side, None) for q, side in sides if not (p in first and q in first) or
-                    triples.get((q[0], l, r) if side == 0 else (l, r, q[1]))]
-        made: dict = {}
-
-        def add(q, m, sure=False):
-            known, old = made.get(q, (True, 0))
-            made[q] = (sure and q not in made, max(m, old))
-        for q, side, t in near:
-            if q not in count:
+        change: dict = defaultdict(int)
+        for i in where.pop((l, r)):
+            old, new, k = words[i], [], 0
+            while k < len(old):
+                if old[k] == l and k + 1 < len(old) and old[k + 1] == r:
+                    new.append(z)
+                    k += 2
+                else:
+                    new.append(old[k])
+                    k += 1
+            if len(new) == len(old):           # other merges took the pair's places here
                 continue
-            most = min(n, count[q]) if t is None else min(t, count[q])
-            if q == (r, l):
-                bound.add(q)
-                for w in ((z, z), (r, z), (z, l)):
-                    add(w, most)
-                continue
-            w = (q[0], z) if side == 0 else (z, q[1])
-            if exact and t is not None and q in first and q not in touched and q not in bound and q[0] != q[1]:
-                count[q] -= t
-                touched.add(q)
-                heapq.heappush(heap, (-count[q], *q))
-                add(w, t, True)
-            else:
-                bound.add(q)
-                add(w, most)
-        for q, (sure, m) in made.items():
-            if m > 0:
-                put(q, m)
-                touched.add(q)
-                if not sure:
-                    bound.add(q)
+            words[i] = new
+            for p in zip(old, old[1:]):
+                change[p] -= weight[i]
+            for p in zip(new, new[1:]):
+                change[p] += weight[i]
+                if z in p:
+                    where[p].add(i)
+        for p, d in change.items():
+            if d:
+                count[p] += d
+                put(p)
     return out
 
 
@@ -406,28 +382,42 @@ def changes_of(blocks: DataFrame) -> DataFrame:
                   .agg(F.sum("changes").alias("n")))
 
 
-def context_counts(blocks: DataFrame, top: list[tuple[int, int]]) -> dict:
-    """{(x, y, z): n} of the triples whose two pairs are both in ``top``; at most len(top) ** 2 of them."""
-    code = np.array([(l << 32) | r for l, r in top], np.int64)
-    order = np.argsort(code)
-    codes, size = code[order], len(code)
+def segment_counts(blocks: DataFrame, top: list[tuple[int, int]]) -> DataFrame:
+    """(seg, n): the longest parts of words whose pairs are all in ``top``, as 32-bit symbols, with their words' weights added up."""
+    codes = np.sort(np.array([(l << 32) | r for l, r in top], np.int64))
 
     def run(batches):
         for syms, weights in _blocks(batches):
             pairs = (syms[:-1] << 32) | np.maximum(syms[1:], 0)
-            at = np.minimum(np.searchsorted(codes, pairs), size - 1)
-            hit = (codes[at] == pairs) & (syms[:-1] >= 0) & (syms[1:] >= 0)
-            both = np.flatnonzero(hit[:-1] & hit[1:])
-            found, where = np.unique(at[both] * size + at[both + 1], return_inverse=True)
-            sums = np.zeros(len(found), np.int64)
-            np.add.at(sums, where, weights[both])
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(sums)], names=["t", "n"])
-    rows = blocks.select("syms", "weights").mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).collect()
-    out = {}
-    for t, n in rows:
-        l, r = top[order[t // size]], top[order[t % size]]
-        out[(*l, r[1])] = n
-    return out
+            at = np.minimum(np.searchsorted(codes, pairs), len(codes) - 1)
+            hit = np.concatenate([[False], (codes[at] == pairs) & (syms[:-1] >= 0) & (syms[1:] >= 0), [False]])
+            first = np.flatnonzero(hit[1:] & ~hit[:-1])
+            if not len(first):
+                continue
+            inside = hit[1:] | hit[:-1]           # either symbol of a pair
+            ends = np.flatnonzero(hit[:-1] & ~hit[1:]) + 1
+            offsets = np.concatenate([[0], np.cumsum((ends - first) * 4)]).astype(np.int32)
+            data = np.ascontiguousarray(syms[inside].astype(np.int32))
+            segs = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+            t = pa.table({"seg": segs, "n": pa.array(weights[first])}).group_by("seg", use_threads=False).aggregate([("n", "sum")])
+            yield pa.RecordBatch.from_arrays([t["seg"].combine_chunks(), t["n_sum"].combine_chunks()], names=["seg", "n"])
+    return (blocks.select("syms", "weights").mapInArrow(run, "seg binary, n bigint")
+                  .groupBy("seg").agg(F.sum("n").cast("bigint").alias("n")))
+
+
+def _segments(blocks: DataFrame, top: list, width: int) -> tuple[list, int, int]:
+    """Segments of the first ``width`` pairs of ``top``, or of as many (halved) as keep within ``MAX_SEGMENTS``; that number; and their bytes."""
+    while True:
+        segs = segment_counts(blocks, [(l, r) for l, r, _ in top[:width]]).persist()
+        size = segs.agg(F.sum(F.octet_length("seg")).alias("b")).first()["b"]
+        if size <= MAX_SEGMENTS or width == 1:
+            break
+        segs.unpersist()
+        width = max(1, min(width, len(top)) // 2)
+    rows = segs.toArrow()
+    segs.unpersist()
+    found = [np.frombuffer(x, np.int32).tolist() for x in rows["seg"].to_pylist()]
+    return list(zip(found, rows["n"].to_pylist())), width, size
 
 
 def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, top_k: int = TOP_K,
@@ -435,7 +425,7 @@ def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, t
     """Byte-level BPE merges until ``vocab_size`` ids or no pair with count >= min_count.
 
     Returns (vocab, merges) DataFrames; both are bounded by ``vocab_size``.
-    What comes to the driver is bounded by ``top_k`` pairs and the triples among them.
+    What comes to the driver is bounded by ``top_k`` pairs and ``MAX_SEGMENTS`` bytes of segments.
 
     The table of pair counts is kept between rounds and only brought up to
     date: a batch of merges changes the counts by what its touched words
@@ -450,7 +440,7 @@ def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, t
     pairs = materialize(changes_of(blocks).where(F.col("n") >= min_count))
     merges: list[tuple[int, int, int]] = []
     cached: list[DataFrame] = []
-    rounds = 0
+    rounds, width = 0, min(top_k, FIRST_WIDTH)
     while FIRST_MERGE_ID + len(merges) < vocab_size:
         top = [(r["p"] >> 32, r["p"] & 0xFFFFFFFF, r["n"])
                for r in pairs.orderBy(F.desc("n"), F.asc("p")).limit(top_k).collect()]
@@ -458,8 +448,11 @@ def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, t
             cached.pop(0).unpersist()
         if not top:
             break
-        batch = plan_merges(top, context_counts(blocks, [(l, r) for l, r, _ in top]), len(top) == top_k,
+        segments, width, size = _segments(blocks, top, width)
+        batch = plan_merges(top[:width], segments, len(top) > width or len(top) == top_k,
                             FIRST_MERGE_ID + len(merges), vocab_size - FIRST_MERGE_ID - len(merges), min_count)
+        if size <= MAX_SEGMENTS // 4:
+            width = min(top_k, 2 * width)
         merges.extend(batch)
         rounds += 1
         # Reliable checkpoints every few rounds keep plans flat; a lost executor

@@ -246,3 +246,27 @@ def test_windows_of_bpe_ids_give_the_texts_back(spark):
     sizes = {i: len(hf.encode(t or "").ids) for i, t in texts.items()}
     want = [(i, k) for i in sorted(sizes) for k in range(0 if not sizes[i] else 1 if sizes[i] <= 32 else 1 + -(-(sizes[i] - 32) // 24))]
     assert [(r["doc_id"], r["window_ix"]) for r in index] == want and [r["sample_id"] for r in index] == list(range(len(want)))
+
+
+@pytest.mark.parametrize("texts", CORPORA)
+def test_few_segments_equal_sequential(spark, monkeypatch, texts):
+    """Where the segments of the top pairs would be too many, fewer pairs are taken: more rounds, the same merges."""
+    monkeypatch.setattr(bpe, "MAX_SEGMENTS", 16)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    _, merges = bpe.train_bpe(df, vocab_size=bpe.FIRST_MERGE_ID + 12)
+    got = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
+    assert got == sequential_bpe(texts, bpe.FIRST_MERGE_ID + 12)
+
+
+def test_rounds_end_at_the_last_top_pair_only(spark, monkeypatch):
+    """A round makes hundreds of merges, chains of new symbols and runs of one symbol included."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aaabcde") for _ in range(rng.randint(2, 9))) for _ in range(600)]
+    df = spark.createDataFrame([(i, " ".join(rng.choices(words, k=60))) for i in range(40)], "doc_id bigint, text string")
+    rounds, apply = [], bpe.merged_blocks
+    monkeypatch.setattr(bpe, "merged_blocks", lambda blocks, batch: (rounds.append(len(batch)), apply(blocks, batch))[1])
+    _, merges = bpe.train_bpe(df, vocab_size=bpe.FIRST_MERGE_ID + 500)
+    got = [(r["left_id"], r["right_id"], r["new_id"]) for r in merges.orderBy("rank").collect()]
+    counts = {r["word"]: r["n"] for r in bpe.pretoken_counts(df).collect()}
+    assert got == indexed_bpe(counts, 500) and len(got) == 500
+    assert len(rounds) <= 8
