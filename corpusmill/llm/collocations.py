@@ -104,17 +104,20 @@ def encoded(docs: DataFrame, text_col: str, lang_col: str, seed: int) -> DataFra
 
 
 def names_of(enc: DataFrame, wanted: "Bits", seed: int) -> DataFrame:
-    """(h, lang, w): the noted words whose hashes ``wanted`` has, and some others."""
+    """(h, lang, w), each once: the noted words whose hashes ``wanted`` has, and some others."""
     def run(batches):
+        met: set = set()                 # a task meets a frequent word in most of its slices
         for b in batches:
             for lang, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words = [w for w in zstandard.decompress(packed).split(b"\n") if w]
                 own = lang.encode() + b"\0"
                 h = np.array([xxhash.xxh64_intdigest(own + w, seed) or 1 for w in words], np.uint64)
-                at = np.flatnonzero(wanted(mixed(h))) if len(h) else []
+                at = [i for i in np.flatnonzero(wanted(mixed(h))) if h[i] not in met] if len(h) else []
+                met = met if len(met) < CACHE else set()
+                met.update(h[at])
                 yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array([lang] * len(at), pa.string()),
                                                   pa.array([words[i] for i in at], pa.binary())], names=["h", "lang", "w"])
-    return enc.where("words is not null").select("lang", "words").mapInArrow(run, "h bigint, lang string, w binary")
+    return enc.where("words is not null").select("lang", "words").mapInArrow(run, "h bigint, lang string, w binary").distinct()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -262,8 +265,7 @@ def _collocations(docs: DataFrame, text_col: str, lang_col: str, min_count: int,
     blobs = enc.select("blob")
     totals = saved(enc.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"), "colloc-totals")
     names = names_of(enc, Bits(counts.select(_key_of("h").alias("key")), 1), seed)
-    words = saved(matching(names, counts.select("h", "f"), "h", "inner").groupBy("h", "lang", "w", "f")
-                  .agg(F.count(F.lit(1)).alias("met")), "colloc-words")
+    words = saved(matching(names, counts.select("h", "f"), "h", "inner"), "colloc-words")
     # Batches of the frontier: first words by the power of two of their count, so a language has at most 63 bins.
     binned = words.withColumn("bin", F.floor(F.log2("f")).cast("int"))
     share = binned.groupBy("lang", "bin").agg(F.sum("f").alias("occ"))

@@ -89,3 +89,11 @@ def test_edges(spark):
     rows = [(r[1], r[2] if len(r) > 2 else None) for r in EDGES]
     assert got(spark, rows, min_count=2, top=50) == brute(rows, 2, 50)
     assert C.collocations(documents(spark, [])).count() == 0
+
+
+def test_a_word_is_named_once_however_many_tasks_note_it(spark):
+    rows = [(f"common words and w{i}", "en") for i in range(40)]
+    df = documents(spark, [(i, t, lang, "a") for i, (t, lang) in enumerate(rows)]).repartition(4)
+    named = C.names_of(C.encoded(df, "text", "lang", 42), lambda h: h == h, 42)
+    got = Counter(bytes(r["w"]).decode() for r in named.collect())
+    assert got == Counter(["common", "words", "and", *(f"w{i}" for i in range(40))])
