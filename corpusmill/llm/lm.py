@@ -80,18 +80,31 @@ def log_probs(p: dict, tables: list, ids: np.ndarray, at: np.ndarray) -> np.ndar
     """log p(ids[at] | the tokens around) for positions ``at`` of a padded sequence; tables: embeddings scaled by place."""
     h = np.tanh(sum((t[ids[at + o]] for t, o in zip(tables, OFFSETS)), p["bias"]))
     target = ids[at]
-    x = h @ p["top"].T + p["top_b"]
-    out = x[np.arange(len(at)), target // CLASS] - np.log(np.exp(x).sum(1))
+    x = h @ p["top"].T
+    x += p["top_b"]
+    out = x[np.arange(len(at)), target // CLASS]
+    out -= np.log(np.exp(x, out=x).sum(1))
     order, runs = by_class(target)
     h, inner = h[order], (target % CLASS)[order]
     low = np.empty(len(at), np.float32)
     for k, i, j in runs:
-        x = h[i:j] @ p["low"][k].T + p["low_b"][k]
-        low[i:j] = x[np.arange(j - i), inner[i:j]] - np.log(np.exp(x).sum(1))
+        x = h[i:j] @ p["low"][k].T
+        x += p["low_b"][k]
+        low[i:j] = x[np.arange(j - i), inner[i:j]]
+        low[i:j] -= np.log(np.exp(x, out=x).sum(1))
     out[order] += low
     return out
 
 
+def softmax(x: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Of each row of ``x + bias``; in place."""
+    x += bias
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(1, keepdims=True)
+    return x
+
+
 def scaled(p: dict) -> list:
     return [p["emb"] * s for s in p["place"]]
 
@@ -107,9 +120,15 @@ class Trainer:
         if rows is None:
             a += grad * grad
             p -= RATE * grad / np.sqrt(a)
-        else:
+        elif isinstance(rows, int):             # a view, no gather
             a[rows] += grad * grad
             p[rows] -= RATE * grad / np.sqrt(a[rows])
+        else:
+            own = a[rows]
+            own += grad * grad
+            a[rows] = own
+            np.sqrt(own, out=own)
+            p[rows] -= np.divide(RATE * grad, own, out=own)
 
     def step(self, ids: np.ndarray, at: np.ndarray) -> None:
         """One step on the ascending positions ``at``."""
@@ -124,24 +143,21 @@ class Trainer:
         rows = [number[at + (o - low)] for o in OFFSETS]
         around = p["emb"][word]
         e = [around[r] for r in rows]
-        h = np.tanh(sum((x * s for x, s in zip(e, p["place"])), p["bias"]))
+        h = sum((x * s for x, s in zip(e, p["place"])), p["bias"])
+        np.tanh(h, out=h)
         target = ids[at]
-        x = h @ p["top"].T + p["top_b"]
-        y = np.exp(x - x.max(1, keepdims=True))
-        y /= y.sum(1, keepdims=True)
+        y = softmax(h @ p["top"].T, p["top_b"])
         y[np.arange(n), target // CLASS] -= 1
         dh = y @ p["top"]
         top, top_b = y.T @ h / n, y.sum(0) / n
         order, runs = by_class(target)
         hs, inner, dl = h[order], (target % CLASS)[order], np.empty_like(h)
         for k, i, j in runs:
-            x = hs[i:j] @ p["low"][k].T + p["low_b"][k]
-            y = np.exp(x - x.max(1, keepdims=True))
-            y /= y.sum(1, keepdims=True)
+            y = softmax(hs[i:j] @ p["low"][k].T, p["low_b"][k])
             y[np.arange(j - i), inner[i:j]] -= 1
             dl[i:j] = y @ p["low"][k]
-            self.apply("low", (y.T @ hs[i:j] / n)[None], [k])
-            self.apply("low_b", (y.sum(0) / n)[None], [k])
+            self.apply("low", y.T @ hs[i:j] / n, k)
+            self.apply("low_b", y.sum(0) / n, k)
         dh[order] += dl
         d = dh * (1 - h * h) / n
         self.apply("top", top)

@@ -113,3 +113,20 @@ def test_the_query_equals_a_plain_loop(spark):
     assert len(got) == len(rows)
     for r in got:
         assert any(r["n_tokens"] == n and abs(r["log_likelihood"] - x) < 1e-3 * max(n, 1) for n, x in want[r["doc_id"]])
+
+
+def test_softmax_is_in_place_and_rows_of_a_table_may_be_one_or_several():
+    rng = np.random.default_rng(3)
+    x, bias = rng.normal(size=(5, 7)).astype(np.float32), rng.normal(size=7).astype(np.float32)
+    e = np.exp(x + bias)
+    want = e / e.sum(1, keepdims=True)
+    y = lm.softmax(x, bias)
+    assert y is x and np.allclose(y, want, atol=1e-6)
+    p = lm.initial(np.ones(lm.TOKENS))
+    one, several = lm.Trainer(p), lm.Trainer(p)
+    grad = rng.normal(size=(2, *p["low"][0].shape)).astype(np.float32)
+    for _ in range(2):
+        several.apply("low", grad, np.array([4, 9]))
+        one.apply("low", grad[0], 4)
+        one.apply("low", grad[1], 9)
+    assert np.array_equal(one.p["low"], several.p["low"]) and np.array_equal(one.seen["low"], several.seen["low"])
