@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import arrow_batches, matching, pieces, saved
+from corpusmill.llm.common import arrow_batches, pieces, saved
 from corpusmill.session import prepare
 
 MIN_COUNT, MAX_WORDS, TOP, SCALE = 100, 5, 2000, 1000
@@ -257,15 +257,15 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 def _collocations(docs: DataFrame, text_col: str, lang_col: str, min_count: int, max_words: int, top: int, shares) -> DataFrame:
     for seed in itertools.count(42):
         enc = saved(encoded(docs, text_col, lang_col, seed), "colloc-encoded", compression="none", **{"parquet.block.size": str(ROWS)})
-        sums = enc.select(F.inline(F.arrays_zip("hs", "cs", "xs"))).groupBy(F.col("hs").alias("h")).agg(
-            F.sum("cs").alias("f"), (F.min("xs") != F.max("xs")).alias("two"))
+        code = F.xxhash64(F.lit(seed), "lang").alias("code")
+        sums = enc.select(code, F.inline(F.arrays_zip("hs", "cs", "xs"))).groupBy(F.col("hs").alias("h")).agg(
+            F.sum("cs").alias("f"), F.max("code").alias("code"), (F.min("xs") != F.max("xs")).alias("two"))
         counts = saved(sums.where((F.col("f") >= min_count) | F.col("two")), "colloc-counts")
-        if counts.where("two").limit(1).count() == 0:
-            break                                   # no two words share a hash
+        totals = saved(enc.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0").select("lang", "n", code), "colloc-totals")
+        if counts.where("two").limit(1).count() == 0 and totals.groupBy("code").count().where("count > 1").limit(1).count() == 0:
+            break                                   # no two words, no two languages share a hash
     blobs = enc.select("blob")
-    totals = saved(enc.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"), "colloc-totals")
-    names = names_of(enc, Bits(counts.select(_key_of("h").alias("key")), 1), seed)
-    words = saved(matching(names, counts.select("h", "f"), "h", "inner"), "colloc-words")
+    words = saved(counts.select("h", "f", "code").join(totals.select("code", "lang"), "code").select("lang", "h", "f"), "colloc-words")
     # Batches of the frontier: first words by the power of two of their count, so a language has at most 63 bins.
     binned = words.withColumn("bin", F.floor(F.log2("f")).cast("int"))
     share = binned.groupBy("lang", "bin").agg(F.sum("f").alias("occ"))
@@ -275,7 +275,7 @@ def _collocations(docs: DataFrame, text_col: str, lang_col: str, min_count: int,
         wave = F.when(F.col("upto") <= shares[i], F.lit(i)).otherwise(wave)
     share = share.withColumn("upto", upto).withColumn("wave", wave)
     words = saved(binned.join(share.select("lang", "bin", "wave"), ["lang", "bin"]).join(totals, "lang")
-                        .select("lang", "h", "w", "f", "n", "wave", _key_of("h").alias("key")), "colloc-frequent")
+                        .select("lang", "h", "f", "n", "wave", _key_of("h").alias("key")), "colloc-frequent")
     least = saved(words.groupBy("lang", "wave").agg(F.min("f").alias("f"), F.max("n").alias("n")), "colloc-bounds")
     frequent = Bits(words.select("key"), 1)
     scored = None
@@ -307,8 +307,11 @@ def _collocations(docs: DataFrame, text_col: str, lang_col: str, min_count: int,
                        .select("lang", "key", "a", "l", "r", "score"), "colloc-candidates")
     at = F.posexplode(F.transform(F.sequence(F.lit(0), (F.octet_length("key") / 8 - 1).cast("int")),
                                   lambda i: F.substring("key", i * 8 + 1, F.lit(8)))).alias("i", "k")
-    named = (cand.select("lang", "key", "a", "l", "r", "score", at)
-                 .join(words.select(F.col("key").alias("k"), F.col("w").cast("string").alias("w"), "n"), "k")
+    parts = cand.select("lang", "key", "a", "l", "r", "score", at)
+    # Words that are in no phrase of the result stay hashes.
+    names = names_of(enc, Bits(parts.select(F.col("k").alias("key")).distinct(), 1), seed)
+    named = (parts.join(names.select(_key_of("h").alias("k"), F.col("w").cast("string").alias("w")), "k")
+                 .join(totals.select("lang", "n"), "lang")
                  .groupBy("lang", "key", "a", "l", "r", "score", "n")
                  .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "w"))), lambda x: x["w"]), " ").alias("phrase")))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

@@ -97,3 +97,17 @@ def test_a_word_is_named_once_however_many_tasks_note_it(spark):
     named = C.names_of(C.encoded(df, "text", "lang", 42), lambda h: h == h, 42)
     got = Counter(bytes(r["w"]).decode() for r in named.collect())
     assert got == Counter(["common", "words", "and", *(f"w{i}" for i in range(40))])
+
+
+def test_only_words_of_the_result_are_named(spark, monkeypatch):
+    """What tasks send to be named goes with the result, not with the frequent words each of them has met."""
+    rng = random.Random(3)
+    rows = [(" ".join(rng.choices([f"w{k}" for k in range(50)], k=20)) + (" best pair" if i % 10 == 0 else ""), "en") for i in range(200)]
+    named, plain = [], C.names_of
+    monkeypatch.setattr(C, "names_of", lambda *a: (named.append(plain(*a)), named[-1])[1])
+    out = got(spark, rows, min_count=5, top=2)
+    assert out == brute(rows, 5, 2)
+    told = {bytes(r["w"]).decode() for n in named for r in n.collect()}
+    candidates = {w for r in brute(rows, 5, 2000) if r[7] >= out[-1][7] for w in r[2].split()}
+    assert {w for r in out for w in r[2].split()} <= told <= candidates
+    assert len(told) < 50
