@@ -109,6 +109,11 @@ def scaled(p: dict) -> list:
     return [p["emb"] * s for s in p["place"]]
 
 
+def keep_memory() -> None:
+    """Freeing one large array tells glibc to keep up to twice its size, so steps do not ask the system for their arrays again and again."""
+    np.empty(30 << 20, np.uint8)
+
+
 class Trainer:
     """Gradient steps with per-parameter rates (Adagrad) from given parameters."""
 
@@ -151,13 +156,18 @@ class Trainer:
         dh = y @ p["top"]
         top, top_b = y.T @ h / n, y.sum(0) / n
         order, runs = by_class(target)
-        hs, inner, dl = h[order], (target % CLASS)[order], np.empty_like(h)
+        hs, inner, dl, count = h[order], (target % CLASS)[order], np.empty_like(h), np.arange(n)
+        inside, inside_b = np.zeros_like(p["low"]), np.zeros_like(p["low_b"])      # a gradient of zero changes nothing
         for k, i, j in runs:
             y = softmax(hs[i:j] @ p["low"][k].T, p["low_b"][k])
-            y[np.arange(j - i), inner[i:j]] -= 1
-            dl[i:j] = y @ p["low"][k]
-            self.apply("low", y.T @ hs[i:j] / n, k)
-            self.apply("low_b", y.sum(0) / n, k)
+            y[count[:j - i], inner[i:j]] -= 1
+            np.matmul(y, p["low"][k], out=dl[i:j])
+            np.matmul(y.T, hs[i:j], out=inside[k])
+            y.sum(0, out=inside_b[k])
+        inside /= n
+        inside_b /= n
+        self.apply("low", inside)
+        self.apply("low_b", inside_b)
         dh[order] += dl
         d = dh * (1 - h * h) / n
         self.apply("top", top)
@@ -266,6 +276,7 @@ def train(encoded: DataFrame, counts: np.ndarray, rounds: int = ROUNDS, seed: in
         start = flat(p)
 
         def run(batches, p=p, r=r):
+            keep_memory()
             t, n = Trainer(p), 0
             for b in pieces(batches, "ids", 1 << 20):
                 ids, at, _ = padded(sequences(b.column(0)))
@@ -290,6 +301,7 @@ def score(encoded: DataFrame, p: dict, log_types: np.ndarray) -> DataFrame:
     schema = f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, log_likelihood double, mean_log_likelihood double"
 
     def run(batches):
+        keep_memory()
         tables, first = scaled(p), TOKENS - BUCKETS
         for b in pieces(batches, "ids", 1 << 20):
             ids, at, sizes = padded(sequences(b.column(1)))

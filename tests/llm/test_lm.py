@@ -130,3 +130,20 @@ def test_softmax_is_in_place_and_rows_of_a_table_may_be_one_or_several():
         one.apply("low", grad[0], 4)
         one.apply("low", grad[1], 9)
     assert np.array_equal(one.p["low"], several.p["low"]) and np.array_equal(one.seen["low"], several.seen["low"])
+
+
+def test_a_step_updates_each_parameter_once(monkeypatch):
+    """Classes without a target in the step stay as they are; the others move as if updated one by one."""
+    rng = np.random.default_rng(5)
+    ids = np.concatenate([[lm.PAD] * lm.WINDOW, rng.integers(0, 10 * lm.CLASS, 500), [lm.PAD] * lm.WINDOW])
+    at = np.arange(lm.WINDOW, len(ids) - lm.WINDOW)
+    p = lm.initial(np.bincount(ids[at], minlength=lm.TOKENS).astype(float))
+    t, calls, plain = lm.Trainer(p), [], lm.Trainer.apply
+    monkeypatch.setattr(lm.Trainer, "apply", lambda self, name, *a: (calls.append(name), plain(self, name, *a))[1])
+    t.step(ids, at)
+    assert sorted(calls) == sorted(lm.SHAPES)
+    there = np.unique(ids[at] // lm.CLASS)
+    gone = np.setdiff1d(np.arange(lm.CLASS), there)
+    for name in ("low", "low_b"):
+        assert np.array_equal(t.p[name][gone], p[name][gone])
+        assert all((t.p[name][k] != p[name][k]).any() for k in there)
