@@ -16,6 +16,7 @@ weighted by positions, through a shuffled tree.  After all rounds (of up to ``MA
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ RUN = 256                    # neighbouring positions that are dealt to the same
 BATCH = 8192
 RATE = 0.2
 SCORED = 1 << 15             # positions scored at a time
+PIECE = 512                  # rows whose 64 logits stay in a core's cache
+LARGEST = 80                 # exp of a larger 32-bit number overflows
 BLOCKS = 16                  # pieces that the parameters are averaged in
 COUNTER = 200_000
 SHAPES = {"emb": (TOKENS + 1, DIM), "place": (2 * WINDOW, DIM), "bias": (DIM,), "top": (CLASS, DIM), "top_b": (CLASS,),
@@ -78,33 +81,46 @@ def by_class(target: np.ndarray):
 
 def log_probs(p: dict, tables: list, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log p(ids[at] | the tokens around) for positions ``at`` of a padded sequence; tables: embeddings scaled by place."""
-    h = np.tanh(sum((t[ids[at + o]] for t, o in zip(tables, OFFSETS)), p["bias"]))
-    target = ids[at]
-    x = h @ p["top"].T
-    x += p["top_b"]
-    out = x[np.arange(len(at)), target // CLASS]
-    out -= np.log(np.exp(x, out=x).sum(1))
+    n, target, count, ones = len(at), ids[at], np.arange(PIECE), np.ones(CLASS, np.float32)
+    h, out, own = np.empty((n, DIM), np.float32), np.empty(n, np.float32), target // CLASS
+    for i in range(0, n, PIECE):
+        here, z = at[i:i + PIECE], h[i:i + PIECE]
+        z[:] = p["bias"]
+        for t, o in zip(tables, OFFSETS):
+            z += t.take(ids[here + o], 0)
+        np.tanh(z, out=z)
+        x = z @ p["top"].T
+        x += p["top_b"]
+        out[i:i + PIECE] = x[count[:len(x)], own[i:i + PIECE]]
+        out[i:i + PIECE] -= np.log(np.exp(x, out=x) @ ones)
     order, runs = by_class(target)
-    h, inner = h[order], (target % CLASS)[order]
-    low = np.empty(len(at), np.float32)
-    for k, i, j in runs:
-        x = h[i:j] @ p["low"][k].T
-        x += p["low_b"][k]
-        low[i:j] = x[np.arange(j - i), inner[i:j]]
-        low[i:j] -= np.log(np.exp(x, out=x).sum(1))
+    h, inner, low = h.take(order, 0), (target % CLASS)[order], np.empty(n, np.float32)
+    for k, first, end in runs:
+        for i in range(first, end, PIECE):
+            j = min(i + PIECE, end)
+            x = h[i:j] @ p["low"][k].T
+            x += p["low_b"][k]
+            low[i:j] = x[count[:j - i], inner[i:j]]
+            low[i:j] -= np.log(np.exp(x, out=x) @ ones)
     out[order] += low
     return out
 
 
-def softmax(x: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Of each row of ``x + bias``; in place."""
+def softmax(x: np.ndarray, bias: np.ndarray, wide: bool = True) -> np.ndarray:
+    """Of each row of ``x + bias``; in place.  ``wide``: a sum may pass ``LARGEST``."""
     x += bias
-    x -= x.max(1, keepdims=True)
+    if wide:
+        x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
+    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
     return x
 
 
+def largest(weights: np.ndarray, bias: np.ndarray) -> float:
+    """No logit of these weights passes it: the hidden values are -1 to 1."""
+    return float((np.abs(weights).sum(-1) + np.abs(bias)).max())
+
+
 def scaled(p: dict) -> list:
     return [p["emb"] * s for s in p["place"]]
 
@@ -138,50 +154,66 @@ class Trainer:
     def step(self, ids: np.ndarray, at: np.ndarray) -> None:
         """One step on the ascending positions ``at``."""
         p, n = self.p, len(at)
-        # The positions around, numbered without gaps: most are a neighbour to several of ``at``.
+        # The positions and those around, numbered without gaps: a neighbour's number is as far off as the neighbour.
         low = at[0] - WINDOW
         near = np.zeros(at[-1] + WINDOW + 1 - low, bool)
-        for o in OFFSETS:
+        for o in (0, *OFFSETS):
             near[at + (o - low)] = True
-        number = np.cumsum(near, dtype=np.int32) - 1
         word = ids[low:low + len(near)][near]
-        rows = [number[at + (o - low)] for o in OFFSETS]
-        around = p["emb"][word]
-        e = [around[r] for r in rows]
-        h = sum((x * s for x, s in zip(e, p["place"])), p["bias"])
-        np.tanh(h, out=h)
+        around = p["emb"].take(word, 0)
+        beside = [around[WINDOW + o:len(around) - WINDOW + o] for o in OFFSETS]
         target = ids[at]
-        y = softmax(h @ p["top"].T, p["top_b"])
-        y[np.arange(n), target // CLASS] -= 1
-        dh = y @ p["top"]
-        top, top_b = y.T @ h / n, y.sum(0) / n
         order, runs = by_class(target)
-        hs, inner, dl, count = h[order], (target % CLASS)[order], np.empty_like(h), np.arange(n)
+        target = target[order]
+        own, inner = target // CLASS, target % CLASS
+        here = (np.cumsum(near, dtype=np.int32) - 1 - WINDOW)[at - low][order]
+        z = np.empty_like(beside[0])
+        for i in range(0, len(z), PIECE):
+            z[i:i + PIECE] = p["bias"]
+            for x, s in zip(beside, p["place"]):
+                z[i:i + PIECE] += x[i:i + PIECE] * s
+        h = np.tanh(z.take(here, 0))
+        dh, count, ones = np.empty_like(h), np.arange(n), np.ones(n, np.float32)
+        top, top_b = np.zeros_like(p["top"]), np.zeros_like(p["top_b"])
+        wide = largest(p["top"], p["top_b"]) > LARGEST
+        for i in range(0, n, PIECE):
+            x = h[i:i + PIECE]
+            y = softmax(x @ p["top"].T, p["top_b"], wide)
+            y[count[:len(x)], own[i:i + PIECE]] -= 1
+            np.matmul(y, p["top"], out=dh[i:i + PIECE])
+            top += y.T @ x
+            top_b += ones[:len(x)] @ y
         inside, inside_b = np.zeros_like(p["low"]), np.zeros_like(p["low_b"])      # a gradient of zero changes nothing
-        for k, i, j in runs:
-            y = softmax(hs[i:j] @ p["low"][k].T, p["low_b"][k])
-            y[count[:j - i], inner[i:j]] -= 1
-            np.matmul(y, p["low"][k], out=dl[i:j])
-            np.matmul(y.T, hs[i:j], out=inside[k])
-            y.sum(0, out=inside_b[k])
-        inside /= n
-        inside_b /= n
-        self.apply("low", inside)
-        self.apply("low_b", inside_b)
-        dh[order] += dl
-        d = dh * (1 - h * h) / n
-        self.apply("top", top)
-        self.apply("top_b", top_b)
-        self.apply("bias", d.sum(0))
-        place = np.stack([np.einsum("ij,ij->j", d, x) for x in e])
+        wide = largest(p["low"], p["low_b"]) > LARGEST
+        for k, first, end in runs:
+            for i in range(first, end, PIECE):
+                j = min(i + PIECE, end)
+                y = softmax(h[i:j] @ p["low"][k].T, p["low_b"][k], wide)
+                y[count[:j - i], inner[i:j]] -= 1
+                dh[i:j] += y @ p["low"][k]
+                inside[k] += y.T @ h[i:j]
+                inside_b[k] += ones[:j - i] @ y
+        for name, grad in (("low", inside), ("low_b", inside_b), ("top", top), ("top_b", top_b)):
+            grad /= n
+            self.apply(name, grad)
+        h *= h
+        np.subtract(1, h, out=h)
+        h *= dh
+        h /= n
+        self.apply("bias", ones @ h)
+        d = np.zeros_like(beside[0])               # zero where a position is only a neighbour
+        d[here] = h
+        place = np.stack([np.einsum("ij,ij->j", d, x) for x in beside])
         g = np.zeros_like(around)
-        for r, s in zip(rows, p["place"]):
-            g[r] += d * s                          # no position is the same neighbour twice
+        for i in range(0, len(d), PIECE):
+            x = d[i:i + PIECE]
+            for o, s in zip(OFFSETS, p["place"]):
+                g[WINDOW + o + i:WINDOW + o + i + len(x)] += x * s
         word = word.astype(np.uint16)              # 16 bits: sorted by counting
         order = np.argsort(word, kind="stable")
         word = word[order]
         first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-        self.apply("emb", np.add.reduceat(g[order], first, axis=0), word[first])
+        self.apply("emb", np.add.reduceat(g.take(order, 0), first, axis=0), word[first])
         self.apply("place", place)
 
 
@@ -199,15 +231,14 @@ def padded(seqs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) over all documents; tasks pass partial counts on when they hold many words."""
     def run(batches):
-        count: dict = {}
+        count: Counter = Counter()
         for b in pieces(batches, "text"):
             for t in b.column(0).to_pylist():
                 if t:
-                    for w in t.lower().split():
-                        count[w] = count.get(w, 0) + 1
+                    count.update(t.lower().split())
                 if len(count) > COUNTER:
                     yield rows(count)
-                    count = {}
+                    count = Counter()
         yield rows(count)
 
     def rows(count):
@@ -231,26 +262,30 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> tuple[dict, np.ndarra
     return {r["word"]: i for i, r in enumerate(top)}, n, np.log(np.maximum(types, 1.0))
 
 
+class Ids(dict):
+    """The ids of the frequent words, and of up to ``COUNTER`` others that were met: the number of their bucket."""
+
+    def __init__(self, vocab: dict):
+        super().__init__(vocab)
+        self.vocab = vocab
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= len(self.vocab) + COUNTER:
+            self.clear()
+            self.update(self.vocab)
+        i = self[word] = TOKENS - BUCKETS + zlib.crc32(word.encode()) % BUCKETS
+        return i
+
+
 def encode(docs: DataFrame, vocab: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids): little-endian 16-bit token ids of whole texts; null and empty texts have none."""
-    first = TOKENS - BUCKETS
-
     def run(batches):
-        other: dict = {}
+        id_of = Ids(vocab).__getitem__
         for b in pieces(batches, "text"):
             out = []
             for t in b.column(1).to_pylist():
-                ids = []
-                for w in (t or "").lower().split():
-                    i = vocab.get(w)
-                    if i is None:
-                        i = other.get(w)
-                        if i is None:
-                            if len(other) > COUNTER:
-                                other.clear()
-                            i = other[w] = first + zlib.crc32(w.encode()) % BUCKETS
-                    ids.append(i)
-                out.append(np.array(ids, np.int16).tobytes())
+                words = (t or "").lower().split()
+                out.append(np.fromiter(map(id_of, words), np.int16, len(words)).tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, ids binary")

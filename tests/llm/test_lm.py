@@ -147,3 +147,58 @@ def test_a_step_updates_each_parameter_once(monkeypatch):
     for name in ("low", "low_b"):
         assert np.array_equal(t.p[name][gone], p[name][gone])
         assert all((t.p[name][k] != p[name][k]).any() for k in there)
+
+
+def plain_step(p, ids, at):
+    """The parameters after one Adagrad step from new, a position at a time."""
+    q = {k: v.astype(np.float64) for k, v in p.items()}
+    g = {k: np.zeros(v.shape) for k, v in q.items()}
+    for i in at:
+        near = [ids[i + o] for o in lm.OFFSETS]
+        h = np.tanh(sum(q["place"][k] * q["emb"][w] for k, w in enumerate(near)) + q["bias"])
+        c, t = divmod(ids[i], lm.CLASS)
+        dh = 0
+        for w, b, gw, gb, own in ((q["top"], q["top_b"], g["top"], g["top_b"], c), (q["low"][c], q["low_b"][c], g["low"][c], g["low_b"][c], t)):
+            y = np.exp(w @ h + b)
+            y /= y.sum()
+            y[own] -= 1
+            dh = dh + y @ w
+            gw += np.outer(y, h)
+            gb += y
+        d = dh * (1 - h * h)
+        g["bias"] += d
+        for k, w in enumerate(near):
+            g["place"][k] += d * q["emb"][w]
+            g["emb"][w] += d * q["place"][k]
+    return {k: q[k] - lm.RATE * g[k] / len(at) / np.sqrt(1e-8 + (g[k] / len(at)) ** 2) for k in q}
+
+
+def test_a_step_works_in_pieces_and_equals_a_plain_loop(monkeypatch):
+    """Runs of positions, single ones, gaps and document ends; no more than a piece of logits is there at a time, however large they are."""
+    rng = np.random.default_rng(11)
+    monkeypatch.setattr(lm, "PIECE", 16)
+    ids, at, _ = lm.padded([rng.integers(0, 3 * lm.CLASS, k) for k in (90, 1, 0, 7, 60)])
+    at = at[(np.arange(len(at)) < 40) | (rng.random(len(at)) < 0.4)]
+    rows, plain = [], lm.softmax
+    monkeypatch.setattr(lm, "softmax", lambda x, *a: (rows.append((len(x), *a[1:])), plain(x, *a))[1])
+    for scale in (1, 300):
+        p = lm.initial(np.bincount(ids[at], minlength=lm.TOKENS).astype(float))
+        p["emb"] *= 10
+        p["top"] *= scale
+        rows.clear()
+        t = lm.Trainer(p)
+        t.step(ids, at)
+        want = plain_step(p, ids, at)
+        for k in p:
+            assert np.abs(t.p[k] - want[k]).max() < 2e-3, k
+        assert max(n for n, _ in rows) <= lm.PIECE and {w for _, w in rows} == {False, scale > 1}
+    assert lm.largest(np.full((2, 3), -2.0), np.array([1.0, -1.5])) == 7.5
+
+
+def test_ids_of_words_stay_bounded(monkeypatch):
+    monkeypatch.setattr(lm, "COUNTER", 5)
+    vocab = {"a": 0, "b": 1}
+    ids = lm.Ids(vocab)
+    for w in ["a", *(f"w{i}" for i in range(20)), "b", "w3", "a"]:
+        assert ids[w] == vocab.get(w, lm.TOKENS - lm.BUCKETS + zlib.crc32(w.encode()) % lm.BUCKETS)
+        assert len(ids) <= len(vocab) + 5
