@@ -26,6 +26,7 @@ import json
 import re
 import uuid
 from collections import defaultdict
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ VOCAB_SIZE = 25000
 TOP_K = 4096
 FIRST_WIDTH = 64             # of the top pairs, those whose segments the first round takes
 MAX_SEGMENTS = 2 << 20       # bytes of segments (4 a symbol) that come to the driver in a round
+TASK_WORDS = 100_000         # distinct pre-tokens that a task of a training round takes, where there are more tasks than cores
 
 
 def pretokens(text) -> "F.Column":
@@ -420,6 +422,18 @@ def _segments(blocks: DataFrame, top: list, width: int) -> tuple[list, int, int]
     return list(zip(found, rows["n"].to_pylist())), width, size
 
 
+@contextmanager
+def shuffles(spark: SparkSession, parts: int):
+    """What is planned inside shuffles into ``parts`` partitions."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(parts))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, top_k: int = TOP_K,
               text_col: str = "text", checkpoint_every: int = 8, counts: DataFrame | None = None):
     """Byte-level BPE merges until ``vocab_size`` ids or no pair with count >= min_count.
@@ -431,12 +445,24 @@ def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, t
     date: a batch of merges changes the counts by what its touched words
     contribute before and after.  A pair below ``min_count`` leaves the table for good,
     as counts only fall after the round that makes a pair's newer symbol.
+
+    A round's tasks are as many as the words need, at least one a core: there are many rounds of a
+    few stages each, and a task that adds up a few thousand pairs costs a multiple of its rows.
     """
     spark = df.sparkSession
-    counts = counts if counts is not None else pretoken_counts(df, text_col)
-    # The table of words is spread over the cluster's cores explicitly (AQE would coalesce a small aggregate to few tasks).
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = materialize(word_blocks(counts.repartition(parts)))
+    counts = (counts if counts is not None else pretoken_counts(df, text_col)).persist()
+    try:
+        parts = max(spark.sparkContext.defaultParallelism, -(-counts.count() // TASK_WORDS))
+        with shuffles(spark, parts):
+            merges = _merges(counts.repartition(parts), vocab_size, min_count, top_k, checkpoint_every)
+    finally:
+        counts.unpersist()
+    return vocab_table(spark, merges), merges_table(spark, merges)
+
+
+def _merges(counts: DataFrame, vocab_size: int, min_count: int, top_k: int, checkpoint_every: int) -> list[tuple[int, int, int]]:
+    """The merges of ``train_bpe`` over distinct pre-tokens and their counts."""
+    blocks = materialize(word_blocks(counts))
     pairs = materialize(changes_of(blocks).where(F.col("n") >= min_count))
     merges: list[tuple[int, int, int]] = []
     cached: list[DataFrame] = []
@@ -467,7 +493,7 @@ def train_bpe(df: DataFrame, vocab_size: int = VOCAB_SIZE, min_count: int = 2, t
             cached += [blocks, pairs]
     for old in cached:
         old.unpersist()
-    return vocab_table(spark, merges), merges_table(spark, merges)
+    return merges
 
 
 def merges_table(spark: SparkSession, merges) -> DataFrame:

@@ -270,3 +270,24 @@ def test_rounds_end_at_the_last_top_pair_only(spark, monkeypatch):
     counts = {r["word"]: r["n"] for r in bpe.pretoken_counts(df).collect()}
     assert got == indexed_bpe(counts, 500) and len(got) == 500
     assert len(rounds) <= 8
+
+
+def test_rounds_have_as_many_tasks_as_the_words_need(spark, monkeypatch):
+    """Whatever the session's number of shuffle partitions, which stays as it is; more words, more tasks, the same merges."""
+    df = spark.createDataFrame([(i, " ".join(f"w{i * 7 % 31}x{k}" for k in range(20))) for i in range(40)], "doc_id bigint, text string")
+    key, tasks, apply = "spark.sql.shuffle.partitions", [], bpe.merged_blocks
+    monkeypatch.setattr(bpe, "merged_blocks", lambda blocks, batch: (tasks.append(blocks.rdd.getNumPartitions()), apply(blocks, batch))[1])
+    old = spark.conf.get(key)
+    spark.conf.set(key, "37")
+    try:
+        cores, found = spark.sparkContext.defaultParallelism, []
+        for words in (bpe.TASK_WORDS, 50):
+            monkeypatch.setattr(bpe, "TASK_WORDS", words)
+            _, merges = bpe.train_bpe(df, vocab_size=bpe.FIRST_MERGE_ID + 20)
+            found.append([tuple(r) for r in merges.orderBy("rank").collect()])
+            n = bpe.pretoken_counts(df).count()
+            assert set(tasks) == {max(cores, -(-n // words))} and spark.conf.get(key) == "37"
+            tasks.clear()
+        assert found[0] == found[1] and len(found[0]) == 20 and -(-n // 50) > cores
+    finally:
+        spark.conf.set(key, old)
