@@ -135,11 +135,70 @@ def _verified(cand: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 .where(F.col("jaccard") >= threshold))
 
 
+def _near_index(sets: DataFrame, t: float) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``rare_prefixes`` that can meet another, with bitmaps, and the sets that have such rows."""
+    rows = stored(rare_prefixes(sets, t), "near-prefixes")
+    # A pair holds a set that may have partners of its own length or more: shingles without one meet nothing.
+    meet = rows.groupBy("s").agg(F.count(F.lit(1)).alias("m"), F.max(F.col("upto") >= F.col("len")).alias("open"))
+    rows = checked_join(rows, stored(meet.where((F.col("m") > 1) & F.col("open")).select("s"), "near-meet"), "s", "left_semi")
+    rows = stored(rows, "near-rows")
+    live = rows.select("id").distinct()
+    sets = stored(checked_join(sets, stored(live, "near-live"), "id", "left_semi"), "near-live-sets")
+    return stored(rows.join(_bitmaps(sets), "id"), "near-index"), sets
+
+
+def _in_pairs(rows: DataFrame, key: str) -> DataFrame:
+    """Rows x and y of equal ``key`` and unequal ``id``, each two of them once (null ids meet nothing).
+
+    A key with more than PAIRS_PER_TASK pairs is cut: its rows are dealt to strips, and each two strips are a task's.
+    """
+    most = F.col("m") * F.col("m") / (2.0 * PAIRS_PER_TASK)
+    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("m")).where(most > 1)
+    hot = stored(hot.select(key, F.ceil(F.sqrt(most)).cast("int").alias("strips")), "near-hot")
+    n_hot = hot.count()
+    if n_hot == 0:
+        return rows.alias("x").join(rows.alias("y"), key).where(F.col("x.id") < F.col("y.id"))
+    rows = checked_join(rows, hot, key, "left", small_rows=n_hot).withColumn("strips", F.coalesce("strips", F.lit(1)))
+    rows = rows.withColumn("strip", F.pmod(F.xxhash64("id"), F.col("strips")).cast("int"))
+    x = rows.withColumn("i", F.col("strip")).withColumn("j", F.explode(F.sequence("strip", F.col("strips") - 1)))
+    y = rows.withColumn("j", F.col("strip")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("strip"))))
+    return (x.alias("x").join(y.alias("y"), [key, "i", "j"])
+             .where((F.col("x.id") < F.col("y.id")) | ((F.col("i") < F.col("j")) & (F.col("x.id") != F.col("y.id")))))
+
+
+def _every_pair(sh: DataFrame, threshold: float, t: float) -> DataFrame:
+    """All pairs (a, b, jaccard) of the documents (id, sh, sig) that are similar enough, a row each.
+
+    Equal sets are compared once, under their ``sig``; the similar pairs of sets then become pairs of their holders.
+    """
+    sh = sh.where(F.col("id").isNotNull())
+    held = stored(sh.select("sig", "id").distinct(), "near-holders")
+    rep = held.groupBy("sig").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m"))
+    rep = stored(rep.where(F.col("m") > 1).select("sig", "rep"), "near-reps")
+    twins = stored(checked_join(held, rep, "sig", small_rows=rep.count()), "near-twins")
+    sets = drop_keys(sh, twins.where(F.col("id") != F.col("rep")).select("sig", "id"), ["sig", "id"])
+    rows, sets = _near_index(sets.select(F.col("sig").alias("id"), "sh"), t)
+    met = (_in_pairs(rows, "s").where(_may_match("x", "y", t))
+           .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
+    alike = stored(_verified(stored(met, "near-met"), sets, threshold).distinct(), "near-alike")
+    across = (alike.join(held.select(F.col("sig").alias("a"), F.col("id").alias("x")), "a")
+                   .join(held.select(F.col("sig").alias("b"), F.col("id").alias("y")), "b").where(F.col("x") != F.col("y"))
+                   .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard"))
+    equal = _in_pairs(twins.select("sig", "id"), "sig").select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"),
+                                                               F.lit(1.0).alias("jaccard"))
+    pairs = across.unionByName(equal)
+    # An id of several texts may meet another more than once.
+    if held.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(1).count():
+        pairs = pairs.groupBy("a", "b").agg(F.max("jaccard").alias("jaccard"))
+    return pairs
+
+
 def near_dup_pairs(df: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", every: bool = False) -> DataFrame:
     """Verified near-duplicate edges (a, b, jaccard), a < b, jaccard >= threshold (rounded to 6 places).
 
-    A set-similarity join by prefix filter: it misses no pair.  The edges
+    A set-similarity join by prefix filter: it misses no pair.  With ``every`` the edges are all
+    similar pairs.  Without it, which is what components need, they
     link all that is similar, directly or over others; not every similar pair is
     an edge of its own, so a group of copies gives edges in proportion to its size:
 
@@ -159,6 +218,8 @@ def near_dup_pairs(df: DataFrame, n: int = 5, threshold: float = 0.8, id_col: st
     sh = shingle_hashes(df, n, id_col, text_col).withColumnRenamed(id_col, "id")
     # bind the shingle array once (a plain where would recompute it in the filter)
     sh = stored(keep_if(sh, "sh", lambda a: F.size(a) > 0).withColumn("sig", F.xxhash64(F.array_sort("sh"))), "near-sets")
+    if every:
+        return _every_pair(sh, threshold, t)
     rep = stored(sh.groupBy("sig").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m")), "near-reps")
     groups = rep.where(F.col("m") > 1).select("sig", "rep")
     twins = checked_join(sh.select("id", "sig"), groups, "sig", small_rows=groups.count()).where(F.col("id") != F.col("rep"))
@@ -166,15 +227,8 @@ def near_dup_pairs(df: DataFrame, n: int = 5, threshold: float = 0.8, id_col: st
     sets = sh.select("id", "sh")
     if copies.limit(1).count():
         sets = drop_keys(sets, copies.select(F.col("b").alias("id")), "id", keys_rows=copies.count())
-    rows = stored(rare_prefixes(sets, t), "near-prefixes")
-    # A pair holds a set that may have partners of its own length or more: shingles without one meet nothing.
-    meet = rows.groupBy("s").agg(F.count(F.lit(1)).alias("m"), F.max(F.col("upto") >= F.col("len")).alias("open"))
-    rows = checked_join(rows, stored(meet.where((F.col("m") > 1) & F.col("open")).select("s"), "near-meet"), "s", "left_semi")
-    rows = stored(rows, "near-rows")
-    live = rows.select("id").distinct()
-    sets = stored(checked_join(sets, stored(live, "near-live"), "id", "left_semi"), "near-live-sets")
-    rows = stored(rows.join(_bitmaps(sets), "id"), "near-index")
-    x, y = rows.alias("x"), rows.alias("y")
+    rows, sets = _near_index(sets, t)
+    y = rows.alias("y")
     first = rows.groupBy("s").agg(F.min(F.struct("id", "len", "upto", "bits")).alias("f")).select("s", "f.*")
     star = (first.alias("x").join(y, "s").where((F.col("x.id") < F.col("y.id")) & _may_match("x", "y", t))
                  .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
