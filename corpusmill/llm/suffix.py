@@ -10,7 +10,8 @@ up a segment.  Segments whose fingerprint no other document has cannot
 repeat and end there; the others go, each distinct one once per group of documents, to the
 task that owns the fingerprint.
 
-What such a task does.  The segments of one group of documents are a shard.  Each
+What such a task does.  The segments of neighbouring groups of documents, about ``SHARD`` bytes
+of them, are a shard, so more groups do not make more and smaller shards.  Each
 shard has its own transform: its suffixes in order, the symbols that stand before
 each of them, and the step to the suffix that begins with these.  The shards'
 transforms are merged without comparing suffixes again: an interleave of all
@@ -22,6 +23,7 @@ still together after ``length`` bytes are the repeats.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 
@@ -39,6 +41,7 @@ GRAM = 16
 GROUP_BYTES = 8 << 20
 SLICE = 1 << 18              # windows hashed at a time
 BATCH = 1 << 20              # bytes of segments merged at a time (a fingerprint's family is never cut)
+SHARD = 1 << 16              # bytes of a shard of theirs
 NO_ID = np.iinfo(np.int64).max
 STEP = 2                     # bytes in a symbol of the transforms
 
@@ -86,12 +89,18 @@ def gather(table: pa.Table) -> tuple[np.ndarray, list, list]:
     return ids[order], [texts[i] for i in order], order
 
 
+@functools.cache
+def zstd() -> tuple:
+    """A process's compressor and decompressor: blocks are many and small, so they are not made for each."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def packed(a) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(a if isinstance(a, bytes) else a.tobytes())
+    return zstd()[0].compress(a if isinstance(a, bytes) else a.tobytes())
 
 
 def unpacked(x: bytes, kind=None):
-    data = zstandard.ZstdDecompressor().decompress(x)
+    data = zstd()[1].decompress(x)
     return data if kind is None else np.frombuffer(data, kind)
 
 
@@ -121,9 +130,10 @@ def shared_prints(table: pa.Table) -> pa.Table:
     groups = table.column("g").to_pylist()
     prints = [np.frombuffer(x, np.uint64) for x in table.column("prints").to_pylist()]
     many = [np.unpackbits(np.frombuffer(m, np.uint8), count=len(p)).astype(bool) for m, p in zip(table.column("many").to_pylist(), prints)]
-    values, count = np.unique(np.concatenate(prints), return_counts=True)
-    twice = values[count > 1]
-    kept = [p[m | np.isin(p, twice, assume_unique=True)] for p, m in zip(prints, many)]
+    # All groups' at once: a look at the bucket's fingerprints for every group would take time with the square of the groups.
+    _, at, count = np.unique(np.concatenate(prints), return_inverse=True, return_counts=True)
+    twice = np.split(count[at] > 1, np.cumsum([len(p) for p in prints])[:-1])
+    kept = [p[m | t] for p, m, t in zip(prints, many, twice)]
     some = [(g, k.tobytes()) for g, k in zip(groups, kept) if len(k)]
     return pa.table({"g": pa.array([g for g, _ in some], pa.int64()), "prints": pa.array([k for _, k in some], pa.binary())})
 
@@ -164,34 +174,34 @@ def transform(buf: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """
     n, at = len(buf), np.cumsum(sizes) - sizes
     # Positions 0..size of every string, the empty suffix too; they are numbered with one more slot per string.
-    left = np.concatenate([np.arange(s, -1, -1) for s in sizes]) if len(sizes) < 64 else \
-        np.repeat(sizes, sizes + 1) - (np.arange(n + len(sizes)) - np.repeat(at + np.arange(len(sizes)), sizes + 1))
-    pos = np.repeat(at + sizes, sizes + 1) - left
-    padded = np.append(buf, np.zeros(8, np.uint8)).astype(np.uint64)
-    word = padded[:n + 1].copy()
-    for k in range(1, 8):
-        word = (word << np.uint64(8)) | padded[k:n + 1 + k]
-
-    def key(i, depth):
-        """Eight bytes of suffixes ``i`` from ``depth`` on; what lies beyond the string's end is zero."""
-        rest = np.clip(left[i] - depth, 0, 8)
-        w = word[np.minimum(pos[i] + depth, n)]
-        return np.where(rest == 0, np.uint64(0), w >> (np.uint64(8) * (8 - rest).astype(np.uint64)) << (np.uint64(8) * (8 - np.maximum(rest, 1)).astype(np.uint64)))
-    order = np.argsort(key(np.arange(len(pos)), 0), kind="stable")
+    slots = sizes + 1
+    pos = np.arange(n + len(sizes)) - np.repeat(np.arange(len(sizes)), slots)
+    left = np.repeat(at + sizes, slots) - pos
+    # With eight zeros behind every string the eight bytes from any place on are a word, zero beyond the string's end.
+    spot = pos + np.repeat(np.arange(len(sizes)) * 8, slots)
+    word = np.zeros(n + 8 * len(sizes) + 8, np.uint64)
+    word[spot[left > 0]] = buf
+    for k in (1, 2, 4):
+        word = (word[:-k] << np.uint64(8 * k)) | word[k:]
+    order = np.argsort(word[spot])
+    k = word[spot[order]]
     depth, tied = 0, np.arange(len(pos))         # places in the order that still tie with a neighbour
     block = np.zeros(len(pos), np.int64)
-    while len(tied) and depth < LENGTH:
-        k = key(order[tied], depth)
-        o = np.lexsort((k, block))
-        order[tied], k, block = order[tied][o], k[o], block[o]
+    while True:
         new = np.append(True, (k[1:] != k[:-1]) | (block[1:] != block[:-1]))
         alone = new & np.append(new[1:], True)
         block = np.cumsum(new)[~alone]
         tied = tied[~alone]
         depth += 8
+        if not len(tied) or depth >= LENGTH:
+            break
+        i = order[tied]
+        k = word[spot[i] + np.minimum(left[i], depth)]
+        o = np.lexsort((k, block))
+        order[tied], k, block = i[o], k[o], block[o]
     rank = np.empty(len(pos), np.int64)
     rank[order] = np.arange(len(pos))
-    offset = (np.repeat(sizes, sizes + 1) - left)[order]
+    offset = (np.repeat(sizes, slots) - left)[order]
     start = pos[order]
     symbol = np.zeros(len(pos), np.uint16)
     has = offset >= STEP
@@ -230,17 +240,18 @@ def merge(transforms: list, depth: int) -> tuple[np.ndarray, np.ndarray, list]:
     return place, head, apart
 
 
-def first_holders(strings: list, owner: np.ndarray, shard: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def first_holders(strings: list, owner: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For every window of the strings the least owner among all strings that hold it.
 
     Returns intervals of equal answers: string, first window, end, owner.
     """
     sizes = np.fromiter(map(len, strings), np.int64, len(strings))
-    order = np.argsort(shard, kind="stable")     # shard after shard
+    order = np.argsort(group, kind="stable")     # group after group
     buf = np.frombuffer(b"".join([strings[i] for i in order.tolist()]), np.uint8)
     sizes_o, owner_o = sizes[order], owner[order]
     ends = np.cumsum(sizes_o)
-    cut = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0))
+    shard = (ends - sizes_o) // SHARD
+    cut = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
     parts, starts = [], []
     for i, j in zip(cut, np.append(cut[1:], len(order))):
         lo = ends[i] - sizes_o[i]
@@ -273,7 +284,7 @@ def verdicts(table: pa.Table, length: int) -> pa.Table:
     """For every group, the segments in this bucket and which earlier document holds which of their windows."""
     number: dict = {}
     owner: list = []
-    shard: list = []
+    group: list = []
     sent = []
     for row, (data, sizes, least) in enumerate(zip(*(table.column(c).to_pylist() for c in ("bytes", "sizes", "least")))):
         data, ends = unpacked(data), np.cumsum(unpacked(sizes, np.int32), dtype=np.int64).tolist()
@@ -284,12 +295,12 @@ def verdicts(table: pa.Table, length: int) -> pa.Table:
             k = number.setdefault(s, len(owner))
             if k == len(owner):
                 owner.append(who)
-                shard.append(row)
+                group.append(row)
             elif who < owner[k]:
                 owner[k] = who
             own.append(k)
         sent.append(np.array(own, np.int64))
-    strings, owner, shard = list(number), np.array(owner, np.int64), np.array(shard, np.int64)
+    strings, owner, group = list(number), np.array(owner, np.int64), np.array(group, np.int64)
     del number
     # Families of one fingerprint, as many at a time as make up a batch.
     many = SLICE // length
@@ -307,7 +318,7 @@ def verdicts(table: pa.Table, length: int) -> pa.Table:
         if len(order) and size[-1] <= want:
             j = len(order)
         pick = order[i:j]
-        s, a, b, w = first_holders([strings[k] for k in pick.tolist()], owner[pick], shard[pick], length)
+        s, a, b, w = first_holders([strings[k] for k in pick.tolist()], owner[pick], group[pick], length)
         found.append((pick[s], a, b, w))
         i = j
     s, a, b, w = (np.concatenate(x) for x in zip(*found))

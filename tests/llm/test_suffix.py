@@ -88,3 +88,54 @@ def test_long_text_is_cut_into_slices(monkeypatch):
     monkeypatch.setattr(suffix, "SLICE", 512)
     windows = sorted(x for _, _, s, n in suffix.segments([t]) for a, c in zip(s, n) for x in range(a, a + c))
     assert windows == list(range(5000 - 49))
+
+
+def test_more_groups_do_not_make_more_shards(monkeypatch):
+    """Shards are cut by bytes: segments dealt to many groups take no more transforms, and get the same answers."""
+    import pyarrow as pa
+    rng = random.Random(8)
+    base = bytes(np.random.default_rng(8).integers(97, 123, 400, np.uint8))
+    strings = [bytes(rng.choices(range(97, 123), k=rng.randint(0, 20))) + base[(i := rng.randrange(300)):i + rng.randint(60, 100)] for _ in range(240)]
+    least = np.array([rng.randrange(10**6) for _ in strings], np.int64)
+
+    def table(groups):
+        own = [range(g, len(strings), groups) for g in range(groups)]
+        return pa.table({"g": pa.array(range(groups), pa.int64()), "bucket": pa.array([0] * groups, pa.int64()),
+                         "bytes": pa.array([suffix.packed(b"".join(strings[i] for i in o)) for o in own], pa.binary()),
+                         "sizes": pa.array([suffix.packed(np.array([len(strings[i]) for i in o], np.int32)) for o in own], pa.binary()),
+                         "least": pa.array([suffix.packed(least[list(o)]) for o in own], pa.binary())})
+
+    def answers(t, groups):
+        out = {}
+        for g, *cols in zip(*(t.column(c).to_pylist() for c in ("g", "counts", "from", "to", "owner"))):
+            count, lo, hi, who = (suffix.unpacked(x, k).tolist() for x, k in zip(cols, (np.int32, np.int32, np.int32, np.int64)))
+            at = 0
+            for i, n in zip(range(g, len(strings), groups), count):
+                out[i] = [w for x in range(at, at + n) for w in [who[x]] * (hi[x] - lo[x])]
+                at += n
+        return out
+    made, real = [], suffix.transform
+    monkeypatch.setattr(suffix, "transform", lambda *a: (made.append(1), real(*a))[1])
+    few, n_few = answers(suffix.verdicts(table(2), 50), 2), len(made)
+    many, n_many = answers(suffix.verdicts(table(120), 50), 120), len(made) - n_few
+    first: dict = {}
+    for s, w in zip(strings, least.tolist()):
+        for i in range(len(s) - 49):
+            first[s[i:i + 50]] = min(w, first.get(s[i:i + 50], w))
+    assert few == many == {k: [first[s[i:i + 50]] for i in range(len(s) - 49)] for k, s in enumerate(strings)}
+    assert n_many <= n_few + 1
+
+
+def test_shared_prints_over_many_groups():
+    """Of every group those fingerprints stay that it has in two documents or that another group has."""
+    import pyarrow as pa
+    rng = np.random.default_rng(9)
+    prints = [np.unique(rng.integers(0, 3000, 12).astype(np.uint64)) for _ in range(300)]
+    many = [rng.random(len(p)) < 0.1 for p in prints]
+    t = pa.table({"g": pa.array(range(300), pa.int64()), "prints": pa.array([p.tobytes() for p in prints], pa.binary()),
+                  "many": pa.array([np.packbits(m).tobytes() for m in many], pa.binary())})
+    values, count = np.unique(np.concatenate(prints), return_counts=True)
+    n = dict(zip(values.tolist(), count.tolist()))
+    want = {g: [x for x, m in zip(p.tolist(), own) if m or n[x] > 1] for g, (p, own) in enumerate(zip(prints, many))}
+    got = suffix.shared_prints(t)
+    assert {g: np.frombuffer(p, np.uint64).tolist() for g, p in zip(got.column("g").to_pylist(), got.column("prints").to_pylist())} == {g: p for g, p in want.items() if p}
