@@ -167,12 +167,12 @@ def _in_pairs(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _every_pair(sh: DataFrame, threshold: float, t: float) -> DataFrame:
-    """All pairs (a, b, jaccard) of the documents (id, sh, sig) that are similar enough, a row each.
+    """(a, b, jaccard) for each two rows of (id, sh, sig) that are similar enough, unless their ids are equal or null.
 
     Equal sets are compared once, under their ``sig``; the similar pairs of sets then become pairs of their holders.
     """
     sh = sh.where(F.col("id").isNotNull())
-    held = stored(sh.select("sig", "id").distinct(), "near-holders")
+    held = stored(sh.select("sig", "id"), "near-holders")
     rep = held.groupBy("sig").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m"))
     rep = stored(rep.where(F.col("m") > 1).select("sig", "rep"), "near-reps")
     twins = stored(checked_join(held, rep, "sig", small_rows=rep.count()), "near-twins")
@@ -186,11 +186,7 @@ def _every_pair(sh: DataFrame, threshold: float, t: float) -> DataFrame:
                    .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard"))
     equal = _in_pairs(twins.select("sig", "id"), "sig").select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"),
                                                                F.lit(1.0).alias("jaccard"))
-    pairs = across.unionByName(equal)
-    # An id of several texts may meet another more than once.
-    if held.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(1).count():
-        pairs = pairs.groupBy("a", "b").agg(F.max("jaccard").alias("jaccard"))
-    return pairs
+    return across.unionByName(equal)
 
 
 def near_dup_pairs(df: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str = "doc_id",
